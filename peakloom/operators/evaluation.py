@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scans import tiled_scan, value_bucket
+from .scans import quantiles_of_counts, row_index, tiled_scan, value_bucket
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", keys: Sequence[str] = ()) -> DataFrame:
@@ -117,24 +117,9 @@ def score_quantiles(counts: DataFrame, probs: Column | Sequence[float], keys: Se
     ``probs`` is a list or a Column holding an array of probabilities over ``_total``.
     """
     keys = list(keys)
-    ran = weighted_counts(counts, keys)
-    total = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    wanted = F.array(*[F.lit(float(p)) for p in probs]) if not isinstance(probs, Column) else probs
-    both = ran.join(total, keys).withColumn(
-        "t", F.explode(
-            F.filter(
-                F.transform(wanted, lambda p: F.struct(p.alias("prob"), ((F.col("_total") - 1) * p).alias("h"))),
-                lambda t: ((F.floor(t["h"]) >= F.col("below")) & (F.floor(t["h"]) < F.col("upto")))
-                | ((F.ceil(t["h"]) >= F.col("below")) & (F.ceil(t["h"]) < F.col("upto"))),
-            )
-        )
-    )
-    at = lambda rank: F.max(F.when((rank >= F.col("below")) & (rank < F.col("upto")), F.col("score")))
-    ends = both.groupBy(*keys, F.col("t.prob").alias("prob"), F.col("t.h").alias("_h")).agg(
-        at(F.floor("t.h")).alias("_lo"), at(F.ceil("t.h")).alias("_hi")
-    )
-    value = F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))
-    return ends.select(*keys, "prob", value.alias("quantile"))
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    wanted = probs if isinstance(probs, Column) else F.array(*[F.lit(float(p)) for p in probs])
+    return quantiles_of_counts(weighted_counts(counts, keys), totals, keys, "score", wanted)
 
 
 def quantile_density_grid(counts: DataFrame, genome_length: Column | float, keys: Sequence[str] = ("motif_id",)) -> DataFrame:
@@ -201,8 +186,6 @@ def lookup_thresholds(models: DataFrame, quantiles: DataFrame, probs: Sequence[f
 
 def rank_pair(df: DataFrame, label: str = "label", score: str = "score", id_col: str = "seq_id") -> DataFrame:
     """The i-th best positive beside the i-th best negative, up to the smaller set."""
-    from .scans import row_index
-
     ranked = row_index(
         df, [label], [-F.col(score), F.col(id_col)],
         F.struct(-value_bucket(F.col(score)), (-F.col(score)).alias("s"), value_bucket(F.col(id_col))), "rank",

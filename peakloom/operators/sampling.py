@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..runtime import cut_lineage
 from .overlap import best_overlap, overlap_anti, overlap_join
 from .scans import draw, row_index
 from .segments import make_bins
@@ -126,46 +127,40 @@ def matched_negatives(
     """For each positive a library bin of the same type with near GC, each bin used once per set.
 
     Positives need ``type`` and ``gc``; the library ``type, gc`` and coordinates.  Rounds
-    go from equal GC (0.01 steps) through each step up to ``delta_gc``, then to 0.1 wide
-    steps up to 0.4, then to any bin of the type and last any bin at all.  Within a
-    round rows are paired by rank in a seeded order inside each stratum.
+    go from equal GC (0.01 steps) outward to ``delta_gc``, then to 0.1 wide steps up to
+    0.4, then to any bin of the type and last any bin at all.  Within a round rows are
+    paired by rank in a seeded order inside each stratum.
     Returns ``(set_no, id, chrom, start, end, type, gc, pos_gc, round)``.
     """
     set_no = F.explode(F.sequence(F.lit(1), F.lit(sets))).alias("set_no")
-    lib = library.select("chrom", "start", "end", "type", "gc", set_no)
-    key = F.concat_ws(":", "chrom", "start", "end", "set_no")
-    lib = lib.withColumn("bin_id", key).withColumn("_cell", F.round(F.col("gc") * 100).cast("int"))
-    want = positives.select(id_col, F.col("type").alias("ptype"), F.col("gc").alias("pos_gc"), set_no)
-    want = want.withColumn("_pid", F.concat_ws(":", F.col(id_col).cast("string"), "set_no"))
-    steps = [0] + [s * m for m in range(1, round(delta_gc * 100) + 1) for s in (-1, 1)]
-    rounds: list[tuple[str, Column, Column]] = [
-        (f"gc{d:+d}", F.col("_cell"), F.round(F.col("pos_gc") * 100).cast("int") + d) for d in steps
-    ]
-    for w in (1, 2, 3, 4):
-        for sign in (-1, 1):
-            rounds.append(
-                (f"tenth{sign * w:+d}", F.round(F.col("gc") * 10).cast("int"), F.round(F.col("pos_gc") * 10).cast("int") + sign * w)
-            )
-    rounds += [("type", F.lit(0), F.lit(0)), ("any", None, None)]
+    bins = library.select("chrom", "start", "end", "type", "gc", set_no).withColumn(
+        "bin_id", F.concat_ws(":", "chrom", "start", "end", "set_no")
+    )
+    asked = positives.select(id_col, F.col("type").alias("ptype"), F.col("gc").alias("pos_gc"), set_no).withColumn(
+        "_pid", F.concat_ws(":", F.col(id_col).cast("string"), "set_no")
+    )
+    cell = lambda c, k: F.round(F.col(c) * k).cast("int")
+    # (name, cells per unit of GC, distance in cells); no cells means GC is ignored.
+    plan = [(f"gc{d}", 100, d) for d in range(round(delta_gc * 100) + 1)]
+    plan += [(f"tenth{d}", 10, d) for d in (1, 2, 3, 4)] + [("type", None, 0), ("any", None, 0)]
     done = None
-    for i, (name, lib_key, pos_key) in enumerate(rounds):
-        same_type = lib_key is not None
-        left = want.withColumn("_k", pos_key if same_type else F.lit(0)).withColumn("_t", F.col("ptype") if same_type else F.lit(""))
-        right = lib.withColumn("_k", lib_key if same_type else F.lit(0)).withColumn("_t", F.col("type") if same_type else F.lit(""))
+    for i, (name, cells, away) in enumerate(plan):
+        want = asked if done is None else asked.join(done.select("_pid"), "_pid", "left_anti")
+        lib = bins if done is None else bins.join(done.select("bin_id"), "bin_id", "left_anti")
+        if done is not None and want.isEmpty():
+            break
+        kind = name != "any"
+        sides = F.array(*[cell("pos_gc", cells) + s * away for s in ((1, -1) if away else (1,))]) if cells else F.array(F.lit(0))
+        left = want.withColumn("_t", F.col("ptype") if kind else F.lit("")).withColumn("_k", F.explode(sides))
+        right = lib.withColumn("_t", F.col("type") if kind else F.lit("")).withColumn("_k", cell("gc", cells) if cells else F.lit(0))
         strata = ["set_no", "_t", "_k"]
         lr = _shuffled(left, strata, seed + i, "_pid", "_rank")
         rr = _shuffled(right, strata, seed + i, "bin_id", "_rank")
-        got = lr.join(rr.select(*strata, "_rank", "bin_id", "chrom", "start", "end", "type", "gc"), [*strata, "_rank"]).select(
-            "set_no", id_col, "_pid", "bin_id", "chrom", "start", "end", "type", "gc", "pos_gc", F.lit(name).alias("round")
-        )
-        from ..runtime import cut_lineage
-
-        got = cut_lineage(got)
+        pairs = lr.join(rr.select(*strata, "_rank", "bin_id", "chrom", "start", "end", "type", "gc"), [*strata, "_rank"])
+        # A positive that found a bin on both sides keeps one of them.
+        one = pairs.groupBy("set_no", id_col, "_pid", "pos_gc").agg(F.min(F.struct("bin_id", "chrom", "start", "end", "type", "gc")).alias("m"))
+        got = cut_lineage(one.select("set_no", id_col, "_pid", "pos_gc", "m.*", F.lit(name).alias("round")))
         done = got if done is None else done.unionByName(got)
-        want = cut_lineage(want.join(got.select("_pid"), "_pid", "left_anti"))
-        if want.isEmpty():
-            break
-        lib = lib.join(got.select("bin_id"), "bin_id", "left_anti")
     return done.drop("_pid", "bin_id")
 
 

@@ -139,38 +139,42 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return scanned.withColumn("below", F.col("upto") - F.col("n"))
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+def quantiles_of_counts(
+    ran: DataFrame, totals: DataFrame, keys: Sequence[str], value: str, probs: Column
 ) -> DataFrame:
-    """Linear-interpolation quantiles (R type 7) as rows ``(keys, prob, quantile)``.
+    """Linear-interpolation quantiles (R type 7) from running counts, rows ``(keys, prob, quantile)``.
 
-    The two order statistics around each target rank are read off the cumulative
-    counts of distinct values; no task holds the values of a whole key.
+    ``ran`` has ``below`` and ``upto`` per distinct value, ``totals`` one row per key with
+    ``_total``.  The two order statistics around each target rank are looked up by rank
+    bin: the targets are a few rows per key, and no task holds the values of a key.
     """
-    data = df.where(F.col(value).isNotNull())
-    counts = value_counts(data, keys, value)
-    totals = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-    joined = counts.join(totals, list(keys)) if keys else counts.crossJoin(F.broadcast(totals))
-    targets = F.array(
-        *[
-            F.struct(F.lit(float(p)).alias("prob"), ((F.col("_total") - 1) * F.lit(float(p))).alias("h"))
-            for p in probs
-        ]
-    )
-    def hits(t):
-        low, high = F.floor(t["h"]), F.ceil(t["h"])
-        return ((low >= F.col("below")) & (low < F.col("upto"))) | (
-            (high >= F.col("below")) & (high < F.col("upto"))
-        )
-    picked = joined.select(
-        *keys, value, "below", "upto", F.explode(F.filter(targets, hits)).alias("t")
-    )
-    low, high = F.floor("t.h"), F.ceil("t.h")
-    at = lambda rank: F.max(F.when((rank >= F.col("below")) & (rank < F.col("upto")), F.col(value)))
-    stats = picked.groupBy(*keys, F.col("t.prob").alias("prob"), F.col("t.h").alias("_h")).agg(
-        at(low).alias("_low"), at(high).alias("_high")
+    width = F.greatest(F.ceil(F.col("_total") / 4096), F.lit(1))
+    wanted = totals.select(*keys, width.alias("_width"), "_total", F.explode(probs).alias("prob"))
+    wanted = wanted.withColumn("_h", (F.col("_total") - 1) * F.col("prob"))
+    points = wanted.select(
+        *keys, "prob", "_h", F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_at"), "_width"
+    ).withColumn("_bin", F.floor(F.col("_at") / F.col("_width"))).drop("_width")
+    sized = totals.select(*keys, width.alias("_width"))
+    rows = ran.join(sized, list(keys)) if keys else ran.crossJoin(F.broadcast(sized))
+    rows = rows.select(
+        *keys, F.col(value).alias("_v"), "below", "upto",
+        F.explode(
+            F.sequence(F.floor(F.col("below") / F.col("_width")), F.floor((F.col("upto") - 1) / F.col("_width")))
+        ).alias("_bin"),
     )
+    hits = rows.join(points, [*keys, "_bin"]).where((F.col("_at") >= F.col("below")) & (F.col("_at") < F.col("upto")))
+    at = lambda rank: F.max(F.when(F.col("_at") == rank, F.col("_v")))
+    ends = hits.groupBy(*keys, "prob", "_h").agg(at(F.floor("_h")).alias("_lo"), at(F.ceil("_h")).alias("_hi"))
     frac = F.col("_h") - F.floor("_h")
-    return stats.select(
-        *keys, "prob", (F.col("_low") + frac * (F.col("_high") - F.col("_low"))).alias("quantile")
-    )
+    return ends.select(*keys, "prob", (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("quantile"))
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+) -> DataFrame:
+    """Exact type-7 quantiles of a column per key, see :func:`quantiles_of_counts`."""
+    keys = list(keys)
+    data = df.where(F.col(value).isNotNull())
+    totals = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    return quantiles_of_counts(value_counts(data, keys, value), totals, keys, value, wanted)

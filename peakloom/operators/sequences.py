@@ -93,9 +93,8 @@ def one_hot(df: DataFrame, size: int, seq_col: str = "seq") -> DataFrame:
     )
     wide = df.where(F.length(seq_col) > 0).withColumn("_w", F.explode(cut))
     letters = F.split(F.col("_w.s"), "")
-    hot = lambda s: F.array(
-        *[F.transform(s, lambda x, b=b: F.when(x == b, F.lit(1.0)).otherwise(F.lit(0.0)).cast("float")) for b in "ACGT"]
-    )
+    is_base = lambda b: lambda x: F.when(x == b, F.lit(1.0)).otherwise(F.lit(0.0)).cast("float")
+    hot = lambda s: F.array(*[F.transform(s, is_base(b)) for b in "ACGT"])
     rc = F.split(reverse_complement(F.col("_w.s")), "")
     return wide.select(*df.columns, F.col("_w.window").alias("window"), hot(letters).alias("forward"), hot(rc).alias("reverse"))
 
