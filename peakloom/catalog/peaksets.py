@@ -111,12 +111,6 @@ def _(v):
     return pk.sd_outlier_filter(_numbers(v), ["a", "b", "c"], 1.2).select("id")
 
 
-@query("sd_outlier_filter_pair", f"""SELECT id FROM (SELECT *, (a + d) / 2 AS m FROM ({NUM})) WHERE (CASE WHEN abs(a - m) > 0.5 * abs(a - d) / 2 THEN 1 ELSE 0 END)
-    + (CASE WHEN abs(d - m) > 0.5 * abs(a - d) / 2 THEN 1 ELSE 0 END) < 1""")
-def _(v):
-    return pk.sd_outlier_filter(_numbers(v), ["a", "d"], 0.5).select("id")
-
-
 @query("replicate_ratio_filter", f"""SELECT id, {r('(a + b + c) / 3')} AS mean FROM ({NUM}) WHERE b <> 0 AND c <> 0 AND a / b > 0.4 AND a / b < 2.5 AND a / c > 0.4 AND a / c < 2.5""")
 def _(v):
     return rounded(pk.replicate_ratio_filter(_numbers(v), ["a", "b", "c"]).select("id", "mean"), "mean")
@@ -141,7 +135,7 @@ def _(v):
 PV = "(o_orderkey * 7919 % 10007) / 10007.0::DOUBLE"
 REMIX = f"""o AS (SELECT o_orderkey AS id, {PV} AS p FROM orders WHERE o_orderpriority < '3'), x AS (SELECT {PV} AS p FROM orders WHERE o_orderpriority >= '3'),
     n AS (SELECT count(*) + 1 AS n FROM x), xc AS (SELECT p, sum(count(*)) OVER (ORDER BY p) AS le FROM x GROUP BY p),
-    rc AS (SELECT id, p, (coalesce(le, 0) + 1) / (SELECT n FROM n) AS rp FROM o ASOF LEFT JOIN xc ON o.p >= xc.p),
+    rc AS (SELECT id, o.p, (coalesce(le, 0) + 1) / (SELECT n FROM n) AS rp FROM o ASOF LEFT JOIN xc ON o.p >= xc.p),
     raw AS (SELECT *, rp * count(*) OVER () / count(*) OVER (ORDER BY rp RANGE UNBOUNDED PRECEDING) AS raw FROM rc)"""
 
 
@@ -169,8 +163,8 @@ EXTENDED = f"""p AS ({EXT}), j AS (SELECT a.chrom, {KEY.format('a')} AS ka, {KEY
         FROM p a JOIN p b ON a.chrom = b.chrom AND a.s < b.e AND b.s < a.e AND a."set" <> b."set"
             AND (a.s, a.e, a.cs, a.ce, a."set") < (b.s, b.e, b.cs, b.ce, b."set")),
     fit AS (SELECT * FROM j WHERE reason IS NOT NULL),
-    both AS (SELECT chrom, ka AS k, kb AS o, gap FROM fit UNION ALL SELECT chrom, kb, ka, gap FROM fit),
-    best AS (SELECT chrom, k, o FROM (SELECT *, row_number() OVER (PARTITION BY chrom, k ORDER BY gap, o) AS rn FROM both) WHERE rn = 1),
+    either AS (SELECT chrom, ka AS k, kb AS o, gap FROM fit UNION ALL SELECT chrom, kb, ka, gap FROM fit),
+    best AS (SELECT chrom, k, o FROM (SELECT *, row_number() OVER (PARTITION BY chrom, k ORDER BY gap, o) AS rn FROM either) WHERE rn = 1),
     mut AS (SELECT f.* FROM fit f JOIN best x ON x.chrom = f.chrom AND x.k = f.ka AND x.o = f.kb JOIN best y ON y.chrom = f.chrom AND y.k = f.kb AND y.o = f.ka)"""
 
 

@@ -31,7 +31,7 @@ def local_background(control: DataFrame, sizes: DataFrame, d: int = 200, slocal:
         )
         track = scale_track(pileup(spread), d / width).withColumn("track", F.lit(f"w{width}"))
         tracks = track if tracks is None else tracks.unionByName(track)
-    return combine_tracks(tracks, [f"w{w}" for w in (d, slocal, llocal)], "max")
+    return combine_tracks(cut_lineage(tracks), [f"w{w}" for w in (d, slocal, llocal)], "max")
 
 
 def call_peaks(
@@ -48,13 +48,13 @@ def call_peaks(
     genome = sizes.agg(F.sum("length").alias("_g"))
     facts = count(treat, "_t").crossJoin(F.broadcast(count(control, "_c"))).crossJoin(F.broadcast(genome))
     # Segments on the common breakpoints with both values.
-    pair = _pair_tracks(depth, lam).crossJoin(F.broadcast(facts))
+    pair = _pair_tracks(cut_lineage(depth), cut_lineage(lam)).crossJoin(F.broadcast(facts))
     base = F.col("_t") * d / F.col("_g")
     rate = F.greatest(F.col("control") * F.col("_t") / F.col("_c"), base)
-    scored = pair.where("treat > 0").select(*COORDS, "treat", rate.alias("lambda"))
+    scored = cut_lineage(pair.where("treat > 0").select(*COORDS, "treat", rate.alias("lambda")))
     # Few distinct (depth, rate) pairs stand for all segments.
     tested = p_adjust(scored.withColumn("p", poisson_sf(F.col("treat"), F.col("lambda"))), "p", "BH", name="q")
-    hot = tested.where(F.col("q") < q)
+    hot = cut_lineage(tested.where(F.col("q") < q))
     isles = cluster_intervals(hot, max_gap)
     top = F.max_by(F.floor((F.col("start") + F.col("end")) / 2), F.struct("treat", -F.col("start")))
     return (
@@ -142,6 +142,7 @@ def consensus_summits(
         )
         .groupBy(*area, "replicate", "summit").agg(F.min("peak_start").alias("peak_start"), F.min("peak_end").alias("peak_end"))
     )
+    spots = cut_lineage(spots)
     # A spread that no region exceeds, so that near centres share a bin or sit in the next one.
     width = SUMMIT_DISTANCE
     near = F.least((F.col("region_end") - F.col("region_start")) * SUMMIT_SHARE, F.lit(float(SUMMIT_DISTANCE)))
@@ -165,7 +166,7 @@ def consensus_summits(
         kept = choice.groupBy(*area, "centre").agg(F.min(F.struct("gap", "summit")).alias("m")).select(
             *area, "centre", F.col("m.summit").alias("summit")
         )
-        placed = mine.join(kept, [*area, "summit"], "left").withColumn("centre", F.coalesce("centre", "summit"))
+        placed = cut_lineage(mine.join(kept, [*area, "summit"], "left").withColumn("centre", F.coalesce("centre", "summit")))
         members = members.unionByName(placed)
         fresh = placed.where(F.col("centre") == F.col("summit")).select(*area, "centre")
         opened = opened.unionByName(fresh).distinct()
@@ -255,6 +256,7 @@ def split_complex_clusters(peaks: DataFrame, size: int = 200, members: int = 3)
     spots = clustered.join(big, ["chrom", "cluster_start", "cluster_end"]).groupBy("chrom", "cluster_start", "summit").agg(
         F.count(F.lit(1)).alias("copies")
     )
+    spots = cut_lineage(spots)
     keys = ["chrom", "cluster_start"]
     tile = F.floor(F.col("summit") / TILE)
     gaps = tiled_scan(spots, keys, [F.col("summit")], tile, preceding={"prev": F.col("summit")})
@@ -441,7 +443,7 @@ def merge_n_sets(peaks: DataFrame, overlap: float = 0.8) -> DataFrame:
         & ((F.col("prev_end") - F.col("start")) / F.least(size, before) >= overlap)
     )
     marked = prev.withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).drop("prev_start", "prev_end")
-    contigs = tiled_scan(marked, keys, order, tile, running={"contig": ("sum", F.col("_new"))}).drop("_new")
+    contigs = cut_lineage(tiled_scan(marked, keys, order, tile, running={"contig": ("sum", F.col("_new"))}).drop("_new"))
     rank = F.struct("start", "end", "set", "summit_offset")
     summit = F.col("start") + F.col("summit_offset")
     stats = contigs.groupBy("chrom", "contig").agg(

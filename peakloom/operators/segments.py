@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..runtime import cut_lineage
 from .overlap import COORDS, TILE, overlap_join
 from .scans import draw, exact_quantiles, tiled_scan
 
@@ -33,8 +34,9 @@ def _islands(df: DataFrame, keys: Sequence[str], slop: int = 0) -> DataFrame:
     borders = _depth(df, keys, F.lit(1).cast("long"), slop).where(
         (F.col("depth") == 0) | (F.col("depth") == F.col("step"))
     )
+    # Two rows per island, few beside the intervals, are written before they are paired up.
     paired = tiled_scan(
-        borders.select(*keys, "pos", "depth"), keys, [F.col("pos")], F.floor(F.col("pos") / TILE),
+        cut_lineage(borders.select(*keys, "pos", "depth")), keys, [F.col("pos")], F.floor(F.col("pos") / TILE),
         following={"stop": F.col("pos")},
     )
     return paired.where("depth > 0").select(

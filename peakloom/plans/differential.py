@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.normalise import cpm, fold_change, ratio_deciles, replicate_mean, rpkm
 from ..operators.overlap import count_in_regions
+from ..runtime import cut_lineage
 
 
 def counts_per_sample(peaks: DataFrame, reads: DataFrame, samples: Sequence[str]) -> DataFrame:
@@ -40,5 +41,6 @@ def differential_regions(
     wide = mean.groupBy("id", "chrom", "start", "end").agg(
         *[F.max(F.when(F.col("condition") == c, F.round("mean", 9))).alias(c) for c in (a, b)]
     )
-    changed = fold_change(wide, a, b).withColumn("ratio", F.round("ratio", 9))
+    # One row per region, written once: ranking reads it several times.
+    changed = cut_lineage(fold_change(wide, a, b).withColumn("ratio", F.round("ratio", 9)))
     return ratio_deciles(changed, "ratio", "id", groups)

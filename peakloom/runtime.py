@@ -44,6 +44,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor restarts from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and go on from the written table.
+
+    Later steps read the result instead of repeating what led to it, and a lost executor
+    costs its own tasks only.
+    """
+    path = fresh_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
