@@ -44,7 +44,7 @@ SPOT_SEQS = """SELECT seq_id, substr(seq, "start" + 1, "end" - "start") AS seq F
 BEST = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY round(score, 9) DESC, pos, strand) AS k FROM ({windows_sql(PFM, f'({SPOT_SEQS})')}) WHERE score > -30) WHERE k = 1"""
 TABLE = f"""m AS ({SMETH}), b AS ({BEST}), t AS (SELECT s.seq_id, s.chrom, s."start", s."end", (s.seq_id * 13 % 50)::DOUBLE AS cov_a, (s.seq_id * 29 % 70)::DOUBLE AS cov_b,
     (SELECT count(*) FROM m WHERE m.chrom = s.chrom AND prob > 0.5 AND m.pos - 1 >= s."start" AND m.pos - 1 < s."end") AS meth_sites, length(q.seq) - length(translate(q.seq, 'CG', '')) AS cg_count,
-    b.score AS site_score, s."start" + b.pos - 1 AS site_start, s."start" + b.pos - 1 + {len(PFM)} AS site_end, b.strand AS site_strand, b.kmer AS motif_seq,
+    round(b.score, 9) AS site_score, s."start" + b.pos - 1 AS site_start, s."start" + b.pos - 1 + {len(PFM)} AS site_end, b.strand AS site_strand, b.kmer AS motif_seq,
     CASE WHEN b.pos IS NOT NULL THEN (SELECT count(*) FROM m WHERE m.chrom = s.chrom AND prob > 0.5 AND m.pos - 1 >= s."start" + b.pos - 1 AND m.pos - 1 < s."start" + b.pos - 1 + {len(PFM)}) END AS meth_sites_in_motif
     FROM spots s JOIN ({SPOT_SEQS}) q USING (seq_id) LEFT JOIN b USING (seq_id))"""
 

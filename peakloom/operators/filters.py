@@ -76,8 +76,8 @@ def filter_chrom(df: DataFrame, include: Sequence[str] = (), exclude: Sequence[s
 
 def primary_transcripts(gff: DataFrame) -> DataFrame:
     """Genes, and the features that belong to the first isoform (``.1``)."""
-    owner = F.coalesce(F.element_at("attributes", "Parent"), F.element_at("attributes", "ID"))
-    return gff.where((F.col("type") == "gene") | owner.rlike(r"\.1(\D|$)"))
+    first = lambda key: F.coalesce(F.element_at("attributes", key).rlike(r"\.1(\D|$)"), F.lit(False))
+    return gff.where((F.col("type") == "gene") | first("ID") | first("Parent"))
 
 
 def derive_tss(genes: DataFrame, window: int | None = None) -> DataFrame:
