@@ -31,29 +31,39 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score", keys:
     return both.withColumn("fpr", F.col("fp") / F.col("N")).withColumn("tpr", F.col("tp") / F.col("P"))
 
 
-def auc(points: DataFrame, keys: Sequence[str] = (), digits: int | None = 3) -> DataFrame:
-    """Area under the ROC points by trapezoids."""
-    step = F.col("neg") / F.col("N") * (2 * F.col("tp") - F.col("pos")) / (2 * F.col("P"))
-    area = F.sum(step)
-    return points.groupBy(*keys).agg((area if digits is None else F.round(area, digits)).alias("auc"))
+def _area() -> Column:
+    return F.sum(F.col("neg") / F.col("N") * (2 * F.col("tp") - F.col("pos")) / (2 * F.col("P")))
 
 
-def partial_auc(points: DataFrame, limit: float, keys: Sequence[str] = (), digits: int | None = 3) -> DataFrame:
-    """Area up to ``limit`` false positives, with the true positive rate interpolated there."""
+def _early_area(limit: float) -> Column:
     f0, t0 = (F.col("fp") - F.col("neg")) / F.col("N"), (F.col("tp") - F.col("pos")) / F.col("P")
     f1, t1 = F.col("fpr"), F.col("tpr")
     stop = F.least(f1, F.lit(float(limit)))
     top = F.when(f1 > f0, t0 + (t1 - t0) * (stop - f0) / (f1 - f0)).otherwise(t1)
-    area = F.sum(F.when(f0 < limit, (stop - f0) * (t0 + top) / 2).otherwise(0.0))
-    return points.groupBy(*keys).agg(
-        (area if digits is None else F.round(area, digits)).alias("partial_auc")
-    )
+    return F.sum(F.when(f0 < limit, (stop - f0) * (t0 + top) / 2).otherwise(0.0))
+
+
+def _precision_area() -> Column:
+    return F.sum(F.col("tp") / (F.col("tp") + F.col("fp")) * F.col("pos") / F.col("P"))
+
+
+def _digits(value: Column, digits: int | None) -> Column:
+    return value if digits is None else F.round(value, digits)
+
+
+def auc(points: DataFrame, keys: Sequence[str] = (), digits: int | None = 3) -> DataFrame:
+    """Area under the ROC points by trapezoids."""
+    return points.groupBy(*keys).agg(_digits(_area(), digits).alias("auc"))
+
+
+def partial_auc(points: DataFrame, limit: float, keys: Sequence[str] = (), digits: int | None = 3) -> DataFrame:
+    """Area up to ``limit`` false positives, with the true positive rate interpolated there."""
+    return points.groupBy(*keys).agg(_digits(_early_area(limit), digits).alias("partial_auc"))
 
 
 def average_precision(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Precision averaged over the steps in recall."""
-    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    return points.groupBy(*keys).agg(F.sum(precision * F.col("pos") / F.col("P")).alias("average_precision"))
+    return points.groupBy(*keys).agg(_precision_area().alias("average_precision"))
 
 
 def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", keys: Sequence[str] = ()) -> DataFrame:
@@ -196,8 +206,6 @@ def rank_pair(df: DataFrame, label: str = "label", score: str = "score", id_col:
 
 def multi_model_roc(df: DataFrame, limit: float = 0.1, label: str = "label", score: str = "score", model: str = "model") -> DataFrame:
     """AUC, early AUC and average precision of every model in one table."""
-    points = roc_points(df, label, score, [model])
-    return (
-        auc(points, [model], None).join(partial_auc(points, limit, [model], None), model)
-        .join(average_precision(points, [model]), model)
+    return roc_points(df, label, score, [model]).groupBy(model).agg(
+        _area().alias("auc"), _early_area(limit).alias("partial_auc"), _precision_area().alias("average_precision")
     )

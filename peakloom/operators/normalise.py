@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tails import chi2_1_p, f_p, t_p
+from ..runtime import cut_lineage
 from .scans import exact_quantiles, row_index, tiled_scan, value_bucket, value_counts
 
 FLOOR = 0.01
@@ -104,7 +105,7 @@ def differential_counts(counts: DataFrame, group: str, first: str, second: str)
         F.when((s1 + s2) > 0, diff / F.sqrt(s1 + s2)).alias("t"), F.when((s1 + s2) > 0, nu).alias("df"),
     )
     p = F.when(F.col("t").isNotNull(), t_p(F.coalesce("t", F.lit(0.0)), F.coalesce("df", F.lit(1.0))))
-    tested = tested.withColumn("p_value", p)
+    tested = cut_lineage(tested.withColumn("p_value", p))
     return p_adjust(tested, "p_value", "BH", name="fdr")
 
 
@@ -235,10 +236,11 @@ def spearman_matrix(long: DataFrame, row: str, position: str, value: str) -> Dat
     data = long.where(F.col(value).isNotNull())
     left = data.select(row, F.col(position).alias("pos_a"), F.col(value).alias("va"))
     right = data.select(row, F.col(position).alias("pos_b"), F.col(value).alias("vb"))
-    pairs = left.join(right, row).where("pos_a < pos_b")
+    pairs = cut_lineage(left.join(right, row).where("pos_a < pos_b"))
     keys = ["pos_a", "pos_b"]
     ranked = average_rank(average_rank(pairs, keys, "va", "ra"), keys, "vb", "rb")
-    tested = correlation_test(ranked, "ra", "rb", keys, min_points=3)
+    # One row per pair of positions.
+    tested = cut_lineage(correlation_test(ranked, "ra", "rb", keys, min_points=3))
     return p_adjust(tested, "p_value", "BH")
 
 

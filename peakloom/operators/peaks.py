@@ -51,9 +51,9 @@ def call_peaks(
     pair = _pair_tracks(cut_lineage(depth), cut_lineage(lam)).crossJoin(F.broadcast(facts))
     base = F.col("_t") * d / F.col("_g")
     rate = F.greatest(F.col("control") * F.col("_t") / F.col("_c"), base)
-    scored = cut_lineage(pair.where("treat > 0").select(*COORDS, "treat", rate.alias("lambda")))
-    # Few distinct (depth, rate) pairs stand for all segments.
-    tested = p_adjust(scored.withColumn("p", poisson_sf(F.col("treat"), F.col("lambda"))), "p", "BH", name="q")
+    scored = pair.where("treat > 0").select(*COORDS, "treat", rate.alias("lambda"))
+    scored = cut_lineage(scored.withColumn("p", poisson_sf(F.col("treat"), F.col("lambda"))))
+    tested = p_adjust(scored, "p", "BH", name="q")
     hot = cut_lineage(tested.where(F.col("q") < q))
     isles = cluster_intervals(hot, max_gap)
     top = F.max_by(F.floor((F.col("start") + F.col("end")) / 2), F.struct("treat", -F.col("start")))
@@ -308,7 +308,7 @@ def recalibrate_pvalues(orig: DataFrame, remixed: DataFrame, p: str = "p_value")
     total = remixed.agg((F.count(F.lit(1)) + 1).alias("_n"))
     joined = orig.join(ran.select(p, "_le"), p).crossJoin(F.broadcast(total))
     out = joined.withColumn("recal_p", (F.col("_le") + 1) / F.col("_n")).select(*orig.columns, "recal_p")
-    return p_adjust(out, "recal_p", "BH", name="recal_fdr")
+    return p_adjust(cut_lineage(out), "recal_p", "BH", name="recal_fdr")
 
 
 # --- merging peak sets -----------------------------------------------------

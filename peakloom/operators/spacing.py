@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tails import normal_p
+from ..runtime import cut_lineage
 from .normalise import p_adjust, prop_test
 from .overlap import overlap_join
 
@@ -207,6 +208,7 @@ def spacing_fc_z(counts: DataFrame, method: str = "median", keys: Sequence[str]
     tables here are as small as the distance range.
     """
     group = [*keys, "threshold"]
+    counts = cut_lineage(counts)
     span = counts.groupBy(*group).agg(F.min("space").alias("lo"), F.max("space").alias("hi"))
     if method == "median":
         mid = counts.groupBy(*group, "conf").agg(F.median("n").alias("u"))
@@ -264,7 +266,8 @@ def sliding_orientation_counts(pairs: DataFrame, width: int = 10, reach: int = 1
     of = lambda c: F.coalesce(F.sum(F.when(F.col("conf") == c, F.col("n"))), F.lit(0)).alias(c.lower())
     sums = covered.groupBy("d").agg(*[of(c) for c in ("DR12", "ER", "DR21", "IR")])
     grid = pairs.sparkSession.range(reach + 1).select(F.col("id").cast("int").alias("d"))
-    wide = grid.join(sums, "d", "left").na.fill(0)
+    # One row per distance: written, since both sides and the tests read it again.
+    wide = cut_lineage(grid.join(sums, "d", "left").na.fill(0))
     side = lambda name, a, b: wide.select(
         F.lit(name).alias("side"), F.col("d").alias("start"), (F.col("d") + width - 1).alias("end"),
         F.col(a).alias("same"), F.col(b).alias("opposite"),
