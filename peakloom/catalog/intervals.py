@@ -435,10 +435,9 @@ WIDE = f"""SELECT a.id, count(b.name) FILTER (WHERE sample = 's0') AS s0, count(
 
 
 def _wide(v):
+    one = lambda s: (F.col("sample") == s).cast("long")
     p = v.peaks.select("id", *ov.COORDS)
-    for s in ("s0", "s1", "s2"):
-        p = ov.count_in_regions(p, v.reads.where(F.col("sample") == s), s)
-    return p.select("id", "s0", "s1", "s2")
+    return ov.count_many_in_regions(p, v.reads, {s: one(s) for s in ("s0", "s1", "s2")}).select("id", "s0", "s1", "s2")
 
 
 @query("filter_height", f"""SELECT * FROM ({WIDE}) WHERE s0 > 0 AND s1 > 0 AND s2 > 0""")

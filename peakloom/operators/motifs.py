@@ -7,13 +7,16 @@ rows spell the k-mers of ``positions`` four at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.codes import CODES, slices
+from ..runtime import cut_lineage
+
 BASES = "ACGT"
 #: Score of a window with unknown bases, and of a sequence shorter than the motif.
 UNKNOWN_SCORE, SHORT_SCORE = -999.0, -66.0
@@ -126,28 +129,10 @@ def _window_scores(codes: np.ndarray, model: Model) -> np.ndarray:
     return total
 
 
-_CODES = np.full(256, 4, np.uint8)
-for _i, _b in enumerate(BASES):
-    _CODES[ord(_b)] = _CODES[ord(_b.lower())] = _i
-
-
-def _slices(batch: pa.RecordBatch, bases: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, start offsets, bytes) of runs of sequences of about ``bases`` letters."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
-    text = batch.column(1).cast(pa.large_binary())
-    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
-    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
-    at = 0
-    while at < len(ids):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + bases, "right")) - 1)
-        yield ids[at:to], offsets[at:to + 1] - offsets[at], data[offsets[at]:offsets[to]]
-        at = to
-
-
 def _scan_batches(batches, models, threshold):
     for batch in batches:
-        for ids, offsets, data in _slices(batch):
-            codes, ends = _CODES[data], offsets[1:]
+        for ids, offsets, data in slices(batch):
+            codes, ends = CODES[data], offsets[1:]
             owner = np.repeat(np.arange(len(ids)), np.diff(offsets))
             for model in models:
                 size = model.length
@@ -300,7 +285,8 @@ def scan_score_counts(
     for i in range(0, len(models), BATCH):
         part = source.mapInArrow(run(list(models[i:i + BATCH])), "motif_id string, strand string, score double, n long")
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("motif_id", "strand", "score").agg(F.sum("n").alias("n"))
+    # Distinct scores are few beside the windows and every consumer reads them several times.
+    return cut_lineage(out.groupBy("motif_id", "strand", "score").agg(F.sum("n").alias("n")))
 
 
 def best_site(sites: DataFrame, keys: Sequence[str] = ("motif_id", "seq_id")) -> DataFrame:

@@ -94,40 +94,33 @@ def overlap_join(
     )
 
 
-def _edge_counts(b: DataFrame, keys: Sequence[str], weight: Column | None) -> DataFrame:
-    """Weight that starts and ends at each position."""
-    w = F.lit(1).cast("long") if weight is None else weight
-    edges = b.select(
-        *keys,
+def count_many_in_regions(
+    regions: DataFrame, reads: DataFrame, weights: Mapping[str, Column], keys: Sequence[str] = ("chrom",)
+) -> DataFrame:
+    """Add, for each named weight, the total weight of the reads that overlap each region.
+
+    One pass serves all weights, e.g. one per sample.  ``keys`` are the columns both sides
+    must agree on.  Reads are reduced to positions first, so equal ones collapse before
+    the shuffle.  Each distinct region adds two rows that read off the running totals:
+    one before everything at its end, one after everything at its start.
+    """
+    keys, names = list(keys), list(weights)
+    place = [*keys, "start", "end"]
+    edges = reads.select(
+        *keys, *[weights[n].alias(f"_w{i}") for i, n in enumerate(names)],
         F.explode(
             F.array(
-                F.struct(F.col("start").alias("pos"), w.alias("opens"), (w * 0).alias("closes")),
-                F.struct(F.col("end").alias("pos"), (w * 0).alias("opens"), w.alias("closes")),
+                F.struct(F.col("start").alias("pos"), F.lit(True).alias("opens")),
+                F.struct(F.col("end").alias("pos"), F.lit(False).alias("opens")),
             )
         ).alias("e"),
     )
-    return edges.groupBy(*keys, F.col("e.pos").alias("pos")).agg(
-        F.sum("e.opens").alias("opens"), F.sum("e.closes").alias("closes")
-    )
-
-
-def count_in_regions(
-    regions: DataFrame,
-    reads: DataFrame,
-    name: str = "n",
-    weight: Column | None = None,
-    keys: Sequence[str] = ("chrom",),
-) -> DataFrame:
-    """Add the number (or weight) of reads that overlap each region; zeros are kept.
-
-    ``keys`` are the columns both sides must agree on, e.g. ``sample`` and ``chrom``.
-    Reads are reduced to positions first.  Each distinct region adds two rows that read
-    off the running counts: one before everything at its end, one after everything at
-    its start.
-    """
-    keys = list(keys)
-    place = [*keys, "start", "end"]
-    edges = _edge_counts(reads, keys, weight).withColumn("_rank", F.lit(1))
+    edges = edges.groupBy(*keys, F.col("e.pos").alias("pos")).agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("e.opens") == opens, F.col(f"_w{i}"))), F.lit(0)).alias(f"_{side}{i}")
+            for i in range(len(names)) for side, opens in (("in", True), ("out", False))
+        ]
+    ).withColumn("_rank", F.lit(1))
     asked = regions.select(*place).distinct().select(
         *place,
         F.explode(
@@ -137,17 +130,31 @@ def count_in_regions(
             )
         ).alias("q"),
     ).select(*place, "q.pos", "q._rank")
+    # What a region needs at its end is what has started, at its start what has ended.
     counted = tiled_scan(
         edges.unionByName(asked, allowMissingColumns=True),
         keys,
         [F.col("pos"), F.col("_rank")],
         F.floor(F.col("pos") / TILE),
-        running={"_begun": ("sum", F.coalesce("opens", F.lit(0))), "_gone": ("sum", F.coalesce("closes", F.lit(0)))},
+        running={
+            f"_all_{side}{i}": ("sum", F.coalesce(f"_{side}{i}", F.lit(0))) for i in range(len(names)) for side in ("in", "out")
+        },
     ).where("_rank <> 1")
-    side = lambda rank, c: F.max(F.when(F.col("_rank") == rank, F.col(c)))
-    answers = counted.groupBy(*place).agg((side(0, "_begun") - side(2, "_gone")).alias("_n"))
-    value = F.col("_n").cast("long") if weight is None else F.col("_n")
-    return regions.join(answers, place).select(*regions.columns, value.alias(name))
+    at = lambda rank, c: F.max(F.when(F.col("_rank") == rank, F.col(c)))
+    answers = counted.groupBy(*place).agg(
+        *[(at(0, f"_all_in{i}") - at(2, f"_all_out{i}")).alias(f"_n{i}") for i in range(len(names))]
+    )
+    return regions.join(answers, place).select(
+        *regions.columns, *[F.col(f"_n{i}").alias(n) for i, n in enumerate(names)]
+    )
+
+
+def count_in_regions(
+    regions: DataFrame, reads: DataFrame, name: str = "n", weight: Column | None = None, keys: Sequence[str] = ("chrom",)
+) -> DataFrame:
+    """Add the number (or weight) of reads that overlap each region; zeros are kept."""
+    w = F.lit(1).cast("long") if weight is None else weight
+    return count_many_in_regions(regions, reads, {name: w}, keys)
 
 
 def overlap_semi(a: DataFrame, b: DataFrame) -> DataFrame:

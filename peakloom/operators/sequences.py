@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.codes import kmer_codes, slices
 from ..functions.dna import gc_content, reverse_complement
 
 #: Bases per genome row.
@@ -124,17 +127,36 @@ def kmer_enrichment(
     pos_n = totals.agg(
         F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("pos_n"), F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("neg_n")
     )
-    tagged = df.withColumn("_id", F.struct(F.col(id_col), F.col(label)))
-    seen = None
-    for k in range(kmin, kmax + 1):
-        part = kmers(tagged, "_id", k).distinct()
-        seen = part if seen is None else seen.unionByName(part)
-    counts = seen.groupBy("kmer").agg(
-        F.count_if(F.col(f"_id.{label}") == 1).alias("pos"), F.count_if(F.col(f"_id.{label}") == 0).alias("neg")
-    ).crossJoin(F.broadcast(pos_n))
+    source = df.select(F.col(label).cast("long").alias("label"), "seq")
+
+    def count(batches):
+        for batch in batches:
+            for labels, offsets, data in slices(batch):
+                for k in range(kmin, kmax + 1):
+                    owner, code = kmer_codes(data, offsets, k)
+                    # each k-mer once per sequence, then sequences per k-mer and label
+                    order = np.lexsort((code, owner))
+                    owner, code = owner[order], code[order]
+                    fresh = np.ones(len(code), bool)
+                    fresh[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
+                    hit = labels[owner[fresh]] == 1
+                    words, at = np.unique(code[fresh], return_inverse=True)
+                    pos = np.bincount(at, hit, len(words)).astype(np.int64)
+                    neg = np.bincount(at, ~hit, len(words)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(words), k, np.int32)), pa.array(words), pa.array(pos), pa.array(neg)],
+                        names=["k", "code", "pos", "neg"],
+                    )
+
+    seen = source.mapInArrow(count, "k int, code long, pos long, neg long")
+    counts = seen.groupBy("k", "code").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).crossJoin(F.broadcast(pos_n))
+    # a base-4 number reads as letters after conversion to that base
+    digits = F.lpad(F.conv(F.col("code").cast("string"), 10, 4), F.col("k"), F.lit("0"))
+    letters = F.translate(digits, "0123", "ACGT")
     share = ((F.col("pos") + 1) / (F.col("pos_n") + 1)) / ((F.col("neg") + 1) / (F.col("neg_n") + 1))
-    scored = counts.select("kmer", "pos", "neg", F.round(F.log2(share), 9).alias("enrichment"))
-    return scored.orderBy(F.desc("enrichment"), F.desc("pos"), "kmer").limit(top)
+    scored = counts.select("k", "code", "pos", "neg", F.round(F.log2(share), 9).alias("enrichment"))
+    best = scored.orderBy(F.desc("enrichment"), F.desc("pos"), "k", "code").limit(top)
+    return best.select(letters.alias("kmer"), "pos", "neg", "enrichment")
 
 
 def kmer_score_sequences(sequences: DataFrame, hits: DataFrame, id_col: str, method: str = "SUM") -> DataFrame:

@@ -7,14 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.normalise import cpm, fold_change, ratio_deciles, replicate_mean, rpkm
-from ..operators.overlap import count_in_regions
+from ..operators.overlap import count_many_in_regions
 from ..runtime import cut_lineage
 
 
 def counts_per_sample(peaks: DataFrame, reads: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Long ``(peak columns, sample, count)`` with zeros, all samples in one pass over the reads."""
-    grid = peaks.withColumn("sample", F.explode(F.array(*[F.lit(s) for s in samples])))
-    return count_in_regions(grid, reads, "count", keys=["sample", "chrom"])
+    ones = {f"_s{i}": (F.col("sample") == s).cast("long") for i, s in enumerate(samples)}
+    wide = count_many_in_regions(peaks, reads, ones)
+    cells = F.array(*[F.struct(F.lit(s).alias("sample"), F.col(f"_s{i}").alias("count")) for i, s in enumerate(samples)])
+    return wide.select(*peaks.columns, F.explode(cells).alias("c")).select(*peaks.columns, "c.sample", "c.count")
 
 
 def with_condition(df: DataFrame, conditions: Mapping[str, Sequence[str]]) -> DataFrame:
