@@ -202,13 +202,16 @@ def _(v):
     )
 
 
+SAMPLES = ["s0", "s1", "s2", "s3", "s4", "s5"]
+
+
 def _tracks(v):
     keys = ["sample", "chrom"]
-    return sg.pileup(v.reads.where(F.col("sample").isin("s0", "s1", "s2")), keys=keys).withColumnRenamed("sample", "track")
+    return sg.pileup(v.reads, keys=keys).withColumnRenamed("sample", "track")
 
 
-COMBINED = """WITH e AS (SELECT sample, chrom, "start" AS pos, 1 AS step FROM reads WHERE sample IN ('s0', 's1', 's2')
-    UNION ALL SELECT sample, chrom, "end", -1 FROM reads WHERE sample IN ('s0', 's1', 's2')),
+COMBINED = """WITH e AS (SELECT sample, chrom, "start" AS pos, 1 AS step FROM reads
+    UNION ALL SELECT sample, chrom, "end", -1 FROM reads),
     st AS (SELECT sample, chrom, pos, sum(step)::BIGINT AS step FROM e GROUP BY 1, 2, 3 HAVING sum(step) <> 0),
     pts AS (SELECT DISTINCT chrom, pos FROM st),
     lv AS (SELECT p.chrom, p.pos, s.sample, coalesce(t.step, 0) AS step FROM pts p CROSS JOIN (SELECT DISTINCT sample FROM st) s
@@ -220,13 +223,13 @@ COMBINED = """WITH e AS (SELECT sample, chrom, "start" AS pos, 1 AS step FROM re
 @query("combine_tracks_mean", COMBINED + f""" SELECT chrom, "start", "end", {r('m')} AS value FROM (
     SELECT chrom, pos AS "start", lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS "end", m FROM comb) WHERE "end" IS NOT NULL""")
 def _(v):
-    return rounded(sg.combine_tracks(_tracks(v), ["s0", "s1", "s2"], "mean"), "value")
+    return rounded(sg.combine_tracks(_tracks(v), SAMPLES, "mean"), "value")
 
 
 @query("combine_tracks_max", COMBINED + """ SELECT chrom, "start", "end", x::DOUBLE AS value FROM (
     SELECT chrom, pos AS "start", lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS "end", x FROM comb) WHERE "end" IS NOT NULL""")
 def _(v):
-    return sg.combine_tracks(_tracks(v), ["s0", "s1", "s2"], "max")
+    return sg.combine_tracks(_tracks(v), SAMPLES, "max")
 
 
 @query("scale_track", f"""SELECT chrom, "start", "end", {r('value * 2.5')} AS value FROM signal""")

@@ -53,11 +53,14 @@ def _(v):
     return pk.call_peaks(_part(v, TREAT), _part(v, CONTROL), v.sizes, q=0.05, min_len=50)
 
 
-@query("filter_vs_control", f"""WITH d AS ({DEPTH}), t AS (SELECT chrom, "start", "end", value FROM d WHERE track = 's0' AND value > 0), c AS (SELECT chrom, "start", "end", value FROM d WHERE track = 's3' AND value > 0),
+GROUPED = DEPTH.replace("FROM reads", "FROM (SELECT * REPLACE (CASE WHEN sample < 's3' THEN 't' ELSE 'c' END AS sample) FROM reads)")
+
+
+@query("filter_vs_control", f"""WITH d AS ({GROUPED}), t AS (SELECT * FROM d WHERE track = 't' AND value > 0), c AS (SELECT * FROM d WHERE track = 'c' AND value > 0),
     a AS (SELECT a.id, max(b.value) AS mx, avg(b.value) AS mn FROM peaks a JOIN t b ON {OV} GROUP BY 1), k AS (SELECT a.id, max(b.value) AS mx, avg(b.value) AS mn FROM peaks a JOIN c b ON {OV} GROUP BY 1)
     SELECT p.id FROM peaks p LEFT JOIN a USING (id) LEFT JOIN k USING (id) WHERE coalesce(k.mx, 0) * 1.5 < coalesce(a.mx, 0) AND coalesce(k.mn, 0) * 1.5 < coalesce(a.mn, 0)""")
 def _(v):
-    out = pk.filter_vs_control(v.peaks.select("id", *COORDS), sg.pileup(_part(v, ["s0"])), sg.pileup(_part(v, ["s3"])), 1.5)
+    out = pk.filter_vs_control(v.peaks.select("id", *COORDS), sg.pileup(_part(v, TREAT)), sg.pileup(_part(v, CONTROL)), 1.5)
     return out.select("id")
 
 

@@ -18,8 +18,6 @@ from .sequences import extract_sequences, with_gc
 
 #: Annotation types in the order in which composite types give one up.
 TYPE_ORDER = ["intergenic", "3UTR", "5UTR", "exon", "intron", "promoter"]
-#: Fixed value: largest set taken unsorted.
-MAX_UNSORTED = 15000
 
 
 def _shuffled(df: DataFrame, keys: Sequence[str], seed: int, id_col: str, name: str) -> DataFrame:

@@ -200,11 +200,16 @@ def random_windows(draws: DataFrame, sizes: DataFrame, length: int, seed: int, m
         draws.select("id").crossJoin(F.broadcast(total))
         .select("id", F.pmod(draw(seed, F.col("id")), F.col("_total")).alias("spot"))
     )
-    lanes = laid.select("chrom", (F.col("upto") - F.col("room")).alias("lane_start"), "upto")
-    # One row per chromosome on the right side.
-    placed = spots.join(
-        F.broadcast(lanes), (F.col("spot") >= F.col("lane_start")) & (F.col("spot") < F.col("upto"))
-    ).select("chrom", (F.col("spot") - F.col("lane_start")).alias("start"))
+    # Each draw is a point on the chromosomes laid end to end; the contig list may be long,
+    # so it is met by bins and not broadcast.
+    axis = F.lit("genome").alias("chrom")
+    lanes = laid.select(
+        axis, (F.col("upto") - F.col("room")).alias("start"), F.col("upto").alias("end"), F.col("chrom").alias("lane")
+    )
+    points = spots.select(axis, F.col("spot").alias("start"), (F.col("spot") + 1).alias("end"))
+    placed = overlap_join(points, lanes, bin_width=1 << 20).select(
+        F.col("b_lane").alias("chrom"), (F.col("start") - F.col("b_start")).alias("start")
+    )
     windows = placed.withColumn("end", F.col("start") + length)
     return merge_intervals(windows) if merge else windows
 

@@ -34,7 +34,6 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = tempfile.mkdtemp(prefix="peakloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
