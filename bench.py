@@ -1,6 +1,6 @@
 """Time the headline queries and print one JSON line.
 
-Reads ``BENCH_SF_DIR``, ``BENCH_CPUS`` and ``BENCH_RUNS`` (best of, default 2).
+Reads ``BENCH_SF_DIR``, ``BENCH_CPUS`` and ``BENCH_RUNS`` (best of, default 1).
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = configure(
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")

@@ -14,7 +14,8 @@ from ..runtime import cut_lineage
 def counts_per_sample(peaks: DataFrame, reads: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Long ``(peak columns, sample, count)`` with zeros, all samples in one pass over the reads."""
     ones = {f"_s{i}": (F.col("sample") == s).cast("long") for i, s in enumerate(samples)}
-    wide = count_many_in_regions(peaks, reads, ones)
+    # One row per region: written, since the totals and the rows both read it.
+    wide = cut_lineage(count_many_in_regions(peaks, reads, ones))
     cells = F.array(*[F.struct(F.lit(s).alias("sample"), F.col(f"_s{i}").alias("count")) for i, s in enumerate(samples)])
     return wide.select(*peaks.columns, F.explode(cells).alias("c")).select(*peaks.columns, "c.sample", "c.count")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.motifs import Model, scan_pwm
 from ..operators.spacing import collapse_ar, spacing_counts, spacing_fc_z, spacing_homotypic, spacing_pvalues
+from ..runtime import cut_lineage
 
 
 def spacing_enrichment(
@@ -19,7 +20,8 @@ def spacing_enrichment(
     Sites are filtered at the lowest threshold inside the scan, so only hits are paired;
     pairs meet by sequence and position bin, and everything after the counts is small.
     """
-    sites = scan_pwm(sequences, [model], min(thresholds), with_kmer=False)
+    # The hits meet themselves, so they are written once and not scanned for twice.
+    sites = cut_lineage(scan_pwm(sequences, [model], min(thresholds), with_kmer=False))
     pairs = spacing_homotypic(sites, model.length, smin, smax, offset_left, offset_right)
     counts = spacing_counts(pairs, thresholds)
     if model.symmetric:
