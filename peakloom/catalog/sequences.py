@@ -73,7 +73,7 @@ KMERS = """SELECT seq_id, label, least(w, reverse(translate(w, 'ACGT', 'TGCA')))
     SELECT kmer, count(DISTINCT seq_id) FILTER (WHERE label = 1) AS pos, count(DISTINCT seq_id) FILTER (WHERE label = 0) AS neg FROM ({KMERS}) GROUP BY 1), t
     ORDER BY 4 DESC, 2 DESC, 1 LIMIT 50""")
 def _(v):
-    return sq.kmer_enrichment(v.labelled, "seq_id", "label", 6, 6, 50)
+    return sq.kmer_enrichment(v.labelled, "label", 6, 6, 50)
 
 
 @query("kmer_score_sequences", f"""SELECT seq_id, {r('coalesce(s, 0)')} AS kmer_score FROM seqs LEFT JOIN (

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.codes import kmer_codes, slices
 from ..functions.dna import gc_content, reverse_complement
@@ -116,12 +114,12 @@ def kmers(df: DataFrame, id_col: str, k: int, piece: int = 256) -> DataFrame:
 
 
 def kmer_enrichment(
-    df: DataFrame, id_col: str, label: str, kmin: int, kmax: int, top: int = 5
+    df: DataFrame, label: str, kmin: int, kmax: int, top: int = 5
 ) -> DataFrame:
     """The ``top`` k-mers whose share of positive sequences most exceeds that of negatives.
 
-    Counted by sequences that hold the k-mer; score is log2 of the ratio of shares with
-    a pseudo-count of one sequence.
+    One row of ``df`` is one sequence.  Counted by sequences that hold the k-mer; score is
+    log2 of the ratio of shares with a pseudo-count of one sequence.  k is at most 31.
     """
     totals = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     pos_n = totals.agg(
