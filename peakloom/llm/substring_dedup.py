@@ -34,9 +34,9 @@ from .words import chunks, grams, mix, text_buffers, words_of
 
 WINDOW = 20
 #: Words of the short runs among which a window's minimiser is chosen.
-SHORT = 6
+SHORT = 5
 #: Bytes of text whose windows a task settles together.
-FLUSH = 12 << 20
+FLUSH = 5 << 20
 #: Source spans asked of one row of a text; more are spread over several.
 ASKED = 4096
 _BYTES = 6

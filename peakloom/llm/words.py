@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 #: Bytes between words: white space, or every ASCII byte that is neither a digit nor a letter.
 SPACE = np.zeros(256, bool)
