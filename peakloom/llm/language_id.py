@@ -181,7 +181,7 @@ def predict(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = _Parser(key, shared.value)
-        for batch in chunks(batches, 8 << 20):
+        for batch in chunks(batches, 4 << 20):
             lang, score, phrases, letters = zip(*parse(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(phrases, pa.int64()), pa.array(letters, pa.int64())],
@@ -197,7 +197,7 @@ def in_some_language(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = _Parser(key, shared.value)
-        for batch in chunks(batches, 8 << 20):
+        for batch in chunks(batches, 4 << 20):
             lang = [x[0] for x in parse(batch.column("text").to_pylist())]
             batch = batch.set_column(batch.schema.get_field_index("lang"), "lang", pa.array(lang, pa.string()).cast(batch.schema.field("lang").type))
             yield batch.filter(pa.array([x != UNDECIDED for x in lang]))

@@ -119,7 +119,7 @@ def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
     whole segments within the limit, in characters and tokens.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 8 << 20):
+        for batch in chunks(batches, 4 << 20):
             total, chars, tokens = [], [], []
             for ends, sums in _tables(path, batch.column("text").to_pylist()):
                 fit = int(np.searchsorted(sums, limit, "right")) - 1
