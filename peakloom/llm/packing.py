@@ -11,6 +11,8 @@ null ids stay null.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,39 +22,58 @@ from pyspark.sql import DataFrame, functions as F
 
 from .words import chunks
 
-#: Words kept with their ids in a worker; later ones are encoded once a batch.
-REMEMBERED = 300_000
+#: Words kept with their ids in a worker (about 200 bytes each); later ones are encoded once a batch.
+REMEMBERED = 800_000
+#: A point or comma after an ASCII letter or digit, at the end of a word: a word of its own to the vocabulary.
+_STOPPED = re.compile(rb"[0-9a-z][.,]\Z")
 _loaded: dict[str, tuple] = {}
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class _Known(dict):
+    """Ids of words; those asked for in vain are noted in ``new`` and give None."""
+
+    new: dict[bytes, None]
+
+    def __missing__(self, word: bytes) -> None:
+        self.new[word] = None
+
+
 def _tokenizer(path: str):
     if path not in _loaded:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
+        _loaded[path] = (Tokenizer.from_file(path), _Known())
     return _loaded[path]
 
 
 def encode(path: str, texts: list[bytes]) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
-    The vocabulary drops white space and no token reaches over it, so words are encoded once and
-    their ids strung together.
+    The vocabulary drops white space and letter case and no token reaches over white space, so words
+    are encoded once and their ids strung together.
     """
     tokenizer, known = _tokenizer(path)
-    words = [t.split() for t in texts]
-    new = list({w for ws in words for w in ws if w not in known})
-    fresh = {}
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for w, e in zip(part, tokenizer.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)):
+    known.new = {}
+    words = [t.lower().split() for t in texts]
+    found = [list(map(known.__getitem__, ws)) for ws in words]
+    new = known.new
+    stems = {w[:-1] if _STOPPED.search(w, len(w) - 2) else w for w in new} | {b".", b","}
+    fresh = {w: known[w] for w in stems if w in known}
+    todo = [w for w in stems if w not in fresh]
+    for at in range(0, len(todo), 4096):
+        part = todo[at : at + 4096]
+        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
             fresh[w] = np.array(e.ids, "<u4").tobytes()
+    for w in new:
+        if w not in fresh:
+            fresh[w] = fresh[w[:-1]] + fresh[w[-1:]]
+    out = [b"".join([fresh[w] if i is None else i for i, w in zip(ids, ws)]) if None in ids else b"".join(ids) for ids, ws in zip(found, words)]
     if len(known) < REMEMBERED:
         known.update(fresh)
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
-    return [b"".join([known[w] if w in known else fresh[w] for w in ws]) for ws in words]
+    return out
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:
