@@ -45,28 +45,50 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), _Known())
+        tokenizer = Tokenizer.from_file(path)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        _loaded[path] = (tokenizer, _Known(), ends)
     return _loaded[path]
 
 
+def _encode_words(tokenizer, ends: np.ndarray, words: list[bytes]) -> dict[bytes, bytes]:
+    """Ids of words.  A word of letters is one run to the vocabulary and has one token that ends it, so
+    many are encoded as one text and told apart by these; other words are encoded one by one."""
+    out: dict[bytes, bytes] = {}
+    letters, others = [], []
+    for w in words:
+        (letters if w.decode("utf-8").isalpha() else others).append(w)
+    for at in range(0, len(letters), 256):
+        part = letters[at : at + 256]
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) != len(part):
+            others += part
+            continue
+        held, cuts = ids.tobytes(), (cuts * 4).tolist()
+        out.update(zip(part, [held[a:z] for a, z in zip([0, *cuts], cuts)]))
+    for at in range(0, len(others), 4096):
+        part = others[at : at + 4096]
+        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
+            out[w] = np.array(e.ids, "<u4").tobytes()
+    return out
+
+
 def encode(path: str, texts: list[bytes]) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
     The vocabulary drops white space and letter case and no token reaches over white space, so words
     are encoded once and their ids strung together.
     """
-    tokenizer, known = _tokenizer(path)
+    tokenizer, known, ends = _tokenizer(path)
     known.new = {}
     words = [t.lower().split() for t in texts]
     found = [list(map(known.__getitem__, ws)) for ws in words]
     new = known.new
     stems = {w[:-1] if _STOPPED.search(w, len(w) - 2) else w for w in new} | {b".", b","}
     fresh = {w: known[w] for w in stems if w in known}
-    todo = [w for w in stems if w not in fresh]
-    for at in range(0, len(todo), 4096):
-        part = todo[at : at + 4096]
-        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-            fresh[w] = np.array(e.ids, "<u4").tobytes()
+    fresh |= _encode_words(tokenizer, ends, [w for w in stems if w not in fresh])
     for w in new:
         if w not in fresh:
             fresh[w] = fresh[w[:-1]] + fresh[w[-1:]]
