@@ -39,7 +39,7 @@ BITS = 1 << 28
 BLOCK_BITS = 1 << 16
 BASE = math.sqrt(2.0)
 WEIGHT = 2000.0
-HEAD = 1 << 18
+HEAD = 1 << 17
 #: Longer words are never in the head, which bounds it in bytes.
 HEAD_CHARS = 64
 #: Tokens whose n-grams a task counts together before they are dealt out.
@@ -52,9 +52,9 @@ _END = np.uint64(0x2545F4914F6CDD1D)
 _BEGIN = np.uint64(0x27D4EB2F165667C5)
 
 
-def _token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _token_hashes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts, the end of each included, and the first token of each text."""
-    words = words_of(batch, lower=True)
+    words = words_of(batch, lower=True, column=column)
     n = np.diff(words.bounds)
     first = np.cumsum(n + 1) - (n + 1)
     out = np.full(int(n.sum() + len(n)), _END, np.uint64)
@@ -64,12 +64,17 @@ def _token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _grams(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unigrams, bigrams, and the unigrams of the words before, as numbers of one space."""
+def _unigrams(tokens: np.ndarray) -> np.ndarray:
+    """Numbers of unigrams, in one space with those of bigrams."""
+    return mix(tokens ^ np.uint64(0xA0761D6478BD642F))
+
+
+def _bigrams(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Number of the bigram that ends with each token; the first of a text has the begin before it."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[first] = _BEGIN
-    return mix(tokens ^ np.uint64(0xA0761D6478BD642F)), mix(before * np.uint64(0xE7037ED1A0B428DB) + tokens), mix(before ^ np.uint64(0xA0761D6478BD642F))
+    return mix(before * np.uint64(0xE7037ED1A0B428DB) + tokens)
 
 
 def _block(gram: np.ndarray, blocks: int) -> np.ndarray:
@@ -100,27 +105,33 @@ def levels(filter_bytes: np.ndarray, gram: np.ndarray, blocks: int, block_bits:
     return out
 
 
-def build_filter(train: DataFrame, bits: int = BITS, block_bits: int = BLOCK_BITS) -> np.ndarray:
-    """The filter as ``bits // 8`` bytes, from the texts of ``train``.
+def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS, block_bits: int = BLOCK_BITS) -> np.ndarray:
+    """The filter as ``bits // 8`` bytes, from the texts of ``train`` and the ``counts`` of their tokens.
 
-    Tasks count n-grams in flushes, the counts meet by block, and a block leaves the task that fills it
+    Tasks count bigrams in flushes, the counts meet by block, and a block leaves the task that fills it
     as bytes; the driver gets ``bits`` bits in all.
     """
     blocks = bits // block_bits
 
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, column="token"):
+            tokens, first = _token_hashes(batch, "token")
+            # A token as a text is that token and an end; the end itself is the end alone.
+            gram = _unigrams(tokens[first])
+            yield pa.RecordBatch.from_arrays([pa.array(_block(gram, blocks).astype(np.int32)), pa.array(gram.view(np.int64)), batch.column("c")], ["block", "gram", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for grams in zip(*held):
-                gram, n = np.unique(np.concatenate(grams), return_counts=True)
-                for a in range(0, len(gram), 100_000):
-                    g = gram[a : a + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(_block(g, blocks).astype(np.int32)), pa.array(g.view(np.int64)), pa.array(n[a : a + 100_000])], ["block", "gram", "n"])
+            gram, n = np.unique(np.concatenate(held), return_counts=True)
+            for a in range(0, len(gram), 100_000):
+                g = gram[a : a + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(_block(g, blocks).astype(np.int32)), pa.array(g.view(np.int64)), pa.array(n[a : a + 100_000])], ["block", "gram", "n"])
 
         for batch in chunks(batches):
             tokens, first = _token_hashes(batch)
-            held.append(_grams(tokens, first)[:2])
+            held.append(_bigrams(tokens, first))
             total += len(tokens)
             if total >= FLUSH:
                 yield from flush()
@@ -149,17 +160,32 @@ def build_filter(train: DataFrame, bits: int = BITS, block_bits: int = BLOCK_BIT
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["block", "bytes"])
 
     counted = train.select(F.col("text").cast("string")).mapInArrow(count, "block int, gram long, n long")
+    counted = counted.unionByName(counts.mapInArrow(known, "block int, gram long, n long"))
     kept = counted.repartition("block").groupBy("block", "gram").agg(F.sum("n").alias("n")).filter("n > 1")
     out = np.zeros(bits // 8, np.uint8)
-    for r in kept.mapInArrow(fill, "block int, bytes binary").collect():
-        at = r["block"] * block_bits // 8
-        out[at : at + block_bits // 8] = np.frombuffer(r["bytes"], np.uint8)
+    filled = kept.mapInArrow(fill, "block int, bytes binary").toArrow()
+    for block, held in zip(filled.column("block").to_pylist(), filled.column("bytes")):
+        at = block * block_bits // 8
+        out[at : at + block_bits // 8] = np.frombuffer(held.as_buffer(), np.uint8)
     return out
 
 
+def frequent(counts: DataFrame, head: int = HEAD) -> pa.Table:
+    """Tokens and counts of all tokens from some count on: at most ``head``, found by a histogram of levels."""
+    short = counts.filter(F.length("token") <= HEAD_CHARS)
+    level = F.floor(F.log("c") / F.lit(math.log(1.02))).alias("level")
+    left, least = head, None
+    for r in sorted(short.groupBy(level).agg(F.count("*").alias("n"), F.min("c").alias("c")).collect(), key=lambda r: -r["level"]):
+        left -= r["n"]
+        if left < 0:
+            break
+        least = r["c"]
+    return short.filter(F.col("c") >= F.lit(least)).toArrow() if least else short.limit(0).toArrow()
+
+
 def _tokens(text: bytes) -> list[bytes]:
     found = text.translate(_LOWER).split()
-    found.append(b"\n")
+    found.append(END.encode())
     return found
 
 
@@ -188,11 +214,10 @@ def count_words(train: DataFrame) -> DataFrame:
 def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame:
     """doc_id, known and logs: of its tokens, how many are counted, and the sum of log10(c + 1)."""
     spark = docs.sparkSession
-    top = counts.filter(F.length("token") <= HEAD_CHARS).orderBy(F.desc("c"), "token").limit(head)
-    shared = spark.sparkContext.broadcast({r["token"].encode(): r["c"] for r in top.collect()})
+    shared = spark.sparkContext.broadcast(frequent(counts, head))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = dict(zip(shared.value.column("token").cast(pa.binary()).to_pylist(), shared.value.column("c").to_pylist()))
         for batch in chunks(batches):
             which, token, times, logs, hits = [], [], [], [], []
             for d, text in enumerate(batch.column("text").to_pylist()):
@@ -222,10 +247,11 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
         F.sum(F.col("logs") + F.when(F.col("c").isNotNull(), F.col("n") * F.log10(F.col("c") + 1)).otherwise(0.0)).alias("logs"))
 
 
-def model_scores(docs: DataFrame, filter_bytes: np.ndarray, total: float, distinct: int, weight: float = WEIGHT, block_bits: int = BLOCK_BITS) -> DataFrame:
+def model_scores(docs: DataFrame, filter_bytes: np.ndarray, total: float, distinct: int, texts: int, weight: float = WEIGHT, block_bits: int = BLOCK_BITS) -> DataFrame:
     """doc_id, n_tokens and score: log10 of the model's probability of each text.
 
-    ``total`` is the sum of the unigrams' quantised counts, ``distinct`` their number.
+    ``total`` is the sum of the unigrams' quantised counts, ``distinct`` their number, ``texts`` that of the
+    training texts, as often as the begin of a text was seen.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
     blocks = len(filter_bytes) * 8 // block_bits
@@ -236,13 +262,15 @@ def model_scores(docs: DataFrame, filter_bytes: np.ndarray, total: float, distin
         held = shared.value
         for batch in chunks(batches):
             tokens, first = _token_hashes(batch)
-            one, two, before = _grams(tokens, first)
-            found = []
-            for grams in (one, two, before):
-                different, where = np.unique(grams, return_inverse=True)
-                found.append(levels(held, different, blocks, block_bits)[where])
-            alone = (low[found[0]] + 1) / (total + distinct + 1)
-            p = (low[found[1]] + weight * alone) / (high[np.maximum(found[2], found[1])] + weight)
+            different, where = np.unique(_unigrams(tokens), return_inverse=True)
+            one = levels(held, different, blocks, block_bits)[where]
+            two = levels(held, _bigrams(tokens, first), blocks, block_bits)
+            # What the word before was seen at most; never less than the bigram.
+            most = np.empty(len(tokens))
+            most[1:] = high[one[:-1]]
+            most[first] = texts
+            alone = (low[one] + 1) / (total + distinct + 1)
+            p = (low[two] + weight * alone) / (np.maximum(most, low[two]) + weight)
             n = np.diff(np.r_[first, len(tokens)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.add.reduceat(np.log10(p), first), pa.float64())], ["doc_id", "n_tokens", "score"])
@@ -260,9 +288,10 @@ def score(docs: DataFrame, held_out: Column, bits: int = BITS, head: int = HEAD,
     counts = cut_lineage(count_words(train))
     level = F.floor(F.log("c") / F.lit(math.log(BASE)) + 1e-9)
     rounded = F.when(F.col("c") > 1, F.pow(F.lit(BASE), level)).otherwise(0.0)
-    sizes = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(rounded).alias("s")).first()
+    texts = F.max(F.when(F.col("token") == END, F.col("c")))
+    sizes = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(rounded).alias("s"), texts.alias("texts")).first()
     total, distinct = sizes["n"] or 0, sizes["v"]
-    scored = model_scores(docs, build_filter(train, bits), sizes["s"] or 0.0, distinct, weight)
+    scored = model_scores(docs, build_filter(train, counts, bits), sizes["s"] or 0.0, distinct, sizes["texts"] or 0, weight)
     rows = scored.join(base_sums(docs, counts, head), "doc_id")
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total + distinct + 1))
     return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
