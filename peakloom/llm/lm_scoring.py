@@ -36,7 +36,7 @@ from .common import cut_lineage, one_per_id
 from .words import chunks, mix, words_of
 
 BITS = 1 << 28
-BLOCK_BITS = 1 << 16
+BLOCK_BITS = 1 << 16  # fixed: places in a block have 16 bits
 BASE = math.sqrt(2.0)
 WEIGHT = 2000.0
 HEAD = 1 << 17
@@ -78,40 +78,38 @@ def _bigrams(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _block(gram: np.ndarray, blocks: int) -> np.ndarray:
-    return (gram >> np.uint64(40)).astype(np.int64) % blocks
+    return (gram >> np.uint64(40)) & np.uint64(blocks - 1)
 
 
-def _bits(gram: np.ndarray, level: int | np.ndarray, blocks: int, block_bits: int) -> Iterator[np.ndarray]:
-    """Places in the filter of (gram, level)."""
-    spread = mix(gram + np.asarray(level).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-    at = _block(gram, blocks) * block_bits
-    for i in range(_PROBES):
-        yield at + ((spread >> np.uint64(16 * i)) & np.uint64(0xFFFF)).astype(np.int64) % block_bits
+def _spread(gram: np.ndarray, level: int | np.ndarray) -> np.ndarray:
+    """A number whose four parts of 16 bits are the places of (gram, level) in its block."""
+    return mix(gram + np.asarray(level).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
-def levels(filter_bytes: np.ndarray, gram: np.ndarray, blocks: int, block_bits: int) -> np.ndarray:
-    """Level of each n-gram by repeated probes."""
+def levels(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Level of each n-gram by repeated probes of the filter, given as 64-bit words."""
     out = np.zeros(len(gram), np.int64)
-    left = np.arange(len(gram))
+    left, here = np.arange(len(gram)), gram
+    base = _block(gram, len(held) * 64 // BLOCK_BITS) * np.uint64(BLOCK_BITS // 64)
     for level in range(1, _TOP_LEVEL + 1):
-        here = gram[left]
-        ok = np.ones(len(left), bool)
-        for at in _bits(here, level, blocks, block_bits):
-            ok &= (filter_bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        left = left[ok]
+        spread = _spread(here, level)
+        for i in range(_PROBES):
+            at = (spread >> np.uint64(16 * i)) & np.uint64(0xFFFF)
+            ok = np.flatnonzero((held[base + (at >> np.uint64(6))] >> (at & np.uint64(63))) & np.uint64(1))
+            left, here, base, spread = left[ok], here[ok], base[ok], spread[ok]
         if not len(left):
             break
         out[left] = level
     return out
 
 
-def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS, block_bits: int = BLOCK_BITS) -> np.ndarray:
-    """The filter as ``bits // 8`` bytes, from the texts of ``train`` and the ``counts`` of their tokens.
+def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The filter of ``bits`` bits (a power of two) as 64-bit words, from the texts of ``train`` and the ``counts`` of their tokens.
 
     Tasks count bigrams in flushes, the counts meet by block, and a block leaves the task that fills it
     as bytes; the driver gets ``bits`` bits in all.
     """
-    blocks = bits // block_bits
+    blocks = bits // BLOCK_BITS
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, column="token"):
@@ -148,12 +146,13 @@ def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS, block_bi
             which = np.repeat(np.arange(len(gram)), level)
             step = np.arange(len(which)) - np.repeat(np.cumsum(level) - level, level) + 1
             for b in np.unique(block).tolist():
-                parts.setdefault(b, np.zeros(block_bits // 8, np.uint8))
+                parts.setdefault(b, np.zeros(BLOCK_BITS // 8, np.uint8))
             owner = block[which]
             order = np.argsort(owner, kind="stable")
             cuts = np.flatnonzero(np.diff(owner[order], prepend=-1))
-            for at in _bits(gram[which], step, blocks, block_bits):
-                inside = (at % block_bits)[order]
+            spread = _spread(gram[which], step)[order]
+            for i in range(_PROBES):
+                inside = ((spread >> np.uint64(16 * i)) & np.uint64(0xFFFF)).astype(np.int64)
                 for a, z in zip(cuts, np.r_[cuts[1:], len(order)]):
                     x = inside[a:z]
                     np.bitwise_or.at(parts[int(owner[order[a]])], x >> 3, (1 << (x & 7)).astype(np.uint8))
@@ -163,11 +162,11 @@ def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS, block_bi
     counted = counted.unionByName(counts.mapInArrow(known, "block int, gram long, n long"))
     kept = counted.repartition("block").groupBy("block", "gram").agg(F.sum("n").alias("n")).filter("n > 1")
     out = np.zeros(bits // 8, np.uint8)
+    size = BLOCK_BITS // 8
     filled = kept.mapInArrow(fill, "block int, bytes binary").toArrow()
     for block, held in zip(filled.column("block").to_pylist(), filled.column("bytes")):
-        at = block * block_bits // 8
-        out[at : at + block_bits // 8] = np.frombuffer(held.as_buffer(), np.uint8)
-    return out
+        out[block * size : (block + 1) * size] = np.frombuffer(held.as_buffer(), np.uint8)
+    return out.view("<u8")
 
 
 def frequent(counts: DataFrame, head: int = HEAD) -> pa.Table:
@@ -247,14 +246,13 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
         F.sum(F.col("logs") + F.when(F.col("c").isNotNull(), F.col("n") * F.log10(F.col("c") + 1)).otherwise(0.0)).alias("logs"))
 
 
-def model_scores(docs: DataFrame, filter_bytes: np.ndarray, total: float, distinct: int, texts: int, weight: float = WEIGHT, block_bits: int = BLOCK_BITS) -> DataFrame:
+def model_scores(docs: DataFrame, filter_words: np.ndarray, total: float, distinct: int, texts: int, weight: float = WEIGHT) -> DataFrame:
     """doc_id, n_tokens and score: log10 of the model's probability of each text.
 
     ``total`` is the sum of the unigrams' quantised counts, ``distinct`` their number, ``texts`` that of the
     training texts, as often as the begin of a text was seen.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
-    blocks = len(filter_bytes) * 8 // block_bits
+    shared = docs.sparkSession.sparkContext.broadcast(filter_words)
     low = np.r_[0.0, BASE ** np.arange(1, _TOP_LEVEL + 2)]
     high = np.r_[BASE, BASE ** np.arange(2, _TOP_LEVEL + 3)]
 
@@ -263,8 +261,8 @@ def model_scores(docs: DataFrame, filter_bytes: np.ndarray, total: float, distin
         for batch in chunks(batches):
             tokens, first = _token_hashes(batch)
             different, where = np.unique(_unigrams(tokens), return_inverse=True)
-            one = levels(held, different, blocks, block_bits)[where]
-            two = levels(held, _bigrams(tokens, first), blocks, block_bits)
+            one = levels(held, different)[where]
+            two = levels(held, _bigrams(tokens, first))
             # What the word before was seen at most; never less than the bigram.
             most = np.empty(len(tokens))
             most[1:] = high[one[:-1]]
