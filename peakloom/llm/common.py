@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import cut_lineage, fresh_path
 
-__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "nested", "unnested", "with_fields"]
+__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "nested", "unnested", "with_fields"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,20 @@ def one_per_id(docs: DataFrame, *more: str) -> DataFrame:
     return best.select("doc_id", *(F.col("best")[c].alias(c) for c in columns))
 
 
+_held: dict = {}
+
+
+def in_worker(key, make):
+    """What ``make`` gives, kept in a worker process between tasks until another key is asked for.
+
+    Workers serve all stages of a session; only the tables of the stage at hand stay in memory.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def nested(docs: DataFrame) -> DataFrame:
     """Whole rows as column ``row`` beside doc_id and text, so that no column of theirs meets another of its name."""
     return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
+from .common import in_worker
 from .words import chunks
 
 SAMPLE_ROWS = 96
@@ -122,21 +123,11 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     return {lang: " " + " ".join(w for _, w in sorted(ws)) + " " for lang, ws in sorted(out.items())}
 
 
-_built: dict[str, tuple] = {}
-
-
-def _automata(key: str, texts: dict[str, str]):
-    if key not in _built:
-        _built.clear()
-        _built[key] = ({lang: Automaton(t) for lang, t in texts.items()}, {})
-    return _built[key]
-
-
 class _Parser:
     """Predictions of texts inside a worker."""
 
     def __init__(self, key: str, texts: dict[str, str]):
-        self.automata, self.known = _automata(key, texts)
+        self.automata, self.known = in_worker(("languages", key), lambda: ({lang: Automaton(t) for lang, t in texts.items()}, {}))
         self.langs = list(self.automata)
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float, int, int]]:

@@ -20,13 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import in_worker
 from .words import chunks
 
 #: Words kept with their ids in a worker (about 200 bytes each); later ones are encoded once a batch.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 #: A point or comma after an ASCII letter or digit, at the end of a word: a word of its own to the vocabulary.
 _STOPPED = re.compile(rb"[0-9a-z][.,]\Z")
-_loaded: dict[str, tuple] = {}
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -41,15 +41,14 @@ class _Known(dict):
 
 
 def _tokenizer(path: str):
-    if path not in _loaded:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    """The tokenizer, the words known so far, and which ids end a word."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        ends = np.zeros(tokenizer.get_vocab_size(), bool)
-        ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        _loaded[path] = (tokenizer, _Known(), ends)
-    return _loaded[path]
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+    return tokenizer, _Known(), ends
 
 
 def _encode_words(tokenizer, ends: np.ndarray, words: list[bytes]) -> dict[bytes, bytes]:
@@ -81,7 +80,7 @@ def encode(path: str, texts: list[bytes]) -> list[bytes]:
     The vocabulary drops white space and letter case and no token reaches over white space, so words
     are encoded once and their ids strung together.
     """
-    tokenizer, known, ends = _tokenizer(path)
+    tokenizer, known, ends = in_worker(("ids", path), lambda: _tokenizer(path))
     known.new = {}
     words = [t.lower().split() for t in texts]
     found = [list(map(known.__getitem__, ws)) for ws in words]

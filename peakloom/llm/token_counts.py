@@ -23,13 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import in_worker
 from .words import chunks
 
 SEPARATOR = "▁"
 #: Segments kept with their count in a worker; later ones are encoded once a batch.
 REMEMBERED = 400_000
 _SEGMENT = re.compile(f"[ {SEPARATOR}]+[^ {SEPARATOR}\n]*|\n[^ {SEPARATOR}\n]*")
-_loaded: dict[str, tuple] = {}
 
 
 def _crosses(piece: str) -> bool:
@@ -39,14 +39,12 @@ def _crosses(piece: str) -> bool:
 
 def _model(path: str):
     """The model and the counts of segments met so far in this worker."""
-    if path not in _loaded:
-        import sentencepiece
+    import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        if any(_crosses(model.id_to_piece(i)) for i in range(model.get_piece_size())):
-            raise ValueError("a piece of the vocabulary crosses a word separator or a line end")
-        _loaded[path] = (model, {})
-    return _loaded[path]
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    if any(_crosses(model.id_to_piece(i)) for i in range(model.get_piece_size())):
+        raise ValueError("a piece of the vocabulary crosses a word separator or a line end")
+    return model, {}
 
 
 def segments(text: str) -> list[str]:
@@ -56,7 +54,7 @@ def segments(text: str) -> list[str]:
 
 def segment_counts(path: str, found: list[str]) -> np.ndarray:
     """Tokens of each segment."""
-    model, known = _model(path)
+    model, known = in_worker(("counts", path), lambda: _model(path))
     counts = list(map(known.get, found))
     if None in counts:
         new = list({s for s, n in zip(found, counts) if n is None})
