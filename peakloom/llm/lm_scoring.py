@@ -37,7 +37,7 @@ from .words import chunks, mix, words_of
 
 BITS = 1 << 28
 BLOCK_BITS = 1 << 16  # fixed: places in a block have 16 bits
-BASE = math.sqrt(2.0)
+BASE = 2.0
 WEIGHT = 2000.0
 HEAD = 1 << 17
 #: Longer words are never in the head, which bounds it in bytes.
@@ -46,7 +46,7 @@ HEAD_CHARS = 64
 FLUSH = 4_000_000
 END = "\n"
 _PROBES = 4
-_TOP_LEVEL = 100
+_TOP_LEVEL = 50
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _END = np.uint64(0x2545F4914F6CDD1D)
 _BEGIN = np.uint64(0x27D4EB2F165667C5)
