@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import cut_lineage, fresh_path
 
-__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "nested", "unnested", "with_fields"]
+__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "release_worker", "nested", "unnested", "with_fields"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,11 +46,16 @@ def in_worker(key, make):
     Workers serve all stages of a session; only the tables of the stage at hand stay in memory.
     """
     if key not in _held:
-        _held.clear()
+        release_worker()
         _held[key] = make()
     return _held[key]
 
 
+def release_worker() -> None:
+    """Give back what earlier stages keep in this worker."""
+    _held.clear()
+
+
 def nested(docs: DataFrame) -> DataFrame:
     """Whole rows as column ``row`` beside doc_id and text, so that no column of theirs meets another of its name."""
     return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))

@@ -30,7 +30,7 @@ from .words import chunks
 SAMPLE_ROWS = 96
 SAMPLE_CHARS = 80_000
 #: Words kept with their phrases in a worker; later ones are parsed once a batch.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 UNDECIDED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _SHIFT = 21

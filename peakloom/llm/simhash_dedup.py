@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from .common import cut_lineage
+from .common import cut_lineage, release_worker
 from .graphs import components
 from .words import chunks, words_of
 
@@ -61,6 +61,7 @@ def fingerprint_array(batch: pa.RecordBatch, size: int = 3) -> np.ndarray:
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """``doc_id`` and ``fp`` (the fingerprint as a signed number) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in chunks(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fingerprint_array(batch, size), pa.int64())], ["doc_id", "fp"])
 

@@ -29,14 +29,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, Window
 
-from .common import cut_lineage, nested, one_per_id, with_fields
+from .common import cut_lineage, nested, one_per_id, release_worker, with_fields
 from .words import chunks, grams, mix, text_buffers, words_of
 
 WINDOW = 20
 #: Words of the short runs among which a window's minimiser is chosen.
 SHORT = 5
 #: Bytes of text whose windows a task settles together.
-FLUSH = 5 << 20
+FLUSH = 4 << 20
 #: Source spans asked of one row of a text; more are spread over several.
 ASKED = 4096
 _BYTES = 6
@@ -198,6 +198,7 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, short: int = SHORT, seed
     short = min(short, size)
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in _gathered(batches, FLUSH):
             for part in _edge_rows(batch, size, short, seed).to_batches(max_chunksize=20_000):
                 yield part
