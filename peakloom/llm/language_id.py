@@ -20,7 +20,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
@@ -29,11 +28,12 @@ from .words import chunks
 
 SAMPLE_ROWS = 96
 SAMPLE_CHARS = 80_000
-#: Words kept with their phrases in a worker; later ones are parsed once a batch.
-REMEMBERED = 200_000
+#: Words kept with their phrases in a worker; later ones are parsed each time.
+REMEMBERED = 300_000
 UNDECIDED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _SHIFT = 21
+_FIELD = 48
 
 
 class Automaton:
@@ -123,17 +123,33 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     return {lang: " " + " ".join(w for _, w in sorted(ws)) + " " for lang, ws in sorted(out.items())}
 
 
+class _Phrases(dict):
+    """Phrases of words in all languages, as one number with ``_FIELD`` bits a language.
+
+    So those of a text are one sum over its words.
+    """
+
+    def __init__(self, texts: dict[str, str]):
+        super().__init__()
+        self.automata = [Automaton(t) for t in texts.values()]
+
+    def __missing__(self, word: str) -> int:
+        n = sum(phrase_count(a, word) << _FIELD * i for i, a in enumerate(self.automata))
+        if len(self) < REMEMBERED:
+            self[word] = n
+        return n
+
+
 class _Parser:
     """Predictions of texts inside a worker."""
 
     def __init__(self, key: str, texts: dict[str, str]):
-        self.automata, self.known = in_worker(("languages", key), lambda: ({lang: Automaton(t) for lang, t in texts.items()}, {}))
-        self.langs = list(self.automata)
+        self.phrases = in_worker(("languages", key), lambda: _Phrases(texts))
+        self.langs = list(texts)
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float, int, int]]:
         """Language, score, phrases and letters of each text."""
-        automata, known, langs = self.automata, self.known, self.langs
-        fresh: dict[str, tuple] = {}
+        known, langs = self.phrases, self.langs
         out = []
         for text in texts:
             words = _WORD.findall((text or "").lower())
@@ -141,20 +157,11 @@ class _Parser:
             if not words or not langs:
                 out.append((UNDECIDED, 0.0, 0, letters))
                 continue
-            counts = []
-            for w in words:
-                c = known.get(w) or fresh.get(w)
-                if c is None:
-                    c = tuple(phrase_count(automata[x], w) for x in langs)
-                    if len(known) < REMEMBERED:
-                        known[w] = c
-                    else:
-                        fresh[w] = c
-                counts.append(c)
-            total = np.array(counts, np.int64).sum(0)
-            order = np.argsort(total, kind="stable")
-            best = int(order[0])
-            out.append((langs[best], 1.0 if len(langs) == 1 else float(1 - total[best] / total[order[1]]), int(total[best]), letters))
+            packed = sum(map(known.__getitem__, words))
+            total = [packed >> _FIELD * i & (1 << _FIELD) - 1 for i in range(len(langs))]
+            order = sorted(range(len(langs)), key=total.__getitem__)
+            best = order[0]
+            out.append((langs[best], 1.0 if len(langs) == 1 else 1 - total[best] / total[order[1]], total[best], letters))
         return out
 
 
