@@ -21,6 +21,8 @@ MEANS = f"""SELECT id, round(avg(rpkm) FILTER (WHERE condition = 'a'), 9) AS a,
 RATIO = f"""SELECT id, a, b, round(CASE WHEN a <> 0 AND b <> 0 THEN a / b WHEN a <> 0 THEN a / 0.001 WHEN b <> 0 THEN 0.001 / b END, 9) AS ratio FROM ({MEANS})"""
 DECILES = f"""SELECT *, least((row_number() OVER (ORDER BY ratio, id) - 1) // greatest(round(count(*) OVER () / 10), 1)::BIGINT + 1, 10)::INT AS decile
     FROM ({RATIO}) WHERE ratio IS NOT NULL"""
+#: With regions that have no reads under either condition, which belong to no group.
+REGIONS = f"""SELECT * FROM ({DECILES}) UNION ALL SELECT *, NULL::INT AS decile FROM ({RATIO}) WHERE ratio IS NULL"""
 
 
 def _peaks(v):
@@ -39,7 +41,7 @@ def _regions(v):
     return differential_regions(_peaks(v), v.reads, CONDITIONS)
 
 
-@query("differential_regions", f"""SELECT id, {r('a')} AS a, {r('b')} AS b, {r('ratio')} AS ratio, {r('log2(ratio)')} AS log2fc, decile FROM ({DECILES})""")
+@query("differential_regions", f"""SELECT id, {r('a')} AS a, {r('b')} AS b, {r('ratio')} AS ratio, {r('log2(ratio)')} AS log2fc, decile FROM ({REGIONS})""")
 def _(v):
     out = _regions(v).withColumn("log2fc", F.log2("ratio"))
     return rounded(out.select("id", "a", "b", "ratio", "log2fc", "decile"), "a", "b", "ratio", "log2fc")
@@ -81,9 +83,9 @@ def _(v):
     return rounded(nm.fold_change(m, "a", "b").select("id", F.round("ratio", 9).alias("ratio")), "ratio")
 
 
-@query("ma_table", f"""SELECT id, {r('(a + b) / 2')} AS mean_cov, CASE WHEN a > 0 AND b > 0 THEN {r('log2(a / b)')} END AS log2fc FROM ({MEANS}) WHERE a > 0 AND b > 0""")
+@query("ma_table", f"""SELECT id, {r('(a + b) / 2')} AS mean_cov, CASE WHEN a > 0 AND b > 0 THEN {r('log2(a / b)')} END AS log2fc FROM ({MEANS})""")
 def _(v):
-    out = nm.ma_table(_regions(v).where("a > 0 and b > 0"), "a", "b")
+    out = nm.ma_table(_regions(v), "a", "b")
     return rounded(out.select("id", "mean_cov", "log2fc"), "mean_cov", "log2fc")
 
 
@@ -130,13 +132,13 @@ def _(v):
     return nm.classify_change(nm.differential_counts(counts, "condition", "a", "b"), "log_fc", "fdr")
 
 
-@query("classify_change", f"""SELECT id, CASE WHEN log2(ratio) < -1 THEN -1 WHEN log2(ratio) > 1 THEN 1 ELSE 0 END AS change FROM ({RATIO}) WHERE ratio IS NOT NULL""")
+@query("classify_change", f"""SELECT id, CASE WHEN log2(ratio) < -1 THEN -1 WHEN log2(ratio) > 1 THEN 1 ELSE 0 END AS change FROM ({RATIO})""")
 def _(v):
     out = _regions(v).withColumn("log2fc", F.log2("ratio"))
     return nm.classify_change(out, "log2fc").select("id", "change")
 
 
-@query("ratio_deciles", f"""SELECT id, decile FROM ({DECILES})""")
+@query("ratio_deciles", f"""SELECT id, decile FROM ({REGIONS})""")
 def _(v):
     return _regions(v).select("id", "decile")
 
@@ -171,8 +173,8 @@ TREND = """SELECT o_orderkey AS id, o_totalprice / 100000 AS ratio, CASE WHEN o_
 
 
 @query("group_trend", f"""WITH n AS (SELECT round(count(*) / 10)::BIGINT AS size FROM orders), g AS (SELECT (row_number() OVER (ORDER BY ratio, id) - 1) // (SELECT size FROM n) + 1 AS "group", * FROM ({TREND})),
-    s AS (SELECT "group", avg(ratio) AS mean_ratio, avg(flag) * 100 AS pct_flagged, sum(flag)::BIGINT AS n_flagged FROM g GROUP BY 1 HAVING count(*) >= 0.74 * (SELECT size FROM n))
-    SELECT "group", {r('mean_ratio')} AS mean_ratio, {r('pct_flagged')} AS pct_flagged, n_flagged, (SELECT {r('pow(corr(log10(mean_ratio), pct_flagged), 2)')} FROM s) AS r2 FROM s""")
+    s AS (SELECT "group", avg(ratio) AS mean_ratio, avg(flag) * 100 AS pct_flagged, sum(flag)::BIGINT AS n_flagged, count(*) >= 0.74 * (SELECT size FROM n) AS "full" FROM g GROUP BY 1)
+    SELECT "group", {r('mean_ratio')} AS mean_ratio, {r('pct_flagged')} AS pct_flagged, n_flagged, "full", (SELECT {r('pow(corr(log10(mean_ratio), pct_flagged), 2)')} FROM s WHERE "full") AS r2 FROM s""")
 def _(v):
     data = v.table("orders").select(
         F.col("o_orderkey").alias("id"), (F.col("o_totalprice") / 100000).alias("ratio"),

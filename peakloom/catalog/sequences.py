@@ -367,7 +367,7 @@ def _(v):
 
 
 @query("rank_pair", f"""WITH k AS (SELECT label, score, row_number() OVER (PARTITION BY label ORDER BY score DESC, seq_id) AS "rank" FROM ({SCORED}) WHERE model = '{MOTIF}')
-    SELECT a."rank", a.score AS positive, b.score AS negative FROM k a JOIN k b ON a."rank" = b."rank" AND a.label = 1 AND b.label = 0""")
+    SELECT "rank", a.score AS positive, b.score AS negative FROM (SELECT * FROM k WHERE label = 1) a FULL JOIN (SELECT * FROM k WHERE label = 0) b USING ("rank")""")
 def _(v):
     return ev.rank_pair(_scored(v).where(F.col("model") == MOTIF))
 

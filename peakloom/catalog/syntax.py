@@ -116,8 +116,8 @@ def _split_counts(v):
 
 @query("relative_enrichment", SPLIT + f""", sh AS (SELECT quality, threshold, conf, space, n / sum(n) OVER (PARTITION BY quality, threshold) AS share FROM c),
     al AS (SELECT * FROM sh UNION ALL SELECT quality, threshold, 'ALL', space, sum(share) FROM sh GROUP BY 1, 2, 4)
-    SELECT p.threshold, p.conf, p.space, {r('p.share')} AS pos_share, {r('n.share')} AS neg_share, {r('p.share / n.share')} AS enrichment
-    FROM al p JOIN al n ON p.quality = 1 AND n.quality = 0 AND p.threshold = n.threshold AND p.conf = n.conf AND p.space = n.space""")
+    SELECT threshold, conf, space, {r('p.share')} AS pos_share, {r('n.share')} AS neg_share, {r('p.share / n.share')} AS enrichment
+    FROM (SELECT * FROM al WHERE quality = 1) p FULL JOIN (SELECT * FROM al WHERE quality = 0) n USING (threshold, conf, space)""")
 def _(v):
     return rounded(sx.relative_enrichment(*_split_counts(v)), "pos_share", "neg_share", "enrichment")
 

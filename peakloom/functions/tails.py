@@ -49,38 +49,64 @@ def chi2_even_p(stat: Column, half_df: Column) -> Column:
     return F.exp(-half) * F.when(half_df <= 1, F.lit(1.0)).otherwise(terms)
 
 
+def gamma_tail(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised lower incomplete gamma function for a >= 1, x > 0: P(X >= a) of a Poisson mean x.
+
+    A series below the mean, a continued fraction above it; each runs until its last step changes
+    nothing, which takes a few times sqrt(a) steps near the mean.
+    """
+    a, x = np.asarray(a, float), np.asarray(x, float)
+    # log of x^a exp(-x) / gamma(a + 1); for large a by its distance from the mean, without large differences.
+    u = (x - a) / a
+    small = a < 1e3
+    front = np.where(
+        small, a * np.log(x) - x - _lgamma(np.where(small, a, 1.0) + 1),
+        a * (np.log1p(np.maximum(u, -1 + 1e-300)) - u) - 0.5 * np.log(2 * math.pi * a) - 1 / (12 * a) + 1 / (360 * a**3),
+    )
+    out = np.empty_like(a)
+    below = x < a + 1
+    n, m = a[below], x[below]
+    total, term, i = np.ones_like(n), np.ones_like(n), 0
+    left = np.arange(len(n))
+    while len(left):
+        i += 1
+        term[left] *= m[left] / (n[left] + i)
+        total[left] += term[left]
+        left = left[term[left] > total[left] * 1e-17]
+    out[below] = np.exp(front[below]) * total
+    n, m = a[~below], x[~below]
+    tiny = 1e-300
+    b = m + 1 - n
+    c, d = np.full_like(n, 1 / tiny), 1 / np.where(b == 0, tiny, b)
+    h, i = d.copy(), 0
+    left = np.arange(len(n))
+    while len(left):
+        i += 1
+        num = -i * (i - n[left])
+        b[left] += 2
+        dd = num * d[left] + b[left]
+        cc = b[left] + num / c[left]
+        d[left] = 1 / np.where(np.abs(dd) < tiny, tiny, dd)
+        c[left] = np.where(np.abs(cc) < tiny, tiny, cc)
+        step = d[left] * c[left]
+        h[left] *= step
+        left = left[np.abs(step - 1) > 1e-15]
+    out[~below] = 1 - np.exp(front[~below]) * n * h
+    return np.clip(out, 0, 1)
+
+
 @F.pandas_udf(DoubleType())
 def poisson_sf(k: pd.Series, lam: pd.Series) -> pd.Series:
     """P(X >= k) for a Poisson mean ``lam`` and whole ``k``."""
     kk, mu = np.floor(k.to_numpy(float)), np.maximum(lam.to_numpy(float), 1e-300)
-    out = np.ones_like(kk)
+    out = np.where(np.isnan(kk) | np.isnan(mu), np.nan, 1.0)
     todo = kk > 0
-    if todo.any():
-        n, m = kk[todo], mu[todo]
-        # Sum the tail itself when k is above the mean, the head otherwise.
-        above = n > m
-        term = np.exp(n * np.log(m) - m - _lgamma(n + 1))
-        total, t, i = term.copy(), term.copy(), n.copy()
-        for _ in range(1000):
-            i = i + 1
-            t = t * m / i
-            total += np.where(above, t, 0)
-            if not (t[above] > total[above] * 1e-17).any():
-                break
-        head, t, i = np.zeros_like(n), term.copy(), n.copy()
-        low = ~above
-        while low.any() and (i[low] > 0).any():
-            t = np.where(i > 0, t * i / m, 0)
-            i = i - 1
-            head += np.where(low, t, 0)
-            if not (t[low] > head[low] * 1e-17).any():
-                break
-        out[todo] = np.where(above, total, 1 - head)
-    return pd.Series(np.clip(out, 0, 1), index=k.index)
+    out[todo] = gamma_tail(kk[todo], mu[todo])
+    return pd.Series(out, index=k.index)
 
 
 def beta_tail(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Regularised incomplete beta function by its continued fraction."""
+    """Regularised incomplete beta function by its continued fraction; NaN if that does not settle."""
     x, a, b = np.broadcast_arrays(np.asarray(x, float), np.asarray(a, float), np.asarray(b, float))
     flip = x > (a + 1) / (a + b + 2)
     xx, aa, bb = np.where(flip, 1 - x, x), np.where(flip, b, a), np.where(flip, a, b)
@@ -92,7 +118,8 @@ def beta_tail(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     c, d = np.ones_like(safe), 1 - (aa + bb) * safe / (aa + 1)
     d = 1 / np.where(np.abs(d) < tiny, tiny, d)
     h = d.copy()
-    for m in range(1, 300):
+    steps = 1000 + 20 * int(np.sqrt(np.max(np.r_[aa.ravel(), bb.ravel(), 1.0])))
+    for m in range(1, steps):
         for num in (
             m * (bb - m) * safe / ((aa + 2 * m - 1) * (aa + 2 * m)),
             -(aa + m) * (aa + bb + m) * safe / ((aa + 2 * m) * (aa + 2 * m + 1)),
@@ -102,9 +129,10 @@ def beta_tail(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             c = 1 + num / c
             c = np.where(np.abs(c) < tiny, tiny, c)
             h = h * d * c
-        if (np.abs(d * c - 1) < 1e-15).all():
+        settled = np.abs(d * c - 1) < 1e-14
+        if settled.all():
             break
-    tail = np.where(xx <= 0, 0.0, front * h)
+    tail = np.where(xx <= 0, 0.0, np.where(settled, front * h, np.nan))
     return np.where(flip, 1 - tail, tail)
 
 

@@ -9,14 +9,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scans import quantiles_of_counts, row_index, tiled_scan, value_bucket
+from .scans import quantiles_of_counts, ranked, tiled_scan, value_bucket
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", keys: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate at each distinct score, best score first.
 
     Also keeps the counts at the score (``pos``, ``neg``), running counts (``tp``, ``fp``)
-    and totals (``P``, ``N``); equal scores collapse before the shuffle.
+    and totals (``P``, ``N``); equal scores collapse before the shuffle.  A rate over no rows is null.
     """
     keys = list(keys)
     counts = df.groupBy(*keys, score).agg(
@@ -28,23 +28,23 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score", keys:
         running={"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))},
     )
     both = ran.join(total, keys) if keys else ran.crossJoin(F.broadcast(total))
-    return both.withColumn("fpr", F.col("fp") / F.col("N")).withColumn("tpr", F.col("tp") / F.col("P"))
+    return both.withColumn("fpr", F.try_divide(F.col("fp"), F.col("N"))).withColumn("tpr", F.try_divide(F.col("tp"), F.col("P")))
 
 
 def _area() -> Column:
-    return F.sum(F.col("neg") / F.col("N") * (2 * F.col("tp") - F.col("pos")) / (2 * F.col("P")))
+    return F.sum(F.try_divide(F.try_divide(F.col("neg"), F.col("N")) * (2 * F.col("tp") - F.col("pos")), 2 * F.col("P")))
 
 
 def _early_area(limit: float) -> Column:
-    f0, t0 = (F.col("fp") - F.col("neg")) / F.col("N"), (F.col("tp") - F.col("pos")) / F.col("P")
+    f0, t0 = F.try_divide(F.col("fp") - F.col("neg"), F.col("N")), F.try_divide(F.col("tp") - F.col("pos"), F.col("P"))
     f1, t1 = F.col("fpr"), F.col("tpr")
     stop = F.least(f1, F.lit(float(limit)))
-    top = F.when(f1 > f0, t0 + (t1 - t0) * (stop - f0) / (f1 - f0)).otherwise(t1)
+    top = F.when(f1 > f0, t0 + F.try_divide((t1 - t0) * (stop - f0), f1 - f0)).otherwise(t1)
     return F.sum(F.when(f0 < limit, (stop - f0) * (t0 + top) / 2).otherwise(0.0))
 
 
 def _precision_area() -> Column:
-    return F.sum(F.col("tp") / (F.col("tp") + F.col("fp")) * F.col("pos") / F.col("P"))
+    return F.sum(F.try_divide(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")) * F.col("pos"), F.col("P")))
 
 
 def _digits(value: Column, digits: int | None) -> Column:
@@ -89,12 +89,12 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", k
     both = ran.join(span, keys) if keys else ran.crossJoin(F.broadcast(span))
     tp, fp = F.col("tp"), F.col("fp")
     fn, tn = F.col("P") - tp, F.col("N") - fp
-    beta = lambda w: tp / (tp + (1 - w) * fp + w * fn)
+    beta = lambda w: F.try_divide(tp, tp + (1 - w) * fp + w * fn)
     return both.select(
         *keys, (F.col("step") / 100).alias("threshold"), (tp + fp).alias("retrieved"),
-        F.when(tp + fp > 0, tp / (tp + fp)).alias("precision"), (tp / F.col("P")).alias("recall"),
+        F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, F.col("P")).alias("recall"),
         beta(F.lit(0.5)).alias("f1"), beta(F.lit(0.8)).alias("f2"), beta(F.lit(0.9)).alias("f3"),
-        (tn / F.col("N")).alias("specificity"),
+        F.try_divide(tn, F.col("N")).alias("specificity"),
     )
 
 
@@ -108,7 +108,7 @@ def sensitivity_specificity(best: DataFrame, thresholds: Sequence[float], label:
     """Sequence-level sensitivity and 1 - specificity at each threshold, from best scores."""
     rows = best.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
     hit = F.col("score") >= F.col("threshold")
-    share = lambda k: F.count_if(hit & (F.col(label) == k)) / F.count_if(F.col(label) == k)
+    share = lambda k: F.try_divide(F.count_if(hit & (F.col(label) == k)), F.count_if(F.col(label) == k))
     return rows.groupBy(*keys, "threshold").agg(share(1).alias("se"), share(0).alias("one_minus_sp"))
 
 
@@ -195,13 +195,10 @@ def lookup_thresholds(models: DataFrame, quantiles: DataFrame, probs: Sequence[f
 
 
 def rank_pair(df: DataFrame, label: str = "label", score: str = "score", id_col: str = "seq_id") -> DataFrame:
-    """The i-th best positive beside the i-th best negative, up to the smaller set."""
-    ranked = row_index(
-        df, [label], [-F.col(score), F.col(id_col)],
-        F.struct(-value_bucket(F.col(score)), (-F.col(score)).alias("s"), value_bucket(F.col(id_col))), "rank",
-    )
-    side = lambda k, name: ranked.where(F.col(label) == k).select("rank", F.col(score).alias(name))
-    return side(1, "positive").join(side(0, "negative"), "rank")
+    """The i-th best positive beside the i-th best negative; the larger set goes on beside nulls."""
+    placed = ranked(df, [label], [-F.col(score), F.col(id_col)], "rank")
+    side = lambda k, name: placed.where(F.col(label) == k).select("rank", F.col(score).alias(name))
+    return side(1, "positive").join(side(0, "negative"), "rank", "full")
 
 
 def multi_model_roc(df: DataFrame, limit: float = 0.1, label: str = "label", score: str = "score", model: str = "model") -> DataFrame:

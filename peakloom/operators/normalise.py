@@ -8,22 +8,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tails import chi2_1_p, f_p, t_p
 from ..runtime import cut_lineage
-from .scans import exact_quantiles, row_index, tiled_scan, value_bucket, value_counts
+from .scans import exact_quantiles, ranked, tiled_scan, value_bucket, value_counts
 
 FLOOR = 0.01
 ZERO_STEP = 0.001
 
 
+def correlation(x: str | Column, y: str | Column) -> Column:
+    """Pearson's r as an aggregate; null where a side does not vary."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def cpm(counts: DataFrame, libraries: DataFrame | None = None, column: str = "count") -> DataFrame:
     """Counts per million of long ``(peak, sample, count)`` rows.
 
-    Reads in peaks are the denominator, or the ``library_size`` of ``libraries``.
+    Reads in peaks are the denominator, or the ``library_size`` of ``libraries``.  A sample without
+    reads has null.
     """
     if libraries is None:
         totals = counts.groupBy("sample").agg(F.sum(column).alias("_total"))
     else:
         totals = libraries.select("sample", F.col("library_size").alias("_total"))
-    return counts.join(totals, "sample").withColumn("cpm", F.col(column) / (F.col("_total") / 1e6)).drop("_total")
+    return counts.join(totals, "sample").withColumn("cpm", F.try_divide(F.col(column), F.col("_total") / 1e6)).drop("_total")
 
 
 def rpkm(df: DataFrame) -> DataFrame:
@@ -59,8 +68,9 @@ def fold_change(df: DataFrame, a: str, b: str, eps: float = ZERO_STEP) -> DataFr
 
 
 def ma_table(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Mean coverage and log2 ratio."""
-    return df.withColumn("mean_cov", (F.col(a) + F.col(b)) / 2).withColumn("log2fc", F.log2(F.col(a) / F.col(b)))
+    """Mean coverage and log2 ratio; null where a side is zero."""
+    ratio = F.when((F.col(a) > 0) & (F.col(b) > 0), F.log2(F.try_divide(F.col(a), F.col(b))))
+    return df.withColumn("mean_cov", (F.col(a) + F.col(b)) / 2).withColumn("log2fc", ratio)
 
 
 def p_adjust(df: DataFrame, p: str, method: str = "BH", keys: Sequence[str] = (), name: str = "p_adj") -> DataFrame:
@@ -73,9 +83,9 @@ def p_adjust(df: DataFrame, p: str, method: str = "BH", keys: Sequence[str] = ()
         return wide.withColumn(name, F.least(F.lit(1.0), F.col(p) * F.col("_m"))).drop("_m")
     if method != "BH":
         raise ValueError("method must be 'BH' or 'bonferroni'")
-    ranked = value_counts(known, keys, p)
-    ranked = ranked.join(size, keys) if keys else ranked.crossJoin(F.broadcast(size))
-    raw = ranked.withColumn("_raw", F.col(p) * F.col("_m") / F.col("upto"))
+    counted = value_counts(known, keys, p)
+    counted = counted.join(size, keys) if keys else counted.crossJoin(F.broadcast(size))
+    raw = counted.withColumn("_raw", F.col(p) * F.col("_m") / F.col("upto"))
     adjusted = tiled_scan(
         raw, keys, [-F.col(p)], -value_bucket(F.col(p)), running={"_adj": ("min", F.col("_raw"))}
     ).select(*keys, F.col(p), F.least(F.lit(1.0), F.col("_adj")).alias(name))
@@ -86,7 +96,8 @@ def differential_counts(counts: DataFrame, group: str, first: str, second: str)
     """Per peak log2 fold change (second over first), mean log2 CPM, Welch test and FDR.
 
     ``counts`` is long with ``peak_id``, ``cpm`` and the group column.  The test is
-    Welch's t on log2(CPM + 0.5); it is not a quasi-likelihood fit.
+    Welch's t on log2(CPM + 0.5); it is not a quasi-likelihood fit.  A condition of one replicate
+    has no variance to test with: t, df and p are null.
     """
     logged = counts.withColumn("_l", F.log2(F.col("cpm") + 0.5))
     cols = []
@@ -97,12 +108,13 @@ def differential_counts(counts: DataFrame, group: str, first: str, second: str)
             F.count(mine).alias(f"_n{tag}"),
         ]
     m = logged.groupBy("peak_id").agg(F.avg("_l").alias("log_cpm"), *cols)
-    s1, s2 = F.col("_v1") / F.col("_n1"), F.col("_v2") / F.col("_n2")
+    s1, s2 = F.try_divide(F.col("_v1"), F.col("_n1")), F.try_divide(F.col("_v2"), F.col("_n2"))
     diff = F.col("_m2") - F.col("_m1")
-    nu = (s1 + s2) ** 2 / (s1**2 / (F.col("_n1") - 1) + s2**2 / (F.col("_n2") - 1))
+    nu = F.try_divide((s1 + s2) ** 2, F.try_divide(s1**2, F.col("_n1") - 1) + F.try_divide(s2**2, F.col("_n2") - 1))
+    enough = ((s1 + s2) > 0) & (F.col("_n1") > 1) & (F.col("_n2") > 1)
     tested = m.select(
         "peak_id", "log_cpm", diff.alias("log_fc"),
-        F.when((s1 + s2) > 0, diff / F.sqrt(s1 + s2)).alias("t"), F.when((s1 + s2) > 0, nu).alias("df"),
+        F.when(enough, F.try_divide(diff, F.sqrt(s1 + s2))).alias("t"), F.when(enough, nu).alias("df"),
     )
     p = F.when(F.col("t").isNotNull(), t_p(F.coalesce("t", F.lit(0.0)), F.coalesce("df", F.lit(1.0))))
     tested = cut_lineage(tested.withColumn("p_value", p))
@@ -123,22 +135,22 @@ def classify_change(df: DataFrame, log_fc: str = "log_fc", fdr: str | None = Non
 
 
 def ratio_deciles(df: DataFrame, value: str, id_col: str, n: int = 10, name: str = "decile") -> DataFrame:
-    """Equal groups along ``value`` (ties by id); what is left over joins the last group."""
+    """Equal groups along ``value`` (ties by id); what is left over joins the last group.
+
+    Rows without a value belong to no group and keep a null one.
+    """
     data = df.where(F.col(value).isNotNull())
     total = data.agg(F.greatest(F.round(F.count(F.lit(1)) / n), F.lit(1)).cast("long").alias("_size"))
-    ranked = row_index(
-        data, [], [F.col(value), F.col(id_col)],
-        # id buckets split a value shared by very many rows
-        F.struct(value_bucket(F.col(value)), F.col(value).alias("v"), value_bucket(F.col(id_col))), "_rank",
-    )
+    placed = ranked(data, [], [F.col(value), F.col(id_col)], "_rank")
     group = F.least(F.floor((F.col("_rank") - 1) / F.col("_size")) + 1, F.lit(n))
-    return ranked.crossJoin(F.broadcast(total)).withColumn(name, group.cast("int")).select(*df.columns, name)
+    grouped = placed.crossJoin(F.broadcast(total)).withColumn(name, group.cast("int")).select(*df.columns, name)
+    return grouped.unionByName(df.where(F.col(value).isNull()).withColumn(name, F.lit(None).cast("int")))
 
 
 def decile_composition(df: DataFrame, set_col: str, names: Sequence[str], decile: str = "decile") -> DataFrame:
     """Share (%) of each peak set in each decile."""
     total = F.count(F.lit(1))
-    return df.groupBy(decile).agg(
+    return df.where(F.col(decile).isNotNull()).groupBy(decile).agg(
         *[(100 * F.count_if(F.col(set_col) == n) / total).alias(f"pct_{n}") for n in names]
     )
 
@@ -146,7 +158,7 @@ def decile_composition(df: DataFrame, set_col: str, names: Sequence[str], decile
 def decile_ranges(df: DataFrame, value: str, decile: str = "decile") -> DataFrame:
     """Smallest and largest ratio (3 digits) per decile and its class."""
     low, high = F.round(F.min(value), 3), F.round(F.max(value), 3)
-    return df.groupBy(decile).agg(low.alias("low"), high.alias("high")).withColumn(
+    return df.where(F.col(decile).isNotNull()).groupBy(decile).agg(low.alias("low"), high.alias("high")).withColumn(
         "attribution", F.when(F.col("high") < 1, "<1").when(F.col("low") > 1, ">1").otherwise("~1")
     )
 
@@ -154,7 +166,7 @@ def decile_ranges(df: DataFrame, value: str, decile: str = "decile") -> DataFram
 def pairwise_correlation(df: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of sample columns, in one pass."""
     pairs = [(a, b) for i, a in enumerate(samples) for b in samples[i + 1:]]
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(
         F.explode(
             F.array(
@@ -170,21 +182,18 @@ def pairwise_correlation(df: DataFrame, samples: Sequence[str]) -> DataFrame:
 def group_trend(df: DataFrame, score: str, flag: str, id_col: str, groups: int = 10) -> DataFrame:
     """Mean ratio and % flagged in equal groups along ``score``; R2 of log10 mean against %.
 
-    A last group below 74 % of the group size is left out.
+    A last group below 74 % of the group size is kept and marked not ``full``; the fit is over full groups.
     """
-    total = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_size", F.round(F.col("_n") / groups).cast("long"))
-    ranked = row_index(
-        df, [], [F.col(score), F.col(id_col)],
-        F.struct(value_bucket(F.col(score)), F.col(score).alias("v"), value_bucket(F.col(id_col))), "_rank",
-    ).crossJoin(F.broadcast(total))
-    grouped = ranked.groupBy((F.floor((F.col("_rank") - 1) / F.col("_size")) + 1).alias("group"), "_size").agg(
+    total = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_size", F.greatest(F.round(F.col("_n") / groups), F.lit(1)).cast("long"))
+    placed = ranked(df, [], [F.col(score), F.col(id_col)], "_rank").crossJoin(F.broadcast(total))
+    grouped = placed.groupBy((F.floor((F.col("_rank") - 1) / F.col("_size")) + 1).alias("group"), "_size").agg(
         F.avg(score).alias("mean_ratio"), (F.avg(F.col(flag)) * 100).alias("pct_flagged"),
         F.sum(flag).alias("n_flagged"), F.count(F.lit(1)).alias("_rows"),
     )
     # A handful of groups from here on.
-    kept = grouped.where(F.col("_rows") >= 0.74 * F.col("_size")).drop("_rows", "_size")
-    fit = kept.agg((F.corr(F.log10("mean_ratio"), "pct_flagged") ** 2).alias("r2"))
-    return kept.crossJoin(F.broadcast(fit))
+    marked = grouped.withColumn("full", F.col("_rows") >= 0.74 * F.col("_size")).drop("_rows", "_size")
+    fit = marked.where("full").agg((correlation(F.log10("mean_ratio"), "pct_flagged") ** 2).alias("r2"))
+    return marked.crossJoin(F.broadcast(fit))
 
 
 def n_set_ratio_table(areas: DataFrame, keys: Sequence[str], sample: str, value: str, names: Sequence[str]) -> DataFrame:
@@ -210,13 +219,14 @@ def count_pca(df: DataFrame, columns: Sequence[str], k: int = 2) -> DataFrame:
 
 
 def correlation_test(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), min_points: int = 10) -> DataFrame:
-    """Pearson r, p-value and n per key; keys with ``min_points`` rows or fewer give nulls."""
+    """Pearson r, p-value and n per key; keys with ``min_points`` rows or fewer give nulls, p is 0 at |r| = 1."""
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) != float("inf"))
-    stats = df.where(finite(x) & finite(y)).groupBy(*keys).agg(F.corr(x, y).alias("_r"), F.count(F.lit(1)).alias("n"))
+    stats = df.where(finite(x) & finite(y)).groupBy(*keys).agg(correlation(x, y).alias("_r"), F.count(F.lit(1)).alias("n"))
     r = F.when(F.col("n") > min_points, F.col("_r"))
-    t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") ** 2))
+    t = F.col("r") * F.sqrt(F.try_divide((F.col("n") - 2).cast("double"), F.greatest(1 - F.col("r") ** 2, F.lit(0.0))))
     out = stats.withColumn("r", r)
-    p = F.when(F.col("r").isNotNull(), t_p(F.coalesce(t, F.lit(0.0)), F.greatest(F.col("n") - 2, F.lit(1)).cast("double")))
+    exact = 1 - F.col("r") ** 2 <= 0
+    p = F.when(exact, 0.0).when(F.col("r").isNotNull(), t_p(F.coalesce(t, F.lit(0.0)), F.greatest(F.col("n") - 2, F.lit(1)).cast("double")))
     return out.withColumn("p_value", p).select(*keys, "r", "p_value", "n")
 
 

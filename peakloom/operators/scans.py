@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..runtime import cut_lineage
+
 #: Subdivisions of each power of two used when ordering doubles into buckets.
 PER_OCTAVE = 64
 
@@ -126,6 +128,31 @@ def row_index(
     return tiled_scan(df, keys, order, tile, running={name: ("sum", F.lit(1).cast("long"))})
 
 
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """1-based position of each row inside its key, along a total ``order``, for any number of rows.
+
+    Rows are range-partitioned by key and order, so neither a key nor a value that very many rows
+    share is one task's: ties go on by the last columns of ``order``.  The partitions are written with
+    their numbers; their row counts, one row a partition and key, give what comes before.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    along = [f"_o{i}" for i in range(len(order))]
+    rows = df.select("*", *[c.alias(o) for c, o in zip(order, along)])
+    rows = cut_lineage(rows.repartitionByRange(parts, *keys, *along).withColumn("_part", F.spark_partition_id()))
+    counts = rows.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    over = W.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)]).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(
+        F.col("_part").alias("_there"), *[F.col(k).alias(f"_k_{k}") for k in keys], F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_before")
+    )
+    same = F.col("_part") == F.col("_there")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = W.partitionBy("_part", *keys).orderBy(*along)
+    here = rows.withColumn("_here", F.row_number().over(inside)).join(before, same)
+    return here.select(*[F.col(c) for c in df.columns], (F.col("_before") + F.col("_here")).alias(name))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per key with the number of rows below and up to each.
 

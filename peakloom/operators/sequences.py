@@ -119,8 +119,10 @@ def kmer_enrichment(
     """The ``top`` k-mers whose share of positive sequences most exceeds that of negatives.
 
     One row of ``df`` is one sequence.  Counted by sequences that hold the k-mer; score is
-    log2 of the ratio of shares with a pseudo-count of one sequence.  k is at most 31.
+    log2 of the ratio of shares with a pseudo-count of one sequence.  k is at most 31.  Rows labelled
+    neither 1 nor 0 are not looked at.
     """
+    df = df.where(F.col(label).isin(0, 1))
     totals = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     pos_n = totals.agg(
         F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("pos_n"), F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("neg_n")

@@ -172,14 +172,17 @@ def _shares(counts: DataFrame, name: str) -> DataFrame:
 
 
 def relative_enrichment(pos: DataFrame, neg: DataFrame) -> DataFrame:
-    """Share of each conformation and distance among positives over the share among negatives."""
-    both = _shares(pos, "pos_share").join(_shares(neg, "neg_share"), ["threshold", "conf", "space"])
-    return both.withColumn("enrichment", F.col("pos_share") / F.col("neg_share"))
+    """Share of each conformation and distance among positives over the share among negatives.
+
+    One seen in one class only stays, without an enrichment.
+    """
+    both = _shares(pos, "pos_share").join(_shares(neg, "neg_share"), ["threshold", "conf", "space"], "full")
+    return both.withColumn("enrichment", F.try_divide(F.col("pos_share"), F.col("neg_share")))
 
 
 def scannable_length(regions: DataFrame, length: int) -> Column:
-    """Aggregate: places a motif of ``length`` can start in the sequences."""
-    return F.sum(F.col("seq_len") + 1 - length)
+    """Aggregate: places a motif of ``length`` can start in the sequences; none in a shorter one."""
+    return F.sum(F.greatest(F.col("seq_len") + 1 - length, F.lit(0)))
 
 
 def absolute_rate(pos: DataFrame, neg: DataFrame, pos_len: DataFrame, neg_len: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,10 @@ SETTINGS = {
 }
 
 
+#: Folders of sessions on one machine, by application.
+_own: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`SETTINGS` to a running session and return it."""
     for key, value in SETTINGS.items():
@@ -28,13 +33,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test on one machine) gets a new folder.
+    A session on one machine that names none gets a folder of its own; on a cluster, where executors
+    do not share local folders, that is an error.  The session's settings stay as they are.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="peakloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="peakloom-")
+    return _own[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
