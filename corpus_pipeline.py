@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from peakloom.llm import decontamination, language_id, packing, simhash_dedup, substring_dedup
-from peakloom.llm.common import cut_lineage, documents, nested, one_per_id
+from peakloom.llm.common import cut_lineage, documents, nested, one_per_id, unnested
 from peakloom.llm.queries import tokenizer_path
 
 
@@ -34,7 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = simhash_dedup.near_duplicates(one_per_id(docs))
     kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept"))
     rows = one_per_id(nested(docs), "row")
-    return rows.join(kept, F.col("doc_id") == F.col("kept")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    return unnested(rows.join(kept, F.col("doc_id") == F.col("kept")), docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import cut_lineage, fresh_path
 
-__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "release_worker", "nested", "unnested", "with_fields"]
+__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "release_worker", "nested", "unnested", "map_rows", "with_fields"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +63,20 @@ def nested(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
-def unnested(rows: DataFrame) -> DataFrame:
-    """The columns of ``row``."""
-    return rows.select("row.*")
+def unnested(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``row``."""
+    return rows.select(*(F.col("row")[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
+
+
+def map_rows(docs: DataFrame, change: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``docs`` with its batches changed by a function that keeps the columns, whatever their names."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = (pa.RecordBatch.from_struct_array(b.column("row")) for b in batches)
+        for batch in change(flat):
+            yield pa.RecordBatch.from_arrays([batch.to_struct_array()], ["row"])
+
+    rows = nested(docs).select("row")
+    return unnested(rows.mapInArrow(run, rows.schema), docs)
 
 
 def with_fields(row: pa.StructArray, **new: pa.Array) -> pa.StructArray:

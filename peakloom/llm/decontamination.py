@@ -16,7 +16,7 @@ The benchmark is broadcast in slices of at most ``SLICE_CHARS`` characters, one
 each, so what a worker holds is bounded.
 
 Words are lower-cased (A-Z) runs of digits, letters and non-ASCII characters.  Null and empty texts have no
-words; an item without words leaks nowhere, an item of fewer than five words is one shingle.  Rows are
+words; an item without words leaks nowhere, an item of fewer than five words is one shingle of that many.  Rows are
 looked at one by one, so repeated rows give repeated results and null ids stay null.  Items that share
 an id are taken one by one.  Other columns are not looked at.
 """
@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import map_rows
 from .words import MARKS, chunks, grams, mix, split, text_buffers, words_of
 
 SHINGLE = 5
@@ -69,7 +70,7 @@ class Items:
 
     def __init__(self, rows: list[tuple], size: int, threshold: float, radius: int):
         self.size, self.threshold, self.radius = size, threshold, radius
-        self.ids, self.lengths, self.sets, self.need = [], [], [], []
+        self.ids, self.lengths, self.sets = [], [], []
         owners: dict[int, set] = defaultdict(set)
         prints = []
         for item_id, text in rows:
@@ -84,6 +85,8 @@ class Items:
             self.lengths.append(len(hashes))
             self.sets.append(Counter(shingles.tolist()))
             prints.append(_fingerprints(_signs(shingles).sum(0)))
+        #: Lengths of shingles: of an item shorter than a shingle, its own.
+        self.sizes = sorted({min(size, n) for n in self.lengths})
         self.prints = np.array(prints, np.uint64)
         self.shingles = np.array(sorted(owners), np.uint64)
         listed = [sorted(owners[s]) for s in self.shingles.tolist()]
@@ -97,6 +100,10 @@ class Items:
         apart = np.bitwise_count(np.arange(256, dtype=np.uint64)[:, None, None] ^ blocks[None])
         self.near = (apart <= radius // _BLOCKS).transpose(2, 0, 1) if len(self.ids) else None
 
+    def shingle(self, item: int) -> int:
+        """Words of the item's shingles."""
+        return min(self.size, self.lengths[item])
+
     def within(self, prints: np.ndarray, item: int) -> np.ndarray:
         """Distances of fingerprints to an item's, or -1 beyond the radius: first by blocks, then by all bits."""
         met = np.zeros(len(prints), bool)
@@ -123,7 +130,8 @@ class Items:
         ``hashes`` are the text's words and ``at`` the places of its shingles that the item has.
         """
         wide = min(self.lengths[item], len(hashes))
-        inside = max(wide, self.size) - self.size + 1
+        size = self.shingle(item)
+        inside = wide - size + 1
         item_size = sum(self.sets[item].values())
         need = max(1, math.ceil(self.threshold / (1 + self.threshold) * (inside + item_size) - 1e-9))
         starts = np.arange(max(0, int(at[0]) - inside + 1), min(int(at[-1]), len(hashes) - wide) + 1)
@@ -131,7 +139,7 @@ class Items:
         if not len(starts):
             return None
         lo, hi = int(starts[0]), int(starts[-1]) + wide
-        shingles = _shingles(hashes[lo:hi], self.size)
+        shingles = _shingles(hashes[lo:hi], size)
         best = None
         # Long stretches in steps, so that sums of signs stay small.
         for a in range(0, len(starts), 8192):
@@ -162,14 +170,14 @@ def _leaks(batch: pa.RecordBatch, items: Items) -> list[tuple]:
     """(row, item, start, words, distance, similarity) of the best leaking windows of a batch."""
     words = words_of(batch, lower=True, between=MARKS)
     hashes = words.hashes()
-    at, shingles = grams(hashes, words.bounds, items.size)
-    # A text shorter than a shingle is one.
-    short = np.flatnonzero((np.diff(words.bounds) > 0) & (np.diff(words.bounds) < items.size))
-    if len(short):
-        more = np.array([_shingles(hashes[words.bounds[d] : words.bounds[d + 1]], items.size)[0] for d in short], np.uint64)
-        at, shingles = np.r_[at, words.bounds[:-1][short]], np.r_[shingles, more]
-    hit, number = items.hits(shingles)
-    place, count = at[hit], items.first[number + 1] - items.first[number]
+    places, numbers = [], []
+    for n in items.sizes:
+        at, shingles = grams(hashes, words.bounds, n)
+        hit, number = items.hits(shingles)
+        places.append(at[hit])
+        numbers.append(number)
+    place, number = np.concatenate(places or [np.zeros(0, np.int64)]), np.concatenate(numbers or [np.zeros(0, np.int64)])
+    count = items.first[number + 1] - items.first[number]
     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     item = items.owner[np.repeat(items.first[number], count) + step]
     place = np.repeat(place, count)
@@ -182,7 +190,7 @@ def _leaks(batch: pa.RecordBatch, items: Items) -> list[tuple]:
         d, i = int(doc[a]), int(item[a])
         lo, hi = int(words.bounds[d]), int(words.bounds[d + 1])
         # Fewer hits than any window needs: the usual case of a shared common phrase.
-        if z - a < items.threshold * (min(items.lengths[i], hi - lo) - items.size + 1) / (1 + items.threshold):
+        if z - a < items.threshold * (min(items.lengths[i], hi - lo) - items.shingle(i) + 1) / (1 + items.threshold):
             continue
         best = items.leaks(hashes[lo:hi], i, place[a:z] - lo)
         if best:
@@ -223,5 +231,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
                 clean[[x[0] for x in _leaks(batch, shared.value)]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_rows(docs, run)
     return docs

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from .common import in_worker
+from .common import in_worker, map_rows
 from .words import chunks
 
 SAMPLE_ROWS = 96
@@ -200,4 +200,4 @@ def in_some_language(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
             batch = batch.set_column(batch.schema.get_field_index("lang"), "lang", pa.array(lang, pa.string()).cast(batch.schema.field("lang").type))
             yield batch.filter(pa.array([x != UNDECIDED for x in lang]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

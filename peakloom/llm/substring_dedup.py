@@ -27,9 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F, types as T, Window
 
-from .common import cut_lineage, nested, one_per_id, release_worker, with_fields
+from .common import cut_lineage, nested, one_per_id, release_worker, unnested, with_fields
 from .words import chunks, grams, mix, text_buffers, words_of
 
 WINDOW = 20
@@ -293,7 +293,9 @@ def _settled(docs: DataFrame, size: int, short: int) -> DataFrame:
     while True:
         spans = cut_lineage(repeated_spans(docs, size, short, seed))
         rows = docs.join(_asked(spans), "doc_id", "left").select("doc_id", F.coalesce("part", F.lit(0)).alias("part"), "row" if rowed else "text", "asks")
-        fields = _CUT + (f", row {docs.schema['row'].dataType.simpleString()}" if rowed else "")
+        fields = T.StructType.fromDDL(_CUT)
+        if rowed:
+            fields = fields.add("row", docs.schema["row"].dataType)
         done = cut_lineage(rows.mapInArrow(_cut_rows, fields))
         seen = done.select(F.explode("seen").alias("s")).select("s.*")
         digests = seen.filter("cut").select("src_id", "src_start", "words", "digest").distinct()
@@ -322,4 +324,4 @@ def cut_documents(docs: DataFrame, size: int = WINDOW, short: int = SHORT) -> Da
     """
     rows = one_per_id(nested(docs), "row").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "row")
     done = _settled(rows, size, short)
-    return done.select(*(F.col("row")[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
+    return unnested(done, docs)
