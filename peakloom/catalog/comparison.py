@@ -126,10 +126,14 @@ def _(v):
     return rounded(out.select("peak_id", *cols), *cols, digits=4)
 
 
-@query("differential_counts_fdr")
+@query("differential_counts_fdr", f"""WITH p AS ({TESTED}), raw AS (SELECT *, p * count(p) OVER () / count(p) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING) AS raw FROM p WHERE p IS NOT NULL),
+    f AS (SELECT id, least(1, min(raw) OVER (ORDER BY p DESC RANGE UNBOUNDED PRECEDING)) AS fdr FROM raw)
+    SELECT id AS peak_id, {r('fdr', 4)} AS fdr, CASE WHEN log_fc < -1 THEN -1 WHEN log_fc > 1 THEN 1 ELSE 0 END AS change,
+    CASE WHEN log_fc < -1 AND fdr <= 0.05 THEN 'first' WHEN log_fc > 1 AND fdr <= 0.05 THEN 'second' ELSE 'both' END AS label FROM p LEFT JOIN f USING (id)""")
 def _(v):
     counts = with_condition(nm.cpm(_counts(v)), CONDITIONS).withColumnRenamed("id", "peak_id")
-    return nm.classify_change(nm.differential_counts(counts, "condition", "a", "b"), "log_fc", "fdr")
+    out = nm.classify_change(nm.differential_counts(counts, "condition", "a", "b"), "log_fc", "fdr")
+    return rounded(out.select("peak_id", "fdr", "change", "label"), "fdr", digits=4)
 
 
 @query("classify_change", f"""SELECT id, CASE WHEN log2(ratio) < -1 THEN -1 WHEN log2(ratio) > 1 THEN 1 ELSE 0 END AS change FROM ({RATIO})""")

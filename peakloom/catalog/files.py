@@ -53,16 +53,16 @@ def _(v):
     return fasta.parse_fasta(records).withColumn("seq", F.md5("seq"))
 
 
-@query("read_sam_text", """SELECT concat_ws('-', l_orderkey, l_linenumber) AS name, (l_linenumber % 2 * 16)::INT AS flag, 'chr' || (l_suppkey % 5 + 1) AS chrom, l_partkey * 10 AS "start", (l_partkey % 61)::INT AS mapq,
+@query("read_sam_text", """SELECT concat_ws('-', l_orderkey, l_linenumber) AS name, (l_linenumber % 2 * 16)::INT AS flag, 'chr' || (l_suppkey % 5 + 1) AS chrom, l_partkey * 10 AS "start", l_partkey * 10 + 40 + l_suppkey % 20 + l_partkey % 300 AS "end", (l_partkey % 61)::INT AS mapq,
     (l_suppkey % 5)::INT AS mismatches, CASE WHEN l_linenumber % 2 = 1 THEN '-' ELSE '+' END AS strand FROM lineitem""")
 def _(v):
     t = v.table("lineitem")
     lines = _lines(
         t, F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")), (F.col("l_linenumber") % 2 * 16).cast("string"),
         F.concat(F.lit("chr"), F.col("l_suppkey") % 5 + 1), (F.col("l_partkey") * 10 + 1).cast("string"), (F.col("l_partkey") % 61).cast("string"),
-        F.lit("50M\t=\t0\t0\t*\t*\tAS:i:0"), F.concat(F.lit("XM:i:"), (F.col("l_suppkey") % 5).cast("string")),
+        F.concat(F.lit("5S30M2I"), F.col("l_suppkey") % 20 + 1, F.lit("M"), F.col("l_partkey") % 300, F.lit("N4D5=3H\t=\t0\t0\t*\t*\tAS:i:0")), F.concat(F.lit("XM:i:"), (F.col("l_suppkey") % 5).cast("string")),
     )
-    return tables.parse_sam(lines).select("name", "flag", "chrom", "start", "mapq", "mismatches", "strand")
+    return tables.parse_sam(lines).select("name", "flag", "chrom", "start", "end", "mapq", "mismatches", "strand")
 
 
 @query("read_methylation", f"""SELECT chrom, pos, {r('prob')} AS prob FROM methyl""")

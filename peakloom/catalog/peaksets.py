@@ -188,11 +188,14 @@ NSETS = """p AS (SELECT chrom, "start" AS s, "end" AS e, batch, summit_offset AS
         min(s) AS s, max(e) AS e, avg(top) AS mean, min(e - s) AS shortest, string_agg(DISTINCT batch, '&' ORDER BY batch) AS name FROM c GROUP BY 1, 2),
     k AS (SELECT *, CASE WHEN n = 1 THEN 'unique' WHEN ltop - ftop <= 1.0 * least(flen, llen) THEN 'simple' ELSE 'complex' END AS kind FROM g),
     o AS (SELECT chrom, contig, shortest, unnest([ltop, ftop]) AS atop, unnest([llen, flen]) AS alen, unnest([1, 2]) AS which FROM k WHERE kind = 'complex'),
+    b AS (SELECT chrom, contig, avg(top) AS mean, any_value(shortest) AS shortest, string_agg(DISTINCT batch, '&' ORDER BY batch) AS name FROM (
+        SELECT c.chrom, c.contig, c.top, c.batch, k.shortest, floor((c.top - ftop) / greatest(1.0 * k.shortest, 1))::BIGINT AS step FROM c JOIN k USING (chrom, contig)
+        WHERE kind = 'complex' AND abs(top - ftop) > 1.0 * least(flen, c.e - c.s) AND abs(top - ltop) > 1.0 * least(llen, c.e - c.s)) GROUP BY chrom, contig, step),
     x AS (SELECT o.chrom, o.contig, o.which, (sum(top) + any_value(atop)) / (count(*) + 1) AS mean, any_value(shortest) AS shortest, string_agg(DISTINCT batch, '&' ORDER BY batch) AS name
         FROM o JOIN c ON c.chrom = o.chrom AND c.contig = o.contig AND abs(top - atop) <= 1.0 * least(alen, e - s) GROUP BY 1, 2, 3),
     out AS (SELECT chrom, s AS "start", e AS "end", name, kind FROM k WHERE kind = 'unique'
-        UNION ALL SELECT chrom, trunc(mean - 1.0 * shortest)::BIGINT, trunc(mean + 1.2::DOUBLE * shortest)::BIGINT, name, kind FROM k WHERE kind = 'simple'
-        UNION ALL SELECT chrom, trunc(mean - 1.0 * shortest)::BIGINT, trunc(mean + 1.2::DOUBLE * shortest)::BIGINT, name, 'complex' FROM x)"""
+        UNION ALL SELECT chrom, greatest(trunc(mean - 1.0 * shortest)::BIGINT, 0), trunc(mean + 1.2::DOUBLE * shortest)::BIGINT, name, kind FROM k WHERE kind = 'simple'
+        UNION ALL SELECT chrom, greatest(trunc(mean - 1.0 * shortest)::BIGINT, 0), trunc(mean + 1.2::DOUBLE * shortest)::BIGINT, name, 'complex' FROM (FROM x SELECT chrom, mean, shortest, name UNION ALL FROM b SELECT chrom, mean, shortest, name))"""
 
 
 def _nsets(v):

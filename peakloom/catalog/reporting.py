@@ -12,6 +12,8 @@ from ..sources.gff import parse_gff3
 from .base import query, r, rounded, t_p_sql
 from .views import PFM, windows_sql
 
+#: Kinds of events, each a track.
+TRACKS = ["click", "error", "purchase", "signup", "view"]
 OV = 'a.chrom = b.chrom AND a."start" < b."end" AND b."start" < a."end"'
 LEN = 'least(a."end", b."end") - greatest(a."start", b."start")'
 
@@ -31,8 +33,8 @@ def _methylation(v, regions):
     return bases.select("chrom", (at + 1).alias("pos"), ((F.col("seq_id") * 31 + at * 17) % 100 / 99.0).alias("prob"))
 
 
-@query("lookup_value", f"""WITH m AS ({SMETH}) SELECT seq_id, string_agg(coalesce(round(prob, 4)::VARCHAR, '-'), ',' ORDER BY s) AS vals FROM (SELECT seq_id, chrom, unnest(range("start", "end")) AS s FROM spots)
-    LEFT JOIN m USING (chrom) WHERE FALSE GROUP BY 1""".replace("LEFT JOIN m USING (chrom) WHERE FALSE", "x LEFT JOIN m ON m.chrom = x.chrom AND m.pos = x.s + 1"))
+@query("lookup_value", f"""WITH m AS ({SMETH}) SELECT seq_id, string_agg(coalesce(round(prob, 4)::VARCHAR, '-'), ',' ORDER BY s) AS vals FROM (SELECT seq_id, chrom, unnest(range("start", "end")) AS s FROM spots) x
+    LEFT JOIN m ON m.chrom = x.chrom AND m.pos = x.s + 1 GROUP BY 1""")
 def _(v):
     regions = sq.extract_sequences(v.spots, v.contigs)
     out = rp.lookup_value(v.spots, _methylation(v, regions))
@@ -85,10 +87,16 @@ def _(v):
     return rounded(rp.methylation_correlations(table), "r", "p_value")
 
 
-@query("methylation_correlations_symmetric")
+@query("methylation_correlations_symmetric", f"""WITH {TABLE}, y AS (SELECT *, {RATIO} AS y FROM t), w AS (SELECT 'peak_density' AS what, meth_sites / ("end" - "start")::DOUBLE AS x, y FROM y WHERE site_score IS NOT NULL
+    UNION ALL SELECT 'site_count', meth_sites_in_motif::DOUBLE, y FROM y WHERE site_score IS NOT NULL
+    UNION ALL SELECT n1 || (i + 1) || n2 || ({len(PFM)} - i), greatest(a.prob, b.prob), y FROM (SELECT y.*, unnest(range(0, {len(PFM) // 2 + 1})) AS i FROM y WHERE site_score IS NOT NULL) z
+        CROSS JOIN (SELECT unnest(['C', 'G']) AS n1, unnest(['G', 'C']) AS n2) LEFT JOIN m a ON a.chrom = z.chrom AND a.pos = z.site_start + z.i + 1
+        LEFT JOIN m b ON b.chrom = z.chrom AND b.pos = z.site_start + {len(PFM)} - z.i WHERE substr(motif_seq, i + 1, 1) = n1 OR substr(motif_seq, {len(PFM)} - i, 1) = n2),
+    c AS (SELECT what, corr(x, y) AS r0, count(*) AS n FROM w WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1), d AS (SELECT what, n, CASE WHEN n > 10 THEN r0 END AS r FROM c)
+    SELECT what, {r('r')} AS r, CASE WHEN r IS NOT NULL THEN {r(t_p_sql('(r * sqrt((n - 2) / (1 - r * r)))', '(n - 2)', 2000))} END AS p_value, n FROM d""")
 def _(v):
     table = rp.log_signal_ratio(_table(v), "cov_a", "cov_b")
-    return rp.methylation_correlations(table, symmetric=True)
+    return rounded(rp.methylation_correlations(table, symmetric=True), "r", "p_value")
 
 
 # --- annotation ------------------------------------------------------------
@@ -96,7 +104,7 @@ def _(v):
 
 def _gff_lines(v):
     """Genes with two exons each, written as GFF3 text from the features."""
-    f = v.features.where("end - start >= 30")
+    f = v.features
     third = F.floor((F.col("end") - F.col("start")) / 3)
     row = lambda kind, s, e, attr: F.concat_ws(
         "\t", "chrom", F.lit("src"), F.lit(kind), (s + 1).cast("string"), e.cast("string"), F.lit("."), "strand", F.lit("."), attr
@@ -112,7 +120,7 @@ def _gff_lines(v):
     return f.select(F.explode(rows).alias("value"))
 
 
-GFF = """f AS (SELECT *, ("end" - "start") // 3 AS third FROM features WHERE "end" - "start" >= 30), g AS (
+GFF = """f AS (SELECT *, ("end" - "start") // 3 AS third FROM features), g AS (
     SELECT id, chrom, 'gene' AS type, "start" AS s, "end" AS e, strand, 'ID=g' || id || ';Name=g' || id AS attr FROM f
     UNION ALL SELECT id, chrom, 'mRNA', "start", "end", strand, 'ID=g' || id || '.1;Parent=g' || id FROM f
     UNION ALL SELECT id, chrom, 'exon', "start", "start" + third, strand, 'ID=e1;Parent=g' || id || '.1' FROM f
@@ -188,11 +196,11 @@ def _(v):
 
 @query("conservation_profile", f"""WITH a AS (SELECT chrom, ("start" + "end") // 2 AS pos FROM features), m AS (SELECT chrom, (spot + spot + len) // 2 AS pos FROM (SELECT f.chrom, f."end" - f."start" AS len,
         ('0x' || substr(md5(concat_ws(':', id, 13)), 1, 12))::BIGINT % (length - (f."end" - f."start") + 1) AS spot FROM features f JOIN sizes USING (chrom))),
-    x AS (SELECT track, b."start" - a.pos AS "offset", avg(value) AS sites FROM a JOIN signal b ON a.chrom = b.chrom AND b."start" >= a.pos - 300 AND b."start" < a.pos + 300 WHERE track IN ('click', 'view') GROUP BY 1, 2),
-    y AS (SELECT track, b."start" - a.pos AS "offset", avg(value) AS shuffled FROM m a JOIN signal b ON a.chrom = b.chrom AND b."start" >= a.pos - 300 AND b."start" < a.pos + 300 WHERE track IN ('click', 'view') GROUP BY 1, 2)
+    x AS (SELECT track, b."start" - a.pos AS "offset", avg(value) AS sites FROM a JOIN signal b ON a.chrom = b.chrom AND b."start" >= a.pos - 300 AND b."start" < a.pos + 300 GROUP BY 1, 2),
+    y AS (SELECT track, b."start" - a.pos AS "offset", avg(value) AS shuffled FROM m a JOIN signal b ON a.chrom = b.chrom AND b."start" >= a.pos - 300 AND b."start" < a.pos + 300 GROUP BY 1, 2)
     SELECT track, "offset", {r('sites')} AS sites, {r('shuffled')} AS shuffled FROM x FULL JOIN y USING (track, "offset")""")
 def _(v):
-    tracks = {t: v.signal.where(F.col("track") == t) for t in ("click", "view")}
+    tracks = {t: v.signal.where(F.col("track") == t) for t in TRACKS}
     out = rp.conservation_profile(v.features.select("id", *COORDS), tracks, v.sizes, 300, 300, 13)
     return rounded(out, "sites", "shuffled")
 

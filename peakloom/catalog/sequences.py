@@ -83,10 +83,24 @@ def _(v):
     return rounded(sq.kmer_score_sequences(v.seqs.select("seq_id"), hits, "seq_id", "SUM"), "kmer_score")
 
 
+@query("kmer_score_best", f"""SELECT seq_id, {r('coalesce(s, 0)')} AS kmer_score FROM seqs LEFT JOIN (
+    SELECT seq_id, max(score) AS s FROM win_long WHERE score > {HIGH} GROUP BY 1) USING (seq_id)""")
+def _(v):
+    hits = mt.scan_pwm(v.seqs, v.model, HIGH)
+    return rounded(sq.kmer_score_sequences(v.seqs.select("seq_id"), hits, "seq_id", "BEST"), "kmer_score")
+
+
+@query("kmer_score_mean", f"""SELECT seq_id, {r('coalesce(s, 0)')} AS kmer_score FROM seqs LEFT JOIN (
+    SELECT seq_id, avg(score) AS s FROM win_long WHERE score > {HIGH} GROUP BY 1) USING (seq_id)""")
+def _(v):
+    hits = mt.scan_pwm(v.seqs, v.model, HIGH)
+    return rounded(sq.kmer_score_sequences(v.seqs.select("seq_id"), hits, "seq_id", "MEAN"), "kmer_score")
+
+
 @query("labelled_sequences", """SELECT CASE WHEN quality = 1 THEN 1 ELSE 0 END AS label, md5(substr(seq, "start" + 1, "end" - "start")) AS seq, chrom, "start", "end"
-    FROM spots JOIN labels ON doc_id = seq_id""")
+    FROM spots JOIN labels USING (doc_id)""")
 def _(v):
-    spots = v.spots.join(v.table("labels").select(F.col("doc_id").alias("seq_id"), "quality"), "seq_id")
+    spots = v.spots.join(v.table("labels").select("doc_id", "quality"), "doc_id")
     out = sq.labelled_sequences(spots.where("quality = 1"), spots.where("quality = 0"), v.contigs)
     return out.withColumn("seq", F.md5("seq"))
 
@@ -94,13 +108,6 @@ def _(v):
 # --- matrices --------------------------------------------------------------
 
 
-def _pwm_rows():
-    for name, pfm in ((MOTIF, PFM), (MOTIF_SHORT, PFM_SHORT)):
-        for i, row in enumerate(_log_scores(pfm)):
-            for base, term in zip("ACGT", row):
-                yield name, i + 1, base, term, len(pfm)
-
-
 @query("pfm_from_sites", f"""SELECT pos, count(*) FILTER (WHERE b = 'A') AS "A", count(*) FILTER (WHERE b = 'C') AS "C", count(*) FILTER (WHERE b = 'G') AS "G",
     count(*) FILTER (WHERE b = 'T') AS "T" FROM (SELECT unnest(range(1, {len(PFM) + 1}))::INT AS pos, unnest(string_split(kmer, '')) AS b FROM win_long WHERE score > {HIGH}) GROUP BY 1""")
 def _(v):
@@ -374,13 +381,14 @@ def _(v):
 
 # --- score distributions ---------------------------------------------------
 
-ALL = f"SELECT '{MOTIF}' AS motif_id, strand, round(score, 6) AS score FROM win_long"
+ALL = f"""SELECT '{MOTIF}' AS motif_id, strand, round(score, 6) AS score FROM win_long
+    UNION ALL SELECT '{MOTIF}', unnest(['+', '-']), -66.0::DOUBLE FROM seqs WHERE length(seq) < {len(PFM)}"""
 GENOME = "(SELECT sum(length(seq)) FROM seqs)"
 
 
 def _counts(v):
-    """Counted scores of all windows (sequences too short for the motif left out)."""
-    counts = mt.scan_score_counts(v.seqs.where(F.length("seq") >= len(PFM)), v.model)
+    """Counted scores of all windows; a sequence too short for the motif counts once a strand."""
+    counts = mt.scan_score_counts(v.seqs, v.model)
     return counts.withColumn("score", F.round("score", 6) + F.lit(0.0))
 
 
@@ -489,13 +497,13 @@ def _annotation(v):
 
 def _library(v, simple=True):
     sizes = v.seqs.where(F.length("seq") > 0).select(F.col("seq_id").cast("string").alias("chrom"), F.length("seq").cast("long").alias("length"))
-    return sp.genome_bin_library(sizes, _annotation(v), v.contigs, 200, v.spots, simple)
+    return sp.genome_bin_library(sizes, _annotation(v), v.contigs, 200, v.probes, simple)
 
 
 ANNOT = """SELECT seq_id::VARCHAR AS chrom, length(seq) * i // 3 AS "start", length(seq) * (i + 1) // 3 AS "end", CASE WHEN (seq_id + i) % 4 = 0 THEN '5UTR' ELSE ['exon', 'intron', 'promoter'][i + 1] END AS type
     FROM seqs CROSS JOIN (SELECT unnest([0, 1, 2]) AS i) WHERE length(seq) >= 3"""
-BINS = """SELECT u.chrom, s AS "start", s + 200 AS "end", substr(seq, s + 1, 200) AS q FROM (SELECT seq_id::VARCHAR AS chrom, seq, unnest(range(0, length(seq), 200)) AS s FROM seqs) u
-    LEFT JOIN spots p ON p.chrom = u.chrom AND greatest(p."start" - 1, 0) < s + 200 AND s < p."end" + 1 WHERE s + 200 <= length(u.seq) AND p.chrom IS NULL""".replace("substr(seq", "substr(u.seq").replace("length(seq), 200)) AS s FROM seqs", "length(seq), 200)) AS s FROM seqs")
+BINS = """SELECT u.chrom, s AS "start", s + 200 AS "end", substr(u.seq, s + 1, 200) AS q FROM (SELECT seq_id::VARCHAR AS chrom, seq, unnest(range(0, length(seq), 200)) AS s FROM seqs) u
+    LEFT JOIN probes p ON p.chrom = u.chrom AND greatest(p."start" - 1, 0) < s + 200 AND s < p."end" + 1 WHERE s + 200 <= length(u.seq) AND p.chrom IS NULL"""
 
 
 @query("genome_bin_library", f"""WITH b AS ({BINS}), f AS ({ANNOT}), t AS ({TYPED})
@@ -519,7 +527,7 @@ def _(v):
 
 @query("matched_negatives")
 def _(v):
-    positives = sq.with_gc(sq.extract_sequences(v.spots, v.contigs)).select("seq_id", *COORDS, "gc")
+    positives = sq.with_gc(sq.extract_sequences(v.probes, v.contigs)).select("seq_id", *COORDS, "gc")
     from ..operators.reports import annotate_peaks
 
     typed = annotate_peaks(positives, _annotation(v)).drop("overlap")
@@ -528,7 +536,7 @@ def _(v):
 
 @query("n_negative_sets")
 def _(v):
-    positives = sq.with_gc(sq.extract_sequences(v.spots, v.contigs)).select("seq_id", *COORDS, "gc")
+    positives = sq.with_gc(sq.extract_sequences(v.probes, v.contigs)).select("seq_id", *COORDS, "gc")
     from ..operators.reports import annotate_peaks
 
     typed = annotate_peaks(positives, _annotation(v)).drop("overlap")

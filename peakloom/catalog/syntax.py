@@ -15,11 +15,13 @@ LOW, MIDDLE, HIGH = -8.0, -7.0, -6.0
 CUTS = [LOW, MIDDLE, HIGH]
 
 SITES = f"SELECT seq_id, pos, strand, score FROM win_short WHERE score > {LOW}"
+# A site under the number of its stretch and of the one before, to be met by sites at most a stretch ahead of it.
+NEXT = "SELECT *, unnest([pos // {1}, pos // {1} - 1]) AS kb FROM {0}"
 CONF = "CASE WHEN a.strand = b.strand THEN 'DR' WHEN a.strand = '-' THEN 'ER' ELSE 'IR' END"
 END1 = f"a.pos + {L} - CASE WHEN a.strand = '+' THEN 2 ELSE 1 END"
 START2 = "b.pos + CASE WHEN b.strand = '+' THEN 1 ELSE 2 END"
 PAIRS = f"""SELECT a.seq_id, {CONF} AS conf, ({START2} - ({END1}))::INT AS space, a.score AS score1, b.score AS score2, a.pos::INT AS pos1, b.pos::INT AS pos2,
-    ({END1})::INT AS corr_pos1, ({START2})::INT AS corr_pos2 FROM s a JOIN s b ON a.seq_id = b.seq_id
+    ({END1})::INT AS corr_pos1, ({START2})::INT AS corr_pos2 FROM s a JOIN ({NEXT.format('s', 64)}) b ON a.seq_id = b.seq_id AND a.pos // 64 = b.kb
     AND (a.pos < b.pos OR (a.pos = b.pos AND a.strand = '+' AND b.strand = '-')) AND b.pos - a.pos <= 60 WHERE {START2} - ({END1}) BETWEEN 0 AND 30"""
 WITH = f"WITH s AS ({SITES}), pairs AS ({PAIRS})"
 COUNTS = """SELECT threshold, conf, space, count(*) AS n FROM pairs JOIN (SELECT unnest([-8.0, -7.0, -6.0])::DOUBLE AS threshold) ON least(score1, score2) > threshold GROUP BY 1, 2, 3"""
@@ -37,8 +39,8 @@ def _counts(v):
     return sx.spacing_counts(_pairs(v), CUTS)
 
 
-@query("site_pairs", f"""WITH s AS ({SITES}) SELECT a.seq_id, a.pos::INT AS pos1, b.pos::INT AS pos2, a.strand AS strand1, b.strand AS strand2 FROM s a JOIN s b
-    ON a.seq_id = b.seq_id AND (a.pos < b.pos OR (a.pos = b.pos AND a.strand = '+' AND b.strand = '-')) AND b.pos - a.pos <= 40""")
+@query("site_pairs", f"""WITH s AS ({SITES}) SELECT a.seq_id, a.pos::INT AS pos1, b.pos::INT AS pos2, a.strand AS strand1, b.strand AS strand2 FROM s a JOIN ({NEXT.format('s', 64)}) b
+    ON a.seq_id = b.seq_id AND a.pos // 64 = b.kb AND (a.pos < b.pos OR (a.pos = b.pos AND a.strand = '+' AND b.strand = '-')) AND b.pos - a.pos <= 40""")
 def _(v):
     return sx.site_pairs(_sites(v), 40).select("seq_id", "pos1", "pos2", "strand1", "strand2")
 
@@ -59,8 +61,8 @@ def _long_sites(v):
 def _one_way(x, y, size, lead, trail, opposed=True):
     conf = f"CASE WHEN a.strand = b.strand AND a.strand = '+' THEN '{lead}' WHEN a.strand = b.strand THEN '{trail}' WHEN a.strand = '-' THEN 'ER' ELSE 'IR' END"
     extra = "" if opposed else " AND a.strand = b.strand"
-    return f"""SELECT a.seq_id, {conf} AS conf, (b.pos - a.pos - {size})::INT AS space, a.score AS sa, b.score AS sb, a.pos::INT AS pa, b.pos::INT AS pb FROM {x} a JOIN {y} b
-        ON a.seq_id = b.seq_id AND b.pos - a.pos - {size} BETWEEN 0 AND 30{extra}"""
+    return f"""SELECT a.seq_id, {conf} AS conf, (b.pos - a.pos - {size})::INT AS space, a.score AS sa, b.score AS sb, a.pos::INT AS pa, b.pos::INT AS pb FROM {x} a JOIN ({NEXT.format(y, 256)}) b
+        ON a.seq_id = b.seq_id AND a.pos // 256 = b.kb AND b.pos - a.pos - {size} BETWEEN 0 AND 30{extra}"""
 
 
 HETERO = f"""WITH x AS ({HSITES}), y AS ({SITES}), hp AS ({_one_way('x', 'y', LONG, 'DR12', 'DR21')}
@@ -122,7 +124,7 @@ def _(v):
     return rounded(sx.relative_enrichment(*_split_counts(v)), "pos_share", "neg_share", "enrichment")
 
 
-@query("absolute_rate", SPLIT + f""", len AS (SELECT quality, sum(length(seq) + 1 - {L}) AS l FROM seqs JOIN ({LABELS}) USING (seq_id) GROUP BY 1),
+@query("absolute_rate", SPLIT + f""", len AS (SELECT quality, sum(greatest(length(seq) + 1 - {L}, 0)) AS l FROM seqs JOIN ({LABELS}) USING (seq_id) GROUP BY 1),
     t AS (SELECT quality, threshold, conf, sum(n) AS n FROM c GROUP BY 1, 2, 3)
     SELECT p.threshold, p.conf, {r('coalesce((p.n / n.n) / ((SELECT l FROM len WHERE quality = 1) / (SELECT l FROM len WHERE quality = 0)), 0)')} AS rate
     FROM t p LEFT JOIN t n ON n.quality = 0 AND p.threshold = n.threshold AND p.conf = n.conf WHERE p.quality = 1""")
@@ -165,6 +167,15 @@ def _(v):
     return rounded(sx.spacing_fc_z(_counts(v), "uniform"), "fc", "z")
 
 
+@query("spacing_fc_z_with_zeros", WITH + f""", c AS ({COUNTS}), span AS (SELECT threshold, min(space) AS lo, max(space) AS hi FROM c GROUP BY 1),
+    grid AS (SELECT threshold, conf, unnest(range(lo, hi + 1))::INT AS space FROM (SELECT DISTINCT threshold, conf FROM c) JOIN span USING (threshold)),
+    f AS (SELECT threshold, conf, space, coalesce(n, 0) AS n FROM grid LEFT JOIN c USING (threshold, conf, space)), m AS (SELECT threshold, conf, median(n) AS u FROM f GROUP BY 1, 2),
+    e AS (SELECT threshold, conf, any_value(u) AS u, median(abs(n - u)) * 1.4826 AS sigma FROM f JOIN m USING (threshold, conf) GROUP BY 1, 2)
+    SELECT threshold, conf, space, n, CASE WHEN u > 0 THEN {r('n / u')} END AS fc, CASE WHEN sigma > 0 THEN {r('(n - u) / sigma')} END AS z FROM f JOIN e USING (threshold, conf)""")
+def _(v):
+    return rounded(sx.spacing_fc_z(_counts(v), zeros=True), "fc", "z")
+
+
 def _tested(v):
     return sx.spacing_pvalues(sx.spacing_fc_z(_counts(v)))
 
@@ -189,10 +200,10 @@ def _(v):
 
 # --- transcription starts --------------------------------------------------
 
-# One start per sequence, in the middle of its region, with a strand.
-TSS = """SELECT seq_id, chrom, ("start" + "end") // 2 AS pos, CASE WHEN seq_id % 2 = 0 THEN '+' ELSE '-' END AS strand, "start" AS s, "end" AS e FROM spots"""
-TSITES = f"SELECT seq_id, (pos - s + 1)::INT AS pos, strand, -1.0::DOUBLE AS score FROM ({TSS}) WHERE s >= pos - 200 AND e <= pos + 201"
-BSITES = """SELECT w.seq_id, (w.pos - s."start")::INT AS pos, w.strand, w.score FROM win_short w JOIN spots s USING (seq_id) WHERE w.score > -12 AND w.pos > s."start" AND w.pos + 5 <= s."end" """
+# One start in the middle of each region, with a strand.
+TSS = """SELECT chrom, ("start" + "end") // 2 AS pos, CASE WHEN seq_id % 2 = 0 THEN '+' ELSE '-' END AS strand FROM spots"""
+TSITES = f"""SELECT s.seq_id, (t.pos - s."start" + 1)::INT AS pos, t.strand, -1.0::DOUBLE AS score FROM spots s JOIN ({TSS}) t ON t.chrom = s.chrom AND s."start" >= t.pos - 200 AND s."end" <= t.pos + 201"""
+BSITES = """SELECT s.seq_id, (w.pos - s."start")::INT AS pos, w.strand, w.score FROM win_short w JOIN spots s ON w.seq_id = s.doc_id AND (w.pos - 1) // 300 = s.k WHERE w.score > -12 AND w.pos + 5 <= s."end" """
 TPAIRS = f"""WITH x AS ({BSITES}), y AS ({TSITES}), tp AS ({_one_way('x', 'y', L, 'DR12', 'DR21').replace('AND 30', 'AND 200')}
     UNION ALL SELECT seq_id, conf, space, sb, sa, pb, pa FROM ({_one_way('y', 'x', 1, 'DR21', 'DR12').replace('AND 30', 'AND 200')}))"""
 
@@ -283,18 +294,38 @@ def _(v):
     return sx.sites_per_model(mt.scan_pwm(v.seqs, v.models, LOW, with_kmer=False), -7.0)
 
 
-ITEMS = "SELECT DISTINCT user_id AS w, event_type AS m FROM events WHERE value > 60"
+# Sites of one kind of event each, met in windows of 20 kb.
+ITEMS = """SELECT DISTINCT chrom || ':' || ("start" // 20000) AS w, track AS m FROM signal"""
 
 
-@query("cooccurrence_rules", f"""WITH s AS ({ITEMS}), n AS (SELECT m, count(*) AS n FROM s GROUP BY 1), w AS (SELECT count(DISTINCT w) AS w FROM s),
+RULES = f"""s AS ({ITEMS}), n AS (SELECT m, count(*) AS n FROM s GROUP BY 1), w AS (SELECT count(DISTINCT w) AS w FROM s),
     p AS (SELECT a.m AS tf1, b.m AS tf2, count(*) AS pair_count FROM s a JOIN s b USING (w) WHERE a.m < b.m GROUP BY 1, 2),
-    j AS (SELECT p.*, x.n AS tf1_count, y.n AS tf2_count, w FROM p JOIN n x ON x.m = tf1 JOIN n y ON y.m = tf2 CROSS JOIN w)
-    SELECT tf1, tf2, pair_count, tf1_count, tf2_count, {r('pair_count / w')} AS support, {r('pair_count / tf1_count')} AS confidence, {r('pair_count * w / (tf1_count * tf2_count)')} AS lift,
-    {r('pair_count / sqrt(tf1_count * tf2_count)')} AS cosine, CASE WHEN tf1_count < w AND tf2_count < w THEN
-    {r('(pair_count - tf1_count * tf2_count / w) / sqrt(tf1_count * tf2_count / w * (1 - tf1_count / w) * (1 - tf2_count / w) * w / (w - 1))')} END AS zscore FROM j""")
+    j AS (SELECT p.*, x.n AS tf1_count, y.n AS tf2_count, w FROM p JOIN n x ON x.m = tf1 JOIN n y ON y.m = tf2 CROSS JOIN w)"""
+ZSCORE = """CASE WHEN tf1_count < w AND tf2_count < w THEN (pair_count - tf1_count * tf2_count / w) / sqrt(tf1_count * tf2_count / w * (1 - tf1_count / w) * (1 - tf2_count / w) * w / (w - 1)) END"""
+
+
+def _rules(v):
+    window = F.concat_ws(":", "chrom", F.floor(F.col("start") / 20000).cast("string"))
+    return sx.cooccurrence_rules(v.signal.select(window.alias("seq_id"), F.col("track").alias("motif_id")))
+
+
+@query("cooccurrence_rules", f"""WITH {RULES} SELECT tf1, tf2, pair_count, tf1_count, tf2_count, {r('pair_count / w')} AS support, {r('pair_count / tf1_count')} AS confidence, {r('pair_count * w / (tf1_count * tf2_count)')} AS lift,
+    {r('pair_count / sqrt(tf1_count * tf2_count)')} AS cosine, {r(ZSCORE)} AS zscore FROM j""")
+def _(v):
+    return rounded(_rules(v), "support", "confidence", "lift", "cosine", "zscore")
+
+
+@query("significant_rules", f"""WITH {RULES}, r AS (SELECT tf1, tf2, {ZSCORE} AS z, pair_count / sqrt(tf1_count * tf2_count) AS c FROM j),
+    cut AS (SELECT quantile_cont(round(z, 9), 0.6) AS z, quantile_cont(round(c, 9), 0.6) AS c FROM r) SELECT r.tf1, r.tf2, {r('r.z')} AS zscore, {r('r.c')} AS cosine FROM r, cut WHERE round(r.z, 9) >= cut.z AND round(r.c, 9) >= cut.c""")
+def _(v):
+    return rounded(sx.significant_rules(_rules(v), ["zscore", "cosine"], 0.4).select("tf1", "tf2", "zscore", "cosine"), "zscore", "cosine")
+
+
+@query("cooccurrence_distances", """WITH s AS (SELECT chrom, "start" AS pos, track AS m FROM signal), near AS (SELECT *, unnest([pos // 4096 - 1, pos // 4096, pos // 4096 + 1]) AS kb FROM s)
+    SELECT a.m AS tf1, b.m AS tf2, (abs(b.pos - a.pos) - 1)::BIGINT AS distance, count(*) AS n FROM s a JOIN near b ON a.chrom = b.chrom AND a.pos // 4096 = b.kb AND a.m < b.m AND abs(b.pos - a.pos) - 1 BETWEEN 0 AND 4000 GROUP BY 1, 2, 3""")
 def _(v):
-    sites = v.table("events").where("value > 60").select(F.col("user_id").alias("seq_id"), F.col("event_type").alias("motif_id"))
-    return rounded(sx.cooccurrence_rules(sites), "support", "confidence", "lift", "cosine", "zscore")
+    sites = v.signal.select(F.col("chrom").alias("seq_id"), F.col("track").alias("motif_id"), F.col("start").alias("pos"), F.col("end").alias("stop"))
+    return sx.cooccurrence_distances(sites, 0, 4000)
 
 
 @query("preferred_spacing_flag", WITH + """ SELECT q.seq_id, t.threshold, CASE WHEN EXISTS (SELECT 1 FROM pairs p WHERE p.seq_id = q.seq_id AND least(score1, score2) >= t.threshold

@@ -63,8 +63,10 @@ SQL_VIEWS = {
     "seqs": f"""SELECT doc_id AS seq_id,
         translate(regexp_replace(text, '[^A-Za-z]', '', 'g'), '{LETTERS}', '{BASES}') AS seq, lang FROM documents""",
     "labelled": "SELECT seq_id, seq, quality AS label FROM seqs JOIN labels ON doc_id = seq_id",
-    "spots": """SELECT seq_id, seq_id::VARCHAR AS chrom, (seq_id * 7919) % greatest(length(seq) - 1, 1) AS "start",
-        least((seq_id * 7919) % greatest(length(seq) - 1, 1) + 300, length(seq)) AS "end", seq FROM seqs WHERE length(seq) > 0""",
+    "spots": """SELECT doc_id, doc_id * 100000 + k AS seq_id, doc_id::VARCHAR AS chrom, k * 300 AS "start", least(k * 300 + 300, length(seq)) AS "end", k, seq
+        FROM (SELECT seq_id AS doc_id, seq, unnest(range(0, (length(seq) + 299) // 300)) AS k FROM seqs)""",
+    "probes": """SELECT seq_id, seq_id::VARCHAR AS chrom, (seq_id * 7919) % greatest(length(seq) - 1, 1) AS "start",
+        least((seq_id * 7919) % greatest(length(seq) - 1, 1) + 300, length(seq)) AS "end" FROM seqs WHERE length(seq) > 0""",
 }
 
 
@@ -144,7 +146,16 @@ class Views:
 
     @cached_property
     def spots(self) -> DataFrame:
-        """One 300 bp region in each sequence, the sequences acting as contigs."""
+        """Regions of 300 bp end to end over each whole sequence, the sequences acting as contigs."""
+        sized = self.seqs.select(F.col("seq_id").alias("doc_id"), F.length("seq").cast("long").alias("size")).where("size > 0")
+        return sized.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / 300)))).select(
+            "doc_id", (F.col("doc_id") * 100000 + F.col("k")).alias("seq_id"), F.col("doc_id").cast("string").alias("chrom"),
+            (F.col("k") * 300).alias("start"), F.least(F.col("k") * 300 + 300, "size").alias("end"),
+        )
+
+    @cached_property
+    def probes(self) -> DataFrame:
+        """One 300 bp region in each sequence; what lies outside them is the background."""
         size = F.length("seq")
         start = (F.col("seq_id") * 7919) % F.greatest(size - 1, F.lit(1))
         return self.seqs.where(size > 0).select(

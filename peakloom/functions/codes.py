@@ -26,6 +26,22 @@ def slices(batch: pa.RecordBatch, bases: int = 1 << 21) -> Iterator[tuple[np.nda
         at = to
 
 
+def pieces(batch: pa.RecordBatch, overlap: int, bases: int = 1 << 21) -> Iterator[tuple[np.ndarray, ...]]:
+    """As :func:`slices`, a sequence longer than ``bases`` in several pieces that share ``overlap`` letters.
+
+    Yields (first column, start offsets, bytes, place of each piece in its sequence, number of starts that
+    belong to the piece, length of the whole sequence).
+    """
+    for ids, offsets, data in slices(batch, bases):
+        size = np.diff(offsets)
+        if len(ids) > 1 or offsets[-1] <= bases:
+            yield ids, offsets, data, np.zeros_like(size), size, size
+            continue
+        for at in range(0, len(data), bases):
+            part = data[at:at + bases + overlap]
+            yield ids, np.array([0, len(part)]), part, np.array([at]), np.array([bases]), size
+
+
 def kmer_codes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(sequence number, canonical k-mer as a base-4 number) of every clean window; k is at most 31."""
     codes = CODES[data]

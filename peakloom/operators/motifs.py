@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.codes import CODES, slices
+from ..functions.codes import CODES, pieces
 from ..runtime import cut_lineage
 
 BASES = "ACGT"
@@ -27,8 +27,6 @@ MOTIF_SCHEMA = (
     "value double, positions array<int>"
 )
 SITE_SCHEMA = "motif_id string, seq_id long, pos int, stop int, strand string, kmer string, type string, motif_len int, score double"
-#: Matrices shipped to the tasks together; a larger collection is scanned in several batches.
-BATCH = 256
 
 
 def motif_rows(motif_id: str, kind: str, symmetry: str, matrix: Sequence[Sequence[float]]) -> list[tuple]:
@@ -129,27 +127,29 @@ def _window_scores(codes: np.ndarray, model: Model) -> np.ndarray:
     return total
 
 
-def _scan_batches(batches, models, threshold):
+def _scan_batches(batches, models, threshold, bases=1 << 21):
+    reach = max((m.length for m in models), default=1) - 1
     for batch in batches:
-        for ids, offsets, data in slices(batch):
+        for ids, offsets, data, place, own, whole in pieces(batch, reach, bases):
             codes, ends = CODES[data], offsets[1:]
             owner = np.repeat(np.arange(len(ids)), np.diff(offsets))
             for model in models:
                 size = model.length
                 strands = [("+", model)] if model.symmetric else [("+", model), ("-", model.reverse())]
-                short = np.flatnonzero(np.diff(offsets) < size)
+                short = np.flatnonzero(whole < size)
                 for strand, view in strands:
                     if len(codes) >= size:
                         score = _window_scores(codes, view)
                         home = owner[:len(score)]
-                        keep = np.arange(len(score)) + size <= ends[home]
+                        at = np.arange(len(score))
+                        keep = (at + size <= ends[home]) & (at < offsets[home] + own[home])
                         if threshold is not None:
                             keep &= score > threshold
                         at = np.flatnonzero(keep)
                     else:
                         score, at = np.zeros(0), np.zeros(0, int)
                         home = at
-                    yield model, strand, ids, offsets, data, home, at, score, short
+                    yield model, strand, ids, offsets - np.append(place, 0), data, home, at, score, short
 
 
 def scan_pwm(
@@ -164,32 +164,24 @@ def scan_pwm(
     """
     source = sequences.select(F.col(id_col).cast("long").alias("seq_id"), F.col(seq_col).alias("seq"))
 
-    def run(models):
-        def scan(batches):
-            for model, strand, ids, offsets, data, home, at, score, short in _scan_batches(batches, models, threshold):
-                size, n = model.length, len(at)
-                if n and with_kmer:
-                    windows = np.lib.stride_tricks.sliding_window_view(data, size)[at]
-                    words = pa.array(np.ascontiguousarray(windows).view(f"S{size}").ravel()).cast(pa.string())
-                else:
-                    words = pa.nulls(n, pa.string())
-                if n:
-                    pos = at - offsets[home[at]] + 1
-                    yield _site_batch(model, strand, ids[home[at]], pos, words, score[at])
-                if len(short) and (threshold is None or SHORT_SCORE > threshold):
-                    first = pa.array([chr(data[offsets[i]]) if offsets[i + 1] > offsets[i] else "" for i in short])
-                    yield _site_batch(
-                        model, strand, ids[short], np.ones(len(short)), first, np.full(len(short), SHORT_SCORE)
-                    )
-        return scan
-
-    parts = [
-        source.mapInArrow(run(list(models[i:i + BATCH])), SITE_SCHEMA) for i in range(0, len(models), BATCH)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    def scan(batches):
+        for model, strand, ids, offsets, data, home, at, score, short in _scan_batches(batches, models, threshold):
+            size, n = model.length, len(at)
+            if n and with_kmer:
+                windows = np.lib.stride_tricks.sliding_window_view(data, size)[at]
+                words = pa.array(np.ascontiguousarray(windows).view(f"S{size}").ravel()).cast(pa.string())
+            else:
+                words = pa.nulls(n, pa.string())
+            if n:
+                pos = at - offsets[home[at]] + 1
+                yield _site_batch(model, strand, ids[home[at]], pos, words, score[at])
+            if len(short) and (threshold is None or SHORT_SCORE > threshold):
+                first = pa.array([chr(data[offsets[i]]) if offsets[i + 1] > offsets[i] else "" for i in short])
+                yield _site_batch(
+                    model, strand, ids[short], np.ones(len(short)), first, np.full(len(short), SHORT_SCORE)
+                )
+
+    return source.mapInArrow(scan, SITE_SCHEMA)
 
 
 def scan_best(
@@ -201,27 +193,22 @@ def scan_best(
     """
     source = sequences.select(F.col(id_col).cast("long").alias("seq_id"), F.col(seq_col).alias("seq"))
 
-    def run(models):
-        def scan(batches):
-            for model, strand, ids, offsets, data, home, at, score, short in _scan_batches(batches, models, None):
-                if len(at):
-                    top = np.full(len(ids), -np.inf)
-                    np.maximum.at(top, home[at], score[at])
-                    best = at[score[at] == top[home[at]]]
-                    _, first = np.unique(home[best], return_index=True)
-                    best = best[first]
-                    windows = np.lib.stride_tricks.sliding_window_view(data, model.length)[best]
-                    words = pa.array(np.ascontiguousarray(windows).view(f"S{model.length}").ravel()).cast(pa.string())
-                    yield _site_batch(model, strand, ids[home[best]], best - offsets[home[best]] + 1, words, score[best])
-                if len(short):
-                    first = pa.array([chr(data[offsets[i]]) if offsets[i + 1] > offsets[i] else "" for i in short])
-                    yield _site_batch(model, strand, ids[short], np.ones(len(short)), first, np.full(len(short), SHORT_SCORE))
-        return scan
-
-    out = None
-    for i in range(0, len(models), BATCH):
-        part = source.mapInArrow(run(list(models[i:i + BATCH])), SITE_SCHEMA)
-        out = part if out is None else out.unionByName(part)
+    def scan(batches):
+        for model, strand, ids, offsets, data, home, at, score, short in _scan_batches(batches, models, None):
+            if len(at):
+                top = np.full(len(ids), -np.inf)
+                np.maximum.at(top, home[at], score[at])
+                best = at[score[at] == top[home[at]]]
+                _, first = np.unique(home[best], return_index=True)
+                best = best[first]
+                windows = np.lib.stride_tricks.sliding_window_view(data, model.length)[best]
+                words = pa.array(np.ascontiguousarray(windows).view(f"S{model.length}").ravel()).cast(pa.string())
+                yield _site_batch(model, strand, ids[home[best]], best - offsets[home[best]] + 1, words, score[best])
+            if len(short):
+                first = pa.array([chr(data[offsets[i]]) if offsets[i + 1] > offsets[i] else "" for i in short])
+                yield _site_batch(model, strand, ids[short], np.ones(len(short)), first, np.full(len(short), SHORT_SCORE))
+
+    out = source.mapInArrow(scan, SITE_SCHEMA)
     return best_site(out)
 
 
@@ -231,21 +218,16 @@ def scan_occupancy(
     """Predicted occupancy of every sequence and motif over all its windows, summed inside the scan."""
     source = sequences.select(F.col(id_col).cast("long").alias("seq_id"), F.col(seq_col).alias("seq"))
 
-    def run(models):
-        def scan(batches):
-            for model, _, ids, offsets, _, home, at, score, short in _scan_batches(batches, models, None):
-                bound = np.exp((np.append(score[at], np.full(len(short), SHORT_SCORE)) - b) / a) * np.exp(b / a)
-                total = np.bincount(np.append(home[at], short), bound / (1 + bound), len(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(model.motif_id, len(ids)), pa.array(ids.astype(np.int64)), pa.array(total)],
-                    names=["motif_id", "seq_id", "occupancy"],
-                )
-        return scan
+    def scan(batches):
+        for model, _, ids, offsets, _, home, at, score, short in _scan_batches(batches, models, None):
+            bound = np.exp((np.append(score[at], np.full(len(short), SHORT_SCORE)) - b) / a) * np.exp(b / a)
+            total = np.bincount(np.append(home[at], short), bound / (1 + bound), len(ids))
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(model.motif_id, len(ids)), pa.array(ids.astype(np.int64)), pa.array(total)],
+                names=["motif_id", "seq_id", "occupancy"],
+            )
 
-    out = None
-    for i in range(0, len(models), BATCH):
-        part = source.mapInArrow(run(list(models[i:i + BATCH])), "motif_id string, seq_id long, occupancy double")
-        out = part if out is None else out.unionByName(part)
+    out = source.mapInArrow(scan, "motif_id string, seq_id long, occupancy double")
     return out.groupBy("motif_id", "seq_id").agg(F.sum("occupancy").alias("occupancy"))
 
 
@@ -270,21 +252,16 @@ def scan_score_counts(
     """
     source = sequences.select(F.col(id_col).cast("long").alias("seq_id"), F.col(seq_col).alias("seq"))
 
-    def run(models):
-        def scan(batches):
-            for model, strand, *_, at, score, short in _scan_batches(batches, models, None):
-                values, n = np.unique(np.append(score[at], np.full(len(short), SHORT_SCORE)), return_counts=True)
-                if len(values):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(model.motif_id, len(n)), pa.repeat(strand, len(n)), pa.array(values), pa.array(n.astype(np.int64))],
-                        names=["motif_id", "strand", "score", "n"],
-                    )
-        return scan
-
-    out = None
-    for i in range(0, len(models), BATCH):
-        part = source.mapInArrow(run(list(models[i:i + BATCH])), "motif_id string, strand string, score double, n long")
-        out = part if out is None else out.unionByName(part)
+    def scan(batches):
+        for model, strand, *_, at, score, short in _scan_batches(batches, models, None):
+            values, n = np.unique(np.append(score[at], np.full(len(short), SHORT_SCORE)), return_counts=True)
+            if len(values):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(model.motif_id, len(n)), pa.repeat(strand, len(n)), pa.array(values), pa.array(n.astype(np.int64))],
+                    names=["motif_id", "strand", "score", "n"],
+                )
+
+    out = source.mapInArrow(scan, "motif_id string, strand string, score double, n long")
     # Distinct scores are few beside the windows and every consumer reads them several times.
     return cut_lineage(out.groupBy("motif_id", "strand", "score").agg(F.sum("n").alias("n")))
 

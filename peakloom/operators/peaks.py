@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -244,9 +245,9 @@ def split_complex_clusters(peaks: DataFrame, size: int = 200, members: int = 3)
     """Islands with more than ``members`` peaks, cut into windows around their summits.
 
     Along the summits, one joins the last centre if within ``size`` and opens a new one
-    otherwise; each centre gives mean summit +- ``size``.  Summits further apart than
-    ``size`` never share a centre, so runs between such gaps are independent, and equal
-    summits are counted first: a run has at most one row per position it spans.
+    otherwise; each centre gives mean summit +- ``size``.  Equal summits are counted first.  A tile
+    tells for every centre that may reach into it which centre leaves it (at most ``size`` + 2 rows);
+    these are followed from tile to tile, then tiles are walked on their own.
     """
     clustered = cluster_intervals(peaks)
     big = (
@@ -259,13 +260,38 @@ def split_complex_clusters(peaks: DataFrame, size: int = 200, members: int = 3)
     spots = cut_lineage(spots)
     keys = ["chrom", "cluster_start"]
     tile = F.floor(F.col("summit") / TILE)
-    gaps = tiled_scan(spots, keys, [F.col("summit")], tile, preceding={"prev": F.col("summit")})
-    starts = gaps.withColumn("opens", F.when(F.col("prev").isNull() | (F.col("summit") - F.col("prev") > size), F.col("summit")))
-    runs = tiled_scan(starts.drop("prev"), keys, [F.col("summit")], tile, filled={"run": F.col("opens")}).drop("opens")
+    tiles = spots.withColumn("tile", tile)
+
+    def passages(frame: pd.DataFrame) -> pd.DataFrame:
+        at = np.sort(frame["summit"].to_numpy())
+        follow = np.searchsorted(at, at + size, "right")
+        leaves = at.copy()
+        for i in range(len(at) - 1, -1, -1):
+            if follow[i] < len(at):
+                leaves[i] = leaves[follow[i]]
+        # A centre before the tile reaches less far than one at its first summit.
+        n = min(int(follow[0]), len(at) - 1) + 1
+        out = frame[["chrom", "cluster_start", "tile"]].iloc[:1].merge(pd.DataFrame({"summit": at[:n], "leaves": leaves[:n]}), how="cross")
+        out["last"] = at[-1]
+        return out
+
+    def follow_tiles(frame: pd.DataFrame) -> pd.DataFrame:
+        centre, came = None, []
+        groups = sorted(frame.groupby("tile"), key=lambda g: g[0])
+        for _, rows in groups:
+            came.append(centre)
+            summits = np.sort(rows["summit"].to_numpy())
+            reached = -1 if centre is None else np.searchsorted(summits, centre + size, "right")
+            if centre is None or centre + size < rows["last"].iloc[0]:
+                centre = int(rows.set_index("summit")["leaves"][summits[max(reached, 0)]])
+        out = frame[["chrom", "cluster_start"]].iloc[:1].merge(pd.DataFrame({"tile": [t for t, _ in groups]}), how="cross")
+        out["came"] = pd.array(came, "Int64")
+        return out
 
     def walk(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("summit")
-        centre, centres = None, []
+        came = frame["came"].iloc[0]
+        centre, centres = None if pd.isna(came) else int(came), []
         for s in frame["summit"]:
             if centre is None or s - centre > size:
                 centre = s
@@ -273,7 +299,12 @@ def split_complex_clusters(peaks: DataFrame, size: int = 200, members: int = 3)
         frame["centre"] = centres
         return frame[["chrom", "cluster_start", "summit", "copies", "centre"]]
 
-    walked = runs.groupBy(*keys, "run").applyInPandas(
+    through = tiles.groupBy(*keys, "tile").applyInPandas(
+        passages, "chrom string, cluster_start long, tile long, summit long, leaves long, last long"
+    )
+    # Rows here are bounded by the length of the cluster, not by the peaks in it.
+    entered = through.groupBy(*keys).applyInPandas(follow_tiles, "chrom string, cluster_start long, tile long, came long")
+    walked = tiles.join(entered, [*keys, "tile"]).groupBy(*keys, "tile").applyInPandas(
         walk, "chrom string, cluster_start long, summit long, copies long, centre long"
     )
     mean = F.floor(F.sum(F.col("summit") * F.col("copies")) / F.sum("copies"))
@@ -429,8 +460,9 @@ def merge_n_sets(peaks: DataFrame, overlap: float = 0.8) -> DataFrame:
     Along (start, end, set) a peak continues the contig of the previous one when it ends
     inside it or shares ``overlap`` of the shorter.  A contig of one peak is ``unique``; if
     its first and last summit are close it gives one ``simple`` peak around the mean summit,
-    otherwise ``complex`` peaks around its last and its first summit.  Names are the sets
-    joined by ``&``.
+    otherwise ``complex`` peaks around its last and its first summit; members near neither are
+    merged by steps of their distance from the first summit, so every member is in a peak.  Names
+    are the sets joined by ``&``; no peak starts before 0.
     """
     slack = (1 - overlap) * 2
     keys, order = ["chrom"], [F.col("start"), F.col("end"), F.col("set"), F.col("summit_offset")]
@@ -456,20 +488,22 @@ def merge_n_sets(peaks: DataFrame, overlap: float = 0.8) -> DataFrame:
     stats = stats.withColumn("kind", kind)
     wide = (1 - (overlap - 0.1)) * 2
     window = lambda m, low: [
-        (m - slack * low).cast("long").alias("start"), (m + wide * low).cast("long").alias("end")
+        F.greatest((m - slack * low).cast("long"), F.lit(0)).alias("start"), (m + wide * low).cast("long").alias("end")
     ]
     unique = stats.where("kind = 'unique'").select("chrom", "first.start", "first.end", "name", "kind")
     simple = stats.where("kind = 'simple'").select("chrom", *window(F.col("mean"), F.col("shortest")), "name", "kind")
-    # A complex contig is read against its last and then its first summit.
-    odd = stats.where("kind = 'complex'").select(
-        "chrom", "contig", "shortest", F.explode(F.array("last", "first")).alias("anchor")
-    )
-    near = contigs.join(odd, ["chrom", "contig"]).where(
-        F.abs(summit - F.col("anchor.summit")) <= slack * F.least(F.col("anchor.end") - F.col("anchor.start"), size)
-    )
-    groups = near.groupBy("chrom", "contig", "anchor").agg(
-        ((F.sum(summit) + F.first("anchor.summit")) / (F.count(F.lit(1)) + 1)).alias("mean"), F.first("shortest").alias("shortest"),
-        F.array_join(F.array_sort(F.collect_set("set")), "&").alias("name"),
+    # A complex contig is read against its last and its first summit, what is left in steps of a window's half.
+    odd = stats.where("kind = 'complex'").select("chrom", "contig", "shortest", "first", "last")
+    close = lambda end: F.abs(summit - F.col(f"{end}.summit")) <= slack * F.least(F.col(f"{end}.end") - F.col(f"{end}.start"), size)
+    group = lambda kind, step, anchor: F.struct(F.lit(kind).alias("kind"), step.cast("long").alias("step"), anchor.cast("long").alias("anchor"))
+    step = F.floor((summit - F.col("first.summit")) / F.greatest(slack * F.col("shortest"), F.lit(1)))
+    ends = [F.when(close(e), group(e, F.lit(0), F.col(f"{e}.summit"))) for e in ("last", "first")]
+    none = F.when(~close("last") & ~close("first"), group("between", step, F.lit(None)))
+    near = contigs.join(odd, ["chrom", "contig"]).withColumn("group", F.explode(F.array_compact(F.array(*ends, none))))
+    anchor = F.first("group.anchor")
+    groups = near.groupBy("chrom", "contig", "group").agg(
+        ((F.sum(summit) + F.coalesce(anchor, F.lit(0))) / (F.count(F.lit(1)) + F.when(anchor.isNull(), 0).otherwise(1))).alias("mean"),
+        F.first("shortest").alias("shortest"), F.array_join(F.array_sort(F.collect_set("set")), "&").alias("name"),
     )
     complex_ = groups.select("chrom", *window(F.col("mean"), F.col("shortest")), "name", F.lit("complex").alias("kind"))
     return unique.unionByName(simple).unionByName(complex_)

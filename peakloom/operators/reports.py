@@ -10,7 +10,7 @@ from ..functions.dna import cg_count
 from .filters import derive_promoters, primary_transcripts
 from .motifs import best_site, site_to_genome
 from .normalise import correlation_test
-from .overlap import COORDS, best_overlap, overlap_join, points_in_intervals
+from .overlap import COORDS, best_overlap, count_in_regions, overlap_join
 from .scans import tiled_scan
 from .segments import complement, merge_intervals, meta_profile, shuffle_intervals
 
@@ -23,10 +23,8 @@ def methylated_sites_in_regions(regions: DataFrame, methylation: DataFrame, cuto
 
     Methylation positions are 1-based, as in the maps.
     """
-    points = methylation.where(F.col("prob") > cutoff).select("chrom", (F.col("pos") - 1).alias("pos"))
-    hits = points_in_intervals(points, regions.select(*COORDS).distinct())
-    counts = hits.groupBy("chrom", F.col("b_start").alias("start"), F.col("b_end").alias("end")).agg(F.count(F.lit(1)).alias("_n"))
-    return regions.join(counts, COORDS, "left").select(*regions.columns, F.coalesce("_n", F.lit(0)).alias(name))
+    points = methylation.where(F.col("prob") > cutoff).select("chrom", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"))
+    return count_in_regions(regions, points, name)
 
 
 def with_cg_count(df: DataFrame, seq_col: str = "seq", name: str = "cg_count") -> DataFrame:
@@ -179,7 +177,7 @@ def conservation_profile(
 
     ``sites`` has coordinates and an id; anchors are the site middles.
     """
-    moved = shuffle_intervals(sites.select(*COORDS, id_col), sizes, seed, id_col=id_col)
+    moved = shuffle_intervals(sites.select(*COORDS, id_col), sizes, seed, id_col=id_col).where("start is not null")
     anchor = lambda df: df.select("chrom", F.floor((F.col("start") + F.col("end")) / 2).alias("pos"))
     out = None
     for name, track in tracks.items():

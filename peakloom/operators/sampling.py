@@ -27,10 +27,10 @@ def _shuffled(df: DataFrame, keys: Sequence[str], seed: int, id_col: str, name:
     ).drop("_draw")
 
 
-def split_top(df: DataFrame, n: int, by: str, id_col: str, top: int | None = None) -> DataFrame:
+def split_top(df: DataFrame, n: int, by: str, id_col: str, top: int | None = None, reuse_train: bool = False) -> DataFrame:
     """Best ``n`` rows to learn from and the rest (or the next ``top``) to test on.
 
-    With no more than ``n + n/2`` rows all of them also serve for testing.  Returns
+    With ``reuse_train`` (for small sets) the learning rows also serve for testing.  Returns
     the rows with ``part``; a row used twice appears twice.
     """
     best = df.orderBy(F.desc(by), F.col(id_col)).limit(n)
@@ -38,9 +38,7 @@ def split_top(df: DataFrame, n: int, by: str, id_col: str, top: int | None = Non
     rest = df.join(best.select(id_col), id_col, "left_anti")
     if top is not None:
         rest = rest.orderBy(F.desc(by), F.col(id_col)).limit(top)
-    few = df.agg((F.count(F.lit(1)) <= n + n / 2).alias("_few"))
-    both = df.withColumn("_all", F.lit(True)).unionByName(rest.withColumn("_all", F.lit(False)))
-    test = both.crossJoin(F.broadcast(few)).where(F.col("_all") == F.col("_few")).drop("_all", "_few")
+    test = best.unionByName(rest) if reuse_train else rest
     return learn.unionByName(test.withColumn("part", F.lit("test")).select(*learn.columns))
 
 
@@ -127,7 +125,8 @@ def matched_negatives(
     Positives need ``type`` and ``gc``; the library ``type, gc`` and coordinates.  Rounds
     go from equal GC (0.01 steps) outward to ``delta_gc``, then to 0.1 wide steps up to
     0.4, then to any bin of the type and last any bin at all.  Within a round rows are
-    paired by rank in a seeded order inside each stratum.
+    paired by rank in a seeded order inside each stratum.  Positives beyond the number of bins stay,
+    without a place and with ``none`` as their round.
     Returns ``(set_no, id, chrom, start, end, type, gc, pos_gc, round)``.
     """
     set_no = F.explode(F.sequence(F.lit(1), F.lit(sets))).alias("set_no")
@@ -159,7 +158,8 @@ def matched_negatives(
         one = pairs.groupBy("set_no", id_col, "_pid", "pos_gc").agg(F.min(F.struct("bin_id", "chrom", "start", "end", "type", "gc")).alias("m"))
         got = cut_lineage(one.select("set_no", id_col, "_pid", "pos_gc", "m.*", F.lit(name).alias("round")))
         done = got if done is None else done.unionByName(got)
-    return done.drop("_pid", "bin_id")
+    left = asked.join(done.select("_pid"), "_pid", "left_anti").withColumn("round", F.lit("none"))
+    return done.unionByName(left.drop("ptype"), allowMissingColumns=True).drop("_pid", "bin_id")
 
 
 def n_negative_sets(positives: DataFrame, library: DataFrame, k: int, seed: int, **options) -> DataFrame:

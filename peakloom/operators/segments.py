@@ -221,13 +221,14 @@ def shuffle_intervals(
 
     With ``within`` the place is inside one of those (disjoint) regions: a region of
     length r can hold the interval in r - len + 1 places, counted over regions at
-    least as long as the longest interval of that length class.  Intervals longer than
-    every region are dropped.
+    least as long as the longest interval of that length class.  Intervals that fit nowhere or whose
+    chromosome has no size stay, without a place (null ``start`` and ``end``).
     """
     size = (F.col("end") - F.col("start")).alias("_len")
     if within is None:
-        moved = df.join(sizes.select("chrom", F.col("length").alias("_size")), "chrom").withColumn("_len", size)
-        moved = moved.withColumn("_at", F.pmod(draw(seed, F.col(id_col)), F.col("_size") - F.col("_len") + 1))
+        moved = df.join(sizes.select("chrom", F.col("length").alias("_size")), "chrom", "left").withColumn("_len", size)
+        places = F.when(F.col("_size") >= F.col("_len"), F.col("_size") - F.col("_len") + 1)
+        moved = moved.withColumn("_at", F.pmod(draw(seed, F.col(id_col)), places))
         return moved.withColumn("start", F.col("_at")).withColumn("end", F.col("_at") + F.col("_len")).select(*df.columns)
     lengths = df.select("chrom", size).distinct()
     fits = (
@@ -252,7 +253,7 @@ def shuffle_intervals(
     lanes = laid.select(lane.alias("chrom"), F.col("_from").alias("start"), F.col("_upto").alias("end"), "_rs")
     put = overlap_join(spots, lanes, bin_width=1 << 20)
     new_start = F.col("b__rs") + F.col("start") - F.col("b_start")
-    return put.select(
+    placed = put.select(
         *[
             new_start.alias("start") if c == "start"
             else (new_start + F.col("_len")).alias("end") if c == "end"
@@ -260,6 +261,9 @@ def shuffle_intervals(
             for c in df.columns
         ]
     )
+    nowhere = df.withColumn("_len", size).join(total, ["chrom", "_len"], "left_anti")
+    lost = lambda c: F.lit(None).cast("long").alias(c) if c in ("start", "end") else F.col(c)
+    return placed.unionByName(nowhere.select(*[lost(c) for c in df.columns]))
 
 
 def _offset_hits(anchors: DataFrame, signal: DataFrame, up: int, down: int, keep: Sequence[str]) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.codes import kmer_codes, slices
 from ..functions.dna import gc_content, reverse_complement
@@ -13,12 +15,19 @@ from ..functions.dna import gc_content, reverse_complement
 CHUNK = 1 << 14
 
 
+def _cut(seq: Column, size: int, piece: Callable[[Column, Column], Column]) -> Column:
+    """Array of ``piece(number, letters)`` for every ``size`` letters.
+
+    Pieces are taken from the bytes, whose offsets are known; offsets in a string are found from its start.
+    """
+    numbers = F.sequence(F.lit(0), F.floor((F.length(seq) - 1) / size).cast("int"))
+    of = lambda b: F.transform(numbers, lambda i: piece(i, F.substring(b, i * size + 1, F.lit(size)).cast("string")))
+    return F.flatten(F.transform(F.array(seq.cast("binary")), of))
+
+
 def chunk_sequences(df: DataFrame, id_col: str, seq_col: str, size: int = CHUNK) -> DataFrame:
-    """Cut long sequences into rows ``(chrom, chunk_no, offset, seq)``."""
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.floor((F.length(seq_col) - 1) / size).cast("int")),
-        lambda i: F.struct(i.alias("chunk_no"), F.substring(F.col(seq_col), i * size + 1, F.lit(size)).alias("seq")),
-    )
+    """Cut long sequences (ASCII letters) into rows ``(chrom, chunk_no, offset, seq)``."""
+    pieces = _cut(F.col(seq_col), size, lambda i, piece: F.struct(i.alias("chunk_no"), piece.alias("seq")))
     return (
         df.where(F.length(seq_col) > 0)
         .select(F.col(id_col).cast("string").alias("chrom"), F.explode(pieces).alias("p"))
@@ -100,19 +109,6 @@ def one_hot(df: DataFrame, size: int, seq_col: str = "seq") -> DataFrame:
     return wide.select(*df.columns, F.col("_w.window").alias("window"), hot(letters).alias("forward"), hot(rc).alias("reverse"))
 
 
-def kmers(df: DataFrame, id_col: str, k: int, piece: int = 256) -> DataFrame:
-    """Canonical k-mers of every sequence, ``(id, kmer)``, one row per occurrence."""
-    parts = F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / piece).cast("int"))
-    cut = (
-        df.where(F.length("seq") >= k).select(F.col(id_col), F.explode(parts).alias("i"), "seq")
-        .select(id_col, F.substring(F.col("seq"), F.col("i") * piece + 1, F.lit(piece + k - 1)).alias("s"))
-        .where(F.length("s") >= k)
-    )
-    words = F.transform(F.sequence(F.lit(1), F.length("s") - k + 1), lambda i: F.substring(F.col("s"), i, F.lit(k)))
-    rows = cut.select(id_col, F.explode(words).alias("w")).where(F.col("w").rlike("^[ACGT]+$"))
-    return rows.select(id_col, F.least("w", reverse_complement(F.col("w"))).alias("kmer"))
-
-
 def kmer_enrichment(
     df: DataFrame, label: str, kmin: int, kmax: int, top: int = 5
 ) -> DataFrame:

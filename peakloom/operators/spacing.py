@@ -202,17 +202,21 @@ def absolute_rate(pos: DataFrame, neg: DataFrame, pos_len: DataFrame, neg_len: D
     )
 
 
-def spacing_fc_z(counts: DataFrame, method: str = "median", keys: Sequence[str] = ()) -> DataFrame:
+def spacing_fc_z(counts: DataFrame, method: str = "median", keys: Sequence[str] = (), zeros: bool = False) -> DataFrame:
     """Fold change and Z score of every distance between the smallest and largest observed.
 
     The expectation is the median (Z by 1.4826 MAD), mean (sd) or uniform (binomial) of the
     counts over the observed distances of a conformation; distances without pairs get
-    count 0.  A zero spread gives a null Z.  ``counts`` has one row per distance, so all
+    count 0 and are part of the expectation with ``zeros``.  A zero spread gives a null Z, a zero
+    expectation a null fold change.  ``counts`` has one row per distance, so all
     tables here are as small as the distance range.
     """
     group = [*keys, "threshold"]
     counts = cut_lineage(counts)
     span = counts.groupBy(*group).agg(F.min("space").alias("lo"), F.max("space").alias("hi"))
+    if zeros:
+        every = counts.select(*group, "conf").distinct().join(span, group).withColumn("space", F.explode(F.sequence("lo", "hi")))
+        counts = every.drop("lo", "hi").join(counts, [*group, "conf", "space"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     if method == "median":
         mid = counts.groupBy(*group, "conf").agg(F.median("n").alias("u"))
         away = counts.join(mid, [*group, "conf"]).groupBy(*group, "conf").agg(
@@ -231,7 +235,7 @@ def spacing_fc_z(counts: DataFrame, method: str = "median", keys: Sequence[str]
     grid = away.join(span, group).withColumn("space", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
     seen = grid.join(counts, [*group, "conf", "space"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return seen.select(
-        *group, "conf", "space", "n", (F.col("n") / F.col("u")).alias("fc"),
+        *group, "conf", "space", "n", F.try_divide("n", "u").alias("fc"),
         F.when(F.col("sigma") > 0, (F.col("n") - F.col("u")) / F.col("sigma")).alias("z"),
     )
 
@@ -358,6 +362,41 @@ def cooccurrence_rules(sites: DataFrame, model: str = "motif_id", window: str =
     )
 
 
+def significant_rules(rules: DataFrame, by: Sequence[str] = ("zscore", "cosine"), share: float = 0.05) -> DataFrame:
+    """Rules in the top ``share`` by every one of the measures; a rule without a measure is not among them.
+
+    There are at most as many rules as pairs of models, so the quantiles are exact.
+    """
+    cuts = rules.agg(*[F.percentile(F.round(c, 9), 1 - share).alias(f"_{c}") for c in by])
+    kept = rules.crossJoin(F.broadcast(cuts))
+    for c in by:
+        kept = kept.where(F.round(c, 9) >= F.col(f"_{c}"))
+    return kept.select(*rules.columns)
+
+
+def cooccurrence_distances(
+    sites: DataFrame, lowest: int = 0, highest: int = 100, keys: Sequence[str] = ("seq_id",), model: str = "motif_id"
+) -> DataFrame:
+    """Sites of two models by the bases between them (negative where they overlap): ``tf1, tf2, distance, n``.
+
+    Sites have ``pos`` and ``stop``, half open.  Equal sites are counted before they meet, and sites meet by
+    position bins.
+    """
+    keys = list(keys)
+    stacked = sites.groupBy(*keys, model, "pos", "stop").agg(F.count(F.lit(1)).alias("copies"))
+    width = F.max(F.col("stop") - F.col("pos"))
+    longest = F.broadcast(sites.agg((F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)) + F.lit(max(highest, 0))).alias("_w")))
+    side = lambda i: [F.col(a).alias(f"{b}{i}") for a, b in ((model, "tf"), ("pos", "pos"), ("stop", "stop"), ("copies", "copies"))]
+    tagged = stacked.crossJoin(longest).withColumn("_bin", F.floor(F.col("pos") / F.col("_w")))
+    left = tagged.select(*keys, "_bin", *side(1))
+    right = tagged.select(*keys, F.explode(F.array(*[F.col("_bin") + d for d in (-1, 0, 1)])).alias("_bin"), *side(2))
+    gap = F.greatest("pos1", "pos2") - F.least("stop1", "stop2")
+    pairs = left.join(right, [*keys, "_bin"]).where("tf1 < tf2").withColumn("distance", gap)
+    return pairs.where(F.col("distance").between(lowest, highest)).groupBy("tf1", "tf2", "distance").agg(
+        F.sum(F.col("copies1") * F.col("copies2")).alias("n")
+    )
+
+
 def preferred_spacing_flag(
     peaks: DataFrame, pairs: DataFrame, spacings: Sequence[tuple[str, int]], thresholds: Sequence[float], id_col: str = "seq_id"
 ) -> DataFrame:

@@ -14,11 +14,11 @@ def parse_motifs(files: DataFrame) -> DataFrame:
     A file with a wrong header is reported in ``error`` and gives no matrix rows.  A
     dependency block starts with ``DEPENDENCY (positions)``; its rows may carry a label.
     """
-    lines = F.filter(
-        F.transform(F.split("value", r"\r?\n"), lambda x: F.trim(x)),
-        lambda x: (F.length(x) > 0) & ~x.contains("CORRELATION"),
-    )
-    raw = files.select("path", lines.alias("lines")).withColumn("head", F.split(F.col("lines")[0], r"\s+"))
+    lines = F.filter(F.transform(F.split("value", r"\r?\n"), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
+    # Only a first line may be a note on correlation.
+    noted = F.coalesce(F.try_element_at("lines", F.lit(1)).contains("CORRELATION"), F.lit(False))
+    rest = F.slice("lines", F.when(noted, 2).otherwise(1), F.greatest(F.size("lines"), F.lit(1)))
+    raw = files.select("path", lines.alias("lines")).withColumn("lines", rest).withColumn("head", F.split(F.col("lines")[0], r"\s+"))
     head = lambda i: F.try_element_at("head", F.lit(i))
     error = (
         F.when((F.size("head") != 5) | (head(1) != "MATRIX"), "first line is not a MATRIX header")

@@ -83,7 +83,8 @@ def genome_size(sizes: DataFrame) -> DataFrame:
 def parse_sam(lines: DataFrame) -> DataFrame:
     """Alignment records with their tags as a map; ``mismatches`` is the XM:i tag.
 
-    ``start`` is 0-based and ``end`` follows from the sequence length when present.
+    ``start`` is 0-based and ``end`` follows from the reference bases the CIGAR takes up (M, D, N, =, X);
+    without one from the length of the sequence, and without that it is one base.
     """
     f = _fields(lines, "^@")
     tags = F.map_from_entries(
@@ -93,12 +94,14 @@ def parse_sam(lines: DataFrame) -> DataFrame:
         )
     )
     seq = F.when(F.col("f")[9] != "*", F.col("f")[9])
+    taken = F.regexp_extract_all(F.col("f")[5], F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    covered = F.when(F.size(taken) > 0, F.aggregate(taken, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")))
     out = f.select(
-        F.col("f")[0].alias("name"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[2].alias("chrom"),
+        covered.alias("_covered"), F.col("f")[0].alias("name"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[2].alias("chrom"),
         (F.col("f")[3].cast("long") - 1).alias("start"), F.col("f")[4].cast("int").alias("mapq"),
         F.col("f")[8].cast("long").alias("tlen"), seq.alias("seq"), tags.alias("tags"),
     )
-    return out.withColumn("end", F.col("start") + F.coalesce(F.length("seq"), F.lit(1))).withColumn(
+    return out.withColumn("end", F.col("start") + F.coalesce("_covered", F.length("seq"), F.lit(1))).drop("_covered").withColumn(
         "mismatches", F.try_element_at("tags", F.lit("XM")).cast("int")
     ).withColumn("strand", F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+"))
 
