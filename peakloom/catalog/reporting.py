@@ -61,10 +61,10 @@ def _table(v):
     return rp.peak_site_methylation_table(peaks, sites, _methylation(v, regions), -30.0)
 
 
-@query("peak_site_methylation_table", f"""WITH {TABLE} SELECT seq_id, cov_a, cov_b, meth_sites, cg_count, {r('site_score')} AS site_score, site_start, site_end, site_strand, motif_seq, meth_sites_in_motif FROM t""")
+@query("peak_site_methylation_table", f"""WITH {TABLE} SELECT seq_id, cov_a, cov_b, meth_sites, cg_count, {r('site_score', 9)} AS site_score, site_start, site_end, site_strand, motif_seq, meth_sites_in_motif FROM t""")
 def _(v):
     out = _table(v).withColumn("cg_count", F.col("cg_count").cast("long"))
-    return rounded(out.select("seq_id", "cov_a", "cov_b", "meth_sites", "cg_count", "site_score", "site_start", "site_end", "site_strand", "motif_seq", "meth_sites_in_motif"), "site_score")
+    return rounded(out.select("seq_id", "cov_a", "cov_b", "meth_sites", "cg_count", "site_score", "site_start", "site_end", "site_strand", "motif_seq", "meth_sites_in_motif"), "site_score", digits=9)
 
 
 RATIO = "log10((cov_a + (SELECT min(cov_a) FROM t WHERE cov_a <> 0)) / (cov_b + (SELECT min(cov_b) FROM t WHERE cov_b <> 0)))"
