@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import cut_lineage, fresh_path
 
-__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "release_worker", "nested", "unnested", "map_rows", "with_fields"]
+__all__ = ["cut_lineage", "fresh_path", "documents", "one_per_id", "remainder", "in_worker", "release_worker", "trim_worker", "nested", "unnested", "map_rows", "with_fields"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +56,19 @@ def in_worker(key, make):
 
 
 def release_worker() -> None:
-    """Give back what earlier stages keep in this worker."""
+    """Give back what earlier stages keep in this worker, to the system too: freed memory that the
+    allocators of Python and Arrow hold on to counts against the executor."""
     _held.clear()
+    trim_worker()
+
+
+def trim_worker() -> None:
+    """Give memory that a task has freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def nested(docs: DataFrame) -> DataFrame:
@@ -74,6 +87,7 @@ def map_rows(docs: DataFrame, change: Callable[[Iterator[pa.RecordBatch]], Itera
         flat = (pa.RecordBatch.from_struct_array(b.column("row")) for b in batches)
         for batch in change(flat):
             yield pa.RecordBatch.from_arrays([batch.to_struct_array()], ["row"])
+        trim_worker()
 
     rows = nested(docs).select("row")
     return unnested(rows.mapInArrow(run, rows.schema), docs)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import in_worker
+from .common import in_worker, trim_worker
 from .words import chunks
 
 #: Words kept with their ids in a worker (about 200 bytes each); later ones are encoded once a batch.
@@ -136,6 +136,7 @@ def pack(docs: DataFrame, path: str, longest: int = 2048, end_id: int = 1, with_
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        trim_worker()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     pieces = rows.mapInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))

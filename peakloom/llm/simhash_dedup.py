@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from .common import cut_lineage, release_worker
+from .common import cut_lineage, release_worker, trim_worker
 from .graphs import components
 from .words import chunks, words_of
 
@@ -64,6 +64,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
         release_worker()
         for batch in chunks(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fingerprint_array(batch, size), pa.int64())], ["doc_id", "fp"])
+        trim_worker()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 

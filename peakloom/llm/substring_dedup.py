@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T, Window
 
-from .common import cut_lineage, nested, one_per_id, release_worker, unnested, with_fields
+from .common import cut_lineage, nested, one_per_id, release_worker, trim_worker, unnested, with_fields
 from .words import chunks, grams, mix, text_buffers, words_of
 
 WINDOW = 20
@@ -202,9 +202,12 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, short: int = SHORT, seed
         for batch in _gathered(batches, FLUSH):
             for part in _edge_rows(batch, size, short, seed).to_batches(max_chunksize=20_000):
                 yield part
+        trim_worker()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _meet(batches, size)
+        release_worker()
+        yield from _meet(batches, size)
+        trim_worker()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(edges, EDGES)
     pieces = rows.repartition("key").sortWithinPartitions("key").mapInArrow(meet, SPANS)
@@ -237,6 +240,7 @@ _CUT = "doc_id long, part long, n_words long, n_removed long, kept_sha256 string
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Results of documents from their texts and what is asked of them; with whole rows, these cut too."""
+    release_worker()
     for batch in chunks(_with_text(batches)):
         words = words_of(batch)
         joined, first, last = words.joined()
@@ -274,6 +278,7 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns.append(pc.if_else(first_part, with_fields(whole, **new), pa.nulls(batch.num_rows, whole.type)))
             names.append("row")
         yield pa.RecordBatch.from_arrays(columns, names)
+    trim_worker()
 
 
 def _with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
