@@ -116,3 +116,105 @@ def test_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError):
         runtime.shared_dir(Session())
+
+
+def test_pieces_of_long_sequences_scan_alike():
+    import numpy as np
+    import pyarrow as pa
+
+    from peakloom.operators.motifs import Model, _scan_batches
+
+    draw = np.random.default_rng(3)
+    seqs = ["".join(draw.choice(list("ACGTN"), n)) for n in (0, 3, 5, 64, 65, 130, 700)]
+    models = [Model("a", False, draw.normal(size=(6, 4))), Model("b", True, draw.normal(size=(3, 4)))]
+    batch = pa.record_batch({"id": pa.array(range(len(seqs))), "seq": pa.array(seqs)})
+
+    def found(bases):
+        out = []
+        for model, strand, ids, offsets, data, home, at, score, short in _scan_batches([batch], models, None, bases):
+            out += [(model.motif_id, strand, int(ids[h]), int(p - offsets[h]), float(x)) for h, p, x in zip(home[at], at, score[at])]
+            out += [(model.motif_id, strand, int(ids[i]), -1, 0.0) for i in short]
+        return sorted(out)
+
+    whole = found(1 << 21)
+    assert len(whole) > 2000 and found(64) == whole and found(7) == whole
+
+
+def test_chunks_join_to_the_sequence(spark):
+    from peakloom.operators.sequences import chunk_sequences
+
+    seqs = [("a", "ACGT" * 25), ("b", "A"), ("c", ""), ("d", None), ("e", "ACGTACG")]
+    got = chunk_sequences(spark.createDataFrame(seqs, "id string, seq string"), "id", "seq", 7).collect()
+    for name, seq in seqs:
+        mine = sorted((r.offset, r.seq) for r in got if r.chrom == name)
+        assert "".join(x for _, x in mine) == (seq or "") and all(len(x) <= 7 and o % 7 == 0 for o, x in mine)
+
+
+@pytest.mark.parametrize("tile", [64, 1 << 16])
+def test_complex_clusters_against_one_walk(spark, monkeypatch, tile):
+    import random
+
+    from peakloom.operators import peaks
+
+    monkeypatch.setattr(peaks, "TILE", tile)
+    draw, rows = random.Random(5), []
+    for chrom, n, span in (("chr1", 300, 9000), ("chr2", 60, 900), ("chr3", 2, 50)):
+        rows += [(chrom, max(0, s - 400), s + 400, s) for s in (draw.randrange(span) + 500 for _ in range(n))]
+    rows += [("chr4", 0, 800, 300)] * 5
+    for size in (90, 200):
+        want = []
+        for chrom in ("chr1", "chr2", "chr4"):
+            groups = []
+            for s in sorted(r[3] for r in rows if r[0] == chrom):
+                if not groups or s - groups[-1][0] > size:
+                    groups.append([s])
+                else:
+                    groups[-1].append(s)
+            want += [(chrom, max(sum(g) // len(g) - size, 0), sum(g) // len(g) + size, len(g)) for g in groups]
+        df = spark.createDataFrame(rows, "chrom string, start long, end long, summit long")
+        assert sorted(map(tuple, peaks.split_complex_clusters(df, size, 3).collect())) == sorted(want)
+
+
+def test_no_member_of_a_chain_is_lost(spark):
+    from peakloom.operators.peaks import merge_n_sets
+
+    rows = [("chr1", i * 100, i * 100 + 200, "M" if i == 3 else "AB"[i % 2], 100) for i in range(7)]
+    got = merge_n_sets(spark.createDataFrame(rows, "chrom string, start long, end long, set string, summit_offset long"), 0.5).collect()
+    assert any("M" in r.name.split("&") for r in got) and all(r.start >= 0 for r in got)
+
+
+def test_what_finds_no_place_stays(spark):
+    from peakloom.operators.sampling import matched_negatives, split_top
+    from peakloom.operators.segments import shuffle_intervals
+
+    sizes = spark.createDataFrame([("chr1", 500)], "chrom string, length long")
+    df = spark.createDataFrame([(1, "chr1", 0, 100), (2, "chr1", 0, 900), (3, "chr9", 0, 10)], "id long, chrom string, start long, end long")
+    got = {r.id: r for r in shuffle_intervals(df, sizes, 1).collect()}
+    assert got[1].end - got[1].start == 100 and got[2].start is None and got[3].end is None
+    within = spark.createDataFrame([("chr1", 100, 300)], "chrom string, start long, end long")
+    got = {r.id: r for r in shuffle_intervals(df, sizes, 1, within).collect()}
+    assert 100 <= got[1].start <= 200 and got[2].start is None and got[3].start is None
+
+    lib = spark.createDataFrame([("chr1", i * 200, i * 200 + 200, "exon", 0.5) for i in range(2)], "chrom string, start long, end long, type string, gc double")
+    pos = spark.createDataFrame([(i, "exon", 0.5) for i in range(3)], "id long, type string, gc double")
+    got = matched_negatives(pos, lib, 1).collect()
+    assert sorted(r.id for r in got) == [0, 1, 2] and sorted(r.round == "none" for r in got) == [False, False, True]
+    assert split_top(pos, 2, "gc", "id").count() == 3 and split_top(pos, 2, "gc", "id", reuse_train=True).count() == 5
+
+
+def test_alignment_ends_follow_the_cigar(spark):
+    from peakloom.sources.tables import parse_sam
+
+    line = "r{}\t0\tchr1\t11\t9\t{}\t*\t0\t0\t{}\t*"
+    cases = [("10M", "*", 20), ("3S10M2I5D4N2H", "*", 29), ("4=1X", "*", 15), ("*", "ACGT", 14), ("*", "*", 11)]
+    got = parse_sam(spark.createDataFrame([(line.format(i, c, s),) for i, (c, s, _) in enumerate(cases)], "value string")).orderBy("name").collect()
+    assert [r.end for r in got] == [e for *_, e in cases]
+
+
+def test_distances_of_sites(spark):
+    from peakloom.operators.spacing import cooccurrence_distances
+
+    rows = [(1, "a", 10, 16), (1, "b", 20, 26), (1, "b", 20, 26), (1, "b", 13, 19), (1, "b", 500, 506), (2, "a", 100, 106), (2, "b", 90, 96), (1, "a", 5000, 5006)]
+    df = spark.createDataFrame(rows, "seq_id long, motif_id string, pos long, stop long")
+    assert sorted(map(tuple, cooccurrence_distances(df, 0, 50).collect())) == [("a", "b", 4, 3)]
+    assert sorted(map(tuple, cooccurrence_distances(df, -6, 600).collect())) == [("a", "b", -3, 1), ("a", "b", 4, 3), ("a", "b", 484, 1)]
