@@ -3,10 +3,12 @@
 The filter holds, for every unigram and bigram of the training texts, its count quantised on a log
 scale: an n-gram of level q (count from BASE**q up to BASE**(q + 1)) is entered q times, as (n-gram, 1) to
 (n-gram, q).  A worker finds the level by probing (n-gram, 1), (n-gram, 2) and so on until one is
-missing.  Counts of one have level 0, so what occurs once takes no room.  The filter is cut into
-blocks by hash, each filled by the task that has the block's n-grams; together they are ``BITS`` bits
-whatever the input, a fixed parameter (and so the bound of what is broadcast).  At a fuller filter a
-level may be read too high: the share of set bits is the chance of one wrong bit of the four probed.
+missing.  Counts of one have level 0, so what occurs once takes no room.  The filter has ``ENTRY_BITS``
+bits at least for each entry, counted before it is filled, so its error does not grow with the corpus: at
+most 0.4 of the bits are set, and a missing entry is found with a chance of at most 0.4**4.  It is cut into
+blocks by hash, filled by the tasks that have the blocks' n-grams.  A filter of up to ``SHARED_BITS`` is
+broadcast; a larger one stays a table, and the different n-grams of each portion of text are joined with
+its blocks.
 
 Probabilities are those of bigrams smoothed by unigrams,
 
@@ -25,6 +27,7 @@ columns are not looked at.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,9 +36,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut_lineage, one_per_id
-from .words import chunks, mix, words_of
-
-BITS = 1 << 28
+from .words import chunks, mix, text_buffers, words_of
+
+#: Bits for each entry at least; the filter has the next power of two.
+ENTRY_BITS = 8
+#: Bits of the largest filter that is broadcast (128 MB).
+SHARED_BITS = 1 << 30
+#: Blocks that are joined as one, and tokens whose n-grams are asked together.
+CELL_BLOCKS = 128
+PORTION = 1 << 18
+#: Groups by which n-grams meet to be counted.
+MEETINGS = 4096
 BLOCK_BITS = 1 << 16  # fixed: places in a block have 16 bits
 BASE = 2.0
 WEIGHT = 2000.0
@@ -78,7 +89,7 @@ def _bigrams(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _block(gram: np.ndarray, blocks: int) -> np.ndarray:
-    return (gram >> np.uint64(40)) & np.uint64(blocks - 1)
+    return (gram >> np.uint64(33)) & np.uint64(blocks - 1)
 
 
 def _spread(gram: np.ndarray, level: int | np.ndarray) -> np.ndarray:
@@ -103,20 +114,17 @@ def levels(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return out
 
 
-def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS) -> np.ndarray:
-    """The filter of ``bits`` bits (a power of two) as 64-bit words, from the texts of ``train`` and the ``counts`` of their tokens.
+def count_grams(train: DataFrame, counts: DataFrame) -> DataFrame:
+    """``gram`` and ``n``, written: the entered unigrams and bigrams of the texts of ``train``, given the ``counts`` of their tokens.
 
-    Tasks count bigrams in flushes, the counts meet by block, and a block leaves the task that fills it
-    as bytes; the driver gets ``bits`` bits in all.
+    Tasks count bigrams in flushes, and the counts meet by hash.
     """
-    blocks = bits // BLOCK_BITS
-
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, column="token"):
             tokens, first = _token_hashes(batch, "token")
             # A token as a text is that token and an end; the end itself is the end alone.
             gram = _unigrams(tokens[first])
-            yield pa.RecordBatch.from_arrays([pa.array(_block(gram, blocks).astype(np.int32)), pa.array(gram.view(np.int64)), batch.column("c")], ["block", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(_block(gram, MEETINGS).astype(np.int32)), pa.array(gram.view(np.int64)), batch.column("c")], ["meeting", "gram", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
@@ -125,7 +133,7 @@ def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS) -> np.nd
             gram, n = np.unique(np.concatenate(held), return_counts=True)
             for a in range(0, len(gram), 100_000):
                 g = gram[a : a + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(_block(g, blocks).astype(np.int32)), pa.array(g.view(np.int64)), pa.array(n[a : a + 100_000])], ["block", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_block(g, MEETINGS).astype(np.int32)), pa.array(g.view(np.int64)), pa.array(n[a : a + 100_000])], ["meeting", "gram", "n"])
 
         for batch in chunks(batches):
             tokens, first = _token_hashes(batch)
@@ -137,16 +145,36 @@ def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS) -> np.nd
         if held:
             yield from flush()
 
+    counted = train.select(F.col("text").cast("string")).mapInArrow(count, "meeting int, gram long, n long")
+    counted = counted.unionByName(counts.mapInArrow(known, "meeting int, gram long, n long"))
+    return cut_lineage(counted.repartition("meeting").groupBy("meeting", "gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram", "n"))
+
+
+def _level(n: Column) -> Column:
+    return F.floor(F.log(n) / F.lit(math.log(BASE)) + 1e-9)
+
+
+def needed_bits(grams: DataFrame) -> int:
+    """Bits of a filter for all entries of ``grams``: the next power of two, one block at least."""
+    entries = grams.agg(F.sum(_level(F.col("n"))).alias("n")).first()["n"] or 0
+    return max(BLOCK_BITS, 1 << math.ceil(math.log2(max(1, entries * ENTRY_BITS))))
+
+
+def fill_blocks(grams: DataFrame, bits: int) -> DataFrame:
+    """``block`` and ``bytes`` of a filter of ``bits`` bits; rows of one block from several tasks are to be joined by OR."""
+    blocks = bits // BLOCK_BITS
+
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, np.ndarray] = {}
         for batch in batches:
-            block = batch.column("block").to_numpy()
             gram = batch.column("gram").to_numpy().view(np.uint64)
+            block = _block(gram, blocks).astype(np.int64)
             level = np.floor(np.log(batch.column("n").to_numpy()) / math.log(BASE) + 1e-9).astype(np.int64)
             which = np.repeat(np.arange(len(gram)), level)
             step = np.arange(len(which)) - np.repeat(np.cumsum(level) - level, level) + 1
             for b in np.unique(block).tolist():
-                parts.setdefault(b, np.zeros(BLOCK_BITS // 8, np.uint8))
+                if b not in parts:
+                    parts[b] = np.zeros(BLOCK_BITS // 8, np.uint8)
             owner = block[which]
             order = np.argsort(owner, kind="stable")
             cuts = np.flatnonzero(np.diff(owner[order], prepend=-1))
@@ -156,17 +184,28 @@ def build_filter(train: DataFrame, counts: DataFrame, bits: int = BITS) -> np.nd
                 for a, z in zip(cuts, np.r_[cuts[1:], len(order)]):
                     x = inside[a:z]
                     np.bitwise_or.at(parts[int(owner[order[a]])], x >> 3, (1 << (x & 7)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["block", "bytes"])
-
-    counted = train.select(F.col("text").cast("string")).mapInArrow(count, "block int, gram long, n long")
-    counted = counted.unionByName(counts.mapInArrow(known, "block int, gram long, n long"))
-    kept = counted.repartition("block").groupBy("block", "gram").agg(F.sum("n").alias("n")).filter("n > 1")
-    out = np.zeros(bits // 8, np.uint8)
-    size = BLOCK_BITS // 8
-    filled = kept.mapInArrow(fill, "block int, bytes binary").toArrow()
+        names = list(parts)
+        for a in range(0, len(names), 1024):
+            some = names[a : a + 1024]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[b].tobytes() for b in some], pa.binary())], ["block", "bytes"])
+
+    return grams.mapInArrow(fill, "block int, bytes binary")
+
+
+def gathered_filter(grams: DataFrame, bits: int) -> np.ndarray:
+    """The filter of ``bits`` bits (a power of two) as 64-bit words, at the driver."""
+    out = np.zeros(bits // 64, "<u8")
+    size = BLOCK_BITS // 64
+    filled = fill_blocks(grams, bits).toArrow()
     for block, held in zip(filled.column("block").to_pylist(), filled.column("bytes")):
-        out[block * size : (block + 1) * size] = np.frombuffer(held.as_buffer(), np.uint8)
-    return out.view("<u8")
+        out[block * size : (block + 1) * size] |= np.frombuffer(held.as_buffer(), "<u8")
+    return out
+
+
+def build_filter(train: DataFrame, counts: DataFrame, bits: int | None = None) -> np.ndarray:
+    """The filter as 64-bit words, from the texts of ``train`` and the ``counts`` of their tokens; of ``bits`` bits if given."""
+    grams = count_grams(train, counts)
+    return gathered_filter(grams, bits or needed_bits(grams))
 
 
 def frequent(counts: DataFrame, head: int = HEAD) -> pa.Table:
@@ -246,6 +285,22 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
         F.sum(F.col("logs") + F.when(F.col("c").isNotNull(), F.col("n") * F.log10(F.col("c") + 1)).otherwise(0.0)).alias("logs"))
 
 
+def _text_scores(one: np.ndarray, two: np.ndarray, first: np.ndarray, total: float, distinct: int, texts: int, weight: float) -> np.ndarray:
+    """log10 of the probability of each text, from the levels of its tokens' unigrams and bigrams."""
+    low = np.r_[0.0, BASE ** np.arange(1, _TOP_LEVEL + 2)]
+    high = np.r_[BASE, BASE ** np.arange(2, _TOP_LEVEL + 3)]
+    # What the word before was seen at most; never less than the bigram.
+    most = np.empty(len(one))
+    most[1:] = high[one[:-1]]
+    most[first] = texts
+    alone = (low[one] + 1) / (total + distinct + 1)
+    p = (low[two] + weight * alone) / (np.maximum(most, low[two]) + weight)
+    return np.add.reduceat(np.log10(p), first)
+
+
+_SCORES = "doc_id long, n_tokens long, score double"
+
+
 def model_scores(docs: DataFrame, filter_words: np.ndarray, total: float, distinct: int, texts: int, weight: float = WEIGHT) -> DataFrame:
     """doc_id, n_tokens and score: log10 of the model's probability of each text.
 
@@ -253,8 +308,6 @@ def model_scores(docs: DataFrame, filter_words: np.ndarray, total: float, distin
     training texts, as often as the begin of a text was seen.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filter_words)
-    low = np.r_[0.0, BASE ** np.arange(1, _TOP_LEVEL + 2)]
-    high = np.r_[BASE, BASE ** np.arange(2, _TOP_LEVEL + 3)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
@@ -263,33 +316,127 @@ def model_scores(docs: DataFrame, filter_words: np.ndarray, total: float, distin
             different, where = np.unique(_unigrams(tokens), return_inverse=True)
             one = levels(held, different)[where]
             two = levels(held, _bigrams(tokens, first))
-            # What the word before was seen at most; never less than the bigram.
-            most = np.empty(len(tokens))
-            most[1:] = high[one[:-1]]
-            most[first] = texts
-            alone = (low[one] + 1) / (total + distinct + 1)
-            p = (low[two] + weight * alone) / (np.maximum(most, low[two]) + weight)
             n = np.diff(np.r_[first, len(tokens)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.add.reduceat(np.log10(p), first), pa.float64())], ["doc_id", "n_tokens", "score"])
+            found = _text_scores(one, two, first, total, distinct, texts, weight)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(found, pa.float64())], ["doc_id", "n_tokens", "score"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, _SCORES)
+
+
+def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Rows ``values[cuts[i]:cuts[i + 1]]`` as bytes."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def joined_scores(docs: DataFrame, filled: DataFrame, bits: int, total: float, distinct: int, texts: int, weight: float = WEIGHT) -> DataFrame:
+    """The same by a join with the blocks of the filter, of which a task holds ``CELL_BLOCKS`` at a time.
+
+    The different n-grams of a portion of text travel by cell, and their levels come back to the portion.
+    """
+    blocks = bits // BLOCK_BITS
+    wide = min(CELL_BLOCKS, blocks)
+    names = ["part", "cell", "grams", "ids", "sizes", "places"]
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, score double")
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
 
+        def portion() -> pa.RecordBatch:
+            ids = np.concatenate([i for i, _, _ in held])
+            sizes = np.concatenate([np.diff(np.r_[f, len(t)]) for _, t, f in held])
+            grams = np.concatenate([_unigrams(t) for _, t, _ in held] + [_bigrams(t, f) for _, t, f in held])
+            gram, place = np.unique(grams, return_inverse=True)
+            cell = (_block(gram, blocks) // np.uint64(wide)).astype(np.int32)
+            order = np.argsort(cell, kind="stable")
+            back = np.empty(len(order), np.int32)
+            back[order] = np.arange(len(order), dtype=np.int32)
+            cells, heads = np.unique(cell[order], return_index=True)
+            n = len(cells)
+            nulls = [None] * n
+            # Written before it is read, so a portion keeps its number.
+            part = uuid.uuid4().int >> 65
+            asked = _binaries(gram[order], np.r_[heads, len(order)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part] * (n + 1), pa.int64()), pa.array([-1, *cells.tolist()], pa.int32()), pa.concat_arrays([pa.nulls(1, pa.binary()), asked])]
+                + [pa.array([x.tobytes(), *nulls], pa.binary()) for x in (ids, sizes.astype(np.int64), back[place])], names)
 
-def score(docs: DataFrame, held_out: Column, bits: int = BITS, head: int = HEAD, weight: float = WEIGHT) -> DataFrame:
+        for batch in chunks(batches):
+            tokens, first = _token_hashes(batch)
+            held.append((batch.column("doc_id").to_numpy(), tokens, first))
+            total += len(tokens)
+            if total >= PORTION:
+                yield portion()
+                held, total = [], 0
+        if held:
+            yield portion()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = -1, np.zeros(0, np.uint64)
+        size = BLOCK_BITS // 64
+        for batch in batches:
+            cell = batch.column("cell").to_numpy()
+            edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
+            for a, z in zip(edges[:-1], edges[1:]):
+                rows = batch.slice(a, z - a)
+                if cell[a] != at:
+                    at, held = cell[a], np.zeros(wide * size, np.uint64)
+                # The blocks come first, as their part is null.
+                own = rows.column("part").null_count
+                for block, filled in zip(rows.column("block")[:own].to_pylist(), rows.column("grams")[:own]):
+                    block %= wide
+                    held[block * size : (block + 1) * size] |= np.frombuffer(filled.as_buffer(), "<u8")
+                rows = rows.slice(own)
+                if rows.num_rows:
+                    data, offsets = text_buffers(rows.column("grams"))
+                    found = levels(held, np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u8")).astype(np.uint8)
+                    yield pa.RecordBatch.from_arrays([rows.column("part"), rows.column("cell"), _binaries(found, (offsets - offsets[0]) // 8)], ["part", "cell", "levels"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, found = None, []
+
+        def done() -> pa.RecordBatch:
+            ids, sizes, places = (np.frombuffer(asked[c], t) for c, t in (("ids", np.int64), ("sizes", np.int64), ("places", np.int32)))
+            level = np.frombuffer(b"".join(found), np.uint8)[places]
+            scores = _text_scores(level[: len(level) // 2], level[len(level) // 2 :], np.cumsum(sizes) - sizes, total, distinct, texts, weight)
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), pa.array(scores, pa.float64())], ["doc_id", "n_tokens", "score"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if batch.column("cell")[i].as_py() < 0:
+                    if asked:
+                        yield done()
+                    asked, found = {c: batch.column(c)[i].as_py() for c in ("ids", "sizes", "places")}, []
+                else:
+                    found.append(batch.column("levels")[i].as_py())
+        if asked:
+            yield done()
+
+    asked = cut_lineage(docs.select("doc_id", "text").mapInArrow(ask, "part long, cell int, grams binary, ids binary, sizes binary, places binary"))
+    none = F.lit(None)
+    own = filled.select(none.cast("long").alias("part"), F.floor(F.col("block") / wide).cast("int").alias("cell"), "block", F.col("bytes").alias("grams"))
+    rows = own.unionByName(asked.filter("cell >= 0").select("part", "cell", none.cast("int").alias("block"), "grams"))
+    answers = rows.repartition("cell").sortWithinPartitions("cell", "part").mapInArrow(answer, "part long, cell int, levels binary")
+    answers = answers.select("*", *(none.cast("binary").alias(c) for c in names[3:]))
+    back = answers.unionByName(asked.filter("cell < 0").select("part", "cell", none.cast("binary").alias("levels"), *names[3:]))
+    return back.repartition("part").sortWithinPartitions("part", "cell").mapInArrow(settle, _SCORES)
+
+
+def score(docs: DataFrame, held_out: Column, bits: int | None = None, head: int = HEAD, weight: float = WEIGHT) -> DataFrame:
     """Scores of all documents by a model of those that are not ``held_out``.
 
-    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
+    The filter has ``bits`` bits, or as many as its entries need.  Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     """
     docs = one_per_id(docs).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     train = docs.filter(~held_out)
     counts = cut_lineage(count_words(train))
-    level = F.floor(F.log("c") / F.lit(math.log(BASE)) + 1e-9)
-    rounded = F.when(F.col("c") > 1, F.pow(F.lit(BASE), level)).otherwise(0.0)
+    rounded = F.when(F.col("c") > 1, F.pow(F.lit(BASE), _level(F.col("c")))).otherwise(0.0)
     texts = F.max(F.when(F.col("token") == END, F.col("c")))
     sizes = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(rounded).alias("s"), texts.alias("texts")).first()
     total, distinct = sizes["n"] or 0, sizes["v"]
-    scored = model_scores(docs, build_filter(train, counts, bits), sizes["s"] or 0.0, distinct, sizes["texts"] or 0, weight)
+    grams = count_grams(train, counts)
+    bits = bits or needed_bits(grams)
+    known = sizes["s"] or 0.0, distinct, sizes["texts"] or 0, weight
+    scored = model_scores(docs, gathered_filter(grams, bits), *known) if bits <= SHARED_BITS else joined_scores(docs, fill_blocks(grams, bits), bits, *known)
     rows = scored.join(base_sums(docs, counts, head), "doc_id")
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total + distinct + 1))
     return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -134,6 +134,25 @@ def test_filter_levels(spark):
     assert lm_scoring.levels(held, lm_scoring._bigrams(tokens, first)).tolist() == [0, 1, 1, 0, 0]
 
 
+def test_filter_grows_with_its_entries(spark):
+    train = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 20 * 1000, i % 20 * 1000 + 1000))) for i in range(40)], "doc_id long, text string")
+    for docs, most in ((train, 1 << 20), (train.filter("doc_id % 20 < 2"), 1 << 17)):
+        held = lm_scoring.build_filter(docs, lm_scoring.count_words(docs))
+        share = np.unpackbits(held.view(np.uint8)).mean()
+        assert 0.1 < share < 0.4 and len(held) * 64 <= most
+        unseen = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
+        assert (lm_scoring.levels(held, unseen) > 0).mean() < 0.03
+
+
+def test_scores_by_join_with_the_filter(docs, monkeypatch):
+    want = sorted(map(tuple, lm_scoring.score(docs, remainder(7) == 2, bits=1 << 20).collect()))
+    monkeypatch.setattr(lm_scoring, "SHARED_BITS", 0)
+    monkeypatch.setattr(lm_scoring, "CELL_BLOCKS", 4)
+    monkeypatch.setattr(lm_scoring, "PORTION", 5000)
+    got = sorted(map(tuple, lm_scoring.score(docs, remainder(7) == 2, bits=1 << 20).collect()))
+    assert [r[:6] for r in got] == [r[:6] for r in want] and [r[6] for r in got] == pytest.approx([r[6] for r in want], rel=1e-12)
+
+
 def test_model_is_a_probability(spark):
     train = spark.createDataFrame([(i, "a b a c") for i in range(40)], "doc_id long, text string")
     each = [(100 + i, f"{x}") for i, x in enumerate("abc")]
