@@ -1,9 +1,9 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 The filter holds, for every unigram and bigram of the training texts, its count quantised on a log
-scale: an n-gram of level q (count from BASE**q up to BASE**(q + 1)) is entered q times, as (n-gram, 1) to
-(n-gram, q).  A worker finds the level by probing (n-gram, 1), (n-gram, 2) and so on until one is
-missing.  Counts of one have level 0, so what occurs once takes no room.  The filter has ``ENTRY_BITS``
+scale: an n-gram of level q (count from BASE**q up to BASE**(q + 1)) is entered q + 1 times, as (n-gram, 1) to
+(n-gram, q + 1), so that one that occurs once is told from one that never does.  A worker finds the number of
+entries by probing (n-gram, 1), (n-gram, 2) and so on until one is missing.  The filter has ``ENTRY_BITS``
 bits at least for each entry, counted before it is filled, so its error does not grow with the corpus: at
 most 0.4 of the bits are set, and a missing entry is found with a chance of at most 0.4**4.  It is cut into
 blocks by hash, filled by the tasks that have the blocks' n-grams.  A filter of up to ``SHARED_BITS`` is
@@ -14,7 +14,7 @@ Probabilities are those of bigrams smoothed by unigrams,
 
     p(w | v) = (n(v, w) + WEIGHT * p(w)) / (N(v) + WEIGHT),  p(w) = (n(w) + 1) / (S + V + 1)
 
-with n the lower end of a level, N its upper end, V the distinct tokens and S the sum of their n, so they
+with n the lowest count of a level, N its highest (both 0 for what is not entered), V the distinct tokens and S the sum of their n, so they
 sum to at most one.  Beside them stands the base: exact unigram counts with one added, from a join.  The ``HEAD`` most frequent words travel to the
 workers with their counts; the others, whose counts are small, go through the join.
 
@@ -97,8 +97,8 @@ def _spread(gram: np.ndarray, level: int | np.ndarray) -> np.ndarray:
     return mix(gram + np.asarray(level).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
-def levels(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    """Level of each n-gram by repeated probes of the filter, given as 64-bit words."""
+def entries(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Entries of each n-gram by repeated probes of the filter, given as 64-bit words; 0 for what is missing."""
     out = np.zeros(len(gram), np.int64)
     left, here = np.arange(len(gram)), gram
     base = _block(gram, len(held) * 64 // BLOCK_BITS) * np.uint64(BLOCK_BITS // 64)
@@ -114,6 +114,11 @@ def levels(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return out
 
 
+def levels(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Level of each n-gram; 0 for counts of one and for what is missing."""
+    return np.maximum(entries(held, gram) - 1, 0)
+
+
 def count_grams(train: DataFrame, counts: DataFrame) -> DataFrame:
     """``gram`` and ``n``, written: the entered unigrams and bigrams of the texts of ``train``, given the ``counts`` of their tokens.
 
@@ -147,7 +152,7 @@ def count_grams(train: DataFrame, counts: DataFrame) -> DataFrame:
 
     counted = train.select(F.col("text").cast("string")).mapInArrow(count, "meeting int, gram long, n long")
     counted = counted.unionByName(counts.mapInArrow(known, "meeting int, gram long, n long"))
-    return cut_lineage(counted.repartition("meeting").groupBy("meeting", "gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram", "n"))
+    return cut_lineage(counted.repartition("meeting").groupBy("meeting", "gram").agg(F.sum("n").alias("n")).select("gram", "n"))
 
 
 def _level(n: Column) -> Column:
@@ -156,8 +161,8 @@ def _level(n: Column) -> Column:
 
 def needed_bits(grams: DataFrame) -> int:
     """Bits of a filter for all entries of ``grams``: the next power of two, one block at least."""
-    entries = grams.agg(F.sum(_level(F.col("n"))).alias("n")).first()["n"] or 0
-    return max(BLOCK_BITS, 1 << math.ceil(math.log2(max(1, entries * ENTRY_BITS))))
+    needed = grams.agg(F.sum(_level(F.col("n")) + 1).alias("n")).first()["n"] or 0
+    return max(BLOCK_BITS, 1 << math.ceil(math.log2(max(1, needed * ENTRY_BITS))))
 
 
 def fill_blocks(grams: DataFrame, bits: int) -> DataFrame:
@@ -169,9 +174,9 @@ def fill_blocks(grams: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             gram = batch.column("gram").to_numpy().view(np.uint64)
             block = _block(gram, blocks).astype(np.int64)
-            level = np.floor(np.log(batch.column("n").to_numpy()) / math.log(BASE) + 1e-9).astype(np.int64)
-            which = np.repeat(np.arange(len(gram)), level)
-            step = np.arange(len(which)) - np.repeat(np.cumsum(level) - level, level) + 1
+            times = np.floor(np.log(batch.column("n").to_numpy()) / math.log(BASE) + 1e-9).astype(np.int64) + 1
+            which = np.repeat(np.arange(len(gram)), times)
+            step = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + 1
             for b in np.unique(block).tolist():
                 if b not in parts:
                     parts[b] = np.zeros(BLOCK_BITS // 8, np.uint8)
@@ -286,9 +291,9 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
 
 
 def _text_scores(one: np.ndarray, two: np.ndarray, first: np.ndarray, total: float, distinct: int, texts: int, weight: float) -> np.ndarray:
-    """log10 of the probability of each text, from the levels of its tokens' unigrams and bigrams."""
-    low = np.r_[0.0, BASE ** np.arange(1, _TOP_LEVEL + 2)]
-    high = np.r_[BASE, BASE ** np.arange(2, _TOP_LEVEL + 3)]
+    """log10 of the probability of each text, from the entries of its tokens' unigrams and bigrams."""
+    low = np.r_[0.0, np.ceil(BASE ** np.arange(0, _TOP_LEVEL))]
+    high = np.r_[0.0, np.ceil(BASE ** np.arange(1, _TOP_LEVEL + 1)) - 1]
     # What the word before was seen at most; never less than the bigram.
     most = np.empty(len(one))
     most[1:] = high[one[:-1]]
@@ -314,8 +319,8 @@ def model_scores(docs: DataFrame, filter_words: np.ndarray, total: float, distin
         for batch in chunks(batches):
             tokens, first = _token_hashes(batch)
             different, where = np.unique(_unigrams(tokens), return_inverse=True)
-            one = levels(held, different)[where]
-            two = levels(held, _bigrams(tokens, first))
+            one = entries(held, different)[where]
+            two = entries(held, _bigrams(tokens, first))
             n = np.diff(np.r_[first, len(tokens)])
             found = _text_scores(one, two, first, total, distinct, texts, weight)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(found, pa.float64())], ["doc_id", "n_tokens", "score"])
@@ -332,7 +337,7 @@ def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
 def joined_scores(docs: DataFrame, filled: DataFrame, bits: int, total: float, distinct: int, texts: int, weight: float = WEIGHT) -> DataFrame:
     """The same by a join with the blocks of the filter, of which a task holds ``CELL_BLOCKS`` at a time.
 
-    The different n-grams of a portion of text travel by cell, and their levels come back to the portion.
+    The different n-grams of a portion of text travel by cell, and the numbers of their entries come back to the portion.
     """
     blocks = bits // BLOCK_BITS
     wide = min(CELL_BLOCKS, blocks)
@@ -388,16 +393,16 @@ def joined_scores(docs: DataFrame, filled: DataFrame, bits: int, total: float, d
                 rows = rows.slice(own)
                 if rows.num_rows:
                     data, offsets = text_buffers(rows.column("grams"))
-                    found = levels(held, np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u8")).astype(np.uint8)
-                    yield pa.RecordBatch.from_arrays([rows.column("part"), rows.column("cell"), _binaries(found, (offsets - offsets[0]) // 8)], ["part", "cell", "levels"])
+                    found = entries(held, np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u8")).astype(np.uint8)
+                    yield pa.RecordBatch.from_arrays([rows.column("part"), rows.column("cell"), _binaries(found, (offsets - offsets[0]) // 8)], ["part", "cell", "found"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, found = None, []
 
         def done() -> pa.RecordBatch:
             ids, sizes, places = (np.frombuffer(asked[c], t) for c, t in (("ids", np.int64), ("sizes", np.int64), ("places", np.int32)))
-            level = np.frombuffer(b"".join(found), np.uint8)[places]
-            scores = _text_scores(level[: len(level) // 2], level[len(level) // 2 :], np.cumsum(sizes) - sizes, total, distinct, texts, weight)
+            times = np.frombuffer(b"".join(found), np.uint8)[places]
+            scores = _text_scores(times[: len(times) // 2], times[len(times) // 2 :], np.cumsum(sizes) - sizes, total, distinct, texts, weight)
             return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), pa.array(scores, pa.float64())], ["doc_id", "n_tokens", "score"])
 
         for batch in batches:
@@ -407,7 +412,7 @@ def joined_scores(docs: DataFrame, filled: DataFrame, bits: int, total: float, d
                         yield done()
                     asked, found = {c: batch.column(c)[i].as_py() for c in ("ids", "sizes", "places")}, []
                 else:
-                    found.append(batch.column("levels")[i].as_py())
+                    found.append(batch.column("found")[i].as_py())
         if asked:
             yield done()
 
@@ -415,9 +420,9 @@ def joined_scores(docs: DataFrame, filled: DataFrame, bits: int, total: float, d
     none = F.lit(None)
     own = filled.select(none.cast("long").alias("part"), F.floor(F.col("block") / wide).cast("int").alias("cell"), "block", F.col("bytes").alias("grams"))
     rows = own.unionByName(asked.filter("cell >= 0").select("part", "cell", none.cast("int").alias("block"), "grams"))
-    answers = rows.repartition("cell").sortWithinPartitions("cell", "part").mapInArrow(answer, "part long, cell int, levels binary")
+    answers = rows.repartition("cell").sortWithinPartitions("cell", "part").mapInArrow(answer, "part long, cell int, found binary")
     answers = answers.select("*", *(none.cast("binary").alias(c) for c in names[3:]))
-    back = answers.unionByName(asked.filter("cell < 0").select("part", "cell", none.cast("binary").alias("levels"), *names[3:]))
+    back = answers.unionByName(asked.filter("cell < 0").select("part", "cell", none.cast("binary").alias("found"), *names[3:]))
     return back.repartition("part").sortWithinPartitions("part", "cell").mapInArrow(settle, _SCORES)
 
 
@@ -429,13 +434,13 @@ def score(docs: DataFrame, held_out: Column, bits: int | None = None, head: int
     docs = one_per_id(docs).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     train = docs.filter(~held_out)
     counts = cut_lineage(count_words(train))
-    rounded = F.when(F.col("c") > 1, F.pow(F.lit(BASE), _level(F.col("c")))).otherwise(0.0)
+    rounded = F.ceil(F.pow(F.lit(BASE), _level(F.col("c"))))
     texts = F.max(F.when(F.col("token") == END, F.col("c")))
     sizes = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(rounded).alias("s"), texts.alias("texts")).first()
     total, distinct = sizes["n"] or 0, sizes["v"]
     grams = count_grams(train, counts)
     bits = bits or needed_bits(grams)
-    known = sizes["s"] or 0.0, distinct, sizes["texts"] or 0, weight
+    known = float(sizes["s"] or 0), distinct, sizes["texts"] or 0, weight
     scored = model_scores(docs, gathered_filter(grams, bits), *known) if bits <= SHARED_BITS else joined_scores(docs, fill_blocks(grams, bits), bits, *known)
     rows = scored.join(base_sums(docs, counts, head), "doc_id")
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total + distinct + 1))

@@ -141,7 +141,7 @@ def test_filter_grows_with_its_entries(spark):
         share = np.unpackbits(held.view(np.uint8)).mean()
         assert 0.1 < share < 0.4 and len(held) * 64 <= most
         unseen = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
-        assert (lm_scoring.levels(held, unseen) > 0).mean() < 0.03
+        assert (lm_scoring.entries(held, unseen) > 0).mean() < 0.03
 
 
 def test_scores_by_join_with_the_filter(docs, monkeypatch):
@@ -153,6 +153,12 @@ def test_scores_by_join_with_the_filter(docs, monkeypatch):
     assert [r[:6] for r in got] == [r[:6] for r in want] and [r[6] for r in got] == pytest.approx([r[6] for r in want], rel=1e-12)
 
 
+def test_what_is_seen_once_is_told_from_what_is_not(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c d e f g h", "a b", "b a", "h", "z"])], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(docs, F.col("doc_id") > 0, weight=1.0).collect()}
+    assert got[1] > got[2] and got[3] > got[4]
+
+
 def test_model_is_a_probability(spark):
     train = spark.createDataFrame([(i, "a b a c") for i in range(40)], "doc_id long, text string")
     each = [(100 + i, f"{x}") for i, x in enumerate("abc")]
