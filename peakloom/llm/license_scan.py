@@ -1,7 +1,10 @@
 """License scans: phrases in place, and an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text, seen as the set of its words; a template is the set of words of a licence
-notice.  A block meets a template if it holds at least ``threshold`` of the template's words.  All such
+A block is a line of a text, or a run of words over several lines, seen as the set of its words; a
+template is the set of words of a licence notice.  Runs are twice as long as the longest template and each
+overlaps the next by half, so a notice wrapped over lines lies in one.  A run meets a template only if none
+of the lines in it (as far as they are in it) does so alone; runs that follow one another and meet the same
+template count as one block.  A block meets a template if it holds at least ``threshold`` of the template's words.  All such
 pairs are found, without comparing each block with each template:
 
 * only words of some template count for a block, and blocks with fewer of them than the shortest
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut_lineage
 
@@ -102,6 +105,19 @@ def blocks_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_hash", F.posexplode(F.split("low", r"[\n\r]+")).alias("block_no", "block"))
 
 
+def runs_of(docs: DataFrame, longest: int) -> DataFrame:
+    """doc_id, text_hash, block_no (from -2 downwards) and block: runs of 2 * ``longest`` words over lines, one from each ``longest``-th word on."""
+    low = lowered(F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), low.alias("low"))
+    rows = rows.filter(F.contains("low", F.lit("\n")) | F.contains("low", F.lit("\r")))
+    word = BETWEEN.replace("[", "[^", 1)
+    parts = F.regexp_extract_all("low", F.lit(f"(?:{word}+{BETWEEN[:-1]}*+){{1,{longest}}}"), F.lit(0))
+    rows = rows.select("doc_id", "text_hash", parts.alias("parts")).filter(F.size("parts") > 0)
+    runs = F.transform(F.slice("parts", F.lit(1), F.greatest(F.size("parts") - 1, F.lit(1))), lambda p, i: F.concat(p, F.coalesce(F.get("parts", i + 1), F.lit(""))))
+    rows = rows.select("doc_id", "text_hash", F.posexplode(runs).alias("k", "block"))
+    return rows.filter(F.contains("block", F.lit("\n")) | F.contains("block", F.lit("\r"))).select("doc_id", "text_hash", (-2 - F.col("k")).alias("block_no"), "block")
+
+
 def _literals(values) -> Column:
     return F.array(*(F.lit(v) for v in values))
 
@@ -111,8 +127,16 @@ def similarity_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     sets = [sorted(set(t.split())) for _, t in templates]
     need = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets]
     vocabulary = sorted(set().union(*sets))
-    held = blocks_of(docs).select("doc_id", "text_hash", "block_no", F.array_intersect(F.split("block", BETWEEN), _literals(vocabulary)).alias("held"))
-    held = cut_lineage(held.filter(F.size("held") >= min(need)))
+    known = _literals(vocabulary)
+
+    def words_held(blocks: DataFrame) -> DataFrame:
+        return blocks.withColumn("held", F.array_intersect(F.split("block", BETWEEN), known)).filter(F.size("held") >= min(need))
+
+    # Of runs, also the words of each line.
+    lines = F.transform(F.split("block", r"[\n\r]+"), lambda line: F.array_intersect(F.split(line, BETWEEN), known))
+    runs = words_held(runs_of(docs, max(len(t.split()) for _, t in templates))).withColumn("lines", lines)
+    held = words_held(blocks_of(docs)).withColumn("lines", F.lit(None).cast(runs.schema["lines"].dataType)).unionByName(runs)
+    held = cut_lineage(held.drop("block"))
 
     # At most one row for each word of the templates.
     counts = {r["word"]: r["n"] for r in held.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
@@ -125,17 +149,19 @@ def similarity_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
     spark = docs.sparkSession
     prefix = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, index)) + " AS t(rank, template, after_there, need)")
     facts = spark.sql("SELECT * FROM VALUES " + ", ".join(
-        f"({t}, '{label}', array({', '.join(str(rank[w]) for w in s)}))" for t, ((label, _), s) in enumerate(zip(templates, sets))) + " AS t(template, label, there)")
+        f"({t}, '{label}', array({', '.join(str(rank[w]) for w in s)}), array({', '.join(repr(w) for w in s)}))" for t, ((label, _), s) in enumerate(zip(templates, sets))) + " AS t(template, label, there, said)")
 
     ranks = F.create_map(*(x for w, i in rank.items() for x in (F.lit(w), F.lit(i))))
-    ranked = held.select("doc_id", "text_hash", "block_no", F.array_sort(F.transform("held", lambda w: F.element_at(ranks, w))).alias("here"))
+    ranked = held.select("doc_id", "text_hash", "block_no", "lines", F.array_sort(F.transform("held", lambda w: F.element_at(ranks, w))).alias("here"))
     firsts = ranked.select("*", F.posexplode(F.slice("here", F.lit(1), F.size("here") - min(need) + 1)).alias("i", "rank"))
     met = firsts.join(F.broadcast(prefix), "rank")
     met = met.filter((F.size("here") >= F.col("need")) & (F.least(F.size("here") - 1 - F.col("i"), F.col("after_there")) + 1 >= F.col("need")))
-    pairs = met.select("doc_id", "text_hash", "block_no", "template", "need", "here").distinct()
+    pairs = met.select("doc_id", "text_hash", "block_no", "template", "need", "here", "lines").distinct()
     pairs = pairs.join(F.broadcast(facts), "template")
     shared = F.size(F.array_intersect("here", "there"))
-    return pairs.filter(shared >= F.col("need")).select("doc_id", "text_hash", "block_no", "template", "label", (shared / F.size("there")).alias("containment"))
+    alone = F.exists("lines", lambda line: F.size(F.array_intersect(line, F.col("said"))) >= F.col("need"))
+    pairs = pairs.filter(shared >= F.col("need")).filter(F.col("lines").isNull() | ~alone)
+    return pairs.select("doc_id", "text_hash", "block_no", "template", "label", (shared / F.size("there")).alias("containment"))
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -144,8 +170,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     labels are those of phrases and of templates met; score is the greatest containment of a template
     met, 1 where a phrase stands.
     """
-    met = similarity_join(docs, templates, threshold).groupBy("doc_id", "text_hash").agg(
-        F.collect_set("label").alias("more"), F.max("containment").alias("best"), F.countDistinct("block_no").alias("n_blocks"))
+    met = similarity_join(docs, templates, threshold)
+    # The run before, if it meets the same template, is the same block.
+    before = F.lag("block_no").over(Window.partitionBy("doc_id", "text_hash", "template").orderBy(F.desc("block_no")))
+    met = met.withColumn("before", before)
+    opens = (F.col("block_no") >= 0) | F.col("before").isNull() | (F.col("before") != F.col("block_no") + 1)
+    met = met.groupBy("doc_id", "text_hash").agg(
+        F.collect_set("label").alias("more"), F.max("containment").alias("best"), F.countDistinct(F.when(opens, F.col("block_no"))).alias("n_blocks"))
     met = met.select(F.col("doc_id").alias("met_id"), F.col("text_hash").alias("met_hash"), "more", "best", "n_blocks")
     base = phrase_places(docs)
     both = base.join(met, base["doc_id"].eqNullSafe(met["met_id"]) & (base["text_hash"] == met["met_hash"]), "left")

@@ -49,6 +49,21 @@ def test_license_null_ids_and_repeats(spark):
     assert [(r["labels"], r["n_words"]) for r in got] == [("apache", 8)] * 3
 
 
+def test_license_wrapped_over_lines(spark):
+    mit = "/* Permission is hereby granted, free of charge, to any\n * person obtaining a copy of this software and\n * associated documentation files (the \"Software\") */"
+    bsd = "# Redistribution and use in source and binary forms, with or without\r\n#\r\n# modification, are permitted provided that the following\r\n# conditions are met:"
+    one = mit.replace("\n *", "")
+    pad = "\n".join(f"x{i} y{i}" for i in range(70))
+    texts = [mit, bsd, f"{pad}\n{mit}\n{pad}\n{bsd}", f"{pad}\n{one}\n{pad}", f"{one}\n{pad}\n{mit}", mit.replace("\n", " ZZ\n" + pad + "\n")]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r["labels"], r["n_blocks"]) for r in got] == [("mit", 1), ("bsd", 1), ("bsd,mit", 2), ("mit", 1), ("mit", 2), ("", 0)]
+    assert [r["score"] for r in got] == [1.0] * 5 + [0.0]
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[:at]) + "\n" + bsd + "\n" + " ".join(words[at:]) for at in range(60)]
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["labels"], r["n_blocks"]) for r in got} == {("bsd", 1)}
+
+
 def test_leaks_against_every_window(spark, rows):
     import random
 
