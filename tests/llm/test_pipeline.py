@@ -19,7 +19,7 @@ STAGES = dict(corpus_pipeline.STAGES)
 
 def test_all_queries_are_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_whole_pipeline(spark):
