@@ -16,8 +16,12 @@ its own.  Rows without text or label are not learnt from.  Without any labelled
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,11 +35,33 @@ SAMPLE_CHARS = 80_000
 #: Words kept with their phrases in a worker; later ones are parsed each time.
 REMEMBERED = 300_000
 UNDECIDED = "und"
-_WORD = re.compile(r"[^\W\d_]+")
 _SHIFT = 21
 _FIELD = 48
 
 
+@functools.cache
+def _words():
+    """Finds the words of a text: a letter and the letters and marks after it.
+
+    Word characters that are no digits or lines are the letters and some numerals; only texts with such a
+    numeral or a mark need the pattern of ranges, which is slower.
+    """
+    kinds = [unicodedata.category(chr(c)) for c in range(sys.maxunicode + 1)]
+
+    def ranges(wanted: str) -> str:
+        out, at = [], 0
+        for is_in, run in itertools.groupby(kinds, lambda k: k[0] in wanted):
+            n = len(list(run))
+            if is_in:
+                out.append(f"\\U{at:08x}-\\U{at + n - 1:08x}")
+            at += n
+        return "".join(out)
+
+    odd = frozenset(chr(c) for c, k in enumerate(kinds) if k[0] == "M" or k in ("Nl", "No"))
+    plain, exact = re.compile(r"[^\W\d_]+").findall, re.compile(f"[{ranges('L')}][{ranges('LM')}]*").findall
+    return lambda text: plain(text) if odd.isdisjoint(text) else exact(text)
+
+
 class Automaton:
     """Suffix automaton of a text: the set of its substrings, with transitions in one table."""
 
@@ -107,13 +133,13 @@ def sample(docs: DataFrame, rows: int) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
         ids = ids.withColumn("rank", rank).filter(F.col("rank") <= rows).drop("rank")
     chosen = ids.select(F.col("doc_id").alias("chosen"), F.col("lang").alias("of"))
-    found = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen")) & (F.col("lang") == F.col("of")))
+    found = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen")) & (F.col("lang") == F.col("of")))
     return found.select("lang", "doc_id", F.lower("text").alias("text"))
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """For each language the distinct words of its sample, in order of a hash, up to ``chars`` characters."""
-    words = sample(labelled, rows).select("lang", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{M}]+)"), 1))).alias("word")).distinct()
+    words = sample(labelled, rows).select("lang", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}[\p{L}\p{M}]*)"), 1))).alias("word")).distinct()
     words = words.withColumn("h", F.xxhash64("word"))
     before = F.sum(F.length("word") + 1).over(Window.partitionBy("lang").orderBy("h", "word"))
     words = words.withColumn("before", before).filter(F.col("before") <= chars)
@@ -149,10 +175,10 @@ class _Parser:
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float, int, int]]:
         """Language, score, phrases and letters of each text."""
-        known, langs = self.phrases, self.langs
+        known, langs, find = self.phrases, self.langs, _words()
         out = []
         for text in texts:
-            words = _WORD.findall((text or "").lower())
+            words = find((text or "").lower())
             letters = sum(map(len, words))
             if not words or not langs:
                 out.append((UNDECIDED, 0.0, 0, letters))

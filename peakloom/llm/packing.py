@@ -41,14 +41,15 @@ class _Known(dict):
 
 
 def _tokenizer(path: str):
-    """The tokenizer, the words known so far, and which ids end a word."""
+    """The tokenizer, the words known so far, which ids end a word, and the added tokens in lower case."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     ends = np.zeros(tokenizer.get_vocab_size(), bool)
     ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-    return tokenizer, _Known(), ends
+    added = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    return tokenizer, _Known(), ends, added
 
 
 def _encode_words(tokenizer, ends: np.ndarray, words: list[bytes]) -> dict[bytes, bytes]:
@@ -78,11 +79,13 @@ def encode(path: str, texts: list[bytes]) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
     The vocabulary drops white space and letter case and no token reaches over white space, so words
-    are encoded once and their ids strung together.
+    are encoded once and their ids strung together.  Added tokens are looked for before letter case is
+    dropped: a text with one in any case is cut as it is.
     """
-    tokenizer, known, ends = in_worker(("ids", path), lambda: _tokenizer(path))
+    tokenizer, known, ends, added = in_worker(("ids", path), lambda: _tokenizer(path))
     known.new = {}
-    words = [t.lower().split() for t in texts]
+    lower = [t.lower() for t in texts]
+    words = [(t if any(a in low for a in added) else low).split() for t, low in zip(texts, lower)]
     found = [list(map(known.__getitem__, ws)) for ws in words]
     new = known.new
     stems = {w[:-1] if _STOPPED.search(w, len(w) - 2) else w for w in new} | {b".", b","}

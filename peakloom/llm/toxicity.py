@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array([number[a:z] for a, z in zip(cuts, cuts[1:])], pa.list_(pa.int64()))], ["grade", "numbers"])
 
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("grade", F.col("text").cast("string").alias("text"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen")).select("grade", F.col("text").cast("string").alias("text"))
     got = texts.mapInArrow(run, "grade int, numbers array<bigint>").collect()
     got.sort(key=lambda r: (r["grade"], r["numbers"]))
     grades = np.array([r["grade"] for r in got], np.int64)

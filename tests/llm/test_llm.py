@@ -325,3 +325,29 @@ def test_empty_tables(spark, nothing):
     assert language_id.predict(nothing, language_id.learn(nothing)).count() == 0
     assert simhash_dedup.near_duplicates(nothing).count() == 0
     assert token_counts.token_counts(nothing, PIECES, 5).count() == 0
+
+
+def test_packing_added_tokens_in_any_case():
+    import random
+
+    from tokenizers import Tokenizer
+
+    tokenizer, draw = Tokenizer.from_file(IDS), random.Random(3)
+    bits = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARToftext|>", "<|", "|>", "a", "B", " ", "\n", "É", "é", "3", "'S", "'s", "don't.", "x,", "İ", "ſ", "中", "😀", ".", ",", "K"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 9))) for _ in range(20_000)]
+    for text, ids in zip(texts, packing.encode(IDS, [t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_letters_marks_and_numerals(spark):
+    schema = "doc_id long, text string, lang string, grade string, chosen string, `of` string, toxic int"
+    rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de", "g", "c", "o", 1) for i in range(20)]
+    rows += [(100, "½ ²", "en", "g", "c", "o", 1), (101, "Ⅷ 12 _", "de", None, None, None, None), (102, "́ ̀", "en", "g", "c", "o", 1), (103, "हिन्दी", "hi", "g", "c", "o", 0)]
+    docs = spark.createDataFrame(rows, schema)
+    texts = language_id.learn(docs)
+    assert texts["hi"] == " हिन्दी "
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, texts).collect()}
+    assert [got[k] for k in (100, 101, 102, 103, 0, 1)] == ["und", "und", "und", "hi", "de", "en"]
+    assert language_id._words()("é́x ½a हिन्दी 3b_c") == ["é́x", "a", "हिन्दी", "b", "c"]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert toxicity.severity(docs, toxicity.fit(docs, labels)).count() == len(rows)
