@@ -26,6 +26,8 @@ def with_views(body: str) -> str:
     body = body.strip()
     if not heads:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(heads) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(heads) + ",\n" + body[5:]
     return "WITH " + ",\n".join(heads) + "\n" + body

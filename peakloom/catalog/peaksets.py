@@ -153,7 +153,27 @@ def _(v):
 # --- merging sets ----------------------------------------------------------
 
 
-@query("merge_two_sets")
+# In order, one peak of each chromosome a step; ``used`` are the later peaks that are taken.
+TWO_SETS = """RECURSIVE p AS (SELECT chrom, s, e, st, row_number() OVER (PARTITION BY chrom ORDER BY s, e, st) AS k FROM (SELECT DISTINCT chrom, "start" AS s, "end" AS e, "set" AS st FROM peaks)),
+    w AS (SELECT a.chrom, a.k, min(b.k) AS j FROM p a JOIN p b ON a.chrom = b.chrom AND a.s < b.e AND b.s < a.e AND b.k > a.k
+        WHERE b.e <= a.e OR (b.s < a.e AND (a.e - b.s) / least(a.e - a.s, b.e - b.s)::DOUBLE > 0.8) GROUP BY 1, 2),
+    o AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY k) AS n FROM w),
+    walk(chrom, n, k, j, takes, used) AS (
+        SELECT DISTINCT chrom, 0::BIGINT, 0::BIGINT, 0::BIGINT, FALSE, []::BIGINT[] FROM o
+        UNION ALL SELECT o.chrom, o.n, o.k, o.j, NOT list_contains(used, o.k),
+            list_concat(list_filter(used, lambda x: x > o.k), CASE WHEN list_contains(used, o.k) THEN []::BIGINT[] ELSE [o.j] END)
+        FROM walk JOIN o ON o.chrom = walk.chrom AND o.n = walk.n + 1),
+    t AS (SELECT walk.chrom, i.k, i.s AS si, i.e AS ei, i.st AS ni, j.k AS jk, j.s AS sj, j.e AS ej, j.st AS nj, j.e <= i.e AS inside, i.e - i.s AS li, j.e - j.s AS lj
+        FROM walk JOIN p i ON i.chrom = walk.chrom AND i.k = walk.k JOIN p j ON j.chrom = walk.chrom AND j.k = walk.j WHERE takes),
+    merged AS (SELECT chrom, greatest(si, sj) AS s, least(ei, ej) AS e, 'both' AS st FROM t),
+    spare AS (SELECT chrom, si AS s, sj - 1 AS e, ni AS st FROM t WHERE (sj - si) / li::DOUBLE > 0.5 AND (inside OR li >= lj)
+        UNION ALL SELECT chrom, ej + 1, ei, ni FROM t WHERE inside AND (ei - ej) / li::DOUBLE > 0.5
+        UNION ALL SELECT chrom, ei + 1, ej, nj FROM t WHERE NOT inside AND li < lj AND (ej - ei) / lj::DOUBLE > 0.5),
+    rest AS (SELECT chrom, s, e, st FROM p WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.chrom = p.chrom AND (t.k = p.k OR t.jk = p.k)) UNION ALL SELECT * FROM spare WHERE e > s)"""
+
+
+@query("merge_two_sets", f"""WITH {TWO_SETS} SELECT chrom, s AS "start", e AS "end", st AS "set" FROM merged
+    UNION SELECT chrom, s, e, st FROM rest r WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.chrom = r.chrom AND m.s < r.e AND r.s < m.e AND least(m.e, r.e) - greatest(m.s, r.s) >= 0.9 * (r.e - r.s))""")
 def _(v):
     return pk.merge_two_sets(v.peaks)
 

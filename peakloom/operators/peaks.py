@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.tails import chi2_even_p, poisson_sf
 from ..runtime import cut_lineage
+from .chains import WIDTHS, choosers
 from .normalise import p_adjust
 from .overlap import COORDS, TILE, map_signal, overlap_anti, overlap_join
-from .scans import tiled_scan, value_bucket
+from .scans import ranked, tiled_scan, value_bucket
 from .segments import cluster_intervals, combine_tracks, pileup, scale_track
 
 #: Largest summit distance and its share of the region length.
@@ -345,12 +346,7 @@ def recalibrate_pvalues(orig: DataFrame, remixed: DataFrame, p: str = "p_value")
 # --- merging peak sets -----------------------------------------------------
 
 
-def _ordered(peaks: DataFrame) -> DataFrame:
-    """One id per peak that sorts in (start, end, set) order inside a chromosome."""
-    return peaks.withColumn("pid", F.struct("start", "end", "set"))
-
-
-def merge_two_sets(peaks: DataFrame) -> DataFrame:
+def merge_two_sets(peaks: DataFrame, widths: Sequence[int] = WIDTHS) -> DataFrame:
     """Merge labelled peaks (``set``) that contain each other or overlap by > 0.8 of the shorter.
 
     In (start, end) order a peak that is still free takes the first later peak it can merge
@@ -358,31 +354,27 @@ def merge_two_sets(peaks: DataFrame) -> DataFrame:
     half of its peak becomes a new peak of its set.  Peaks that merged with none, and
     leftovers, are reported when no merged region covers 90 % of them.
 
-    Which peaks are still free is settled in rounds: every peak that no undecided earlier
-    peak wants is decided at once, so the rounds follow the longest chain of wishes.
+    Which peaks are still free when their turn comes is told tile by tile for every state that can
+    enter (:mod:`chains`), in a fixed number of stages however long the chains of wishes are.
     """
-    p = _ordered(peaks.select(*COORDS, "set").distinct())
-    pairs = overlap_join(p, p).where(F.col("pid") < F.col("b_pid"))
+    order = ["start", "end", "set"]
+    p = cut_lineage(ranked(peaks.select(*COORDS, "set").distinct(), ["chrom"], [F.col(c) for c in order], "rank"))
+    p = p.withColumn("pid", F.struct(*order))
+    pairs = overlap_join(p, p).where(F.col("rank") < F.col("b_rank"))
     size_i, size_j = F.col("end") - F.col("start"), F.col("b_end") - F.col("b_start")
     contains = F.col("b_end") <= F.col("end")
     partial = ~contains & (F.col("b_start") < F.col("end")) & (
         (F.col("end") - F.col("b_start")) / F.least(size_i, size_j) > 0.8
     )
-    wish = (
-        pairs.where(contains | partial).groupBy("chrom", "pid")
-        .agg(F.min("b_pid").alias("partner"))
+    wish = cut_lineage(
+        pairs.where(contains | partial).groupBy("chrom", "pid", "rank")
+        .agg(F.min(F.struct("b_rank", "b_pid")).alias("w")).select("chrom", "pid", "rank", F.col("w.b_rank").alias("wish"), F.col("w.b_pid").alias("partner"))
     )
-    todo, taken = cut_lineage(wish), None
-    while not todo.isEmpty():
-        wanted = todo.select("chrom", F.col("partner").alias("pid")).distinct()
-        free = cut_lineage(todo.join(wanted, ["chrom", "pid"], "left_anti"))
-        taken = free if taken is None else taken.unionByName(free)
-        used = free.select("chrom", F.col("partner").alias("pid"))
-        todo = cut_lineage(
-            todo.join(free.select("chrom", "pid").unionByName(used).distinct(), ["chrom", "pid"], "left_anti")
-        )
-    if taken is None:
-        taken = wish.limit(0)
+    # A partner without a wish of its own takes nobody; it needs no place in a chain.
+    wishing = wish.select("chrom", F.col("rank").alias("wish"), F.lit(True).alias("_goes_on"))
+    links = wish.select("chrom", "rank", "wish").join(wishing, ["chrom", "wish"], "left")
+    free = choosers(links.select("chrom", "rank", F.when(F.col("_goes_on"), F.col("wish")).alias("wish")), ["chrom"], "rank", "wish", widths)
+    taken = cut_lineage(wish.join(free, ["chrom", "rank"]))
     i = lambda c: F.col(f"pid.{c}")
     j = lambda c: F.col(f"partner.{c}")
     len_i, len_j = i("end") - i("start"), j("end") - j("start")
