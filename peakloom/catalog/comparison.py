@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tails import normal_p
 from ..operators import normalise as nm
+from ..operators.dispersion import differential_counts_nb
 from ..operators.overlap import COORDS
 from ..plans.differential import counts_per_sample, differential_regions, with_condition
 from .base import f_p_sql, normal_p_sql, query, r, rounded, t_p_sql
@@ -136,6 +137,37 @@ def _(v):
     return rounded(out.select("peak_id", "fdr", "change", "label"), "fdr", digits=4)
 
 
+# The count model: lib the library sizes, y the scaled counts, curve the conditional likelihoods on the grid.
+NB = f"""lib AS (SELECT sample, sum(n)::DOUBLE AS size FROM ({{counts}}) GROUP BY 1), target AS (SELECT exp(avg(ln(size))) AS t FROM lib WHERE size > 0),
+    y AS (SELECT id, sample, CASE WHEN sample IN ('s0', 's1', 's2') THEN 1 ELSE 2 END AS g, n * (SELECT t FROM target) / size AS v FROM ({{counts}}) JOIN lib USING (sample)),
+    z AS (SELECT id, sum(v) FILTER (WHERE g = 1) AS z1, sum(v) FILTER (WHERE g = 2) AS z2 FROM y GROUP BY 1),
+    grid AS (SELECT k, pow(2.0::DOUBLE, 9 - 0.25 * k) AS r FROM (SELECT unnest(range(0, 49)) AS k)),
+    own AS (SELECT id, k, r, sum(lgamma(v + r)) AS own FROM y, grid GROUP BY 1, 2, 3),
+    curve AS (SELECT id, k, own - lgamma(z1 + 3 * r) - lgamma(z2 + 3 * r) + 2 * lgamma(3 * r) - 6 * lgamma(r) AS l FROM own JOIN z USING (id) WHERE z1 + z2 > 0),
+    share AS (SELECT k, avg(l) AS m FROM curve GROUP BY 1),
+    both_l AS (SELECT id, k, l + 10.0::DOUBLE / 4 * m AS l FROM curve JOIN share USING (k)),
+    top AS (SELECT id, arg_max(k, (l, -k)) AS k FROM both_l GROUP BY 1),
+    near AS (SELECT t.id, t.k, greatest(1, least(47, t.k)) AS i FROM top t),
+    bend AS (SELECT n.id, n.k, n.i, max(l) FILTER (WHERE b.k = i - 1) AS a, max(l) FILTER (WHERE b.k = i) AS b, max(l) FILTER (WHERE b.k = i + 1) AS c
+        FROM near n JOIN both_l b ON b.id = n.id AND b.k BETWEEN i - 1 AND i + 1 GROUP BY 1, 2, 3),
+    phi AS (SELECT id, pow(2.0::DOUBLE, -9 + 0.25 * (i + CASE WHEN i <> k THEN k - i WHEN a - 2 * b + c < 0 THEN greatest(-1, least(1, 0.5 * (a - c) / (a - 2 * b + c))) ELSE 0 END)) AS d FROM bend),
+    whole AS (SELECT id, floor(z1 + 0.5)::BIGINT AS a, floor(z2 + 0.5)::BIGINT AS b, 3 / d AS r FROM z JOIN phi USING (id)),
+    term AS (SELECT id, a, x, exp(lgamma(a + b + 1) + lgamma(2 * r) - lgamma(a + b + 2 * r) - 2 * lgamma(r) + lgamma(x + r) - lgamma(x + 1) + lgamma(a + b - x + r) - lgamma(a + b - x + 1)) AS p
+        FROM (SELECT *, unnest(range(0, a + b + 1)) AS x FROM whole)),
+    test AS (SELECT id, least(1, 2 * least(sum(p) FILTER (WHERE x <= a), sum(p) FILTER (WHERE x >= a))) AS p FROM term GROUP BY 1),
+    raw AS (SELECT *, p * count(*) OVER () / count(*) OVER (ORDER BY round(p, 12) RANGE UNBOUNDED PRECEDING) AS raw FROM test),
+    fdr AS (SELECT id, least(1, min(raw) OVER (ORDER BY round(p, 12) DESC RANGE UNBOUNDED PRECEDING)) AS fdr FROM raw),
+    whole_fc AS (SELECT id, log2(((z1 + z2) / 6 + 0.5) * 1e6::DOUBLE / (SELECT t FROM target)) AS log_cpm, log2((z2 / 3 + 0.5) / (z1 / 3 + 0.5)) AS log_fc FROM z)"""
+
+
+@query("differential_counts_nb", f"""WITH {NB.replace('{counts}', COUNTS)} SELECT id AS peak_id, {r('log_cpm', 4)} AS log_cpm, {r('log_fc', 4)} AS log_fc,
+    {r('d', 4)} AS dispersion, {r('p', 4)} AS p_value, {r('fdr', 4)} AS fdr FROM whole_fc LEFT JOIN phi USING (id) LEFT JOIN test USING (id) LEFT JOIN fdr USING (id)""")
+def _(v):
+    counts = _counts(v).withColumnRenamed("id", "peak_id").select("peak_id", "sample", "count")
+    out = differential_counts_nb(counts, CONDITIONS)
+    return rounded(out, "log_cpm", "log_fc", "dispersion", "p_value", "fdr", digits=4)
+
+
 @query("classify_change", f"""SELECT id, CASE WHEN log2(ratio) < -1 THEN -1 WHEN log2(ratio) > 1 THEN 1 ELSE 0 END AS change FROM ({RATIO})""")
 def _(v):
     out = _regions(v).withColumn("log2fc", F.log2("ratio"))

@@ -280,6 +280,23 @@ def _(v):
     return sg.shuffle_intervals(v.peaks.select("id", *ov.COORDS), v.sizes, seed=5, within=bins)
 
 
+# Regions of many lengths, some of them too short; places are numbered from the longest region on.
+RAGGED = """SELECT chrom, 100000 * k AS s, 100000 * k + 150 + (k * 7919) % 911 AS e FROM sizes, (SELECT unnest(range(0, 100)) AS k)"""
+
+
+@query("shuffle_intervals_ragged", f"""WITH fit AS (SELECT l.chrom, l.len, w.s, w.e, w.e - w.s - l.len + 1 AS room FROM
+    (SELECT DISTINCT chrom, "end" - "start" AS len FROM peaks) l JOIN ({RAGGED}) w USING (chrom) WHERE w.e - w.s >= l.len),
+    lane AS (SELECT *, sum(room) OVER (PARTITION BY chrom, len ORDER BY e - s DESC, s)::BIGINT AS upto, sum(room) OVER (PARTITION BY chrom, len)::BIGINT AS total FROM fit),
+    aim AS (SELECT p.id, p.chrom, p."end" - p."start" AS len, ('0x' || substr(md5(concat_ws(':', id, 9)), 1, 12))::BIGINT % t.total AS spot
+        FROM peaks p JOIN (SELECT DISTINCT chrom, len, total FROM lane) t ON t.chrom = p.chrom AND t.len = p."end" - p."start")
+    SELECT id, aim.chrom, s + spot - (upto - room) AS "start", s + spot - (upto - room) + aim.len AS "end" FROM aim JOIN lane
+    ON lane.chrom = aim.chrom AND lane.len = aim.len AND spot >= upto - room AND spot < upto""")
+def _(v):
+    bins = sg.make_bins(v.sizes, 100000).where("start < 10000000")
+    k = F.floor(F.col("start") / 100000)
+    return sg.shuffle_intervals(v.peaks.select("id", *ov.COORDS), v.sizes, seed=9, within=bins.withColumn("end", F.col("start") + 150 + k * 7919 % 911))
+
+
 ANCHORS = """SELECT chrom, ("start" + "end") // 2 AS pos, id FROM features"""
 
 

@@ -80,6 +80,56 @@ def _(v):
     return rounded(out, "fisher", "log_p")
 
 
+def _evidence_sql(passes: str) -> str:
+    """One row a peak: f the peaks, best the partners, tests the tests, j the verdicts, fdr over the confirmed."""
+    tail = " + ".join(f"CASE WHEN replicates > {k} THEN pow(fisher / 2, {k}) / {f} ELSE 0 END" for k, f in ((1, 1), (2, 2), (3, 6), (4, 24)))
+    return f"""f AS (SELECT chrom, "start" AS s, "end" AS e, batch, max(signal_value) AS q FROM peaks WHERE signal_value >= 4 GROUP BY ALL),
+    best AS (SELECT a.chrom, a.s, a.e, a.batch, b.batch AS ob, arg_max(b.s, (b.q, -b.s, -b.e)) AS os, arg_max(b.e, (b.q, -b.s, -b.e)) AS oe, max(b.q) AS oq
+        FROM f a JOIN f b ON a.chrom = b.chrom AND a.s < b.e AND b.s < a.e AND a.batch <> b.batch GROUP BY 1, 2, 3, 4, 5),
+    t0 AS (SELECT f.*, coalesce(n, 0) + 1 AS replicates, 2 * ln(10.0::DOUBLE) * (q + coalesce(o, 0)) AS fisher
+        FROM f LEFT JOIN (SELECT chrom, s, e, batch, count(*) AS n, sum(oq) AS o FROM best GROUP BY 1, 2, 3, 4) USING (chrom, s, e, batch)),
+    t1 AS (SELECT *, exp(-fisher / 2) * (1 + {tail}) AS p FROM t0),
+    tests AS (SELECT *, replicates >= 2 AND p <= 1e-8 AS ok FROM t1),
+    asked AS (SELECT b.chrom, os AS s, oe AS e, ob AS batch, bool_and(ok) AS allok, bool_or(ok) AS anyok FROM best b JOIN tests t USING (chrom, s, e, batch) WHERE replicates >= 2 GROUP BY 1, 2, 3, 4),
+    j AS (SELECT t.*, {passes} AS yes FROM tests t LEFT JOIN asked USING (chrom, s, e, batch)),
+    raw AS (SELECT *, pow(10.0::DOUBLE, -q) * count(*) OVER (PARTITION BY batch) / count(*) OVER (PARTITION BY batch ORDER BY pow(10.0::DOUBLE, -q) RANGE UNBOUNDED PRECEDING) AS raw FROM j WHERE yes),
+    fdr AS (SELECT chrom, s, e, batch, least(1, min(raw) OVER (PARTITION BY batch ORDER BY pow(10.0::DOUBLE, -q) DESC RANGE UNBOUNDED PRECEDING)) AS fdr FROM raw)"""
+
+
+def _evidence(v, rule):
+    # An evidence of 1 at most: some of the confirmed stay above the FDR bound.
+    return pk.peak_evidence(_summits(v), 1e-4, 1e-8, 2, 1e-5, rule)
+
+
+EVIDENCE = f"""chrom, s AS "start", e AS "end", batch AS replicate, CASE WHEN q >= 8 THEN 'strong' ELSE 'weak' END AS kind, replicates, {r('fisher')} AS fisher,
+    {r('log10(p)')} AS log_p, CASE WHEN yes THEN 'confirmed' ELSE 'discarded' END AS verdict, {r('log10(fdr)')} AS log_fdr, coalesce(fdr <= 1e-5, FALSE) AS kept"""
+
+
+def _logs(out):
+    logged = out.withColumns({"log_p": F.log10("combined_p"), "log_fdr": F.log10("fdr")})
+    return rounded(logged.drop("combined_p", "fdr", "neg_log10_p"), "fisher", "log_p", "log_fdr")
+
+
+@query("peak_evidence", f"""WITH {_evidence_sql('ok AND coalesce(allok, TRUE)')} SELECT {EVIDENCE} FROM j LEFT JOIN fdr USING (chrom, s, e, batch)""")
+def _(v):
+    return _logs(_evidence(v, "technical"))
+
+
+@query("peak_evidence_biological", f"""WITH {_evidence_sql('ok OR coalesce(anyok, FALSE)')} SELECT {EVIDENCE} FROM j LEFT JOIN fdr USING (chrom, s, e, batch)""")
+def _(v):
+    return _logs(_evidence(v, "biological"))
+
+
+@query("confirmed_regions", f"""WITH {_evidence_sql('ok OR coalesce(anyok, FALSE)')},
+    k AS (SELECT j.* FROM j JOIN fdr USING (chrom, s, e, batch) WHERE fdr <= 1e-5),
+    n AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM k),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS isle FROM n),
+    g AS (SELECT chrom, min(s) AS "start", max(e) AS "end", count(DISTINCT batch) AS replicates, max(fisher) AS fisher, count(*) AS peaks FROM i GROUP BY chrom, isle)
+    SELECT chrom, "start", "end", replicates, {r('fisher')} AS fisher, peaks FROM g ORDER BY g.fisher DESC, chrom, "start", "end" LIMIT 300""")
+def _(v):
+    return rounded(pk.confirmed_regions(_evidence(v, "biological"), 300), "fisher")
+
+
 @query("consensus_summits")
 def _(v):
     summits = _summits(v)

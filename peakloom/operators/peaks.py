@@ -117,6 +117,61 @@ def replicate_concordance(
     )
 
 
+def peak_evidence(
+    peaks: DataFrame, weak: float = 1e-4, strong: float = 1e-8, min_reps: int = 2, alpha: float = 0.05,
+    rule: str = "technical", rep: str = "replicate",
+) -> DataFrame:
+    """Each replicate's peak judged with those that it overlaps in the other replicates, a row a peak.
+
+    Peaks below ``weak`` count, as ``strong`` or ``weak`` ones (``kind``).  A peak's test joins it with the
+    best overlapping peak of each other replicate (of equal ones the first): it passes if ``min_reps``
+    replicates take part and Fisher's combined p-value is at most ``strong``.  A peak takes part in its own
+    test and in the tests of peaks that picked it, where enough replicates met.  It is ``confirmed`` if all
+    of these pass (``technical`` replicates) or any does (``biological``), else ``discarded``.  ``fdr`` is
+    Benjamini-Hochberg over the confirmed peaks of a replicate and ``kept`` tells whether it is at most
+    ``alpha``.  Rows with equal place and replicate are one peak with the best evidence.
+    """
+    if rule not in ("technical", "biological"):
+        raise ValueError("rule must be 'technical' or 'biological'")
+    me = [*COORDS, rep]
+    fit = peaks.where(F.col("neg_log10_p") >= F.lit(-1.0) * F.log10(F.lit(weak)))
+    fit = cut_lineage(fit.groupBy(*me).agg(F.max("neg_log10_p").alias("neg_log10_p")))
+    pairs = overlap_join(fit, fit).where(F.col(rep) != F.col(f"b_{rep}"))
+    rank = F.struct("b_neg_log10_p", -F.col("b_start"), -F.col("b_end"))
+    best = cut_lineage(pairs.groupBy(*me, f"b_{rep}").agg(F.max(rank).alias("m")).select(
+        *me, F.col(f"b_{rep}").alias("_rep"), (-F.col("m.col2")).alias("_start"), (-F.col("m.col3")).alias("_end"), F.col("m.b_neg_log10_p").alias("_best")
+    ))
+    ln10 = F.log(F.lit(10.0))
+    others = best.groupBy(*me).agg(F.count(F.lit(1)).alias("_n"), F.sum("_best").alias("_sum"))
+    tests = fit.join(others, me, "left").select(
+        *me, "neg_log10_p", (F.coalesce("_n", F.lit(0)) + 1).alias("replicates"),
+        (2 * ln10 * (F.col("neg_log10_p") + F.coalesce("_sum", F.lit(0.0)))).alias("fisher"),
+    )
+    tests = tests.withColumn("combined_p", chi2_even_p(F.col("fisher"), F.col("replicates")))
+    enough = F.col("replicates") >= min_reps
+    tests = cut_lineage(tests.withColumn("_pass", enough & (F.col("combined_p") <= strong)))
+    asked = best.join(tests.where(enough).select(*me, "_pass"), me).groupBy(
+        "chrom", F.col("_start").alias("start"), F.col("_end").alias("end"), F.col("_rep").alias(rep)
+    ).agg(F.every("_pass").alias("_all"), F.some("_pass").alias("_any"))
+    joined = tests.join(asked, me, "left")
+    passed = F.col("_pass") & F.coalesce("_all", F.lit(True)) if rule == "technical" else F.col("_pass") | F.coalesce("_any", F.lit(False))
+    judged = cut_lineage(joined.select(
+        *me, "neg_log10_p", F.when(F.col("neg_log10_p") >= F.lit(-1.0) * F.log10(F.lit(strong)), "strong").otherwise("weak").alias("kind"),
+        "replicates", "fisher", "combined_p", F.when(passed, "confirmed").otherwise("discarded").alias("verdict"),
+        F.when(passed, F.pow(F.lit(10.0), -F.col("neg_log10_p"))).alias("_p"),
+    ))
+    return p_adjust(judged, "_p", "BH", [rep], "fdr").drop("_p").withColumn("kept", F.coalesce(F.col("fdr") <= alpha, F.lit(False)))
+
+
+def confirmed_regions(evidence: DataFrame, top: int | None = None, rep: str = "replicate") -> DataFrame:
+    """Regions of overlapping kept peaks with their replicates and best combined evidence, the ``top`` best ones if told."""
+    islands = cluster_intervals(evidence.where("kept"))
+    out = islands.groupBy("chrom", "cluster_start", "cluster_end").agg(
+        F.count_distinct(rep).alias("replicates"), F.max("fisher").alias("fisher"), F.count(F.lit(1)).alias("peaks")
+    ).withColumnsRenamed({"cluster_start": "start", "cluster_end": "end"})
+    return out if top is None else top_n_peaks(out, top, "fisher")
+
+
 # --- consensus -------------------------------------------------------------
 
 

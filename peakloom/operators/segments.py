@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import cut_lineage
 from .overlap import COORDS, TILE, overlap_join
-from .scans import draw, exact_quantiles, tiled_scan
+from .scans import draw, exact_quantiles, ranked, tiled_scan, value_bucket
+
+#: Rows handled in one task where rows are dealt by count.
+PART = 1 << 17
 
 
 def _depth(df: DataFrame, keys: Sequence[str], weight: Column, slop: int = 0) -> DataFrame:
@@ -194,7 +199,8 @@ def random_windows(draws: DataFrame, sizes: DataFrame, length: int, seed: int, m
     ``sizes`` is one row per chromosome; the windows depend only on ``id`` and seed.
     """
     room = sizes.select("chrom", F.greatest(F.col("length") - length + 1, F.lit(0)).alias("room")).where("room > 0")
-    laid = tiled_scan(room, [], [F.col("chrom")], F.lit(0), running={"upto": ("sum", F.col("room"))})
+    numbered = ranked(room, [], [F.col("chrom")], "_k")
+    laid = tiled_scan(numbered, [], [F.col("_k")], F.floor(F.col("_k") / PART), running={"upto": ("sum", F.col("room"))})
     total = room.agg(F.sum("room").alias("_total"))
     spots = (
         draws.select("id").crossJoin(F.broadcast(total))
@@ -219,10 +225,11 @@ def shuffle_intervals(
 ) -> DataFrame:
     """Move every interval to a random place on its chromosome, keeping its length.
 
-    With ``within`` the place is inside one of those (disjoint) regions: a region of
-    length r can hold the interval in r - len + 1 places, counted over regions at
-    least as long as the longest interval of that length class.  Intervals that fit nowhere or whose
-    chromosome has no size stay, without a place (null ``start`` and ``end``).
+    With ``within`` the place is inside one of those (disjoint) regions, each place of each region that is
+    long enough being as likely.  Places are numbered along the regions from the longest on (then by start),
+    so running totals by length tell their number for every interval length and a search among the lengths
+    finds the region of a place: no interval length meets the regions one by one.  Intervals that fit nowhere
+    or whose chromosome has no size or region stay, without a place (null ``start`` and ``end``).
     """
     size = (F.col("end") - F.col("start")).alias("_len")
     if within is None:
@@ -230,40 +237,73 @@ def shuffle_intervals(
         places = F.when(F.col("_size") >= F.col("_len"), F.col("_size") - F.col("_len") + 1)
         moved = moved.withColumn("_at", F.pmod(draw(seed, F.col(id_col)), places))
         return moved.withColumn("start", F.col("_at")).withColumn("end", F.col("_at") + F.col("_len")).select(*df.columns)
-    lengths = df.select("chrom", size).distinct()
-    fits = (
-        lengths.join(within.select("chrom", F.col("start").alias("_rs"), F.col("end").alias("_re")), "chrom")
-        .where(F.col("_re") - F.col("_rs") >= F.col("_len"))
-        .withColumn("_room", F.col("_re") - F.col("_rs") - F.col("_len") + 1)
-    )
-    laid = tiled_scan(
-        fits, ["chrom", "_len"], [F.col("_rs")], F.floor(F.col("_rs") / TILE),
-        running={"_upto": ("sum", F.col("_room"))},
-    ).withColumn("_from", F.col("_upto") - F.col("_room"))
-    total = fits.groupBy("chrom", "_len").agg(F.sum("_room").alias("_total"))
-    aimed = (
-        df.withColumn("_len", size).join(total, ["chrom", "_len"])
-        .withColumn("_spot", F.pmod(draw(seed, F.col(id_col)), F.col("_total")))
-    )
-    lane = F.concat_ws("|", "chrom", "_len")
-    spots = aimed.select(
-        lane.alias("chrom"), F.col("_spot").alias("start"), (F.col("_spot") + 1).alias("end"),
-        F.struct(*df.columns).alias("row"), "_len",
+    regions = within.select("chrom", F.col("start").alias("_rs"), (F.col("end") - F.col("start")).alias("_r"))
+    sized = df.withColumn("_len", size)
+    classes, reach = _room_by_length(regions, sized.select("chrom", "_len").distinct())
+    aimed = cut_lineage(
+        sized.join(reach, ["chrom", "_len"], "left").withColumn("_spot", F.pmod(draw(seed, F.col(id_col)), F.when(F.col("_total") > 0, F.col("_total"))))
     )
-    lanes = laid.select(lane.alias("chrom"), F.col("_from").alias("start"), F.col("_upto").alias("end"), "_rs")
-    put = overlap_join(spots, lanes, bin_width=1 << 20)
-    new_start = F.col("b__rs") + F.col("start") - F.col("b_start")
-    placed = put.select(
-        *[
-            new_start.alias("start") if c == "start"
-            else (new_start + F.col("_len")).alias("end") if c == "end"
-            else F.col(f"row.{c}").alias(c)
-            for c in df.columns
-        ]
+    spots = aimed.where("_spot is not null").select("chrom", "_len", "_spot").distinct()
+    found = _find_places(spots, classes)
+    numbered = ranked(regions, ["chrom", "_r"], [F.col("_rs")], "_k")
+    put = found.join(numbered, ["chrom", "_r", "_k"]).select("chrom", "_len", "_spot", (F.col("_rs") + F.col("_at")).alias("_new"))
+    placed = aimed.join(put, ["chrom", "_len", "_spot"], "left")
+    return placed.withColumn("start", F.col("_new")).withColumn("end", F.col("_new") + F.col("_len")).select(*df.columns)
+
+
+def _room_by_length(regions: DataFrame, lengths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal regions with running totals from the longest on, and the places for each length.
+
+    Regions of length r hold an interval of length l in r - l + 1 places, so all that are long enough hold
+    it in (sum of their lengths) - (their number) * (l - 1): two running totals over the regions by length
+    answer every l.  Disjoint regions on G bases have at most sqrt(2 G) lengths.
+    """
+    classes = regions.groupBy("chrom", F.col("_r").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    marks = classes.select("chrom", "_v", "_n", F.lit(1).alias("_class")).unionByName(
+        lengths.select("chrom", F.col("_len").alias("_v"), F.lit(0).cast("long").alias("_n"), F.lit(0).alias("_class"))
     )
-    nowhere = df.withColumn("_len", size).join(total, ["chrom", "_len"], "left_anti")
-    lost = lambda c: F.lit(None).cast("long").alias(c) if c in ("start", "end") else F.col(c)
-    return placed.unionByName(nowhere.select(*[lost(c) for c in df.columns]))
+    ran = cut_lineage(tiled_scan(
+        marks, ["chrom"], [-F.col("_v"), -F.col("_class")], value_bucket(-F.col("_v")),
+        running={"_count": ("sum", F.col("_n")), "_sum": ("sum", F.col("_n") * F.col("_v"))},
+    ))
+    reach = ran.where("_class = 0").select("chrom", F.col("_v").alias("_len"), (F.col("_sum") - F.col("_count") * (F.col("_v") - 1)).alias("_total"))
+    return ran.where("_class = 1").select("chrom", F.col("_v").alias("_r"), "_count", "_sum"), reach
+
+
+def _search(length: np.ndarray, spot: np.ndarray, r: np.ndarray, count: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class, place in it and number of the region (from 1) of each spot; classes go from long to short.
+
+    The room up to a class grows along the classes that are long enough, so it is found by halving.
+    """
+    low, high = np.zeros(len(spot), np.int64), np.searchsorted(-r, -length, "right") - 1
+    while (low < high).any():
+        middle = (low + high) // 2
+        below = total[middle] - count[middle] * (length - 1) <= spot
+        low, high = np.where(below, middle + 1, low), np.where(below, high, middle)
+    before = np.where(low > 0, total[low - 1] - count[low - 1] * (length - 1), 0)
+    room = r[low] - length + 1
+    return low, (spot - before) % room, (spot - before) // room + 1
+
+
+def _find_places(spots: DataFrame, classes: DataFrame) -> DataFrame:
+    """``_r, _k, _at`` (region length, number among the regions of that length, place) of spots.
+
+    A chromosome's spots are dealt to parts of ``PART`` rows, each of which gets its classes.
+    """
+    parts = spots.groupBy("chrom").agg(F.ceil(F.count(F.lit(1)) / PART).alias("_parts"))
+    left = spots.join(parts, "chrom").withColumn("_part", F.pmod(F.xxhash64("_len", "_spot"), F.col("_parts"))).drop("_parts")
+    right = classes.join(parts, "chrom").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+
+    def find(some: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        if not len(some) or not len(table):
+            return pd.DataFrame({c: [] for c in ("chrom", "_len", "_spot", "_r", "_k", "_at")})
+        table = table.sort_values("_r", ascending=False)
+        r, count, total = (table[c].to_numpy(np.int64) for c in ("_r", "_count", "_sum"))
+        at, place, number = _search(some["_len"].to_numpy(np.int64), some["_spot"].to_numpy(np.int64), r, count, total)
+        return pd.DataFrame({"chrom": some["chrom"].to_numpy(), "_len": some["_len"].to_numpy(), "_spot": some["_spot"].to_numpy(), "_r": r[at], "_k": number, "_at": place})
+
+    keys = ["chrom", "_part"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(find, "chrom string, _len long, _spot long, _r long, _k long, _at long")
 
 
 def _offset_hits(anchors: DataFrame, signal: DataFrame, up: int, down: int, keep: Sequence[str]) -> DataFrame:
