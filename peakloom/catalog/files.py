@@ -125,6 +125,15 @@ def _(v):
     return fasta.read_fasta(v.spark, path).withColumn("seq", F.md5("seq"))
 
 
+@query("read_genome", """SELECT seq_id::VARCHAR AS chrom, k::INT AS chunk_no, k * 1000 AS "offset", md5(substr(seq, k * 1000 + 1, 1000)) AS seq
+    FROM (SELECT *, unnest(range(0, (length(seq) + 999) // 1000)) AS k FROM seqs)""")
+def _(v):
+    path = fresh_path(v.spark, "genome-fasta")
+    wrapped = v.seqs.select("seq_id", F.rtrim(F.regexp_replace("seq", "(.{60})", "$1\n")).alias("seq"))
+    fasta.write_fasta(wrapped, path, "seq_id", "seq")
+    return fasta.read_genome(v.spark, path, 1000).withColumn("seq", F.md5("seq"))
+
+
 @query("write_gff_hierarchy", """SELECT chrom, unnest(['boundRegion', 'Peak', 'Max']) AS type, unnest(["start", "start", "start" + summit_offset]) AS "start",
     unnest(["end", "end", "start" + summit_offset + 1]) AS "end", unnest(['p' || id, 'p' || id || '.1', 'p' || id || '.1.1']) AS id FROM peaks""")
 def _(v):

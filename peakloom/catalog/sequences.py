@@ -426,7 +426,7 @@ def _(v):
 _QP, _JP = _interpolate("d", "g.prob", "g.n")
 
 
-@query("density_to_threshold", f"""WITH d AS (SELECT score, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS n FROM ({ALL}) WHERE strand = '+'),
+@query("density_to_threshold", f"""WITH d AS MATERIALIZED (SELECT score, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS n FROM ({ALL}) WHERE strand = '+'),
     g AS (SELECT k / 100.0::DOUBLE AS sites_per_kb, n, greatest(1 - (k / 100.0::DOUBLE) * ({GENOME} / 1000.0::DOUBLE) / n, 0) AS prob FROM (SELECT unnest(range(1, 501)) AS k), (SELECT any_value(n) AS n FROM d))
     SELECT '{MOTIF}' AS motif_id, {r(_QP)} AS threshold, {r('g.prob')} AS prob, sites_per_kb FROM g {_JP}""")
 def _(v):

@@ -23,7 +23,7 @@ START2 = "b.pos + CASE WHEN b.strand = '+' THEN 1 ELSE 2 END"
 PAIRS = f"""SELECT a.seq_id, {CONF} AS conf, ({START2} - ({END1}))::INT AS space, a.score AS score1, b.score AS score2, a.pos::INT AS pos1, b.pos::INT AS pos2,
     ({END1})::INT AS corr_pos1, ({START2})::INT AS corr_pos2 FROM s a JOIN ({NEXT.format('s', 64)}) b ON a.seq_id = b.seq_id AND a.pos // 64 = b.kb
     AND (a.pos < b.pos OR (a.pos = b.pos AND a.strand = '+' AND b.strand = '-')) AND b.pos - a.pos <= 60 WHERE {START2} - ({END1}) BETWEEN 0 AND 30"""
-WITH = f"WITH s AS ({SITES}), pairs AS ({PAIRS})"
+WITH = f"WITH s AS MATERIALIZED ({SITES}), pairs AS ({PAIRS})"
 COUNTS = """SELECT threshold, conf, space, count(*) AS n FROM pairs JOIN (SELECT unnest([-8.0, -7.0, -6.0])::DOUBLE AS threshold) ON least(score1, score2) > threshold GROUP BY 1, 2, 3"""
 
 
@@ -39,7 +39,7 @@ def _counts(v):
     return sx.spacing_counts(_pairs(v), CUTS)
 
 
-@query("site_pairs", f"""WITH s AS ({SITES}) SELECT a.seq_id, a.pos::INT AS pos1, b.pos::INT AS pos2, a.strand AS strand1, b.strand AS strand2 FROM s a JOIN ({NEXT.format('s', 64)}) b
+@query("site_pairs", f"""WITH s AS MATERIALIZED ({SITES}) SELECT a.seq_id, a.pos::INT AS pos1, b.pos::INT AS pos2, a.strand AS strand1, b.strand AS strand2 FROM s a JOIN ({NEXT.format('s', 64)}) b
     ON a.seq_id = b.seq_id AND a.pos // 64 = b.kb AND (a.pos < b.pos OR (a.pos = b.pos AND a.strand = '+' AND b.strand = '-')) AND b.pos - a.pos <= 40""")
 def _(v):
     return sx.site_pairs(_sites(v), 40).select("seq_id", "pos1", "pos2", "strand1", "strand2")
