@@ -157,3 +157,17 @@ def test_tails_of_great_totals(monkeypatch):
     assert (whole <= 1).all() and whole[0] == 1
     monkeypatch.setattr(dispersion, "STEP", 100)
     assert np.allclose(dispersion.exact_p(first, second, size, size), whole, rtol=1e-9)
+
+
+def test_consensus_from_kept_peaks(spark):
+    from peakloom.plans.consensus import consensus_peaks
+
+    data = [("chr1", 1000 * i, 1000 * i + 300, 1000 * i + 140 + 10 * k, r, 12.0 + i) for i in range(3) for k, r in enumerate("ab")]
+    data += [("chr1", 9000, 9300, 9100, "a", 4.0), ("chr1", 9100, 9400, 9200, "b", 4.0)]
+    df = spark.createDataFrame(data, "chrom string, start long, end long, summit long, replicate string, neg_log10_p double")
+    tracks = spark.createDataFrame([("chr1", 0, 10_000, 5.0, "t")], "chrom string, start long, end long, value double, track string")
+    for per_peak in (True, False):
+        got = consensus_peaks(df, tracks, ["a", "b"], ["t"], sd_filter=False, per_peak=per_peak, strong=1e-9)
+        assert sorted((r.start + r.end) // 2 for r in got.collect()) == [145, 1145, 2145]
+        best = consensus_peaks(df, tracks, ["a", "b"], ["t"], sd_filter=False, per_peak=per_peak, strong=1e-9, top=1)
+        assert [(r.start + r.end) // 2 for r in best.collect()] == [2145]
