@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import motifs as mt
+from ..operators import resolve as rs
 from ..operators import sequences as sq
 from ..operators import spacing as sx
 from .base import normal_p_sql, query, r, rounded
-from .views import MOTIF_SHORT, PFM_SHORT
+from .views import MOTIF, MOTIF_SHORT, PFM, PFM_SHORT
 
 L = len(PFM_SHORT)
 LOW, MIDDLE, HIGH = -8.0, -7.0, -6.0
@@ -289,7 +290,7 @@ def _(v):
 
 
 @query("sites_per_model", f"""SELECT '{MOTIF_SHORT}' AS motif_id, count(*) AS n_sites FROM win_short WHERE score > -7
-    UNION ALL SELECT 'KACACGTGKCA', count(*) FROM win_long WHERE score > -7""")
+    UNION ALL SELECT '{MOTIF}', count(*) FROM win_long WHERE score > -7""")
 def _(v):
     return sx.sites_per_model(mt.scan_pwm(v.seqs, v.models, LOW, with_kmer=False), -7.0)
 
@@ -328,6 +329,59 @@ def _(v):
     return sx.cooccurrence_distances(sites, 0, 4000)
 
 
+# Sites of both motifs; a walk in order of place from the first site of each sequence.
+MIXED = f"""SELECT '{MOTIF}' AS motif_id, seq_id, pos, pos + {len(PFM)} AS stop, strand, round(score, 9) AS score FROM win_long WHERE score > {LOW}
+    UNION ALL SELECT '{MOTIF_SHORT}', seq_id, pos, pos + {len(PFM_SHORT)}, strand, round(score, 9) FROM win_short WHERE score > {LOW}"""
+RESOLVED = f"""WITH RECURSIVE best AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, pos ORDER BY score DESC, stop, motif_id DESC, strand DESC) AS k FROM ({MIXED})) WHERE k = 1),
+    nx AS MATERIALIZED (SELECT a.seq_id, a.pos, min(b.pos) AS taker, coalesce(bool_or(b.pos < a.stop AND b.score > a.score), false) AS beaten
+        FROM best a LEFT JOIN best b ON a.seq_id = b.seq_id AND b.pos > a.pos AND (b.pos >= a.stop OR b.score > a.score) GROUP BY 1, 2),
+    walk AS (SELECT seq_id, min(pos) AS pos FROM best GROUP BY 1 UNION ALL SELECT w.seq_id, n.taker FROM walk w JOIN nx n USING (seq_id, pos) WHERE n.taker IS NOT NULL),
+    kept AS (SELECT best.* EXCLUDE (k) FROM best JOIN nx USING (seq_id, pos) JOIN walk USING (seq_id, pos) WHERE NOT beaten)"""
+
+
+def _mixed(v):
+    hits = mt.scan_pwm(v.seqs, v.models, LOW, with_kmer=False)
+    return hits.select("motif_id", "seq_id", "pos", "stop", "strand", F.round("score", 9).alias("score"))
+
+
+@query("resolve_overlaps", RESOLVED + f""" SELECT motif_id, seq_id, pos::INT AS pos, stop::INT AS stop, strand, {r('score')} AS score FROM kept""")
+def _(v):
+    return rounded(rs.resolve_overlaps(_mixed(v), ties=["motif_id", "strand"]), "score")
+
+
+# Mean of the neighbourhood, less its least-squares line, in units of its spread; a top is above the distance before.
+def _peaks_sql(curve: str, lowest: int, highest: int, smooth: int, least: float) -> str:
+    return f"""f AS (SELECT p.tf1, p.tf2, p.d AS distance, coalesce(c.n, 0)::BIGINT AS n
+        FROM (SELECT * FROM (SELECT DISTINCT tf1, tf2 FROM {curve}) CROSS JOIN (SELECT unnest(range({lowest}, {highest} + 1)) AS d)) p LEFT JOIN {curve} c ON c.tf1 = p.tf1 AND c.tf2 = p.tf2 AND c.distance = p.d),
+    l AS (SELECT *, avg(n) OVER (PARTITION BY tf1, tf2 ORDER BY distance ROWS BETWEEN {smooth} PRECEDING AND {smooth} FOLLOWING) AS level FROM f),
+    m AS (SELECT tf1, tf2, regr_slope(level, distance) AS slope, regr_intercept(level, distance) AS base FROM l GROUP BY 1, 2),
+    a AS (SELECT l.*, round(level - (base + slope * distance), 9) AS above FROM l JOIN m USING (tf1, tf2)),
+    z AS (SELECT *, stddev_pop(above) OVER (PARTITION BY tf1, tf2) AS spread, lag(above) OVER o AS b, lead(above) OVER o AS e FROM a WINDOW o AS (PARTITION BY tf1, tf2 ORDER BY distance))
+    SELECT tf1, tf2, distance, n, {r('above')} AS above, {r('above / spread')} AS zscore FROM z WHERE spread > 1e-9 AND above / spread >= {least} AND (b IS NULL OR above > b) AND (e IS NULL OR above >= e)"""
+
+
+TRACK_CURVE = """c0 AS (WITH s AS (SELECT chrom, "start" AS pos, track AS m FROM signal), near AS (SELECT *, unnest([pos // 4096 - 1, pos // 4096, pos // 4096 + 1]) AS kb FROM s)
+    SELECT a.m AS tf1, b.m AS tf2, (abs(b.pos - a.pos) - 1)::BIGINT AS distance, count(*) AS n FROM s a JOIN near b ON a.chrom = b.chrom AND a.pos // 4096 = b.kb AND a.m < b.m AND abs(b.pos - a.pos) - 1 BETWEEN 0 AND 4000 GROUP BY 1, 2, 3)"""
+
+
+@query("preferred_distances", f"WITH {TRACK_CURVE}, " + _peaks_sql("c0", 0, 4000, 20, 2.0))
+def _(v):
+    sites = v.signal.select(F.col("chrom").alias("seq_id"), F.col("track").alias("motif_id"), F.col("start").alias("pos"), F.col("end").alias("stop"))
+    return rounded(rs.preferred_distances(sx.cooccurrence_distances(sites, 0, 4000), 0, 4000, 20), "above", "zscore")
+
+
+SITE_CURVE = """c0 AS (SELECT a.motif_id AS tf1, b.motif_id AS tf2, greatest(a.pos, b.pos) - least(a.stop, b.stop) AS distance, count(*) AS n
+    FROM kept a JOIN kept b ON a.seq_id = b.seq_id AND a.motif_id < b.motif_id AND greatest(a.pos, b.pos) - least(a.stop, b.stop) BETWEEN 0 AND 100 GROUP BY 1, 2, 3)"""
+
+
+@query("cooccurrence_peaks", f"{RESOLVED}, {SITE_CURVE}, " + _peaks_sql("c0", 0, 100, 2, 1.5))
+def _(v):
+    from ..plans.cooccurrence import cooccurrence_peaks
+
+    peaks = cooccurrence_peaks(_mixed(v), 0, 100, smooth=2, least=1.5, share=1.0, ties=["motif_id", "strand"])
+    return rounded(peaks, "above", "zscore")
+
+
 @query("preferred_spacing_flag", WITH + """ SELECT q.seq_id, t.threshold, CASE WHEN EXISTS (SELECT 1 FROM pairs p WHERE p.seq_id = q.seq_id AND least(score1, score2) >= t.threshold
     AND (conf || '_' || space) IN ('DR_2', 'ER_5', 'IR_0')) THEN 1 ELSE 0 END AS flag FROM seqs q CROSS JOIN (SELECT unnest([-8.0, -7.0, -6.0, -5.0])::DOUBLE AS threshold) t""")
 def _(v):

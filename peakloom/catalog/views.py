@@ -20,24 +20,30 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASES = ("ACGT" * 13)[:52]
 TYPES = ["intergenic", "promoter", "5UTR", "3UTR", "intron", "exon"]
 
-#: An eleven-position count matrix.
-PFM = [
-    [127, 42, 283, 143],
-    [398, 155, 12, 33],
-    [8, 518, 29, 42],
-    [594, 1, 2, 1],
-    [2, 584, 5, 6],
-    [5, 1, 584, 8],
-    [1, 17, 1, 579],
-    [1, 1, 596, 1],
-    [1, 2, 289, 307],
-    [29, 551, 1, 17],
-    [366, 50, 145, 36],
-]
-#: A second, shorter motif: the columns of the first that matter most.
+SITES = 600
+#: The searched motif, and of 600 sites the share in per cent with its letter at each position.
+MOTIF = "TGGACGTCATC"
+SHARES = [40, 65, 90, 98, 99, 99, 98, 99, 60, 92, 55]
+
+
+def count_matrix(motif: str, shares: list[int]) -> list[list[int]]:
+    """Counts of A, C, G and T; the three other letters share the rest 3 : 2 : 1, in order after the motif's."""
+    rows = []
+    for letter, share in zip(motif, shares):
+        most = SITES * share // 100
+        at = "ACGT".index(letter)
+        row = [0] * 4
+        for k, parts in enumerate((3, 2, 1), 1):
+            row[(at + k) % 4] = (SITES - most) * parts // 6
+        row[at] = SITES - sum(row)
+        rows.append(row)
+    return rows
+
+
+PFM = count_matrix(MOTIF, SHARES)
+#: A second, shorter motif: the positions of the first that matter most.
+MOTIF_SHORT = MOTIF[2:8]
 PFM_SHORT = PFM[2:8]
-MOTIF = "KACACGTGKCA"
-MOTIF_SHORT = "CACGTG"
 
 SQL_VIEWS = {
     "reads": """SELECT 'chr' || (l_suppkey % 5 + 1) AS chrom,

@@ -6,11 +6,11 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..runtime import cut_lineage
 from .overlap import COORDS, TILE, overlap_join
-from .scans import draw, exact_quantiles, ranked, tiled_scan, value_bucket
+from .scans import draw, quantiles_of_counts, ranked, tiled_scan, value_bucket
 
 #: Rows handled in one task where rows are dealt by count.
 PART = 1 << 17
@@ -306,8 +306,11 @@ def _find_places(spots: DataFrame, classes: DataFrame) -> DataFrame:
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(find, "chrom string, _len long, _spot long, _r long, _k long, _at long")
 
 
-def _offset_hits(anchors: DataFrame, signal: DataFrame, up: int, down: int, keep: Sequence[str]) -> DataFrame:
-    """One row per anchor and covered offset, strand-aware when ``strand`` is present."""
+def _offset_spans(anchors: DataFrame, signal: DataFrame, up: int, down: int, keep: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
+    """First and last offset of every segment near an anchor, strand-aware when ``strand`` is present.
+
+    ``keep`` are columns of the anchors, ``more`` of the signal.
+    """
     strand = F.col("strand") if "strand" in anchors.columns else F.lit("+")
     before = F.when(strand == "-", down - 1).otherwise(up)
     after = F.when(strand == "-", up + 1).otherwise(down)
@@ -315,11 +318,13 @@ def _offset_hits(anchors: DataFrame, signal: DataFrame, up: int, down: int, keep
         "chrom", (F.col("pos") - before).alias("start"), (F.col("pos") + after).alias("end"),
         "pos", strand.alias("strand"), *keep,
     )
-    pairs = overlap_join(windows, signal.select(*COORDS, "value"))
-    at = F.explode(F.sequence(F.greatest("start", "b_start"), F.least("end", "b_end") - 1))
-    hits = pairs.select("pos", "strand", *keep, at.alias("at"), F.col("b_value").alias("value"))
-    away = F.col("at") - F.col("pos")
-    return hits.select(*keep, F.when(F.col("strand") == "-", -away).otherwise(away).alias("offset"), "value")
+    pairs = overlap_join(windows, signal.select(*COORDS, "value", *more))
+    low, high = F.greatest("start", "b_start") - F.col("pos"), F.least("end", "b_end") - 1 - F.col("pos")
+    back = F.col("strand") == "-"
+    return pairs.select(
+        *keep, *[F.col(f"b_{c}").alias(c) for c in more],
+        F.when(back, -high).otherwise(low).alias("first"), F.when(back, -low).otherwise(high).alias("last"), F.col("b_value").alias("value"),
+    )
 
 
 def meta_profile(
@@ -327,19 +332,45 @@ def meta_profile(
 ) -> DataFrame:
     """Signal around anchors (``chrom, pos[, strand]``) by offset in ``[-up, down)``.
 
-    Mean over the covering segments, and with ``expanded`` also median, sd and n.
+    Mean over the covering segments, and with ``expanded`` also median, sd and n.  Segments are not laid out
+    base by base: the mean is made of running totals over two events a segment, at most ``up + down + 1``
+    offsets a key.  The median needs the values at an offset; equal values over equal offsets collapse before
+    they are.  Null values count in n alone; a value that is not finite makes the mean of its offsets NaN.
     """
     keys = list(keys)
-    hits = _offset_hits(anchors, signal, up, down, keys)
-    base = hits.groupBy(*keys, "offset").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count(F.lit(1)).alias("n")
-    )
-    if not expanded:
-        return base.select(*keys, "offset", "mean")
-    mid = exact_quantiles(hits, [*keys, "offset"], "value", [0.5]).select(
-        *keys, "offset", F.col("quantile").alias("median")
+    spans = _offset_spans(anchors, signal, up, down, keys)
+    if expanded:
+        return _spread_profile(spans, keys)
+    finite = F.col("value").isNotNull() & (F.abs(F.col("value")) < float("inf"))
+    odd = F.col("value").isNotNull() & ~finite
+    step = lambda at, sign: F.struct(at.alias("offset"), F.lit(sign).alias("sign"))
+    events = spans.select(*keys, "value", F.explode(F.array(step(F.col("first"), 1), step(F.col("last") + 1, -1))).alias("e"))
+    steps = events.groupBy(*keys, F.col("e.offset").alias("offset")).agg(
+        F.sum("e.sign").alias("rows"), F.sum(F.when(finite, F.col("e.sign")).otherwise(0)).alias("n"),
+        F.sum(F.when(odd, F.col("e.sign")).otherwise(0)).alias("odd"), F.sum(F.when(finite, F.col("e.sign") * F.col("value")).otherwise(0.0)).alias("total"),
     )
-    return base.join(mid, [*keys, "offset"])
+    along = W.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)]).orderBy("offset")
+    ran = steps.select(*keys, "offset", F.lead("offset").over(along).alias("until"), *[F.sum(c).over(along).alias(c) for c in ("rows", "n", "odd", "total")])
+    mean = F.when(F.col("odd") > 0, float("nan")).when(F.col("n") > 0, F.col("total") / F.col("n"))
+    return ran.where("rows > 0").select(*keys, F.explode(F.sequence("offset", F.col("until") - 1)).alias("offset"), mean.alias("mean"))
+
+
+def _spread_profile(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """Mean, median, sd and n by offset, from the distinct values there and their counts."""
+    alike = spans.groupBy(*keys, "first", "last", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = alike.select(*keys, F.explode(F.sequence("first", "last")).alias("offset"), "value", "n")
+    counts = cut_lineage(counts.groupBy(*keys, "offset", "value").agg(F.sum("n").alias("n")))
+    at = [*keys, "offset"]
+    there = F.when(F.col("value").isNotNull(), F.col("n"))
+    base = counts.groupBy(*at).agg((F.sum(F.col("value") * F.col("n")) / F.sum(there)).alias("mean"), F.sum("n").alias("n"), F.sum(there).alias("_total"))
+    valued = counts.where("value is not null")
+    means = base.where("_total is not null").select(*at, "mean", "_total")
+    away = valued.join(means, at).groupBy(*at).agg(
+        F.sqrt(F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2) / F.nullif(F.max("_total") - 1, F.lit(0))).alias("sd"))
+    ran = tiled_scan(valued, at, [F.col("value")], value_bucket(F.col("value")), running={"upto": ("sum", F.col("n"))})
+    ran = ran.withColumn("below", F.col("upto") - F.col("n"))
+    mid = quantiles_of_counts(ran, means.select(*at, "_total"), at, "value", F.array(F.lit(0.5))).select(*at, F.col("quantile").alias("median"))
+    return base.drop("_total").join(away, at, "left").join(mid, at, "left").select(*at, "mean", "sd", "n", "median")
 
 
 def signal_matrix(
@@ -349,30 +380,22 @@ def signal_matrix(
     """Binned signal per region and track, with the region's rank key.
 
     Long output ``(id, track, bin, signal, sort_value)``; ``sort_value`` is the region's
-    mean over all bins of the track named ``order_by`` (missing bins are 0).
+    mean over all bins of the track named ``order_by`` (missing bins are 0).  A segment gives one
+    row for each bin it touches, with the bases it has there.
     """
-    hits = _offset_hits_by_track(anchors, tracks, up, down, id_col, by)
+    spans = _offset_spans(anchors.select("chrom", "pos", id_col), tracks, up, down, [id_col], [by])
     bins = (up + down) // bin_size
-    cells = hits.groupBy(id_col, by, F.floor((F.col("offset") + up) / bin_size).alias("bin")).agg(
-        (F.sum("value") / bin_size).alias("signal")
-    )
+    cell = lambda at: F.floor((at + up) / bin_size)
+    touched = spans.select("*", F.explode(F.sequence(cell(F.col("first")), cell(F.col("last")))).alias("bin"))
+    low = F.col("bin") * bin_size - up
+    bases = F.least(F.col("last"), low + bin_size - 1) - F.greatest(F.col("first"), low) + 1
+    cells = touched.groupBy(id_col, by, "bin").agg((F.sum(F.col("value") * bases) / bin_size).alias("signal"))
     rank = cells.where(F.col(by) == order_by).groupBy(id_col).agg((F.sum("signal") / bins).alias("_s"))
     return cells.join(rank, id_col, "left").select(
         id_col, by, "bin", "signal", F.coalesce("_s", F.lit(0.0)).alias("sort_value")
     )
 
 
-def _offset_hits_by_track(anchors, tracks, up, down, id_col, by):
-    windows = anchors.select(
-        "chrom", (F.col("pos") - up).alias("start"), (F.col("pos") + down).alias("end"), "pos", id_col
-    )
-    pairs = overlap_join(windows, tracks.select(*COORDS, "value", by))
-    at = F.explode(F.sequence(F.greatest("start", "b_start"), F.least("end", "b_end") - 1))
-    return pairs.select(
-        id_col, F.col(f"b_{by}").alias(by), "pos", at.alias("at"), F.col("b_value").alias("value")
-    ).select(id_col, by, (F.col("at") - F.col("pos")).alias("offset"), "value")
-
-
 def interval_union_all(sets: Mapping[str, DataFrame], label: str = "set") -> DataFrame:
     """Concatenate labelled interval sets."""
     parts = [df.select(*COORDS, F.lit(name).alias(label)) for name, df in sets.items()]
