@@ -1,8 +1,9 @@
 """License scans: phrases in place, and an exact set-similarity join of text blocks with templates.
 
-A block is a line of a text, or a run of words over several lines, seen as the set of its words; a
-template is the set of words of a licence notice.  Runs are twice as long as the longest template and each
-overlaps the next by half, so a notice wrapped over lines lies in one.  A run meets a template only if none
+A block is a line of a text, a run of words of a longer line, or a run of words over several lines, seen as
+the set of its words; a template is the set of words of a licence notice.  Runs are twice as long as the
+longest template and each overlaps the next by half, so a notice in a long line or wrapped over lines lies in
+one, and words scattered over a longer line are no notice.  A run over lines meets a template only if none
 of the lines in it (as far as they are in it) does so alone; runs that follow one another and meet the same
 template count as one block.  A block meets a template if it holds at least ``threshold`` of the template's words.  All such
 pairs are found, without comparing each block with each template:
@@ -122,6 +123,27 @@ def _literals(values) -> Column:
     return F.array(*(F.lit(v) for v in values))
 
 
+def _held_by_lines(blocks: DataFrame, sets: list[list[str]], need: list[int], known: Column, longest: int) -> DataFrame:
+    """doc_id, text_hash, block_no and held: known words of lines, or of the runs of lines of over 2 * ``longest`` words.
+
+    A long line is cut only if it holds enough words of some template as a whole; else no run of it does.
+    """
+    here = ("doc_id", "text_hash", "block_no")
+    rows = blocks.select(*here, F.split("block", BETWEEN).alias("parts"))
+    rows = rows.select(*here, "parts", F.array_intersect("parts", known).alias("held"))
+    # Where a line begins or ends with a separator, the part beside it is empty.
+    n_words = F.size("parts") - (F.get("parts", F.lit(0)) == "").cast("int") - (F.get("parts", F.size("parts") - 1) == "").cast("int")
+    some = F.lit(False)
+    for s, n in zip(sets, need):
+        some = some | (F.size(F.array_intersect("held", _literals(s))) >= n)
+    said = F.array_remove("parts", "")
+    cut = F.transform(F.sequence(F.lit(0), F.ceil(n_words / longest).cast("int") - 2), lambda k: F.array_intersect(F.slice(said, k * longest + 1, 2 * longest), known))
+    enough = F.size("held") >= min(need)
+    pieces = F.when(enough & (n_words <= 2 * longest), F.array("held")).when(enough, F.when(some, cut))
+    rows = rows.select(*here, pieces.alias("pieces"))
+    return rows.select(*here, F.explode("pieces").alias("held")).filter(F.size("held") >= min(need))
+
+
 def similarity_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_hash, block_no, template, label and containment of every block and template that meet."""
     sets = [sorted(set(t.split())) for _, t in templates]
@@ -134,9 +156,10 @@ def similarity_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
 
     # Of runs, also the words of each line.
     lines = F.transform(F.split("block", r"[\n\r]+"), lambda line: F.array_intersect(F.split(line, BETWEEN), known))
-    runs = words_held(runs_of(docs, max(len(t.split()) for _, t in templates))).withColumn("lines", lines)
-    held = words_held(blocks_of(docs)).withColumn("lines", F.lit(None).cast(runs.schema["lines"].dataType)).unionByName(runs)
-    held = cut_lineage(held.drop("block"))
+    longest = max(len(t.split()) for _, t in templates)
+    runs = words_held(runs_of(docs, longest)).withColumn("lines", lines).drop("block")
+    held = _held_by_lines(blocks_of(docs), sets, need, known, longest).withColumn("lines", F.lit(None).cast(runs.schema["lines"].dataType)).unionByName(runs)
+    held = cut_lineage(held)
 
     # At most one row for each word of the templates.
     counts = {r["word"]: r["n"] for r in held.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
@@ -187,7 +210,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
 
 def scan_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same in SQL, each block beside each template."""
+    """The same in SQL, each line or run of a long line beside each template."""
     def places(phrase: str) -> str:
         parts = phrase.split()
         return "list_filter(range(len(w)), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(parts)) + ")"
@@ -197,14 +220,17 @@ def scan_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = TH
     labels = " || ".join(f"(CASE WHEN len(at{i}) > 0 THEN ['{label}'] ELSE [] END)" for i, label in enumerate(PHRASES.values()))
     rows = ", ".join(f"('{label}', {sorted(set(t.split()))})" for label, t in templates)
     cut = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    longest = max(len(t.split()) for _, t in templates)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS low FROM documents),
 w AS (SELECT r, doc_id, list_filter(regexp_split_to_array(low, {cut}), lambda x: x <> '') AS w FROM d),
 p AS (SELECT r, doc_id, len(w) AS n_words, {lists} FROM w),
 b AS (SELECT r, doc_id, n_words, {every} AS every, {labels} AS base FROM p),
 t AS (SELECT * FROM (VALUES {rows}) AS v(label, words)),
-x AS (SELECT r, no, list_distinct(regexp_split_to_array(block, {cut})) AS held
+l AS (SELECT r, no, list_filter(regexp_split_to_array(block, {cut}), lambda y: y <> '') AS w
   FROM (SELECT r, unnest(range(len(bs))) AS no, unnest(bs) AS block FROM (SELECT r, regexp_split_to_array(low, '[\\n\\r]+') AS bs FROM d))),
+x AS (SELECT r, no, list_distinct(piece) AS held
+  FROM (SELECT r, no, unnest(CASE WHEN len(w) > {2 * longest} THEN [w[k * {longest} + 1 : (k + 2) * {longest}] FOR k IN range((len(w) + {longest - 1}) // {longest} - 1)] ELSE [w] END) AS piece FROM l)),
 m AS (SELECT r, list(DISTINCT label) AS more, max(share) AS best, count(DISTINCT no) AS n_blocks
   FROM (SELECT r, no, label, len(list_intersect(held, words)) / len(words) AS share FROM x, t) WHERE share >= {threshold} - 1e-9 GROUP BY r)
 SELECT doc_id, n_words, len(every) AS n_base, list_min(every) AS first_word, list_max(every) AS last_word,

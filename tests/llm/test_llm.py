@@ -1,6 +1,7 @@
 """The operators beside plain versions of them."""
 
 import os
+import random
 import zlib
 from collections import Counter
 
@@ -49,6 +50,37 @@ def test_license_null_ids_and_repeats(spark):
     assert [(r["labels"], r["n_words"]) for r in got] == [("apache", 8)] * 3
 
 
+def test_license_in_long_lines(spark):
+    rng = random.Random(5)
+    notices = [t.split() for _, t in license_scan.TEMPLATES]
+    texts = []
+    for i in range(120):
+        notice = notices[i % len(notices)]
+        filler = [f"w{rng.randrange(60)}" for _ in range(rng.choice([5, 40, 59, 90, 300]))]
+        if i % 3 == 0:
+            # Scattered: one word of the notice, then far more than a run of others.
+            texts.append(" ".join(w for n in notice for w in [n, *filler, *["x"] * 60]))
+        else:
+            at = rng.randrange(len(filler) + 1)
+            texts.append(" ".join(filler[:at] + notice + filler[at:]) + rng.choice(["", ".", "\nx"]))
+    texts += ["mit " * 3000, ", " * 500, "released under the mit " + "x " * 40 + "license", "." + " ".join(["y"] * 58) + ".", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
+    for i in range(120):
+        label = license_scan.TEMPLATES[i % len(notices)][0]
+        if i % 3:
+            assert label in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+        else:
+            assert got[i]["labels"] == "" and got[i]["score"] == 0.0
+    assert got[122]["labels"] == "mit" and got[120]["labels"] == ""
+    con = duckdb.connect()
+    documents = df.toPandas()
+    con.register("documents", documents)
+    cur = con.execute(license_scan.scan_sql())
+    names = [d[0] for d in cur.description]
+    assert {r[0]: dict(zip(names, r)) for r in cur.fetchall()} == {k: r.asDict() for k, r in got.items()}
+
+
 def test_license_wrapped_over_lines(spark):
     mit = "/* Permission is hereby granted, free of charge, to any\n * person obtaining a copy of this software and\n * associated documentation files (the \"Software\") */"
     bsd = "# Redistribution and use in source and binary forms, with or without\r\n#\r\n# modification, are permitted provided that the following\r\n# conditions are met:"
