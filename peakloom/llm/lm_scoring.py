@@ -263,11 +263,9 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
         known = dict(zip(shared.value.column("token").cast(pa.binary()).to_pylist(), shared.value.column("c").to_pylist()))
         for batch in chunks(batches):
             which, token, times, logs, hits = [], [], [], [], []
+            ids = batch.column("doc_id").to_pylist()
             for d, text in enumerate(batch.column("text").to_pylist()):
                 at, log, hit = len(which), 0.0, 0
-                which.append(d)
-                token.append(None)
-                times.append(0)
                 for t, n in Counter(_tokens(text)).items():
                     c = known.get(t)
                     if c is None:
@@ -277,8 +275,14 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
                     else:
                         log += n * math.log10(c + 1)
                         hit += n
-                logs += [log] + [0.0] * (len(which) - at - 1)
-                hits += [hit] + [0] * (len(which) - at - 1)
+                if len(which) == at:
+                    # No rare token carries the sums; tokens hold no space, so this key meets none and is no one's hot key.
+                    which.append(d)
+                    token.append(b" %d" % (ids[d] or 0))
+                    times.append(0)
+                rest = len(which) - at - 1
+                logs += [log] + [0.0] * rest
+                hits += [hit] + [0] * rest
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(which, pa.int64())), pa.array(token, pa.binary()).cast(pa.string()), pa.array(times, pa.int64()), pa.array(logs, pa.float64()), pa.array(hits, pa.int64())],
                 ["doc_id", "token", "n", "logs", "known"])
