@@ -260,20 +260,20 @@ def base_sums(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> DataFrame
     shared = spark.sparkContext.broadcast(frequent(counts, head))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(zip(shared.value.column("token").cast(pa.binary()).to_pylist(), shared.value.column("c").to_pylist()))
+        known = dict(zip(shared.value.column("token").cast(pa.binary()).to_pylist(), (math.log10(c + 1) for c in shared.value.column("c").to_pylist())))
         for batch in chunks(batches):
             which, token, times, logs, hits = [], [], [], [], []
             ids = batch.column("doc_id").to_pylist()
             for d, text in enumerate(batch.column("text").to_pylist()):
                 at, log, hit = len(which), 0.0, 0
                 for t, n in Counter(_tokens(text)).items():
-                    c = known.get(t)
-                    if c is None:
+                    each = known.get(t)
+                    if each is None:
                         which.append(d)
                         token.append(t)
                         times.append(n)
                     else:
-                        log += n * math.log10(c + 1)
+                        log += n * each
                         hit += n
                 if len(which) == at:
                     # No rare token carries the sums; tokens hold no space, so this key meets none and is no one's hot key.
