@@ -22,6 +22,11 @@ BASES = "ACGT"
 UNKNOWN_SCORE, SHORT_SCORE = -999.0, -66.0
 #: Fixed value: pseudo-count of frequency matrices.
 FREQUENCY_PSEUDO = 1.0 / 600
+#: Columns of one look-up in a thresholded scan; its table has 5 ** LOOK_UP cells.
+LOOK_UP = 6
+#: A window stays while its best reachable score is less than this share of the largest possible sum below
+#: the threshold, since sums in another order round differently.
+SLACK = 1e-9
 MOTIF_SCHEMA = (
     "motif_id string, name string, kind string, symmetry string, block int, row int, base string, "
     "value double, positions array<int>"
@@ -105,47 +110,135 @@ def collect_models(pwm: DataFrame) -> list[Model]:
     return list(models.values())
 
 
-def _window_scores(codes: np.ndarray, model: Model) -> np.ndarray:
-    """Score of the window at every offset of a coded sequence (4 = unknown base)."""
-    size, n = model.length, len(codes) - model.length + 1
-    inside = {p - 1: None for positions, _ in model.blocks for p in positions}
+def _parts(model: Model) -> tuple[list[int], list[tuple[list[int], np.ndarray]]]:
+    """The columns (from 0) that are scored on their own, and the dependencies by first position."""
+    inside = {p - 1 for positions, _ in model.blocks for p in positions}
     starts = {positions[0] - 1: (positions, table) for positions, table in model.blocks}
+    return [j for j in range(model.length) if j not in inside], [starts[j] for j in sorted(starts)]
+
+
+def _window_scores(codes: np.ndarray, model: Model, at: np.ndarray | None = None) -> np.ndarray:
+    """Score of the window at every offset of a coded sequence (4 = unknown base), or at the offsets ``at``."""
+    size, n = model.length, len(codes) - model.length + 1 if at is None else len(at)
+    column = lambda j: codes[j:j + n] if at is None else codes[at + j]
+    plain, blocks = _parts(model)
+    starts = {positions[0] - 1: (positions, table) for positions, table in blocks}
     total = np.zeros(n)
     unknown = np.zeros(n, bool)
     for j in range(size):
-        letters = codes[j:j + n]
+        letters = column(j)
         unknown |= letters == 4
         if j in starts:
             positions, table = starts[j]
             index = np.zeros(n, np.int64)
             for p in positions:
-                index = index * 4 + np.minimum(codes[p - 1:p - 1 + n], 3)
+                index = index * 4 + np.minimum(column(p - 1), 3)
             total += table[index]
-        elif j not in inside:
+        elif j in plain:
             total += np.append(model.matrix[j], 0.0)[letters]
     total[unknown] = UNKNOWN_SCORE
     return total
 
 
+class LookAhead:
+    """Which windows of a motif can still exceed a threshold, after some of its columns.
+
+    The columns are read in pieces, those with the most to lose first.  After each piece a window is
+    dropped if the best letters in all other columns would not bring it above the threshold.  The first
+    piece is a stretch of ``LOOK_UP`` columns: one look-up in a table of its words tells what stays.
+    """
+
+    def __init__(self, model: Model, threshold: float):
+        plain, blocks = _parts(model)
+        loss = {j: model.matrix[j].max() - model.matrix[j].mean() for j in plain}
+        runs = [list(range(j, j + LOOK_UP)) for j in plain if all(i in loss for i in range(j, j + LOOK_UP))]
+        first = max(runs, key=lambda run: sum(loss[j] for j in run), default=None)
+        rest = sorted((j for j in plain if j not in (first or [])), key=lambda j: -loss[j])
+        pieces = [(first, self._words(model.matrix[first]))] if first else []
+        pieces += [([p - 1 for p in positions], self._with_unknown(table, len(positions))) for positions, table in blocks]
+        pieces += [(rest[i:i + 3], self._words(model.matrix[rest[i:i + 3]])) for i in range(0, len(rest), 3)]
+        best = np.array([table.max() for _, table in pieces])
+        # A piece is left with the least partial score that the best of all later pieces can still lift.
+        cells = np.concatenate([model.matrix.ravel(), *(table for _, table in blocks)])
+        slack = SLACK * (1 + model.length * np.abs(cells[np.isfinite(cells)]).max(initial=0))
+        needed = threshold - slack - (best.sum() - np.cumsum(best))
+        self.first = first[0] if first else None
+        self.may = pieces[0][1] >= needed[0] if first else None
+        self.pieces = list(zip(*zip(*pieces), needed)) if pieces else []
+
+    @staticmethod
+    def _words(matrix: np.ndarray) -> np.ndarray:
+        total = np.zeros(1)
+        for line in matrix:
+            total = (total[:, None] + np.append(line, -np.inf)).ravel()
+        return total
+
+    @staticmethod
+    def _with_unknown(table: np.ndarray, k: int) -> np.ndarray:
+        full = np.full((5,) * k, -np.inf)
+        full[(slice(0, 4),) * k] = table.reshape((4,) * k)
+        return full.ravel()
+
+    def left(self, codes: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
+        """Offsets of the windows that may score above the threshold; ``words`` are :func:`_words_at`."""
+        n = len(codes) - size + 1
+        if self.first is None:
+            at = np.arange(n)
+        else:
+            at = np.flatnonzero(self.may[words[self.first:self.first + n]])
+        total = np.zeros(len(at))
+        for columns, table, needed in self.pieces:
+            index = np.zeros(len(at), np.int64)
+            for j in columns:
+                index = index * 5 + codes[at + j]
+            total += table[index]
+            stay = total >= needed
+            at, total = at[stay], total[stay]
+        return at
+
+
+def _words_at(codes: np.ndarray) -> np.ndarray:
+    """Number of the word of ``LOOK_UP`` letters at every offset."""
+    n = max(len(codes) - LOOK_UP + 1, 0)
+    words = np.zeros(n, np.uint16)
+    for j in range(LOOK_UP):
+        words *= 5
+        words += codes[j:j + n]
+    return words
+
+
 def _scan_batches(batches, models, threshold, bases=1 << 21):
     reach = max((m.length for m in models), default=1) - 1
+    # Below the score of unknown letters every window counts.
+    prune = threshold is not None and threshold >= UNKNOWN_SCORE
+    views = [
+        (m, [(strand, view, LookAhead(view, threshold) if prune else None) for strand, view in
+             ([("+", m)] if m.symmetric else [("+", m), ("-", m.reverse())])])
+        for m in models
+    ]
     for batch in batches:
         for ids, offsets, data, place, own, whole in pieces(batch, reach, bases):
             codes, ends = CODES[data], offsets[1:]
+            words = _words_at(codes) if prune else None
             owner = np.repeat(np.arange(len(ids)), np.diff(offsets))
-            for model in models:
+            for model, strands in views:
                 size = model.length
-                strands = [("+", model)] if model.symmetric else [("+", model), ("-", model.reverse())]
                 short = np.flatnonzero(whole < size)
-                for strand, view in strands:
+                for strand, view, ahead in strands:
                     if len(codes) >= size:
-                        score = _window_scores(codes, view)
-                        home = owner[:len(score)]
-                        at = np.arange(len(score))
-                        keep = (at + size <= ends[home]) & (at < offsets[home] + own[home])
-                        if threshold is not None:
-                            keep &= score > threshold
-                        at = np.flatnonzero(keep)
+                        home = owner[:len(codes) - size + 1]
+                        if prune:
+                            at = ahead.left(codes, words, size)
+                            score = np.empty(len(home))
+                            score[at] = _window_scores(codes, view, at)
+                            mine = home[at]
+                            at = at[(at + size <= ends[mine]) & (at < offsets[mine] + own[mine]) & (score[at] > threshold)]
+                        else:
+                            score = _window_scores(codes, view)
+                            at = np.arange(len(score))
+                            at = np.flatnonzero((at + size <= ends[home]) & (at < offsets[home] + own[home]))
+                            if threshold is not None:
+                                at = at[score[at] > threshold]
                     else:
                         score, at = np.zeros(0), np.zeros(0, int)
                         home = at
@@ -159,8 +252,9 @@ def scan_pwm(
     """Score every window of every sequence on both strands (one strand if symmetric).
 
     Returns the site table with 1-based ``pos``; only scores above ``threshold`` are
-    emitted.  Windows with other letters than ACGT score -999 and a sequence shorter than
-    the motif gets one row with -66.
+    emitted, and a window is left as soon as the best of its remaining columns cannot lift it
+    above (:class:`LookAhead`).  Windows with other letters than ACGT score -999 and a sequence
+    shorter than the motif gets one row with -66.
     """
     source = sequences.select(F.col(id_col).cast("long").alias("seq_id"), F.col(seq_col).alias("seq"))
 

@@ -140,6 +140,37 @@ def test_pieces_of_long_sequences_scan_alike():
     assert len(whole) > 2000 and found(64) == whole and found(7) == whole
 
 
+def test_look_ahead_drops_no_site():
+    import numpy as np
+    import pyarrow as pa
+
+    from peakloom.operators.motifs import Model, _scan_batches
+
+    draw = np.random.default_rng(8)
+    seqs = ["".join(draw.choice(list("ACGTacgtN"), n)) for n in (0, 4, 9, 300, 2000)]
+    whole_numbers = np.round(draw.normal(size=(9, 4)) * 3)
+    barred = draw.normal(size=(8, 4))
+    barred[2, 1] = -np.inf
+    models = [
+        Model("long", False, draw.normal(size=(17, 4))), Model("short", True, draw.normal(size=(3, 4))),
+        Model("ties", False, whole_numbers), Model("barred", False, barred), Model("large", False, draw.normal(size=(7, 4)) * 1e9),
+        Model("pairs", False, draw.normal(size=(10, 4)), [([3, 4], draw.normal(size=16)), ([6, 8, 9], draw.normal(size=64))]),
+        Model("only", False, draw.normal(size=(2, 4)), [([1, 2], draw.normal(size=16))]), Model("ties", False, -whole_numbers),
+    ]
+    batch = pa.record_batch({"id": pa.array(range(len(seqs))), "seq": pa.array(seqs)})
+
+    def found(threshold):
+        return [
+            [(strand, int(ids[h]), int(p - offsets[h]), float(x)) for h, p, x in zip(home[at], at, score[at])]
+            for _, strand, ids, offsets, _, home, at, score, _ in _scan_batches([batch], models, threshold)
+        ]
+
+    every = found(None)
+    for threshold in (-1e9, -999.0, -30.0, -3.0, 0.0, 3.0, 5.0, 1e9, 1e10):
+        assert found(threshold) == [[site for site in sites if site[3] > threshold] for sites in every]
+    assert sum(map(len, found(3.0))) > 100
+
+
 def test_chunks_join_to_the_sequence(spark):
     from peakloom.operators.sequences import chunk_sequences
 
