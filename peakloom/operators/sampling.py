@@ -15,6 +15,7 @@ from .overlap import best_overlap, overlap_anti, overlap_join
 from .scans import draw, row_index
 from .segments import make_bins
 from .sequences import extract_sequences, with_gc
+from .transport import cheapest_transport
 
 #: Annotation types in the order in which composite types give one up.
 TYPE_ORDER = ["intergenic", "3UTR", "5UTR", "exon", "intron", "promoter"]
@@ -117,49 +118,99 @@ def genome_bin_library(
     return with_gc(seqs, 2).select("chrom", "start", "end", "type", "gc", F.lit(length).alias("length"))
 
 
+#: Widest difference of the wide GC steps, in tenths.
+WIDE_STEPS = 4
+#: A place in GC: hundredths * GC_CELL + tenths, both rounded.
+GC_CELL = 1000
+
+
+def _gc_cell(gc: Column) -> Column:
+    known = F.when(~F.isnan(gc), gc)
+    return F.coalesce((F.round(known * 100) * GC_CELL + F.round(known * 10)).cast("int"), F.lit(-1))
+
+
+def allot_strata(counts: DataFrame, steps: int) -> DataFrame:
+    """Which ranks of each stratum of positives take which ranks of which stratum of bins.
+
+    ``counts`` is ``(type, cell, asked, offered)``.  Within a type three transports follow each other,
+    each on what the one before left: GC within ``steps`` hundredths, within ``WIDE_STEPS`` tenths, any.
+    Each moves as many as can be moved, as near as that allows.  A type has at most some hundred cells,
+    however many rows they hold.  Returns ``(type, cell, first, n, bin_cell, bin_first, round)``.
+    """
+    import numpy as np
+    import pandas as pd
+
+    names = ["type", "cell", "first", "n", "bin_cell", "bin_first", "round"]
+
+    def allot(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("cell")
+        asked, offered = (group[group[c] > 0][["cell", c]].to_numpy(np.int64) for c in ("asked", "offered"))
+        (want, left), (have, room) = asked.T, offered.T
+        known = (want[:, None] >= 0) & (have >= 0)
+        gap = np.abs(want[:, None] // GC_CELL - have // GC_CELL).astype(float)
+        wide = np.abs(want[:, None] % GC_CELL - have % GC_CELL).astype(float)
+        rounds = [
+            (np.where(known & (gap <= steps), gap, np.inf), lambda i, j: f"gc{gap[i, j]:.0f}"),
+            (np.where(known & (wide <= WIDE_STEPS), wide, np.inf), lambda i, j: f"tenth{wide[i, j]:.0f}"),
+            (np.where(known, gap, 100.0), lambda i, j: "type"),
+        ]
+        taken, given, out = np.zeros_like(left), np.zeros_like(room), []
+        for cost, name in rounds:
+            flow = cheapest_transport(left - taken, room - given, cost)
+            for i, j in zip(*np.nonzero(flow)):
+                out.append((group["type"].iloc[0], want[i], taken[i], flow[i, j], have[j], given[j], name(i, j)))
+                taken[i] += flow[i, j]
+                given[j] += flow[i, j]
+        return pd.DataFrame(out, columns=names)
+
+    return counts.groupBy("type").applyInPandas(
+        allot, "type string, cell int, first long, n long, bin_cell int, bin_first long, round string"
+    )
+
+
 def matched_negatives(
     positives: DataFrame, library: DataFrame, seed: int, delta_gc: float = 0.03, id_col: str = "id", sets: int = 1
 ) -> DataFrame:
     """For each positive a library bin of the same type with near GC, each bin used once per set.
 
-    Positives need ``type`` and ``gc``; the library ``type, gc`` and coordinates.  Rounds
-    go from equal GC (0.01 steps) outward to ``delta_gc``, then to 0.1 wide steps up to
-    0.4, then to any bin of the type and last any bin at all.  Within a round rows are
-    paired by rank in a seeded order inside each stratum.  Positives beyond the number of bins stay,
-    without a place and with ``none`` as their round.
+    Positives need ``type`` and ``gc``; the library ``type, gc`` and coordinates.  Inside a type as many
+    positives as possible get a bin within ``delta_gc`` (in 0.01 steps, the total difference as small as
+    that allows), of the others as many as possible one within 0.4 (in 0.1 steps), then any bin of the
+    type; last comes any bin at all.  How many go from where to where is settled on the counts of the
+    strata (:func:`allot_strata`); which row it is follows from its rank in a seeded order.  A missing
+    GC fits a type, a missing type the last round.  Positives beyond the number of bins stay, without a
+    place and with ``none`` as their round.
     Returns ``(set_no, id, chrom, start, end, type, gc, pos_gc, round)``.
     """
     set_no = F.explode(F.sequence(F.lit(1), F.lit(sets))).alias("set_no")
-    bins = library.select("chrom", "start", "end", "type", "gc", set_no).withColumn(
-        "bin_id", F.concat_ws(":", "chrom", "start", "end", "set_no")
+    offered = library.select("chrom", "start", "end", "type", "gc", _gc_cell(F.col("gc")).alias("bin_cell"))
+    asked = positives.select(id_col, F.col("type").alias("ptype"), F.col("gc").alias("pos_gc"), _gc_cell(F.col("gc")).alias("cell"))
+    both = asked.select(F.col("ptype").alias("type"), "cell", F.lit(1).alias("a"), F.lit(0).alias("o")).unionByName(
+        offered.select("type", F.col("bin_cell").alias("cell"), F.lit(0).alias("a"), F.lit(1).alias("o"))
+    )
+    counts = both.where("type IS NOT NULL").groupBy("type", "cell").agg(F.sum("a").alias("asked"), F.sum("o").alias("offered"))
+    shares = cut_lineage(allot_strata(counts, round(delta_gc * 100)))
+
+    bins = offered.select("*", set_no).withColumn("bin_id", F.concat_ws(":", "chrom", "start", "end", "set_no"))
+    wanted = asked.select("*", set_no).withColumn("_pid", F.concat_ws(":", F.col(id_col).cast("string"), "set_no"))
+    place = ["chrom", "start", "end", "type", "gc"]
+    out = ["set_no", id_col, "_pid", "pos_gc", "bin_id", *place, "round"]
+    typed = wanted.where("ptype IS NOT NULL").withColumnRenamed("ptype", "type")
+    left = _shuffled(typed, ["set_no", "type", "cell"], seed, "_pid", "_rank")
+    sent = left.join(shares, ["type", "cell"]).where("_rank > first AND _rank <= first + n").select(
+        "set_no", id_col, "_pid", "pos_gc", "type", "bin_cell", (F.col("_rank") - F.col("first") + F.col("bin_first")).alias("_at"), "round"
     )
-    asked = positives.select(id_col, F.col("type").alias("ptype"), F.col("gc").alias("pos_gc"), set_no).withColumn(
-        "_pid", F.concat_ws(":", F.col(id_col).cast("string"), "set_no")
+    right = _shuffled(bins.where("type IS NOT NULL"), ["set_no", "type", "bin_cell"], seed, "bin_id", "_at")
+    near = cut_lineage(sent.join(right, ["set_no", "type", "bin_cell", "_at"]).select(*out))
+
+    rest = wanted.join(near.select("_pid"), "_pid", "left_anti")
+    free = bins.join(near.select("bin_id"), "bin_id", "left_anti")
+    left = _shuffled(rest, ["set_no"], seed + 1, "_pid", "_rank")
+    right = _shuffled(free, ["set_no"], seed + 1, "bin_id", "_rank").select("set_no", "_rank", "bin_id", *place)
+    last = left.join(right, ["set_no", "_rank"], "left").withColumn(
+        "round", F.when(F.col("bin_id").isNull(), "none").otherwise("any")
     )
-    cell = lambda c, k: F.round(F.col(c) * k).cast("int")
-    # (name, cells per unit of GC, distance in cells); no cells means GC is ignored.
-    plan = [(f"gc{d}", 100, d) for d in range(round(delta_gc * 100) + 1)]
-    plan += [(f"tenth{d}", 10, d) for d in (1, 2, 3, 4)] + [("type", None, 0), ("any", None, 0)]
-    done = None
-    for i, (name, cells, away) in enumerate(plan):
-        want = asked if done is None else asked.join(done.select("_pid"), "_pid", "left_anti")
-        lib = bins if done is None else bins.join(done.select("bin_id"), "bin_id", "left_anti")
-        if done is not None and want.isEmpty():
-            break
-        kind = name != "any"
-        sides = F.array(*[cell("pos_gc", cells) + s * away for s in ((1, -1) if away else (1,))]) if cells else F.array(F.lit(0))
-        left = want.withColumn("_t", F.col("ptype") if kind else F.lit("")).withColumn("_k", F.explode(sides))
-        right = lib.withColumn("_t", F.col("type") if kind else F.lit("")).withColumn("_k", cell("gc", cells) if cells else F.lit(0))
-        strata = ["set_no", "_t", "_k"]
-        lr = _shuffled(left, strata, seed + i, "_pid", "_rank")
-        rr = _shuffled(right, strata, seed + i, "bin_id", "_rank")
-        pairs = lr.join(rr.select(*strata, "_rank", "bin_id", "chrom", "start", "end", "type", "gc"), [*strata, "_rank"])
-        # A positive that found a bin on both sides keeps one of them.
-        one = pairs.groupBy("set_no", id_col, "_pid", "pos_gc").agg(F.min(F.struct("bin_id", "chrom", "start", "end", "type", "gc")).alias("m"))
-        got = cut_lineage(one.select("set_no", id_col, "_pid", "pos_gc", "m.*", F.lit(name).alias("round")))
-        done = got if done is None else done.unionByName(got)
-    left = asked.join(done.select("_pid"), "_pid", "left_anti").withColumn("round", F.lit("none"))
-    return done.unionByName(left.drop("ptype"), allowMissingColumns=True).drop("_pid", "bin_id")
+    return near.unionByName(last.select(*out)).drop("_pid", "bin_id")
 
 
 def n_negative_sets(positives: DataFrame, library: DataFrame, k: int, seed: int, **options) -> DataFrame:
