@@ -1,14 +1,19 @@
-"""Exact token counts at every prefix, for a sentencepiece model.
+"""Exact token counts at every prefix, for a sentencepiece model of byte pair encoding.
 
-A piece of the vocabulary never holds a word separator after another character, nor a line end.  So
-the encoding of a text is the concatenation of the encodings of its segments (a run of separators
-with the characters after it, or a line end with the characters after it), and
+The encoding of a prefix is that of a shorter prefix and one token more.  Which token it is follows
+from pairs alone: a sequence of tokens is an encoding if any two neighbours are the encoding of their
+joined text.  So, going through the characters from left to right,
 
-    count(prefix up to segment j) = count(prefix up to segment j - 1) + count(segment j)
+    last(i)  = the token t that ends at i and agrees with last(i - len(t))
+    count(i) = count(i - len(t)) + 1
 
-is exact.  The table of these sums answers "how many tokens", "does it fit" and "where to cut"
-without encoding a document again; a prefix that ends inside a segment needs that one segment.
-The condition is read from the vocabulary when the model is loaded; a model that fails it is refused.
+A piece of the vocabulary never holds a word separator after another character, nor a line end.  So
+texts fall into segments (a run of separators with the characters after it, or a line end with the
+characters after it) whose encodings follow each other; a segment's counts are worked out once and
+shared by all its places, and the count of a prefix is the sum over whole segments plus the count at
+its place in the segment it ends in.  That answers "how many tokens", "does it fit" and "where to cut"
+at every character without encoding anything again.  These conditions are read from the vocabulary when
+the model is loaded; a model that fails them is refused.  What has no piece is spelt in bytes, a token each.
 
 Texts that are null are empty; an empty text has no tokens and one prefix, the empty one.  Every row
 of the input gives one row, repeated rows and null ids included; other columns are not looked at.
@@ -17,6 +22,7 @@ of the input gives one row, repeated rows and null ids included; other columns a
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,24 +33,89 @@ from .common import in_worker
 from .words import chunks
 
 SEPARATOR = "▁"
-#: Segments kept with their count in a worker; later ones are encoded once a batch.
+#: Segments kept with their counts in a worker, and pairs of tokens kept with their answer; where more
+#: are met the older ones are let go and worked out again.
 REMEMBERED = 400_000
 _SEGMENT = re.compile(f"[ {SEPARATOR}]+[^ {SEPARATOR}\n]*|\n[^ {SEPARATOR}\n]*")
 
 
 def _crosses(piece: str) -> bool:
     body = piece.lstrip(SEPARATOR)
-    return SEPARATOR in body or ("\n" in piece and piece != "\n")
-
-
-def _model(path: str):
-    """The model and the counts of segments met so far in this worker."""
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    if any(_crosses(model.id_to_piece(i)) for i in range(model.get_piece_size())):
-        raise ValueError("a piece of the vocabulary crosses a word separator or a line end")
-    return model, {}
+    return SEPARATOR in body or "\n" in piece
+
+
+class PrefixCounts:
+    """Tokens of every prefix of a segment."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        every = range(model.get_piece_size())
+        own = [i for i in every if not (model.is_unknown(i) or model.is_control(i) or model.is_byte(i))]
+        self.score = {model.id_to_piece(i): model.get_score(i) for i in own}
+        if any(map(_crosses, self.score)):
+            raise ValueError("a piece of the vocabulary crosses a word separator or a line end")
+        if not any(map(model.is_byte, every)) or any(map(model.is_unused, every)):
+            raise ValueError("the vocabulary spells no bytes, or has unused pieces")
+        self.longest = max(map(len, self.score))
+        self.pairs: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, array] = {}
+
+    def agree(self, left: str, right: str) -> bool:
+        """Whether ``left, right`` is the encoding of the joined text (an empty ``left``: ``right`` alone)."""
+        answer = self.pairs.get((left, right))
+        if answer is None:
+            if len(self.pairs) >= REMEMBERED:
+                self.pairs.clear()
+            answer = self.pairs[left, right] = self._merges_to(left, right)
+        return answer
+
+    def _merges_to(self, left: str, right: str) -> bool:
+        parts, border = list(left + right), len(left)
+        while True:
+            # The best pair of neighbours is joined, the first one of equals.
+            best, at, place = None, -1, 0
+            for i in range(len(parts) - 1):
+                place += len(parts[i])
+                score = self.score.get(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at, end = score, i, place
+            if best is None:
+                return parts == ([left, right] if left else [right])
+            if end == border:
+                return False
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
+    def of(self, segment: str) -> array:
+        """Counts of the prefixes of 0, 1, ... characters."""
+        counts = self.known.get(segment)
+        if counts is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            counts = self._counts(segment)
+            # A segment as long as many words would only fill the memory.
+            if len(segment) <= 64:
+                self.known[segment] = counts
+        return counts
+
+    def _counts(self, segment: str) -> array:
+        segment = segment.replace(" ", SEPARATOR)
+        counts, last = array("i", [0]), [""]
+        for i in range(1, len(segment) + 1):
+            for j in range(max(i - self.longest, 0), i):
+                token = segment[j:i]
+                if (token in self.score or j == i - 1) and self.agree(last[j], token):
+                    break
+            else:
+                raise ValueError("no token ends here")
+            counts.append(counts[j] + (1 if token in self.score else len(token.encode())))
+            last.append(token)
+        return counts
+
+
+def _worker(path: str) -> PrefixCounts:
+    return in_worker(("prefixes", path), lambda: PrefixCounts(path))
 
 
 def segments(text: str) -> list[str]:
@@ -52,78 +123,88 @@ def segments(text: str) -> list[str]:
     return _SEGMENT.findall(" " + text) if text else []
 
 
-def segment_counts(path: str, found: list[str]) -> np.ndarray:
-    """Tokens of each segment."""
-    model, known = in_worker(("counts", path), lambda: _model(path))
-    counts = list(map(known.get, found))
-    if None in counts:
-        new = list({s for s, n in zip(found, counts) if n is None})
-        # The model puts a separator before what it encodes: it stands for the first one of a segment,
-        # and is one token more before a line end.
-        ids = model.encode([s if s[0] == "\n" else s[1:] for s in new], num_threads=1)
-        fresh = {s: len(i) - 1 if s[0] == "\n" else len(i) or 1 for s, i in zip(new, ids)}
-        if len(known) < REMEMBERED:
-            known.update(fresh)
-        counts = [fresh[s] if n is None else n for s, n in zip(found, counts)]
-    return np.array(counts, np.int64)
+class Table:
+    """Tokens of every prefix of a text: sums at the ends of segments, and the counts inside each.
+
+    ``ends`` and ``sums`` hold characters and tokens up to each segment, from the empty prefix on.
+    """
+
+    def __init__(self, path: str, text: str | None):
+        worker = _worker(path)
+        self.segments = segments(text or "")
+        self.inside = list(map(worker.of, self.segments))
+        self.ends = np.zeros(len(self.segments) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, self.segments), np.int64, len(self.segments)), out=self.ends[1:])
+        self.ends[1:] -= 1
+        self.sums = np.zeros(len(self.segments) + 1, np.int64)
+        np.cumsum(np.fromiter((c[-1] for c in self.inside), np.int64, len(self.inside)), out=self.sums[1:])
+
+    @property
+    def total(self) -> int:
+        return int(self.sums[-1])
+
+    def at(self, n_chars: int) -> int:
+        """Tokens of the first ``n_chars`` characters."""
+        if n_chars <= 0:
+            return 0
+        whole = int(np.searchsorted(self.ends, n_chars, "right")) - 1
+        if whole == len(self.segments):
+            return self.total
+        # The first segment starts with a separator that is no character of the text.
+        return int(self.sums[whole]) + self.inside[whole][n_chars - int(self.ends[whole]) + (whole == 0)]
+
+    def every(self) -> np.ndarray:
+        """Tokens of the prefixes of 0, 1, ... characters."""
+        parts = [np.zeros(1, np.int64)]
+        for k, (before, counts) in enumerate(zip(self.sums, self.inside)):
+            parts.append(before + np.frombuffer(counts, np.int32)[1 + (k == 0):])
+        return np.concatenate(parts)
+
+    def fit(self, limit: int) -> tuple[int, int]:
+        """Characters and tokens of the longest prefix within ``limit`` tokens.
+
+        Counts fall where a longer token takes the place of shorter ones, so the last place counts.
+        """
+        whole = max(int(np.searchsorted(self.sums, limit, "left")) - 1, 0)
+        if whole < len(self.segments):
+            # Each prefix of a later segment has more than ``limit`` tokens.
+            counts, skip = self.inside[whole], int(whole == 0)
+            for i in range(len(counts) - 1, skip, -1):
+                if self.sums[whole] + counts[i] <= limit:
+                    return int(self.ends[whole]) + i - skip, int(self.sums[whole]) + counts[i]
+        return int(self.ends[whole]), int(self.sums[whole])
 
 
 def count_at(path: str, text: str, n_chars: int) -> int:
-    """Tokens of ``text[:n_chars]`` from the table of prefixes and the one segment that is cut."""
-    if n_chars <= 0:
-        return 0
-    found = segments(text)
-    ends = np.cumsum([len(s) for s in found]) - 1
-    whole = int(np.searchsorted(ends, n_chars, "right"))
-    before = int(segment_counts(path, found[:whole]).sum()) if whole else 0
-    if whole == len(found):
-        return before
-    begun = found[whole][: n_chars + 1 - (int(ends[whole - 1]) + 1 if whole else 0)]
-    return before + (int(segment_counts(path, [begun])[0]) if begun else 0)
-
-
-def _tables(path: str, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text the ends (in characters) and the counts of its prefixes, from the empty one on."""
-    found = [segments(t or "") for t in texts]
-    flat = [s for f in found for s in f]
-    counts = segment_counts(path, flat) if flat else np.zeros(0, np.int64)
-    at = 0
-    for f in found:
-        ends = np.zeros(len(f) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, f), np.int64, len(f)), out=ends[1:])
-        ends[1:] -= 1
-        sums = np.zeros(len(f) + 1, np.int64)
-        np.cumsum(counts[at : at + len(f)], out=sums[1:])
-        at += len(f)
-        yield ends, sums
+    """Tokens of ``text[:n_chars]``."""
+    return Table(path, text).at(n_chars)
 
 
 def prefix_counts(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id``, ``ends`` and ``counts``: the prefixes of each text that end with a segment, and their tokens."""
+    """``doc_id`` and ``counts``: the tokens of the first 0, 1, ... characters of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            tables = list(_tables(path, batch.column("text").to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array([e for e, _ in tables], pa.list_(pa.int64())), pa.array([c for _, c in tables], pa.list_(pa.int64()))],
-                ["doc_id", "ends", "counts"])
+        for batch in chunks(batches, 1 << 20):
+            counts = [Table(path, text).every() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.list_(pa.int64()))], ["doc_id", "counts"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ends array<bigint>, counts array<bigint>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, counts array<bigint>")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
     """Tokens of each text and what of it fits ``limit`` tokens.
 
-    Returns doc_id, n_bytes, n_tokens, over_limit, fit_chars and fit_tokens: the longest prefix of
-    whole segments within the limit, in characters and tokens.
+    Returns doc_id, n_bytes, n_tokens, over_limit, fit_chars and fit_tokens: the longest prefix
+    within the limit, in characters and tokens.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 4 << 20):
             total, chars, tokens = [], [], []
-            for ends, sums in _tables(path, batch.column("text").to_pylist()):
-                fit = int(np.searchsorted(sums, limit, "right")) - 1
-                total.append(int(sums[-1]))
-                chars.append(int(ends[fit]))
-                tokens.append(int(sums[fit]))
+            for text in batch.column("text").to_pylist():
+                table = Table(path, text)
+                fit = table.fit(limit)
+                total.append(table.total)
+                chars.append(fit[0])
+                tokens.append(fit[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(total, pa.int64()), pa.array(chars, pa.int64()), pa.array(tokens, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens", "fit_chars", "fit_tokens"])
@@ -135,11 +216,10 @@ def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
 
 
 def truncate(docs: DataFrame, path: str, limit: int) -> DataFrame:
-    """``doc_id`` and ``text`` cut to the longest prefix of whole segments within ``limit`` tokens."""
+    """``doc_id`` and ``text`` cut to the longest prefix within ``limit`` tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            texts = batch.column("text").to_pylist()
-            cut = [(t or "")[: int(ends[int(np.searchsorted(sums, limit, "right")) - 1])] for t, (ends, sums) in zip(texts, _tables(path, texts))]
+            cut = [(t or "")[: Table(path, t).fit(limit)[0]] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(cut, pa.string())], ["doc_id", "text"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text string")

@@ -329,11 +329,37 @@ def test_token_counts(docs, rows):
 
 
 def test_every_prefix(rows):
+    import random
+
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rnd = random.Random(10)
+    letters = ["the", "ing", "qu", "xz", "a", "e", "T", " ", "  ", "▁", "\n", "é", "ё", "शब्द", "字", "𐍈", "\t", "!!", "00", "<s>", "\x00", "\u3000"]
+    drawn = ["".join(rnd.choices(letters, k=rnd.randint(1, 30))) for _ in range(300)]
+    texts = [t for _, t in rows if t and len(t) < 300][:12] + ["a  b\n\n ▁▁c", "\n x", "<s> é́", " " * 70 + "x" * 90 + "=" * 200, "ab" * 300] + drawn
+    for text in texts:
+        right = [len(model.encode(text[:k])) for k in range(len(text) + 1)]
+        table = token_counts.Table(PIECES, text)
+        assert table.every().tolist() == right and table.total == right[-1]
+        assert [table.at(k) for k in range(len(text) + 1)] == right
+        for limit in (0, 1, 2, 5, right[-1] // 2, max(right[-1] - 1, 0), right[-1], right[-1] + 1):
+            chars = max(k for k, n in enumerate(right) if n <= limit)
+            assert table.fit(limit) == (chars, right[chars])
+
+
+def test_prefixes_of_documents(spark, docs, rows, monkeypatch):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    for text in [t for _, t in rows if t and len(t) < 300][:12] + ["a  b\n\n ▁▁c", "\n x", "<s> é́"]:
-        assert [token_counts.count_at(PIECES, text, k) for k in range(len(text) + 1)] == [len(model.encode(text[:k])) for k in range(len(text) + 1)]
+    got = sorted((r["doc_id"], list(r["counts"])) for r in token_counts.prefix_counts(docs, PIECES).collect())
+    assert [(d, len(c), c[-1]) for d, c in got] == sorted((d, len(t or "") + 1, len(model.encode(t or ""))) for d, t in rows)
+    # Little memory changes the work, not the counts.
+    worker = token_counts.PrefixCounts(PIECES)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    words = [s for _, t in rows for s in token_counts.segments((t or "")[:400])]
+    small = token_counts.PrefixCounts(PIECES)
+    assert [small.of(s) for s in words] == [worker.of(s) for s in words] and len(small.known) <= 3 and len(small.pairs) <= 3
 
 
 def test_repeated_and_missing_ids(spark):
