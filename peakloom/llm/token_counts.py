@@ -58,17 +58,21 @@ class PrefixCounts:
             raise ValueError("a piece of the vocabulary crosses a word separator or a line end")
         if not any(map(model.is_byte, every)) or any(map(model.is_unused, every)):
             raise ValueError("the vocabulary spells no bytes, or has unused pieces")
-        self.longest = max(map(len, self.score))
-        self.pairs: dict[tuple[str, str], bool] = {}
+        #: Tokens by number; 0 stands before the first one.  Characters without a piece get numbers as they come.
+        self.tokens, self.cost = ["", *self.score], [0] + [1] * len(self.score)
+        self.number = {token: i for i, token in enumerate(self.tokens) if i}
+        #: Length of the longest piece that ends in two given characters.
+        self.reach: dict[str, int] = {}
+        for token in self.score:
+            self.reach[token[-2:]] = max(self.reach.get(token[-2:], 1), len(token))
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, array] = {}
 
-    def agree(self, left: str, right: str) -> bool:
-        """Whether ``left, right`` is the encoding of the joined text (an empty ``left``: ``right`` alone)."""
-        answer = self.pairs.get((left, right))
-        if answer is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            answer = self.pairs[left, right] = self._merges_to(left, right)
+    def _agree(self, left: int, right: int) -> bool:
+        """Whether the tokens ``left, right`` are the encoding of their joined text (0: ``right`` alone)."""
+        if len(self.pairs) >= REMEMBERED:
+            self.pairs.clear()
+        answer = self.pairs[left << 32 | right] = self._merges_to(self.tokens[left], self.tokens[right])
         return answer
 
     def _merges_to(self, left: str, right: str) -> bool:
@@ -101,17 +105,32 @@ class PrefixCounts:
 
     def _counts(self, segment: str) -> array:
         segment = segment.replace(" ", SEPARATOR)
-        counts, last = array("i", [0]), [""]
+        number, known, longest = self.number.get, self.pairs.get, self.reach.get
+        counts, last = [0], [0]
         for i in range(1, len(segment) + 1):
-            for j in range(max(i - self.longest, 0), i):
-                token = segment[j:i]
-                if (token in self.score or j == i - 1) and self.agree(last[j], token):
+            size = longest(segment[i - 2:i], 1) if i > 1 else 1
+            for j in range(i - size if size < i else 0, i):
+                token = number(segment[j:i])
+                if token is None:
+                    continue
+                agrees = known(last[j] << 32 | token)
+                if agrees or agrees is None and self._agree(last[j], token):
                     break
             else:
-                raise ValueError("no token ends here")
-            counts.append(counts[j] + (1 if token in self.score else len(token.encode())))
+                token, j = self._spelt(segment[i - 1]), i - 1
+                if not self._agree(last[j], token):
+                    raise ValueError("no token ends here")
+            counts.append(counts[j] + self.cost[token])
             last.append(token)
-        return counts
+        return array("i", counts)
+
+    def _spelt(self, letter: str) -> int:
+        """Number of a character without a piece, a token a byte."""
+        if letter not in self.number:
+            self.number[letter] = len(self.tokens)
+            self.tokens.append(letter)
+            self.cost.append(len(letter.encode()))
+        return self.number[letter]
 
 
 def _worker(path: str) -> PrefixCounts:
@@ -132,7 +151,9 @@ class Table:
     def __init__(self, path: str, text: str | None):
         worker = _worker(path)
         self.segments = segments(text or "")
-        self.inside = list(map(worker.of, self.segments))
+        self.inside = list(map(worker.known.get, self.segments))
+        if None in self.inside:
+            self.inside = [worker.of(s) if c is None else c for s, c in zip(self.segments, self.inside)]
         self.ends = np.zeros(len(self.segments) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, self.segments), np.int64, len(self.segments)), out=self.ends[1:])
         self.ends[1:] -= 1
