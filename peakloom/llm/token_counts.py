@@ -60,11 +60,14 @@ class PrefixCounts:
             raise ValueError("the vocabulary spells no bytes, or has unused pieces")
         #: Tokens by number; 0 stands before the first one.  Characters without a piece get numbers as they come.
         self.tokens, self.cost = ["", *self.score], [0] + [1] * len(self.score)
-        self.number = {token: i for i, token in enumerate(self.tokens) if i}
-        #: Length of the longest piece that ends in two given characters.
-        self.reach: dict[str, int] = {}
-        for token in self.score:
-            self.reach[token[-2:]] = max(self.reach.get(token[-2:], 1), len(token))
+        #: The pieces read from their last character: a character leads to the number of the piece that
+        #: begins there (0: none) and to the characters before it.
+        self.endings: dict[str, list] = {}
+        for number, token in enumerate(self.tokens):
+            step = [0, self.endings]
+            for letter in reversed(token):
+                step = step[1].setdefault(letter, [0, {}])
+            step[0] = number
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, array] = {}
 
@@ -105,32 +108,29 @@ class PrefixCounts:
 
     def _counts(self, segment: str) -> array:
         segment = segment.replace(" ", SEPARATOR)
-        number, known, longest = self.number.get, self.pairs.get, self.reach.get
+        endings, known, cost = self.endings, self.pairs.get, self.cost
         counts, last = [0], [0]
-        for i in range(1, len(segment) + 1):
-            size = longest(segment[i - 2:i], 1) if i > 1 else 1
-            for j in range(i - size if size < i else 0, i):
-                token = number(segment[j:i])
-                if token is None:
-                    continue
-                agrees = known(last[j] << 32 | token)
-                if agrees or agrees is None and self._agree(last[j], token):
-                    break
+        for i, letter in enumerate(segment):
+            if letter not in endings or not endings[letter][0]:
+                self._spell(letter)
+            before = endings
+            for j in range(i, -1, -1):
+                token, before = before[segment[j]]
+                if token:
+                    agrees = known(last[j] << 32 | token)
+                    if agrees or agrees is None and self._agree(last[j], token):
+                        break
             else:
-                token, j = self._spelt(segment[i - 1]), i - 1
-                if not self._agree(last[j], token):
-                    raise ValueError("no token ends here")
-            counts.append(counts[j] + self.cost[token])
+                raise ValueError("no token ends here")
+            counts.append(counts[j] + cost[token])
             last.append(token)
         return array("i", counts)
 
-    def _spelt(self, letter: str) -> int:
-        """Number of a character without a piece, a token a byte."""
-        if letter not in self.number:
-            self.number[letter] = len(self.tokens)
-            self.tokens.append(letter)
-            self.cost.append(len(letter.encode()))
-        return self.number[letter]
+    def _spell(self, letter: str) -> None:
+        """Give a character without a piece a number; it costs a token a byte."""
+        self.endings.setdefault(letter, [0, {}])[0] = len(self.tokens)
+        self.tokens.append(letter)
+        self.cost.append(len(letter.encode()))
 
 
 def _worker(path: str) -> PrefixCounts:
