@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tails import normal_p
 from ..operators import normalise as nm
+from ..operators.comoments import sample_correlations
 from ..operators.dispersion import differential_counts_nb
 from ..operators.overlap import COORDS
 from ..plans.differential import counts_per_sample, differential_regions, with_condition
@@ -205,6 +206,18 @@ def _(v):
     return rounded(nm.pairwise_correlation(_wide(v), SAMPLES), "r")
 
 
+# Every supplier is a sample here and every part a feature.
+DEPTH = """SELECT l_partkey AS feature, 's' || l_suppkey AS sample, sum(l_quantity)::DOUBLE AS value FROM lineitem GROUP BY 1, 2"""
+
+
+@query("sample_correlations", f"""WITH d AS MATERIALIZED ({DEPTH})
+    SELECT x.sample AS a, y.sample AS b, count(*) AS n, CASE WHEN min(x.value) < max(x.value) AND min(y.value) < max(y.value) THEN {r('corr(x.value, y.value)')} END AS r
+    FROM d x JOIN d y ON x.feature = y.feature AND x.sample < y.sample GROUP BY 1, 2""")
+def _(v):
+    rows = v.table("lineitem").select("l_partkey", F.concat(F.lit("s"), F.col("l_suppkey")).alias("sample"), F.col("l_quantity").cast("double").alias("value"))
+    return rounded(sample_correlations(rows, "l_partkey", "sample", "value"), "r")
+
+
 TREND = """SELECT o_orderkey AS id, o_totalprice / 100000 AS ratio, CASE WHEN o_totalprice / 500000 + (o_custkey % 10) / 10.0 > 1 THEN 1 ELSE 0 END AS flag FROM orders"""
 
 
