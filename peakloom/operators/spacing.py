@@ -18,7 +18,8 @@ def _near_pairs(a: DataFrame, b: DataFrame, reach: int, keys: Sequence[str]) ->
     """Site pairs of one sequence whose positions differ by at most ``reach``.
 
     Joined on sequence and position bin, so a long sequence is spread over many tasks and
-    a site only meets sites near it.
+    a site only meets sites near it.  Sites are many although their tables are small on disk, so neither
+    side is sent whole through the driver.
     """
     width = max(reach, 1)
     left = a.select(
@@ -29,7 +30,7 @@ def _near_pairs(a: DataFrame, b: DataFrame, reach: int, keys: Sequence[str]) ->
         *keys, *[F.col(c).alias(f"{c}2") for c in ("pos", "strand", "score")],
         F.floor(F.col("pos") / width).alias("_bin"),
     )
-    return left.join(right, [*keys, "_bin"]).drop("_bin").where(F.abs(F.col("pos2") - F.col("pos1")) <= reach)
+    return left.join(right.hint("merge"), [*keys, "_bin"]).drop("_bin").where(F.abs(F.col("pos2") - F.col("pos1")) <= reach)
 
 
 def site_pairs(sites: DataFrame, reach: int, keys: Sequence[str] = ("seq_id",)) -> DataFrame:
@@ -391,7 +392,7 @@ def cooccurrence_distances(
     left = tagged.select(*keys, "_bin", *side(1))
     right = tagged.select(*keys, F.explode(F.array(*[F.col("_bin") + d for d in (-1, 0, 1)])).alias("_bin"), *side(2))
     gap = F.greatest("pos1", "pos2") - F.least("stop1", "stop2")
-    pairs = left.join(right, [*keys, "_bin"]).where("tf1 < tf2").withColumn("distance", gap)
+    pairs = left.join(right.hint("merge"), [*keys, "_bin"]).where("tf1 < tf2").withColumn("distance", gap)
     return pairs.where(F.col("distance").between(lowest, highest)).groupBy("tf1", "tf2", "distance").agg(
         F.sum(F.col("copies1") * F.col("copies2")).alias("n")
     )

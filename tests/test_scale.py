@@ -249,3 +249,13 @@ def test_distances_of_sites(spark):
     df = spark.createDataFrame(rows, "seq_id long, motif_id string, pos long, stop long")
     assert sorted(map(tuple, cooccurrence_distances(df, 0, 50).collect())) == [("a", "b", 4, 3)]
     assert sorted(map(tuple, cooccurrence_distances(df, -6, 600).collect())) == [("a", "b", -3, 1), ("a", "b", 4, 3), ("a", "b", 484, 1)]
+
+
+def test_sites_are_not_sent_whole_to_meet(spark, tmp_path):
+    from peakloom.operators.spacing import site_pairs
+
+    # Small on disk, so that Spark would broadcast it.
+    spark.range(0, 3000, 1, 2).selectExpr("id % 7 AS seq_id", "cast(id AS int) AS pos", "'+' AS strand", "1D AS score").write.parquet(str(tmp_path / "s"))
+    pairs = site_pairs(spark.read.parquet(str(tmp_path / "s")), 7)
+    assert pairs.count() == 2993
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
