@@ -19,8 +19,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import cut_lineage
 
@@ -30,6 +31,31 @@ WIDTHS = (1 << 14, 1 << 20)
 LINK, CLAIM, OPEN = 0, 1, 2
 _ROW = "kind int, child long, parent long, turned int"
 
+#: Rows that one call into Python takes, of many small groups or of one large one.
+BATCH_ROWS = 1 << 16
+
+
+def batch_of(df: DataFrame, *group: Column) -> Column:
+    """Number of the batch that a group is dealt to, so that a batch holds some ``BATCH_ROWS`` rows.
+
+    A call into Python costs as much as some thousand rows; tables of many short keys pay it once a batch.
+    ``df`` is a written table.
+    """
+    return F.pmod(F.xxhash64(*group), F.lit(df.count() // BATCH_ROWS + 1))
+
+
+def each_group(frame: pd.DataFrame, names: Sequence[str]) -> list[tuple[int, int]]:
+    """Bounds of the groups by ``names`` in a frame whose rows are sorted by them."""
+    if not len(frame):
+        return []
+    new = np.zeros(len(frame), bool)
+    new[0] = True
+    for name in names:
+        column = frame[name].to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    starts = np.flatnonzero(new).tolist()
+    return list(zip(starts, [*starts[1:], len(frame)]))
+
 
 def shrink(rows: Iterable[tuple[int, int, int, int]], inside: Callable[[int], bool], settle: bool = False):
     """Rows (kind, child, parent, turned) of a tile for every state that can enter it.
@@ -76,14 +102,19 @@ def shrink(rows: Iterable[tuple[int, int, int, int]], inside: Callable[[int], bo
     return chooses if settle else out
 
 
-def _tuples(frame: pd.DataFrame):
-    return zip(*(frame[c].tolist() for c in ("kind", "child", "parent", "turned")))
-
-
-def _rows(frame: pd.DataFrame, keys: Sequence[str], out: list, columns: Sequence[str]) -> pd.DataFrame:
+def _per_group(frame: pd.DataFrame, group: Sequence[str], keys: Sequence[str], columns: Sequence[str], run: Callable) -> pd.DataFrame:
+    """``run(rows, tile)`` of every group of a batch, with the keys in front of what it gives."""
+    frame = frame.sort_values(list(group), kind="stable")
+    lists = [frame[c].tolist() for c in ("kind", "child", "parent", "turned")]
+    tiles = frame["tile"].tolist() if "tile" in group else None
+    out, owner = [], []
+    for start, end in each_group(frame, group):
+        made = run(list(zip(*(c[start:end] for c in lists))), tiles[start] if tiles else None)
+        out += made
+        owner += [start] * len(made)
     made = pd.DataFrame(out, columns=list(columns))
     for n, k in enumerate(keys):
-        made.insert(n, k, frame[k].iloc[0])
+        made.insert(n, k, frame[k].to_numpy()[owner])
     return made
 
 
@@ -101,53 +132,41 @@ def choosers(links: DataFrame, keys: Sequence[str], node: str = "node", wish: st
     def crossing(rows: DataFrame, width: int) -> DataFrame:
         return rows.where((F.col("kind") == LINK) & (F.col("parent") >= 0) & (tile("child", width) != tile("parent", width)))
 
-    def dealt(rows: DataFrame, width: int) -> DataFrame:
-        at = F.when(F.col("kind") == LINK, tile("child", width)).otherwise(tile("parent", width))
-        return rows.withColumn("tile", at).groupBy(*keys, "tile")
+    def dealt(rows: DataFrame, level: DataFrame, width: int | None, run: Callable, columns: Sequence[str], schema: str) -> DataFrame:
+        """``run`` on each tile of ``width`` ranks, or on each key as a whole; most rows are those of ``level``."""
+        group = keys if width is None else [*keys, "tile"]
+        if width is not None:
+            rows = rows.withColumn("tile", F.when(F.col("kind") == LINK, tile("child", width)).otherwise(tile("parent", width)))
+        batched = rows.withColumn("_batch", batch_of(level, *[F.col(c) for c in group]))
+        return batched.groupBy("_batch").applyInPandas(lambda frame: _per_group(frame, group, keys, columns, run), f"{head}, {schema}")
 
     def claims(rows: DataFrame) -> DataFrame:
         return rows.where(F.col("kind") == CLAIM)
 
-    def up(width: int):
-        def run(frame: pd.DataFrame) -> pd.DataFrame:
-            at = frame["tile"].iloc[0]
-            return _rows(frame, keys, shrink(_tuples(frame), lambda p: p // width == at), ["kind", "child", "parent", "turned"])
-
-        return run
-
+    columns = ["kind", "child", "parent", "turned"]
     for width in widths:
         rows = levels[-1]
         entered = crossing(rows, width).select(*keys, F.lit(OPEN).alias("kind"), F.lit(-1).cast("long").alias("child"), "parent", F.lit(0).alias("turned")).distinct()
+        up = lambda here, at, width=width: shrink(here, lambda p: p // width == at)
+        levels.append(cut_lineage(dealt(rows.unionByName(entered), rows, width, up, columns, _ROW)))
 
-        levels.append(cut_lineage(dealt(rows.unionByName(entered), width).applyInPandas(up(width), f"{head}, {_ROW}")))
-
-    def brought(frame: pd.DataFrame, below: int, inside: Callable[[int], bool]) -> pd.DataFrame:
+    def brought(here: list, below: int, inside: Callable[[int], bool]) -> list:
         """Claims of those that choose on nodes of other tiles of the level below."""
-        chooses = shrink(_tuples(frame), inside, settle=True)
-        links_of = ((c, p, t) for k, c, p, t in _tuples(frame) if k == LINK and p >= 0)
-        out = {(CLAIM, -1, p, 0) for c, p, t in links_of if chooses[c] ^ t and c // below != p // below}
-        return _rows(frame, keys, sorted(out), ["kind", "child", "parent", "turned"])
-
-    def top(frame: pd.DataFrame) -> pd.DataFrame:
-        return brought(frame, widths[-1], lambda p: True)
-
-    def down(width: int, below: int):
-        def run(frame: pd.DataFrame) -> pd.DataFrame:
-            at = frame["tile"].iloc[0]
-            return brought(frame, below, lambda p: p // width == at)
-
-        return run
+        chooses = shrink(here, inside, settle=True)
+        links_of = ((c, p, t) for k, c, p, t in here if k == LINK and p >= 0)
+        return sorted({(CLAIM, -1, p, 0) for c, p, t in links_of if chooses[c] ^ t and c // below != p // below})
 
-    entering = levels[-1].groupBy(*keys).applyInPandas(top, f"{head}, {_ROW}").unionByName(claims(levels[-1]))
+    top = lambda here, _: brought(here, widths[-1], lambda p: True)
+    entering = dealt(levels[-1], levels[-1], None, top, columns, _ROW).unionByName(claims(levels[-1]))
     for n in range(len(widths) - 1, 0, -1):
         entering = cut_lineage(entering)
-        found = dealt(levels[n].unionByName(entering), widths[n]).applyInPandas(down(widths[n], widths[n - 1]), f"{head}, {_ROW}")
+        down = lambda here, at, n=n: brought(here, widths[n - 1], lambda p: p // widths[n] == at)
+        found = dealt(levels[n].unionByName(entering), levels[n], widths[n], down, columns, _ROW)
         entering = entering.unionByName(found).unionByName(claims(levels[n]))
     entering = cut_lineage(entering.distinct())
 
-    def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        at = frame["tile"].iloc[0]
-        chooses = shrink(_tuples(frame), lambda p: p // widths[0] == at, settle=True)
-        return _rows(frame, keys, [(c,) for c, known in chooses.items() if known], [node])
+    def answer(here: list, at: int) -> list:
+        chooses = shrink(here, lambda p: p // widths[0] == at, settle=True)
+        return [(c,) for c, known in chooses.items() if known]
 
-    return dealt(levels[0].unionByName(entering), widths[0]).applyInPandas(answer, f"{head}, `{node}` long")
+    return dealt(levels[0].unionByName(entering), levels[0], widths[0], answer, [node], f"`{node}` long")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..runtime import cut_lineage
-from .chains import choosers
+from .chains import batch_of, choosers, each_group
 
 TILE = 1 << 16
 
@@ -59,17 +59,26 @@ def resolve_overlaps(
     dealt = wide.withColumn("_home", home).withColumn("_tile", F.explode(near)).drop("_width", "_long")
 
     def links(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("pos")
+        group = [*keys, "_tile"]
+        frame = frame.sort_values([*group, "pos"])
         pos, stop = frame["pos"].to_numpy(np.int64), frame["stop"].to_numpy(np.int64)
-        takes, beaten, first = _later(pos, stop, frame["worth"].to_numpy(float))
+        worth = frame["worth"].to_numpy(float)
+        taker, beaten, first = np.zeros(len(frame), np.int64), np.zeros(len(frame), bool), np.zeros(len(frame), bool)
+        none = np.zeros(len(frame), bool)
+        for start, end in each_group(frame, group):
+            here = slice(start, end)
+            takes, beaten[here], first[here] = _later(pos[here], stop[here], worth[here])
+            none[here] = takes < 0
+            taker[here] = pos[here][takes]
         out = frame[keys].copy()
-        out["pos"], out["taker"] = pos, pd.array(np.where(takes >= 0, pos[takes], 0), dtype="Int64")
-        out.loc[takes < 0, "taker"] = pd.NA
+        out["pos"], out["taker"] = pos, pd.array(taker, dtype="Int64")
+        out.loc[none, "taker"] = pd.NA
         out["beaten"], out["opens"] = beaten, first
         return out[(frame["_home"] == frame["_tile"]).to_numpy()]
 
     head = ", ".join(f"`{k}` {slim.schema[k].dataType.simpleString()}" for k in keys)
-    met = cut_lineage(dealt.groupBy(*keys, "_tile").applyInPandas(links, f"{head}, pos long, taker long, beaten boolean, opens boolean"))
+    batched = dealt.withColumn("_batch", batch_of(best, *[F.col(c) for c in [*keys, "_tile"]]))
+    met = cut_lineage(batched.groupBy("_batch").applyInPandas(links, f"{head}, pos long, taker long, beaten boolean, opens boolean"))
 
     # A site stands if it opens a cluster or one that stands hands over to it.  For choosers, which turn what
     # they are told round: 3 pos speaks for an opening, 3 pos + 1 is "does not stand", 3 pos + 2 "stands".

@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from peakloom.operators.chains import choosers
 from peakloom.operators.resolve import preferred_distances, resolve_overlaps
 from peakloom.operators.segments import meta_profile, signal_matrix
 from peakloom.plans.cooccurrence import cooccurrence_peaks
@@ -109,3 +110,15 @@ def test_profiles_of_long_segments(spark):
     for key, values in cells.items():
         known = [v for v in values if v is not None]
         assert matrix[key] == pytest.approx(sum(known) / 7) if known else matrix[key] is None
+
+
+def test_many_short_keys_share_calls(spark):
+    rows = [(key, *s) for key in range(3000) for s in ((3, 9, 1.0), (5, 11, 2.0 if key % 2 else 0.5), (10, 12, 1.5))]
+    df = spark.createDataFrame(rows, "seq_id long, pos long, stop long, score double")
+    out = resolve_overlaps(df)
+    assert sorted(map(tuple, out.collect())) == sorted((key, *s[:3]) for key in range(3000) for s in walk([r[1:] + ("",) for r in rows[3 * key:3 * key + 3]]))
+    # The calls into Python go by batch and not by key.
+    links = spark.createDataFrame([(key, n, n + 1 if n < 3 else None) for key in range(2000) for n in (1, 2, 3)], "seq_id long, node long, wish long")
+    told = choosers(links, ["seq_id"])
+    assert {tuple(r) for r in told.collect()} == {(key, n) for key in range(2000) for n in (1, 3)}
+    assert "FlatMapGroupsInPandas [_batch" in told._jdf.queryExecution().toString()
