@@ -183,8 +183,9 @@ def matched_negatives(
     Returns ``(set_no, id, chrom, start, end, type, gc, pos_gc, round)``.
     """
     set_no = F.explode(F.sequence(F.lit(1), F.lit(sets))).alias("set_no")
-    offered = library.select("chrom", "start", "end", "type", "gc", _gc_cell(F.col("gc")).alias("bin_cell"))
-    asked = positives.select(id_col, F.col("type").alias("ptype"), F.col("gc").alias("pos_gc"), _gc_cell(F.col("gc")).alias("cell"))
+    # Both are read for the counts, for each ranking and for what is left over, so they are made once.
+    offered = cut_lineage(library.select("chrom", "start", "end", "type", "gc", _gc_cell(F.col("gc")).alias("bin_cell")))
+    asked = cut_lineage(positives.select(id_col, F.col("type").alias("ptype"), F.col("gc").alias("pos_gc"), _gc_cell(F.col("gc")).alias("cell")))
     both = asked.select(F.col("ptype").alias("type"), "cell", F.lit(1).alias("a"), F.lit(0).alias("o")).unionByName(
         offered.select("type", F.col("bin_cell").alias("cell"), F.lit(0).alias("a"), F.lit(1).alias("o"))
     )
