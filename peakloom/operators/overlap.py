@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..runtime import cut_lineage
 from .scans import tiled_scan
 
 #: Width in bp of a join bin; a power of two near the usual interval length.
@@ -175,25 +176,58 @@ def subtract_whole(a: DataFrame, b: DataFrame) -> DataFrame:
     return overlap_anti(a, b)
 
 
+def _leading(b: DataFrame) -> DataFrame:
+    """Intervals that can be the best for some other one: those within none that starts earlier.
+
+    What a longer one from further left covers shares no more with anything, and loses ties by its start.
+    Empty intervals stay.
+    """
+    proper = b.where(F.col("start") < F.col("end"))
+    tops = proper.groupBy("chrom", "start").agg(F.max("end").alias("_top")).select("chrom", "start", "_top", F.lit(1).alias("_rank"))
+    scanned = tiled_scan(
+        proper.withColumn("_rank", F.lit(0)).unionByName(tops, allowMissingColumns=True),
+        ["chrom"], [F.col("start"), F.col("_rank"), F.col("end")], F.floor(F.col("start") / TILE),
+        running={"_far": ("max", F.col("_top"))},
+    )
+    lead = scanned.where("_rank = 0 AND (_far IS NULL OR _far < end)").select(*b.columns)
+    return lead.unionByName(b.where(F.col("start") >= F.col("end")))
+
+
 def best_overlap(a: DataFrame, b: DataFrame, payload: Sequence[str], min_frac_a: float | None = None) -> DataFrame:
     """For each ``a`` the ``b`` that shares most with it; nulls and overlap 0 without one.
 
-    Ties go to the smallest ``b`` start, then end, then payload.
+    Ties go to the smallest ``b`` start, then end, then payload.  Of ``b`` only those count that lie within
+    none from further left; their ends are in the order of their starts, so the first that ends at or after
+    an ``a`` is its answer if it holds the whole of it.  Only what lies in no single ``b`` is paired.
     """
-    slim = b.select(*dict.fromkeys([*COORDS, *payload]))
-    pairs = overlap_join(a.select(*COORDS).distinct(), slim, min_frac_a=min_frac_a)
-    best = pairs.groupBy(*COORDS).agg(
-        F.min(
-            F.struct(
-                (-F.col("overlap")).alias("o"), "b_start", "b_end", *[f"b_{c}" for c in payload]
-            )
-        ).alias("m")
+    values = F.struct(*[F.col(c).alias(f"b_{c}") for c in dict.fromkeys(["start", "end", *payload]) if c != "chrom"])
+    known = b.where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
+    one = known.groupBy(*COORDS).agg(F.min(F.struct(*payload) if payload else F.lit(1)).alias("_p"))
+    others = [c for c in dict.fromkeys(payload) if c not in COORDS]
+    slim = cut_lineage(_leading(one.select(*COORDS, *[F.col("_p")[c].alias(c) for c in others])))
+    spans = a.select(*COORDS).distinct().where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
+    ends = slim.where(F.col("start") < F.col("end")).select("chrom", "start", "end", F.lit(0).alias("_rank"), values.alias("_b"))
+    found = tiled_scan(
+        spans.withColumn("_rank", F.lit(1)).unionByName(ends, allowMissingColumns=True),
+        ["chrom"], [-F.col("end"), F.col("_rank"), F.col("start")], F.floor(-F.col("end") / TILE), filled={"_holds": F.col("_b")},
+    )
+    held = (F.col("_holds.b_start") <= F.col("start")) & (F.col("start") < F.col("end"))
+    asked = cut_lineage(found.where("_rank = 1").select(*COORDS, F.when(held, F.col("_holds")).alias("_holds")))
+    names = [f"b_{c}" for c in payload if c != "chrom"]
+    whole = asked.where("_holds IS NOT NULL").select(
+        *COORDS, F.struct((F.col("start") - F.col("end")).alias("o"), "_holds.b_start", "_holds.b_end", *[f"_holds.{n}" for n in names]).alias("m")
+    )
+    if min_frac_a is not None:
+        whole = whole.where(-F.col("m.o") >= (F.col("end") - F.col("start")) * min_frac_a)
+    pairs = overlap_join(asked.where("_holds IS NULL").select(*COORDS), slim, min_frac_a=min_frac_a)
+    parted = pairs.groupBy(*COORDS).agg(
+        F.min(F.struct((-F.col("overlap")).alias("o"), "b_start", "b_end", *names)).alias("m")
     )
-    return a.join(best, COORDS, "left").select(
+    return a.join(whole.unionByName(parted), COORDS, "left").select(
         *a.columns,
         F.col("m.b_start"),
         F.col("m.b_end"),
-        *[F.col(f"m.b_{c}") for c in payload],
+        *[F.col(f"m.{n}") for n in names],
         F.coalesce(-F.col("m.o"), F.lit(0)).alias("overlap"),
     )
 

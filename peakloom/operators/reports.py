@@ -10,7 +10,7 @@ from ..functions.dna import cg_count
 from .filters import derive_promoters, primary_transcripts
 from .motifs import best_site, site_to_genome
 from .normalise import correlation_test
-from .overlap import COORDS, POINT_TILE, best_overlap, count_points_in_regions, listed_points, overlap_join
+from .overlap import COORDS, POINT_TILE, best_overlap, count_points_in_regions, listed_points
 from .scans import tiled_scan
 from .segments import complement, merge_intervals, meta_profile, shuffle_intervals
 
@@ -173,8 +173,12 @@ def feature_percentages(annotated: DataFrame, keys: Sequence[str] = ()) -> DataF
 def merge_annotations_per_region(regions: DataFrame, annotation: DataFrame, min_frac: float = 0.10) -> DataFrame:
     """All known types that cover ``min_frac`` of a region, sorted and joined by ``;``."""
     known = annotation.where(F.col("type").isin(*CLASSES)).select(*COORDS, "type")
-    pairs = overlap_join(regions.select(*COORDS).distinct(), known, min_frac_a=min_frac)
-    types = pairs.groupBy(*COORDS).agg(F.array_join(F.array_sort(F.collect_set("b_type")), ";").alias("_t"))
+    # A type covers enough of a region if the one of it that shares most does, so no pairs are needed.
+    asked = regions.select(*COORDS).distinct().withColumn("_k", F.explode(F.array(*[F.lit(c) for c in CLASSES])))
+    asked = asked.select(F.concat("_k", F.lit(":"), "chrom").alias("chrom"), "start", "end", F.col("chrom").alias("_c"), "_k")
+    best = best_overlap(asked, known.withColumn("chrom", F.concat("type", F.lit(":"), "chrom")), [], min_frac)
+    met = best.where("b_start IS NOT NULL").select(F.col("_c").alias("chrom"), "start", "end", "_k")
+    types = met.groupBy(*COORDS).agg(F.array_join(F.array_sort(F.collect_set("_k")), ";").alias("_t"))
     return regions.join(types, COORDS, "left").select(*regions.columns, F.coalesce("_t", F.lit("intergenic")).alias("types"))
 
 
