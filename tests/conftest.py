@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
 
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
-        .config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.ui.retainedJobs", "100000").config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
