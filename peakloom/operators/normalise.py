@@ -198,7 +198,8 @@ def group_trend(df: DataFrame, score: str, flag: str, id_col: str, groups: int =
 
 def n_set_ratio_table(areas: DataFrame, keys: Sequence[str], sample: str, value: str, names: Sequence[str]) -> DataFrame:
     """Each sample's value per region and its ratio to the first sample."""
-    wide = areas.groupBy(*keys).pivot(sample, list(names)).agg(F.first(value))
+    # One column a sample: they are parameters, so this is one aggregation.
+    wide = areas.groupBy(*keys).agg(*[F.max(F.when(F.col(sample) == n, F.col(value))).alias(n) for n in names])
     return wide.select(
         *keys, *names, *[F.when(F.col(names[0]) != 0, F.col(n) / F.col(names[0])).alias(f"ratio_{n}") for n in names]
     )
