@@ -390,9 +390,10 @@ def signal_matrix(
     low = F.col("bin") * bin_size - up
     bases = F.least(F.col("last"), low + bin_size - 1) - F.greatest(F.col("first"), low) + 1
     cells = touched.groupBy(id_col, by, "bin").agg((F.sum(F.col("value") * bases) / bin_size).alias("signal"))
-    rank = cells.where(F.col(by) == order_by).groupBy(id_col).agg((F.sum("signal") / bins).alias("_s"))
-    return cells.join(rank, id_col, "left").select(
-        id_col, by, "bin", "signal", F.coalesce("_s", F.lit(0.0)).alias("sort_value")
+    # The rank key is read off the cells themselves, so segments meet anchors once.
+    own = F.sum(F.when(F.col(by) == order_by, F.col("signal"))).over(W.partitionBy(id_col)) / bins
+    return cells.select(
+        id_col, by, "bin", "signal", F.coalesce(F.when(F.col(id_col).isNotNull(), own), F.lit(0.0)).alias("sort_value")
     )
 
 
