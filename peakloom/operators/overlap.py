@@ -8,13 +8,18 @@ Two ways to relate intervals, chosen by what the caller needs:
   one row before the shuffle;
 * *pairing*: both sides are cut into bins, joined on ``(chrom, bin)`` and each pair is
   kept only in the first bin the two share, so no duplicate removal is needed.  Bins
-  that hold too many rows are split, with the other side copied to each part.
+  that hold too many rows are split, with the other side copied to each part;
+* *highest*: where only the highest overlapping segment is wanted, each position of a tile keeps the
+  highest that covers it and a region looks up the highest of its positions, so nothing is paired.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..runtime import cut_lineage
@@ -315,13 +320,79 @@ def signal_area(regions: DataFrame, signal: DataFrame, norm: str = "none", name:
     return regions.join(sums, COORDS, "left").select(*regions.columns, scaled.alias(name))
 
 
+def _highest(begin: np.ndarray, end: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each span ``[left, right)`` of a tile the last of the segments ``[begin, end)`` that overlap it, -1 without one."""
+    best, wide = np.full(TILE, -1, np.int32), np.full(TILE, -1, np.int32)
+    point = end - begin == 1
+    np.maximum.at(best, begin[point], np.flatnonzero(point).astype(np.int32))
+    for k in np.flatnonzero(~point).tolist():
+        wide[begin[k]:end[k]] = k
+    best = np.maximum(best, wide)
+    out, level = np.empty(len(left), np.int32), np.frexp((right - left).astype(float))[1] - 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        mine = np.flatnonzero(level == k)
+        out[mine] = np.maximum(best[left[mine]], best[right[mine] - (1 << k)])
+        best = np.maximum(best[:-(1 << k)], best[1 << k:])
+    return out
+
+
+def highest_overlap(regions: DataFrame, segments: DataFrame, by: str | None = None) -> DataFrame:
+    """For each distinct region the overlapping segment with the highest ``value``, one for each value of ``by`` if told.
+
+    Rows ``chrom, start, end[, by], b_start, b_end, b_value``; regions that nothing overlaps are left out.  Ties go
+    to the smallest start, then end.  Tiles with more than ``HOT_ROWS`` rows are dealt out.
+    """
+    more = [by] if by else []
+    known = "chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL"
+    # Columns of their own: both sides may come from one table.
+    asked = regions.where(known).select(*[F.col(c).alias(c) for c in COORDS]).distinct()
+    slim = segments.where(known).groupBy(*COORDS, *more).agg(F.max("value").alias("value"))
+    proper = F.col("start") < F.col("end")
+    tiled = lambda df: df.where(proper).withColumn("_tile", F.explode(_bins(F.col("start"), F.col("end"), TILE)))
+    ask, segment = tiled(asked), tiled(slim)
+    place = ["chrom", "_tile"]
+    hot = lambda df, name: F.broadcast(df.groupBy(*place).count().where(F.col("count") > HOT_ROWS).select(*place, F.ceil(F.col("count") / HOT_ROWS).cast("int").alias(name)))
+    parts = [hot(ask, "_asks"), hot(segment, "_segments")]
+    dealt = lambda name: F.pmod(F.xxhash64("start", "end"), F.coalesce(name, F.lit(1))).cast("int")
+    copied = lambda name: F.explode(F.sequence(F.lit(0), F.coalesce(name, F.lit(1)) - 1))
+    ask, segment = (df.join(parts[0], place, "left").join(parts[1], place, "left") for df in (ask, segment))
+    ask = ask.withColumn("_mine", dealt("_asks")).withColumn("_other", copied("_segments")).drop("_asks", "_segments")
+    segment = segment.withColumn("_other", dealt("_segments")).withColumn("_mine", copied("_asks")).drop("_asks", "_segments")
+    # Null, number, NaN: the order of Spark.
+    kind = F.when(F.col("value").isNull(), 0).when(F.isnan(F.col("value").cast("double")), 2).otherwise(1)
+    segment = segment.withColumn("_kind", kind)
+    types = {f.name: f.dataType.simpleString() for f in slim.schema}
+    names = [*COORDS, *more, "b_start", "b_end", "b_value"]
+    schema = ", ".join(f"`{n}` {types[n.removeprefix('b_') if n.startswith('b_') and n not in more else n]}" for n in names)
+
+    def find(some: pa.Table, table: pa.Table) -> pa.Table:
+        low = (some if len(some) else table).column("_tile")[0].as_py() * TILE
+        table = table.take(pc.sort_indices(table, [("_kind", "ascending"), ("value", "ascending"), ("start", "descending"), ("end", "descending")]))
+        side = lambda t, c: np.clip(t.column(c).to_numpy() - low, 0, TILE)
+        left, right, begin, end = side(some, "start"), side(some, "end"), side(table, "start"), side(table, "end")
+        groups = table.column(by).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy() if by else np.zeros(len(table), int)
+        asks, found = [np.zeros(0, int)], [np.zeros(0, int)]
+        for g in np.unique(groups):
+            mine = np.flatnonzero(groups == g)
+            top = _highest(begin[mine], end[mine], left, right)
+            hit = np.flatnonzero(top >= 0)
+            asks.append(hit)
+            found.append(mine[top[hit]])
+        here, there = some.take(pa.array(np.concatenate(asks))), table.take(pa.array(np.concatenate(found)))
+        return pa.table([*[here.column(c) for c in COORDS], *[there.column(c) for c in [*more, "start", "end", "value"]]], names=names)
+
+    keys = [*place, "_mine", "_other"]
+    found = ask.groupBy(*keys).cogroup(segment.groupBy(*keys)).applyInArrow(find, schema)
+    # Intervals without bases have no positions to look up; they are paired.
+    for a, b in ((asked.where(~proper), slim), (asked.where(proper), slim.where(~proper))):
+        if not (a if b is slim else b).isEmpty():
+            found = found.unionByName(overlap_join(a, b).select(*COORDS, *[F.col(f"b_{c}").alias(c) for c in more], "b_start", "b_end", "b_value"))
+    answer = F.max_by(F.struct("b_start", "b_end", "b_value"), F.struct("b_value", -F.col("b_start"), -F.col("b_end"))).alias("m")
+    return found.groupBy(*COORDS, *more).agg(answer).select(*COORDS, *more, "m.b_start", "m.b_end", "m.b_value")
+
+
 def argmax_position(regions: DataFrame, signal: DataFrame) -> DataFrame:
     """Midpoint and value of the highest segment in each region (first one on ties)."""
-    pairs = overlap_join(regions.select(*COORDS).distinct(), signal.select(*COORDS, "value"))
     mid = F.floor((F.col("b_start") + F.col("b_end")) / 2)
-    top = pairs.groupBy(*COORDS).agg(
-        F.max_by(F.struct(mid.alias("mid"), F.col("b_value").alias("v")), F.struct("b_value", -F.col("b_start"))).alias("m")
-    )
-    return regions.join(top, COORDS).select(
-        *regions.columns, F.col("m.mid").alias("position"), F.col("m.v").alias("max_value")
-    )
+    top = highest_overlap(regions, signal).select(*COORDS, mid.alias("_mid"), F.col("b_value").alias("_top"))
+    return regions.join(top, COORDS).select(*regions.columns, F.col("_mid").alias("position"), F.col("_top").alias("max_value"))

@@ -12,7 +12,7 @@ from ..functions.tails import chi2_even_p, poisson_sf
 from ..runtime import cut_lineage
 from .chains import WIDTHS, choosers
 from .normalise import p_adjust
-from .overlap import COORDS, TILE, map_signal, overlap_anti, overlap_join
+from .overlap import COORDS, TILE, highest_overlap, map_signal, overlap_anti, overlap_join
 from .scans import ranked, tiled_scan, value_bucket
 from .segments import cluster_intervals, combine_tracks, pileup, scale_track
 
@@ -136,10 +136,9 @@ def peak_evidence(
     me = [*COORDS, rep]
     fit = peaks.where(F.col("neg_log10_p") >= F.lit(-1.0) * F.log10(F.lit(weak)))
     fit = cut_lineage(fit.groupBy(*me).agg(F.max("neg_log10_p").alias("neg_log10_p")))
-    pairs = overlap_join(fit, fit).where(F.col(rep) != F.col(f"b_{rep}"))
-    rank = F.struct("b_neg_log10_p", -F.col("b_start"), -F.col("b_end"))
-    best = cut_lineage(pairs.groupBy(*me, f"b_{rep}").agg(F.max(rank).alias("m")).select(
-        *me, F.col(f"b_{rep}").alias("_rep"), (-F.col("m.col2")).alias("_start"), (-F.col("m.col3")).alias("_end"), F.col("m.b_neg_log10_p").alias("_best")
+    met = highest_overlap(fit, fit.select(*COORDS, F.col(rep).alias("_rep"), F.col("neg_log10_p").alias("value")), "_rep")
+    best = cut_lineage(fit.select(*me).join(met, COORDS).where(F.col(rep) != F.col("_rep")).select(
+        *me, "_rep", F.col("b_start").alias("_start"), F.col("b_end").alias("_end"), F.col("b_value").alias("_best")
     ))
     ln10 = F.log(F.lit(10.0))
     others = best.groupBy(*me).agg(F.count(F.lit(1)).alias("_n"), F.sum("_best").alias("_sum"))
