@@ -469,34 +469,35 @@ def merge_two_sets_extended(peaks: DataFrame) -> DataFrame:
     is the joint span, the mean maximum and the reason; the others are unique.
     """
     middle = F.col("core_start") + F.floor((F.col("core_end") - F.col("core_start")) / 2)
-    p = peaks.withColumn("max", middle).select(*COORDS, "core_start", "core_end", "max", "set").distinct()
-    p = p.withColumn("pid", F.struct("start", "end", "core_start", "core_end", "set"))
-    pairs = overlap_join(p, p).where((F.col("pid") < F.col("b_pid")) & (F.col("set") != F.col("b_set")))
-    apart = F.least(F.abs(F.col("b_core_end") - F.col("core_end")), F.abs(F.col("b_core_start") - F.col("core_start")))
+    order = ["start", "end", "core_start", "core_end", "set"]
+    distinct = peaks.withColumn("max", middle).select(*COORDS, "core_start", "core_end", "max", "set").distinct()
+    p = cut_lineage(ranked(distinct, ["chrom"], [F.col(c) for c in order], "rank"))
     gap = F.abs(F.col("max") - F.col("b_max"))
+    apart = F.least(F.abs(F.col("b_core_end") - F.col("core_end")), F.abs(F.col("b_core_start") - F.col("core_start")))
     shorter = F.least(F.col("core_end") - F.col("core_start"), F.col("b_core_end") - F.col("b_core_start"))
     span = F.least(F.col("end") - F.col("start"), F.col("b_end") - F.col("b_start"))
+    first = F.col("rank") < F.col("b_rank")
     reason = (
         F.when((gap <= apart) & (apart < shorter * 0.25), "maxClose")
-        .when(F.col("b_end") <= F.col("end"), "contain")
-        .when((F.col("end") - F.col("b_start")) / span >= 0.75, "partial")
-    )
-    fit = pairs.select("chrom", "pid", "b_pid", "max", "b_max", gap.alias("gap"), reason.alias("reason")).where("reason is not null")
-    both = fit.select("chrom", "pid", F.col("b_pid").alias("other"), "gap").unionByName(
-        fit.select("chrom", F.col("b_pid").alias("pid"), F.col("pid").alias("other"), "gap")
-    )
-    choice = both.groupBy("chrom", "pid").agg(F.min(F.struct("gap", "other")).alias("m")).select(
-        "chrom", "pid", F.col("m.other").alias("other")
-    )
-    back = choice.select("chrom", F.col("other").alias("pid"), F.col("pid").alias("b_pid"))
-    one = choice.withColumnRenamed("other", "b_pid")
-    mutual = fit.join(one, ["chrom", "pid", "b_pid"]).join(back, ["chrom", "pid", "b_pid"])
-    merged = mutual.select(
-        "chrom", F.least("pid.start", "b_pid.start").alias("start"), F.greatest("pid.end", "b_pid.end").alias("end"),
-        F.lit("both").alias("set"), F.floor((F.col("max") + F.col("b_max")) / 2).alias("max"), "reason",
-    )
-    used = mutual.select("chrom", "pid").unionByName(mutual.select("chrom", F.col("b_pid").alias("pid")))
-    alone = p.join(used, ["chrom", "pid"], "left_anti").select(*COORDS, "set", "max", F.lit("None").alias("reason"))
+        .when(F.when(first, F.col("b_end") <= F.col("end")).otherwise(F.col("end") <= F.col("b_end")), "contain")
+        .when(F.when(first, F.col("end") - F.col("b_start")).otherwise(F.col("b_end") - F.col("start")) / span >= 0.75, "partial")
+    )
+    fit = overlap_join(p, p).where(F.col("set") != F.col("b_set")).where(reason.isNotNull())
+    # Gap and partner in one number, so that pairs are aggregated in place and not sorted; no gap comes first.
+    unit = F.lit(10**18).cast("decimal(19,0)")
+    nearest = ((F.coalesce(gap, F.lit(-1)) + 1).cast("decimal(18,0)") * unit + F.col("b_rank")).cast("decimal(38,0)")
+    choice = cut_lineage(
+        fit.groupBy("chrom", "rank").agg(F.min(nearest).alias("m")).select("chrom", "rank", (F.col("m") % unit).cast("long").alias("b_rank"))
+    )
+    back = choice.select("chrom", F.col("b_rank").alias("rank"), F.col("rank").alias("b_rank"))
+    mutual = cut_lineage(choice.where(first).join(back, ["chrom", "rank", "b_rank"]))
+    partner = p.select("chrom", *[F.col(c).alias(f"b_{c}") for c in p.columns if c != "chrom"])
+    merged = mutual.join(p, ["chrom", "rank"]).join(partner, ["chrom", "b_rank"]).select(
+        "chrom", F.least("start", "b_start").alias("start"), F.greatest("end", "b_end").alias("end"),
+        F.lit("both").alias("set"), F.floor((F.col("max") + F.col("b_max")) / 2).alias("max"), reason.alias("reason"),
+    )
+    used = mutual.select("chrom", "rank").unionByName(mutual.select("chrom", F.col("b_rank").alias("rank")))
+    alone = p.join(used, ["chrom", "rank"], "left_anti").select(*COORDS, "set", "max", F.lit("None").alias("reason"))
     return merged.unionByName(alone)
 
 

@@ -85,3 +85,17 @@ def test_merge_two_sets_on_many_chromosomes(spark):
         data += [(f"chr{c}", s := draw.randrange(span), s + draw.choice([90, 100, 110, 200, 420, 1500]), draw.choice("AB")) for _ in range(draw.randint(1, 120))]
     frame = spark.createDataFrame(data, "chrom string, start long, end long, set string")
     assert rows(peaks.merge_two_sets(frame, widths=(16, 64)), "chrom", "start", "end", "set") == brute_merge_two(data)
+
+
+def test_extended_pairs_are_made_once(spark, monkeypatch):
+    made = []
+    plain = peaks.cut_lineage
+    monkeypatch.setattr(peaks, "cut_lineage", lambda df: made.append(df) or plain(df))
+    data = [("a", 0, 700, 150, 550, "A"), ("a", 20, 720, 170, 570, "B"), ("a", 300, 1000, 450, 850, "A"), ("a", 330, 900, 480, 750, "B"), ("b", 0, 700, 150, 550, "A"), (None, 0, 700, 150, 550, "B")]
+    out = peaks.merge_two_sets_extended(spark.createDataFrame(data + data[:2], "chrom string, start long, end long, core_start long, core_end long, set string"))
+    assert {tuple(r) for r in out.collect()} == {
+        ("a", 0, 720, "both", 360, "maxClose"), ("a", 300, 1000, "both", 632, "contain"), ("b", 0, 700, "A", 350, "None"), (None, 0, 700, "B", 350, "None")
+    }
+    # Pairs reach one aggregation and are not joined again.
+    assert "_bin" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("_bin" in df._jdf.queryExecution().optimizedPlan().toString() for df in made) == 1
