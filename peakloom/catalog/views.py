@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from ..operators.motifs import MOTIF_SCHEMA, collect_models, motif_rows, pfm_to_pwm
 from ..operators.sequences import CHUNK, chunk_sequences
@@ -18,6 +20,8 @@ SPAN = 10_000_000
 LENGTH = SPAN + 500
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASES = ("ACGT" * 13)[:52]
+_TO_BASES = bytes.maketrans(LETTERS.encode(), BASES.encode())
+_NO_LETTERS = bytes(c for c in range(256) if chr(c) not in LETTERS)
 TYPES = ["intergenic", "promoter", "5UTR", "3UTR", "intron", "exon"]
 
 SITES = 600
@@ -76,6 +80,12 @@ SQL_VIEWS = {
 }
 
 
+@F.arrow_udf(StringType())
+def to_bases(text: pa.Array) -> pa.Array:
+    """The letters A-Z and a-z of each text as bases, a byte at a time: queries read the texts several times."""
+    return pa.array([t if t is None else t.translate(_TO_BASES, _NO_LETTERS) for t in text.cast(pa.binary()).to_pylist()], pa.binary()).cast(pa.string())
+
+
 class Views:
     """The same views as DataFrames; only the columns a query uses are read."""
 
@@ -142,8 +152,7 @@ class Views:
 
     @cached_property
     def seqs(self) -> DataFrame:
-        seq = F.translate(F.regexp_replace("text", "[^A-Za-z]", ""), LETTERS, BASES)
-        return self.table("documents").select(F.col("doc_id").alias("seq_id"), seq.alias("seq"), "lang")
+        return self.table("documents").select(F.col("doc_id").alias("seq_id"), to_bases("text").alias("seq"), "lang")
 
     @cached_property
     def labelled(self) -> DataFrame:

@@ -65,7 +65,8 @@ def simplify_types(bins: DataFrame, column: str = "type", min_bins: int = 1000,
     Returns ``(type, simple)`` for each type present in ``bins``; the type vocabulary is
     at most 63 combinations of six classes.
     """
-    counts = bins.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    # Read twice, so written: it is a row for each type, and the bins may be long in the making.
+    counts = cut_lineage(bins.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
     kept = counts.where((F.col("n") >= min_bins) & (F.size(F.split(column, ";")) <= max_parts))
     allowed = kept.agg(F.coalesce(F.collect_set(column), F.array()).alias("_ok"))
     # A composite has at most six parts, so six rounds settle every type.

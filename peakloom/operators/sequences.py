@@ -50,9 +50,10 @@ def extract_sequences(
     )
     low = F.greatest(F.col("start") - F.col("offset"), F.lit(0))
     high = F.least(F.col("end") - F.col("offset"), F.lit(size))
+    # Taken from the bytes (letters are ASCII): a place in a string is found from its start.
     pieces = touched.join(genome, ["chrom", "chunk_no"]).select(
         "chrom", "start", "end", "chunk_no",
-        F.substring(F.col("seq"), (low + 1).cast("int"), (high - low).cast("int")).alias("piece"),
+        F.substring(F.col("seq").cast("binary"), (low + 1).cast("int"), (high - low).cast("int")).cast("string").alias("piece"),
     )
     # An interval spans few chunks, so the list per interval is short.
     whole = pieces.groupBy("chrom", "start", "end").agg(
