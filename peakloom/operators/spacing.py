@@ -18,17 +18,17 @@ def _near_pairs(a: DataFrame, b: DataFrame, reach: int, keys: Sequence[str]) ->
     """Site pairs of one sequence whose positions differ by at most ``reach``.
 
     Joined on sequence and position bin, so a long sequence is spread over many tasks and
-    a site only meets sites near it.  Sites are many although their tables are small on disk, so neither
+    a site only meets sites near it.  The rows of ``b`` are set out in three bins, so the fewer are best ``b``.  Sites are many although their tables are small on disk, so neither
     side is sent whole through the driver.
     """
     width = max(reach, 1)
     left = a.select(
         *keys, *[F.col(c).alias(f"{c}1") for c in ("pos", "strand", "score")],
-        F.explode(F.array(*[F.floor(F.col("pos") / width) + d for d in (-1, 0, 1)])).alias("_bin"),
+        F.floor(F.col("pos") / width).alias("_bin"),
     )
     right = b.select(
         *keys, *[F.col(c).alias(f"{c}2") for c in ("pos", "strand", "score")],
-        F.floor(F.col("pos") / width).alias("_bin"),
+        F.explode(F.array(*[F.floor(F.col("pos") / width) + d for d in (-1, 0, 1)])).alias("_bin"),
     )
     return left.join(right.hint("merge"), [*keys, "_bin"]).drop("_bin").where(F.abs(F.col("pos2") - F.col("pos1")) <= reach)
 
@@ -46,11 +46,11 @@ def site_pairs_2(a: DataFrame, b: DataFrame, reach: int, keys: Sequence[str] = (
     return _near_pairs(a, b, reach, list(keys))
 
 
-def _facing(first_right: int, first_left: int, second_left: int, second_right: int, length: int):
-    """Edges that face the gap, by the strands of the two sites."""
-    plus1, plus2 = F.col("strand1") == "+", F.col("strand2") == "+"
-    end1 = F.col("pos1") + length - F.when(plus1, first_right).otherwise(first_left)
-    start2 = F.col("pos2") + F.when(plus2, second_left).otherwise(second_right)
+def _facing(first_right: int, first_left: int, second_left: int, second_right: int, length: int, first: int = 1, second: int = 2):
+    """Edges that face the gap, by the strands of the two sites; the one that leads is ``first``."""
+    plus1, plus2 = F.col(f"strand{first}") == "+", F.col(f"strand{second}") == "+"
+    end1 = F.col(f"pos{first}") + length - F.when(plus1, first_right).otherwise(first_left)
+    start2 = F.col(f"pos{second}") + F.when(plus2, second_left).otherwise(second_right)
     return end1, start2
 
 
@@ -83,34 +83,33 @@ def spacing_heterotypic(
     ER and IR are taken from the a-first order only unless ``opposed_both_orders``.
     """
     (la, ra), (lb, rb) = offsets_a, offsets_b
+    around = smax + sum(map(abs, (la, ra, lb, rb)))
 
-    def one_way(x, y, length, offs, other, tag):
-        reach = smax + length + sum(map(abs, offs)) + sum(map(abs, other))
-        pairs = site_pairs_2(x, y, reach, keys)
-        end1, start2 = _facing(offs[1], offs[0], other[0], other[1], length)
+    def one_way(first, second, length, offs, other, tag):
+        """The pair with site ``first`` in front."""
+        end1, start2 = _facing(offs[1], offs[0], other[0], other[1], length, first, second)
+        strand = F.col(f"strand{first}")
         same = F.col("strand1") == F.col("strand2")
         lead = "DR12" if tag == "12" else "DR21"
         trail = "DR21" if tag == "12" else "DR12"
-        conf = (
-            F.when(same & (F.col("strand1") == "+"), lead).when(same, trail)
-            .when(F.col("strand1") == "-", "ER").otherwise("IR")
+        conf = F.when(same & (strand == "+"), lead).when(same, trail).when(strand == "-", "ER").otherwise("IR")
+        edges = {first: end1.cast("int"), second: start2.cast("int")}
+        met = F.abs(F.col("pos2") - F.col("pos1")) <= around + length
+        return F.struct(
+            conf.alias("conf"), (start2 - end1).cast("int").alias("space"), F.lit(tag).alias("order"),
+            edges[1].alias("corr_pos1"), edges[2].alias("corr_pos2"), met.alias("met"),
         )
-        return pairs.select(
-            *keys, conf.alias("conf"), (start2 - end1).cast("int").alias("space"), F.lit(tag).alias("order"),
-            *[F.col(f"{c}{i}") for c in ("score", "pos") for i in (1, 2)],
-            end1.cast("int").alias("corr_pos1"), start2.cast("int").alias("corr_pos2"),
-        ).where(F.col("space").between(smin, smax))
-
-    forward = one_way(a, b, length_a, offsets_a, offsets_b, "12")
-    back = one_way(b, a, length_b, offsets_b, offsets_a, "21")
+
+    # Sites meet once, and each pair is looked at in both orders.
+    pairs = site_pairs_2(a, b, around + max(length_a, length_b), keys)
+    ways = F.array(one_way(1, 2, length_a, offsets_a, offsets_b, "12"), one_way(2, 1, length_b, offsets_b, offsets_a, "21"))
+    out = pairs.select(*keys, *[f"{c}{i}" for c in ("score", "pos") for i in (1, 2)], F.inline(ways))
+    out = out.where(F.col("met") & F.col("space").between(smin, smax))
     if not opposed_both_orders:
-        back = back.where(F.col("conf").isin("DR12", "DR21"))
-    swapped = back.select(
-        *keys, "conf", "space", "order", F.col("score2").alias("score1"), F.col("score1").alias("score2"),
-        F.col("pos2").alias("pos1"), F.col("pos1").alias("pos2"),
-        F.col("corr_pos2").alias("corr_pos1"), F.col("corr_pos1").alias("corr_pos2"),
+        out = out.where((F.col("order") == "12") | F.col("conf").isin("DR12", "DR21"))
+    return out.select(
+        *keys, "conf", "space", "order", "score1", "score2", "pos1", "pos2", "corr_pos1", "corr_pos2"
     )
-    return forward.unionByName(swapped)
 
 
 def peaks_with_tss(peaks: DataFrame, tss: DataFrame, window: int) -> DataFrame:
