@@ -25,8 +25,10 @@ GRID = np.arange(-9, 3.01, 0.25)
 PRIOR_DF = 10.0
 #: Count added on either side of a fold change, for a library of average size.
 PRIOR_COUNT = 0.5
-#: Outcomes of a test that are added up in one array.
+#: Outcomes of tests that are added up in one array.
 STEP = 1 << 16
+#: A sum ends when less than this share of it is left.
+LEAST = 1e-17
 
 _SERIES = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360)
 
@@ -36,10 +38,10 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     x = np.array(x, float)
     small = np.zeros_like(x)
     low = x < 9
-    while low.any():
-        small[low] += np.log(x[low])
-        x[low] += 1
-        low = x < 9
+    if low.any():
+        few = x[low]
+        small[low] = np.log(np.prod([few + i for i in range(9)], axis=0))
+        x[low] = few + 9
     square = 1 / (x * x)
     series = np.zeros_like(x)
     for c in reversed(_SERIES):
@@ -47,6 +49,12 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series / x - small
 
 
+def _log_gammas(values: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """log_gamma(value + size) for all pairs, worked out once for values that repeat."""
+    different, where = np.unique(values, return_inverse=True)
+    return log_gamma(different[:, None] + size)[where]
+
+
 def conditional_curves(counts: np.ndarray, groups: Sequence[np.ndarray]) -> np.ndarray:
     """Log-likelihood of each grid dispersion (columns) for each region (rows of ``counts``), given the group totals."""
     size = 1 / 2**GRID
@@ -55,9 +63,8 @@ def conditional_curves(counts: np.ndarray, groups: Sequence[np.ndarray]) -> np.n
         n = len(mine)
         if n < 2:
             continue
-        for k, r in enumerate(size):
-            own = log_gamma(counts[:, mine] + r).sum(axis=1)
-            out[:, k] += own - log_gamma(counts[:, mine].sum(axis=1) + n * r) + log_gamma(np.array([n * r]))[0] - n * log_gamma(np.array([r]))[0]
+        own = sum(_log_gammas(counts[:, j], size) for j in mine)
+        out += own - _log_gammas(counts[:, mine].sum(axis=1), n * size) + log_gamma(n * size) - n * log_gamma(size)
     return out
 
 
@@ -78,31 +85,44 @@ def _terms(x: np.ndarray, y: np.ndarray, size_first, size_second) -> np.ndarray:
     return log_gamma(x + size_first) - log_gamma(x + 1) + log_gamma(y + size_second) - log_gamma(y + 1)
 
 
+def _tail(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
+    """Chance of x or less beside that of x itself, with x + y given: each term follows from the one before.
+
+    With sizes from 1 on the terms fall faster and faster once they fall, and a sum ends when what is left
+    cannot change it.  Arrays hold about ``STEP`` terms.
+    """
+    out, at, term, done = np.ones(len(x)), np.flatnonzero(x > 0), np.ones(np.count_nonzero(x > 0)), 0
+    falling = (size_x >= 1) & (size_y >= 1)
+    while len(at):
+        steps = done + np.arange(max(16, STEP // len(at)))
+        here, other = x[at, None] - steps, y[at, None] + steps
+        left = np.maximum(here, 1)
+        ratio = np.where(here > 0, left * (other + size_y[at, None]) / ((left - 1 + size_x[at, None]) * (other + 1)), 0)
+        terms = np.cumprod(ratio, axis=1) * term[:, None]
+        out[at] += terms.sum(axis=1)
+        done, term, last = done + len(steps), terms[:, -1], ratio[:, -1]
+        settled = falling[at] & (last < 1) & (term * last <= LEAST * (1 - last) * out[at])
+        go = (x[at] > done) & ~settled
+        at, term = at[go], term[go]
+    return out
+
+
 def exact_p(first: np.ndarray, second: np.ndarray, size_first: np.ndarray, size_second: np.ndarray) -> np.ndarray:
     """Twice the smaller tail of ``first`` given first + second, at most 1, for negative binomials of these sizes.
 
-    The outcomes of many tests are added up together, those of a test with very many in arrays of bounded length.
+    With sizes from 1 on, the tail on the near side of the mean is added up and the other one follows from it
+    (neither is small where it is the difference); otherwise both are added up.
     """
     total = first + second
     front = log_gamma(total + 1.0) + log_gamma(size_first + size_second) - log_gamma(total + size_first + size_second) - log_gamma(size_first) - log_gamma(size_second)
-    low, high = np.zeros(len(total)), np.zeros(len(total))
-    small = np.flatnonzero(total < STEP)
-    portion = np.cumsum(total[small] + 1) // STEP
-    for mine in np.split(small, np.flatnonzero(np.diff(portion)) + 1) if len(small) else []:
-        size = total[mine] + 1
-        begin = np.cumsum(size) - size
-        of = np.repeat(mine, size)
-        x = np.arange(size.sum()) - np.repeat(begin, size)
-        p = np.exp(front[of] + _terms(x, total[of] - x, size_first[of], size_second[of]))
-        low[mine] = np.add.reduceat(np.where(x <= first[of], p, 0), begin)
-        high[mine] = np.add.reduceat(np.where(x >= first[of], p, 0), begin)
-    for k in np.flatnonzero(total >= STEP).tolist():
-        for a in range(0, int(total[k]) + 1, STEP):
-            x = np.arange(a, min(a + STEP, int(total[k]) + 1))
-            p = np.exp(front[k] + _terms(x, total[k] - x, size_first[k], size_second[k]))
-            low[k] += p[x <= first[k]].sum()
-            high[k] += p[x >= first[k]].sum()
-    return np.minimum(1, 2 * np.minimum(low, high))
+    own = np.exp(front + _terms(first, second, size_first, size_second))
+    under = first * (size_first + size_second) <= total * size_first
+    pick = lambda a, b: np.where(under, a, b)
+    near = own * _tail(pick(first, second), pick(second, first), pick(size_first, size_second), pick(size_second, size_first))
+    far = 1 + own - near
+    both = np.flatnonzero((size_first < 1) | (size_second < 1))
+    far[both] = own[both] * _tail(pick(second, first)[both], pick(first, second)[both], pick(size_second, size_first)[both], pick(size_first, size_second)[both])
+    return np.minimum(1, 2 * np.minimum(near, far))
 
 
 def differential_counts_nb(
