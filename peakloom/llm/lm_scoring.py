@@ -101,13 +101,17 @@ def entries(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """Entries of each n-gram by repeated probes of the filter, given as 64-bit words; 0 for what is missing."""
     out = np.zeros(len(gram), np.int64)
     left, here = np.arange(len(gram)), gram
-    base = _block(gram, len(held) * 64 // BLOCK_BITS) * np.uint64(BLOCK_BITS // 64)
+    base = (_block(gram, len(held) * 64 // BLOCK_BITS) * np.uint64(BLOCK_BITS // 64)).view(np.int64)
     for level in range(1, _TOP_LEVEL + 1):
         spread = _spread(here, level)
+        found = np.ones(len(here), np.uint64)
         for i in range(_PROBES):
             at = (spread >> np.uint64(16 * i)) & np.uint64(0xFFFF)
-            ok = np.flatnonzero((held[base + (at >> np.uint64(6))] >> (at & np.uint64(63))) & np.uint64(1))
-            left, here, base, spread = left[ok], here[ok], base[ok], spread[ok]
+            found &= held[base + (at >> np.uint64(6)).view(np.int64)] >> (at & np.uint64(63))
+        # What is left is picked once a level: most pass all probes or none.
+        ok = np.flatnonzero(found)
+        if len(ok) < len(left):
+            left, here, base = left[ok], here[ok], base[ok]
         if not len(left):
             break
         out[left] = level
