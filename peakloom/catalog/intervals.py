@@ -18,7 +18,7 @@ LEN = 'least(a."end", b."end") - greatest(a."start", b."start")'
 
 @query("overlap_join", f"""SELECT a.id, b.id AS b_id, b.type AS b_type, {LEN} AS overlap FROM peaks a JOIN features b ON {OV}""")
 def _(v):
-    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features).select("id", "b_id", "b_type", "overlap")
+    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, in_runs=True).select("id", "b_id", "b_type", "overlap")
 
 
 @query("overlap_join_left", f"""SELECT a.id, b.id AS b_id, CASE WHEN b.id IS NULL THEN 0 ELSE {LEN} END AS overlap FROM peaks a LEFT JOIN features b ON {OV}""")

@@ -8,7 +8,9 @@ Two ways to relate intervals, chosen by what the caller needs:
   one row before the shuffle;
 * *pairing*: both sides are cut into bins, joined on ``(chrom, bin)`` and each pair is
   kept only in the first bin the two share, so no duplicate removal is needed.  Bins
-  that hold too many rows are split, with the other side copied to each part;
+  that hold too many rows are split, with the other side copied to each part.  Where the
+  pairs themselves are the result, one side is joined in runs of neighbours, so that rows that
+  follow each other are alike and take little room when they are written;
 * *highest*: where only the highest overlapping segment is wanted, each position of a tile keeps the
   highest that covers it and a region looks up the highest of its positions, so nothing is paired.
 """
@@ -31,6 +33,10 @@ BIN = 4096
 TILE = 1 << 16
 #: A bin with more rows than this is split before it is joined.
 HOT_ROWS = 1_000_000
+#: Neighbours that are joined as one where the pairs are the result.
+RUN = 64
+#: Intervals a task joins in runs: their numbers fit the dictionary of a column that is written.
+TASK_ROWS = 1 << 16
 
 COORDS = ["chrom", "start", "end"]
 
@@ -39,6 +45,39 @@ def _bins(start: Column, end: Column, width: int) -> Column:
     return F.sequence(F.floor(start / width), F.floor((end - 1) / width))
 
 
+def _split_hot(many: DataFrame, others: DataFrame, part: str, by: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Deal out the rows of bins with more than ``hot_rows`` of ``many`` to parts, with ``others`` copied to each."""
+    by = list(by)
+    # At most rows/hot_rows bins are hot, so this table is small whatever the data.
+    hot = F.broadcast(
+        many.groupBy(*by).count().where(F.col("count") > hot_rows)
+        .select(*by, F.ceil(F.col("count") / hot_rows).cast("int").alias("_parts"))
+    )
+    dealt = F.pmod(F.xxhash64(*[c for c in many.columns if c not in by]), F.col("_parts")).cast("int")
+    many = many.join(hot, by, "left").withColumn(part, F.when(F.col("_parts").isNotNull(), dealt).otherwise(F.lit(0))).drop("_parts")
+    others = others.join(hot, by, "left").withColumn(
+        part, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0))))
+    ).drop("_parts")
+    return many, others
+
+
+def _met_in_runs(left: DataFrame, right: DataFrame, columns: Sequence[str], keys: Sequence[str], tasks: int | None) -> DataFrame:
+    """Rows of ``left`` (its ``columns``) beside those of ``right`` with equal ``keys``, among them all that overlap.
+
+    Up to :data:`RUN` neighbours of ``left`` meet a row of ``right`` as one list that is set out after the join, so a
+    row of ``right`` comes that often in turn and the next one brings the same list again.
+    """
+    if tasks:
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+    place = F.row_number().over(W.partitionBy(*keys).orderBy("start", "end"))
+    runs = left.withColumn("_run", F.floor((place - 1) / RUN)).groupBy(*keys, "_run").agg(
+        F.min("start").alias("_low"), F.max("end").alias("_high"), F.collect_list(F.struct(*columns)).alias("_rows")
+    )
+    # Merged, as a side that is broadcast grows with its table.
+    met = runs.hint("merge").join(right, list(keys)).where("_low < b_end AND b_start < _high")
+    return met.select(*right.columns, F.inline("_rows"))
+
+
 def overlap_join(
     a: DataFrame,
     b: DataFrame,
@@ -47,46 +86,39 @@ def overlap_join(
     min_frac_b: float | None = None,
     bin_width: int = BIN,
     hot_rows: int = HOT_ROWS,
+    in_runs: bool = False,
 ) -> DataFrame:
     """Pairs of overlapping intervals with the shared length as ``overlap``.
 
     Columns of ``b`` other than ``chrom`` get the prefix ``b_``.  ``how='left'`` keeps
-    unmatched rows of ``a`` with null ``b_`` columns and overlap 0.
+    unmatched rows of ``a`` with null ``b_`` columns and overlap 0.  ``in_runs`` is for pairs that are written as they
+    are: the same rows, with neighbours of ``a`` one after the other for each ``b``.  It counts the rows of ``a`` first.
     """
     left = a.withColumn("_bin", F.explode(_bins(F.col("start"), F.col("end"), bin_width)))
     right = b.select(
         "chrom", *[F.col(c).alias(f"b_{c}") for c in b.columns if c != "chrom"]
     ).withColumn("_bin", F.explode(_bins(F.col("b_start"), F.col("b_end"), bin_width)))
-    # At most rows/hot_rows bins are hot, so this table is small whatever the data.
-    hot = (
-        right.groupBy("chrom", "_bin").count().where(F.col("count") > hot_rows)
-        .select("chrom", "_bin", F.ceil(F.col("count") / hot_rows).cast("int").alias("_parts"))
-    )
-    hot = F.broadcast(hot)
-    right = right.join(hot, ["chrom", "_bin"], "left").withColumn(
-        "_part",
-        F.when(
-            F.col("_parts").isNotNull(),
-            F.pmod(F.xxhash64(*[c for c in right.columns if c.startswith("b_")]), F.col("_parts")).cast("int"),
-        ).otherwise(F.lit(0)),
-    ).drop("_parts")
-    left = left.join(hot, ["chrom", "_bin"], "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0))))
-    ).drop("_parts")
+    theirs = [c for c in right.columns if c.startswith("b_")]
+    right, left = _split_hot(right, left, "_part", ["chrom", "_bin"], hot_rows)
+    if in_runs:
+        left, right = _split_hot(left, right, "_side", ["chrom", "_bin", "_part"], hot_rows)
+        # Few rows are left to the planner, which merges small tasks.
+        rows, usual = a.count(), int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(usual, -(-rows // TASK_ROWS)) if rows > 16 * TASK_ROWS else None
+        met = _met_in_runs(left, right, [c for c in a.columns if c != "chrom"], ["chrom", "_bin", "_part", "_side"], tasks)
+    else:
+        met = left.join(right, ["chrom", "_bin", "_part"])
     first = F.floor(F.greatest("start", "b_start") / bin_width)
     pairs = (
-        left.join(right, ["chrom", "_bin", "_part"])
-        .where((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
+        met.where((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
         .where(F.col("_bin") == first)
         .withColumn("overlap", F.least("end", "b_end") - F.greatest("start", "b_start"))
-        .drop("_bin", "_part")
     )
     if min_frac_a is not None:
         pairs = pairs.where(F.col("overlap") >= (F.col("end") - F.col("start")) * min_frac_a)
     if min_frac_b is not None:
         pairs = pairs.where(F.col("overlap") >= (F.col("b_end") - F.col("b_start")) * min_frac_b)
-    ordered = [*a.columns, *[c for c in right.columns if c.startswith("b_")], "overlap"]
-    pairs = pairs.select(*ordered)
+    pairs = pairs.select(*a.columns, *theirs, "overlap")
     if how == "inner":
         return pairs
     if how != "left":
