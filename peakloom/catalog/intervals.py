@@ -45,7 +45,7 @@ def _(v):
 @query("overlap_min_fraction", f"""SELECT a.id, b.id AS b_id, {LEN} AS overlap FROM peaks a JOIN features b ON {OV}
     WHERE {LEN} >= 0.1 * (a."end" - a."start")""")
 def _(v):
-    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, min_frac_a=0.1).select("id", "b_id", "overlap")
+    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, min_frac_a=0.1, in_runs=True).select("id", "b_id", "overlap")
 
 
 @query("overlap_containment", f"""SELECT a.id, b.id AS b_id FROM peaks a JOIN features b ON {OV}
