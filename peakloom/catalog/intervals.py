@@ -51,7 +51,7 @@ def _(v):
 @query("overlap_containment", f"""SELECT a.id, b.id AS b_id FROM peaks a JOIN features b ON {OV}
     WHERE b."start" <= a."start" AND a."end" <= b."end" """)
 def _(v):
-    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, min_frac_a=1.0).select("id", "b_id")
+    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, min_frac_a=1.0, in_runs=True).select("id", "b_id")
 
 
 @query("subtract_whole", f"""SELECT id, chrom, "start", "end", type FROM features a WHERE NOT EXISTS (SELECT 1 FROM peaks b WHERE {OV})""")
