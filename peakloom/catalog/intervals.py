@@ -23,7 +23,7 @@ def _(v):
 
 @query("overlap_join_left", f"""SELECT a.id, b.id AS b_id, CASE WHEN b.id IS NULL THEN 0 ELSE {LEN} END AS overlap FROM peaks a LEFT JOIN features b ON {OV}""")
 def _(v):
-    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, "left").select("id", "b_id", "overlap")
+    return ov.overlap_join(v.peaks.select("id", *ov.COORDS), v.features, "left", in_runs=True).select("id", "b_id", "overlap")
 
 
 @query("overlap_anti", f"""SELECT id, chrom, "start", "end" FROM peaks a WHERE NOT EXISTS (SELECT 1 FROM features b WHERE {OV})""")

@@ -40,6 +40,7 @@ WANT = {
     "overlap_join": lambda p, f: [(a, b, t, o) for a, b, o, t, _ in pairs(p, f)],
     "overlap_min_fraction": lambda p, f: [(a, b, o) for a, b, o, _, n in pairs(p, f) if o >= n * 0.1],
     "overlap_containment": lambda p, f: [(a, b) for a, b, o, _, n in pairs(p, f) if o == n],
+    "overlap_join_left": lambda p, f: [(a, b, o) for a, b, o, _, _ in pairs(p, f)],
 }
 
 
