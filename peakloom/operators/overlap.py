@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..runtime import cut_lineage
+from .points import counts_in
 from .scans import tiled_scan
 
 #: Width in bp of a join bin; a power of two near the usual interval length.
@@ -275,40 +276,17 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, bin_width: int
     return overlap_join(spans, intervals, bin_width=bin_width).drop("start", "end", "overlap")
 
 
-#: Width in bp of a tile of listed points.
-POINT_TILE = 1024
-
-
-def listed_points(points: DataFrame, *values: str) -> DataFrame:
-    """Points (``chrom, pos`` 0-based) in lists by tile: ``chrom, _tile, _points`` of ``off`` in the tile and ``values``.
-
-    Lists are made before the shuffle, one for each tile and task, so a place that very many rows share is
-    in as many lists as there are tasks and a point costs little more than its values.
-    """
-    tile = F.floor(F.col("pos") / POINT_TILE)
-    entry = F.struct((F.col("pos") - tile * POINT_TILE).cast("int").alias("off"), *values) if values else (F.col("pos") - tile * POINT_TILE).cast("int")
-    placed = points.where("chrom IS NOT NULL AND pos IS NOT NULL").select("chrom", tile.alias("_tile"), F.spark_partition_id().alias("_task"), entry.alias("_e"))
-    return placed.groupBy("chrom", "_tile", "_task").agg(F.collect_list("_e").alias("_points")).drop("_task")
+#: Least width in bp of a tile of points whose values are looked up.
+POINT_TILE = 1 << 13
 
 
 def count_points_in_regions(regions: DataFrame, points: DataFrame, name: str = "n") -> DataFrame:
     """Add the number of points (``chrom, pos`` 0-based) in each region; zeros are kept.
 
-    A region holds what lies before its end without what lies before its start: the totals of earlier tiles
-    and a count in the list of the tile itself.
+    A region counts in the packed list of each tile that it touches (see :mod:`.points`), so a point costs a byte or
+    less of the shuffle and no point is paired with a region.
     """
-    listed = listed_points(points)
-    asked = regions.select("chrom", F.explode(F.array("start", "end")).alias("pos")).distinct().withColumn("_tile", F.floor(F.col("pos") / POINT_TILE))
-    sizes = listed.select("chrom", "_tile", F.size("_points").cast("long").alias("_n")).unionByName(asked.select("chrom", "_tile", F.lit(0).cast("long").alias("_n")).distinct())
-    along = W.partitionBy("chrom").orderBy("_tile").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.groupBy("chrom", "_tile").agg(F.sum("_n").alias("_n")).select("chrom", "_tile", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"))
-    off = (F.col("pos") - F.col("_tile") * POINT_TILE).cast("int")
-    lower = F.coalesce(F.size(F.filter("_points", lambda p: p < F.col("_off"))).cast("long"), F.lit(0))
-    here = asked.withColumn("_off", off).join(listed, ["chrom", "_tile"], "left").groupBy("chrom", "_tile", "pos").agg(F.sum(F.when(F.col("_points").isNotNull(), lower).otherwise(0)).alias("_here"))
-    upto = here.join(before, ["chrom", "_tile"]).select("chrom", "pos", (F.col("_before") + F.col("_here")).alias("_upto"))
-    side = lambda at: upto.select("chrom", F.col("pos").alias(at), F.col("_upto").alias(f"_{at}"))
-    spans = regions.select(*COORDS).distinct().join(side("start"), ["chrom", "start"]).join(side("end"), ["chrom", "end"])
-    answers = spans.select(*COORDS, (F.col("_end") - F.col("_start")).alias("_n"))
+    answers = counts_in(regions, points, TILE)
     return regions.join(answers, COORDS).select(*regions.columns, F.col("_n").alias(name))
 
 

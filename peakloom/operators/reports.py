@@ -10,7 +10,8 @@ from ..functions.dna import cg_count
 from .filters import derive_promoters, primary_transcripts
 from .motifs import best_site, site_to_genome
 from .normalise import correlation_test
-from .overlap import COORDS, POINT_TILE, best_overlap, count_points_in_regions, listed_points
+from .overlap import COORDS, POINT_TILE, best_overlap, count_points_in_regions
+from .points import value_lists
 from .scans import tiled_scan
 from .segments import complement, merge_intervals, meta_profile, shuffle_intervals
 
@@ -35,23 +36,11 @@ def with_cg_count(df: DataFrame, seq_col: str = "seq", name: str = "cg_count") -
 def lookup_value(sites: DataFrame, table: DataFrame, value: str = "prob", name: str = "values") -> DataFrame:
     """Value of every base of each site (``chrom, start, end``) as an array in base order, null where unknown.
 
-    ``table`` has 1-based ``pos``.  Sites are short, so the arrays are too.  Values come in lists by tile and
-    bases are laid out after the join, so neither is a row of a shuffle.
+    ``table`` has 1-based ``pos``.  Sites are short, so the arrays are too; the longest one is found first.  Values come
+    in packed lists by tile and bases are laid out beside them in the rows of the sites, so neither is a row of a
+    shuffle and an array is not shuffled.
     """
-    last = F.col("end") - 1
-    low, high = F.least("start", last), F.greatest("start", last)
-    spans = sites.select(*COORDS).distinct().withColumn("_tile", F.explode(F.sequence(F.floor(low / POINT_TILE), F.floor(high / POINT_TILE))))
-    listed = listed_points(table.select("chrom", (F.col("pos") - 1).alias("pos"), F.col(value).alias("_v")), "_v")
-    at = lambda p: F.col("_tile") * POINT_TILE + p["off"]
-    inside = F.filter("_points", lambda p: at(p).between(low, high))
-    known = F.transform(inside, lambda p: F.struct(at(p).alias("at"), p["_v"].alias("_v")))
-    found = spans.join(listed, ["chrom", "_tile"], "left").groupBy(*COORDS).agg(F.flatten(F.collect_list(known)).alias("_known"))
-    gaps = F.array_except(F.sequence(low, high), F.col("_known.at"))
-    unknown = F.transform(gaps, lambda x: F.struct(x.alias("at"), F.lit(None).cast(table.schema[value].dataType).alias("_v")))
-    lists = found.select(
-        *COORDS, F.transform(F.array_sort(F.concat("_known", unknown)), lambda x: x["_v"]).alias(name)
-    )
-    return sites.join(lists, COORDS, "left")
+    return value_lists(sites, table.select("chrom", (F.col("pos") - 1).alias("pos"), value), value, name, POINT_TILE)
 
 
 def peak_site_methylation_table(
