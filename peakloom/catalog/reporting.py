@@ -8,6 +8,7 @@ from ..operators import motifs as mt
 from ..operators import reports as rp
 from ..operators import sequences as sq
 from ..operators.overlap import COORDS
+from ..runtime import cut_lineage
 from ..sources.gff import parse_gff3
 from .base import query, r, rounded, t_p_sql
 from .views import PFM, windows_sql
@@ -52,7 +53,8 @@ TABLE = f"""m AS ({SMETH}), b AS ({BEST}), t AS (SELECT s.seq_id, s.chrom, s."st
 
 
 def _table(v):
-    regions = sq.extract_sequences(v.spots, v.contigs)
+    # Read for the peaks, the scan, the sites and the methylation.
+    regions = cut_lineage(sq.extract_sequences(v.spots, v.contigs).select("seq_id", *COORDS, "seq"))
     peaks = regions.withColumns(
         {"cov_a": (F.col("seq_id") * 13 % 50).cast("double"), "cov_b": (F.col("seq_id") * 29 % 70).cast("double")}
     )

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.codes import CODES, pieces
@@ -407,6 +408,32 @@ def best_site(sites: DataFrame, keys: Sequence[str] = ("motif_id", "seq_id"), to
     return sites.groupBy(*keys).agg(top, *more).select(*keys, *[F.col(f"s.{c}").alias(c) for c in rest], *([total] if total else []))
 
 
+def leading_sites(sites: DataFrame, keys: Sequence[str] = ("motif_id", "seq_id")) -> DataFrame:
+    """Of each batch of sites those with the highest score of their key, among them all that :func:`best_site` chooses from.
+
+    A scan gives the sites of a sequence one after the other, so few are left to be sorted by key.
+    """
+    keys = list(keys)
+
+    def lead(batches):
+        for batch in batches:
+            code = np.zeros(len(batch), np.int64)
+            for key in keys:
+                number = batch.column(key).dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+                code = np.unique(code * (number.max(initial=0) + 1) + number, return_inverse=True)[1]
+            score = batch.column("score").cast(pa.float64())
+            known = pc.is_valid(score).to_numpy(zero_copy_only=False)
+            value = pc.fill_null(score, 0.0).to_numpy() + 0.0
+            bits = np.where(np.isnan(value), np.nan, value).view(np.int64)
+            # In the order of Spark: null, numbers, NaN.
+            worth = np.where(known, np.where(bits < 0, bits ^ np.int64((1 << 63) - 1), bits), np.iinfo(np.int64).min)
+            top = np.full(code.max(initial=-1) + 1, np.iinfo(np.int64).min)
+            np.maximum.at(top, code, worth)
+            yield batch.take(pa.array(np.flatnonzero(worth == top[code])))
+
+    return sites.mapInArrow(lead, sites.schema)
+
+
 def occupancy(sites: DataFrame, a: float = 1.0, b: float = 0.0, keys: Sequence[str] = ("motif_id", "seq_id")) -> DataFrame:
     """Predicted occupancy per sequence: sum of K*TF/(1+K*TF) with K = exp(-(b-s)/a), TF = exp(b/a)."""
     bound = F.exp((F.col("score") - b) / a) * F.exp(F.lit(b / a))

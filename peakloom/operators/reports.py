@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dna import cg_count
+from ..runtime import cut_lineage
 from .filters import derive_promoters, primary_transcripts
-from .motifs import best_site, site_to_genome
+from .motifs import best_site, leading_sites, site_to_genome
 from .normalise import correlation_test
 from .overlap import COORDS, POINT_TILE, best_overlap, count_points_in_regions
 from .points import value_lists
@@ -50,15 +51,17 @@ def peak_site_methylation_table(
 
     ``peaks`` has coordinates, ``seq`` and coverages; peaks without a site keep nulls.
     """
-    counted = with_cg_count(methylated_sites_in_regions(peaks, methylation))
-    best = best_site(sites.where(F.col("score") > cutoff), [id_col])
-    placed = site_to_genome(best, peaks.select(id_col, "chrom", "start"), id_col)
-    placed = methylated_sites_in_regions(placed, methylation, name="meth_sites_in_motif")
-    placed = lookup_value(placed, methylation, name="base_probs")
-    site = placed.select(
+    slim = sites.where(F.col("score") > cutoff).select(id_col, "pos", "strand", "kmer", "motif_len", "score")
+    best = best_site(leading_sites(slim, [id_col]), [id_col])
+    # Written, as a table is read several times and these are small beside the sequences.
+    placed = cut_lineage(site_to_genome(best, peaks.select(id_col, "chrom", "start"), id_col), slim=True)
+    spans = peaks.select(*COORDS).unionByName(placed.select(*COORDS)).distinct()
+    counts = cut_lineage(methylated_sites_in_regions(spans, methylation), slim=True)
+    counted = with_cg_count(peaks).join(counts, COORDS).select(*peaks.columns, "meth_sites", "cg_count")
+    site = cut_lineage(lookup_value(placed, methylation, name="base_probs").join(counts, COORDS).select(
         id_col, F.col("score").alias("site_score"), F.col("start").alias("site_start"), F.col("end").alias("site_end"),
-        F.col("strand").alias("site_strand"), F.col("kmer").alias("motif_seq"), "meth_sites_in_motif", "base_probs",
-    )
+        F.col("strand").alias("site_strand"), F.col("kmer").alias("motif_seq"), F.col("meth_sites").alias("meth_sites_in_motif"), "base_probs",
+    ), slim=True)
     return counted.join(site, id_col, "left")
 
 

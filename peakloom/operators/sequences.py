@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.codes import kmer_codes, slices
 from ..functions.dna import gc_content, reverse_complement
@@ -42,26 +42,30 @@ def extract_sequences(
 
     An interval that leaves its chromosome gets the part that exists; one wholly outside
     is dropped.  With ``stranded`` minus-strand intervals are reverse-complemented.
+
+    What lies in one chunk is cut from it beside its row; only pieces of several chunks are shuffled and put together.
     """
-    spans = intervals.select("chrom", "start", "end").distinct()
-    touched = spans.withColumn(
-        "chunk_no",
-        F.explode(F.sequence(F.floor(F.col("start") / size).cast("int"), F.floor((F.col("end") - 1) / size).cast("int"))),
-    )
+    first, last = F.floor(F.col("start") / size).cast("int"), F.floor((F.col("end") - 1) / size).cast("int")
+    # A chunk that is there several times is no single piece.
+    chunks = genome.withColumn("_copies", F.count(F.lit(1)).over(W.partitionBy("chrom", "chunk_no")))
     low = F.greatest(F.col("start") - F.col("offset"), F.lit(0))
     high = F.least(F.col("end") - F.col("offset"), F.lit(size))
     # Taken from the bytes (letters are ASCII): a place in a string is found from its start.
-    pieces = touched.join(genome, ["chrom", "chunk_no"]).select(
-        "chrom", "start", "end", "chunk_no",
-        F.substring(F.col("seq").cast("binary"), (low + 1).cast("int"), (high - low).cast("int")).cast("string").alias("piece"),
-    )
+    piece = F.substring(F.col("_letters").cast("binary"), (low + 1).cast("int"), (high - low).cast("int")).cast("string")
+    letters = chunks.select("chrom", "chunk_no", "offset", F.col("seq").alias("_letters"), "_copies")
+    near = intervals.where(first == last).withColumn("chunk_no", first).join(letters.where("_copies = 1"), ["chrom", "chunk_no"])
+    cut = near.select(*[F.col(c) for c in intervals.columns], piece.alias("seq"))
+
+    touched = intervals.select("chrom", "start", "end").distinct().withColumn("_parted", first != last).withColumn("chunk_no", F.explode(F.sequence(first, last)))
+    pieces = touched.join(letters, ["chrom", "chunk_no"]).where("_parted OR _copies > 1").select("chrom", "start", "end", "chunk_no", piece.alias("piece"))
     # An interval spans few chunks, so the list per interval is short.
     whole = pieces.groupBy("chrom", "start", "end").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "piece"))), lambda x: x["piece"]), ""
         ).alias("seq")
     )
-    out = intervals.join(whole.where(F.length("seq") > 0), ["chrom", "start", "end"])
+    joined = intervals.join(whole, ["chrom", "start", "end"]).select(*intervals.columns, "seq")
+    out = cut.unionByName(joined).where(F.length("seq") > 0)
     if stranded:
         out = out.withColumn(
             "seq", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
