@@ -82,6 +82,10 @@ def methylation_correlations(
     Asymmetric motifs are read along the motif's strand (a C on ``+`` is a G read on ``-``);
     symmetric ones pair a base with its mirror and take the larger probability.
     """
+    # Read for the whole and for the bases.
+    table = cut_lineage(table.where("site_score is not null").select(
+        F.col(ratio), "site_score", "meth_sites", "start", "end", "meth_sites_in_motif", "motif_seq", "base_probs", "site_strand"
+    ))
     whole = table.where("site_score is not null").select(
         F.col(ratio).alias("y"),
         F.explode(F.array(
