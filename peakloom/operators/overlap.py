@@ -88,12 +88,14 @@ def overlap_join(
     bin_width: int = BIN,
     hot_rows: int = HOT_ROWS,
     in_runs: bool = False,
+    merged: bool = False,
 ) -> DataFrame:
     """Pairs of overlapping intervals with the shared length as ``overlap``.
 
     Columns of ``b`` other than ``chrom`` get the prefix ``b_``.  ``how='left'`` keeps
     unmatched rows of ``a`` with null ``b_`` columns and overlap 0.  ``in_runs`` is for pairs that are written as they
     are: the same rows, with neighbours of ``a`` one after the other for each ``b``.  It counts the rows of ``a`` first.
+    ``merged`` keeps the planner from broadcasting a side that looks small where it is read, as written columns do.
     """
     left = a.withColumn("_bin", F.explode(_bins(F.col("start"), F.col("end"), bin_width)))
     right = b.select(
@@ -108,7 +110,7 @@ def overlap_join(
         tasks = max(usual, -(-rows // TASK_ROWS)) if rows > 16 * TASK_ROWS else None
         met = _met_in_runs(left, right, [c for c in a.columns if c != "chrom"], ["chrom", "_bin", "_part", "_side"], tasks)
     else:
-        met = left.join(right, ["chrom", "_bin", "_part"])
+        met = left.join(right.hint("merge") if merged else right, ["chrom", "_bin", "_part"])
     first = F.floor(F.greatest("start", "b_start") / bin_width)
     pairs = (
         met.where((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
@@ -238,12 +240,28 @@ def best_overlap(a: DataFrame, b: DataFrame, payload: Sequence[str], min_frac_a:
     none from further left; their ends are in the order of their starts, so the first that ends at or after
     an ``a`` is its answer if it holds the whole of it.  Only what lies in no single ``b`` is paired.
     """
+    spans = a.select(*COORDS).distinct().where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
+    found, names = best_of_spans(spans, b, payload, min_frac_a), [f"b_{c}" for c in payload if c != "chrom"]
+    # Merged, as a side that is broadcast grows with its table.
+    return a.join(found.hint("merge"), COORDS, "left").select(
+        *a.columns,
+        F.col("m.b_start"),
+        F.col("m.b_end"),
+        *[F.col(f"m.{n}") for n in names],
+        F.coalesce(-F.col("m.o"), F.lit(0)).alias("overlap"),
+    )
+
+
+def best_of_spans(spans: DataFrame, b: DataFrame, payload: Sequence[str], min_frac_a: float | None = None) -> DataFrame:
+    """What :func:`best_overlap` finds for different ``spans`` without nulls: ``chrom, start, end, m`` of those that overlap any.
+
+    ``m`` has ``o``, the shared length below zero, ``b_start``, ``b_end`` and the payload.
+    """
     values = F.struct(*[F.col(c).alias(f"b_{c}") for c in dict.fromkeys(["start", "end", *payload]) if c != "chrom"])
     known = b.where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
     one = known.groupBy(*COORDS).agg(F.min(F.struct(*payload) if payload else F.lit(1)).alias("_p"))
     others = [c for c in dict.fromkeys(payload) if c not in COORDS]
     slim = cut_lineage(_leading(one.select(*COORDS, *[F.col("_p")[c].alias(c) for c in others])))
-    spans = a.select(*COORDS).distinct().where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
     ends = slim.where(F.col("start") < F.col("end")).select("chrom", "start", "end", F.lit(0).alias("_rank"), values.alias("_b"))
     found = tiled_scan(
         spans.withColumn("_rank", F.lit(1)).unionByName(ends, allowMissingColumns=True),
@@ -257,17 +275,11 @@ def best_overlap(a: DataFrame, b: DataFrame, payload: Sequence[str], min_frac_a:
     )
     if min_frac_a is not None:
         whole = whole.where(-F.col("m.o") >= (F.col("end") - F.col("start")) * min_frac_a)
-    pairs = overlap_join(asked.where("_holds IS NULL").select(*COORDS), slim, min_frac_a=min_frac_a)
+    pairs = overlap_join(asked.where("_holds IS NULL").select(*COORDS), slim, min_frac_a=min_frac_a, merged=True)
     parted = pairs.groupBy(*COORDS).agg(
         F.min(F.struct((-F.col("overlap")).alias("o"), "b_start", "b_end", *names)).alias("m")
     )
-    return a.join(whole.unionByName(parted), COORDS, "left").select(
-        *a.columns,
-        F.col("m.b_start"),
-        F.col("m.b_end"),
-        *[F.col(f"m.{n}") for n in names],
-        F.coalesce(-F.col("m.o"), F.lit(0)).alias("overlap"),
-    )
+    return whole.unionByName(parted)
 
 
 def points_in_intervals(points: DataFrame, intervals: DataFrame, bin_width: int = BIN) -> DataFrame:

@@ -11,7 +11,7 @@ from ..runtime import cut_lineage
 from .filters import derive_promoters, primary_transcripts
 from .motifs import best_site, leading_sites, site_to_genome
 from .normalise import correlation_test
-from .overlap import COORDS, POINT_TILE, best_overlap, count_points_in_regions
+from .overlap import COORDS, POINT_TILE, best_of_spans, best_overlap, count_points_in_regions
 from .points import value_lists
 from .scans import tiled_scan
 from .segments import complement, merge_intervals, meta_profile, shuffle_intervals
@@ -170,12 +170,19 @@ def merge_annotations_per_region(regions: DataFrame, annotation: DataFrame, min_
     """All known types that cover ``min_frac`` of a region, sorted and joined by ``;``."""
     known = annotation.where(F.col("type").isin(*CLASSES)).select(*COORDS, "type")
     # A type covers enough of a region if the one of it that shares most does, so no pairs are needed.
-    asked = regions.select(*COORDS).distinct().withColumn("_k", F.explode(F.array(*[F.lit(c) for c in CLASSES])))
-    asked = asked.select(F.concat("_k", F.lit(":"), "chrom").alias("chrom"), "start", "end", F.col("chrom").alias("_c"), "_k")
-    best = best_overlap(asked, known.withColumn("chrom", F.concat("type", F.lit(":"), "chrom")), [], min_frac)
-    met = best.where("b_start IS NOT NULL").select(F.col("_c").alias("chrom"), "start", "end", "_k")
-    types = met.groupBy(*COORDS).agg(F.array_join(F.array_sort(F.collect_set("_k")), ";").alias("_t"))
-    return regions.join(types, COORDS, "left").select(*regions.columns, F.coalesce("_t", F.lit("intergenic")).alias("types"))
+    placed = regions.select(*COORDS).where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL").distinct()
+    asked = placed.select(F.explode(F.array(*[F.concat(F.lit(f"{c}:"), "chrom") for c in CLASSES])).alias("chrom"), "start", "end")
+    met = best_of_spans(asked, known.withColumn("chrom", F.concat("type", F.lit(":"), "chrom")), [], min_frac)
+    kind, at = F.substring_index("chrom", ":", 1), F.locate(":", F.col("chrom"))
+    names = sorted(CLASSES)
+    number = F.array_position(F.array(*[F.lit(c) for c in names]), kind).cast("int") - 1
+    # A bit for each type, as numbers are put together before they are shuffled.
+    bits = met.select(F.substring("chrom", at + 1, F.length("chrom")).alias("chrom"), "start", "end", F.call_function("shiftleft", F.lit(1), number).alias("_b"))
+    types = bits.groupBy(*COORDS).agg(F.bit_or("_b").alias("_b"))
+    held = F.array_compact(F.array(*[F.when(F.col("_b").bitwiseAND(1 << i) != 0, F.lit(c)) for i, c in enumerate(names)]))
+    return regions.join(types.hint("merge"), COORDS, "left").select(
+        *regions.columns, F.when(F.col("_b").isNotNull(), F.array_join(held, ";")).otherwise("intergenic").alias("types")
+    )
 
 
 def conservation_profile(

@@ -97,7 +97,8 @@ def tiled_scan(
     )
     inside = W.partitionBy(*group).orderBy(*[f"_o{i}" for i in range(len(order))])
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = base.join(carry, group).select(
+    # Both are dealt by tile, as the windows need the rows dealt so; a side that is broadcast would grow with its table.
+    out = base.join(carry.hint("shuffle_hash"), group).select(
         *[F.col(c) for c in df.columns],
         *[
             _FOLD[fn][1](F.col(f"_c_r_{n}"), _FOLD[fn][0](f"_r_{n}").over(upto)).alias(n)

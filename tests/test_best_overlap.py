@@ -44,3 +44,21 @@ def test_what_lies_in_one_interval_is_not_paired(spark, monkeypatch):
     ((left, right),) = paired
     assert left == 0 and right < 300
     assert {r["types"] for r in merge_annotations_per_region(peaks, deep).collect()} == {"exon"}
+
+
+def test_rows_that_grow_with_the_regions_are_not_broadcast(spark):
+    rng = random.Random(8)
+    others, peaks = made(rng, 3000), [r[:3] for r in made(rng, 300)] + [("c", 1, 5)]
+    a, b = spark.createDataFrame(peaks, SPAN), spark.createDataFrame(others, SPAN + ", type string")
+    merged = merge_annotations_per_region(a, b)
+    # Written columns and laid out types look small to the planner, which sent them to the driver.
+    for df in (best_overlap(a, b, ["type"]), merged):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # What is left is the list of hot bins.
+        assert [s for s in plan.splitlines() if "BroadcastHashJoin" in s and ("start#" in s or "_part#" in s or "_tile#" in s)] == []
+
+    def types(peak):
+        met = {k for k in CLASSES if best(peak, [o for o in others if o[3] == k], 0.1)[0] is not None}
+        return ";".join(sorted(met)) or "intergenic"
+
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(((*p, types(p)) for p in peaks), key=str)
