@@ -347,8 +347,14 @@ def _highest(begin: np.ndarray, end: np.ndarray, left: np.ndarray, right: np.nda
     best, wide = np.full(TILE, -1, np.int32), np.full(TILE, -1, np.int32)
     point = end - begin == 1
     np.maximum.at(best, begin[point], np.flatnonzero(point).astype(np.int32))
-    for k in np.flatnonzero(~point).tolist():
-        wide[begin[k]:end[k]] = k
+    long = np.flatnonzero(~point)
+    size = end[long] - begin[long]
+    if size.sum() <= 16 * TILE:
+        at = np.repeat(begin[long] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        np.maximum.at(wide, at, np.repeat(long, size).astype(np.int32))
+    else:
+        for k in long.tolist():
+            wide[begin[k]:end[k]] = k
     best = np.maximum(best, wide)
     out, level = np.empty(len(left), np.int32), np.frexp((right - left).astype(float))[1] - 1
     for k in range(int(level.max(initial=-1)) + 1):

@@ -263,10 +263,15 @@ def _rescue(weak: DataFrame, area: Sequence[str], phs: int, min_reps: int) -> Da
 
 
 def peak_max_per_replicate(peaks: DataFrame, tracks: DataFrame, names: Sequence[str], by: str = "track") -> DataFrame:
-    """Highest coverage of each replicate in each peak (0 without any) and the mean of these."""
-    pairs = overlap_join(peaks.select(*COORDS).distinct(), tracks.select(*COORDS, "value", by))
-    wide = pairs.groupBy(*COORDS).agg(
-        *[F.max(F.when(F.col(f"b_{by}") == n, F.col("b_value"))).alias(f"max_{n}") for n in names]
+    """Highest coverage of each replicate in each peak (0 without any) and the mean of these.
+
+    Each position of a tile keeps its highest segment, so peaks and segments are not paired (see :func:`highest_overlap`).
+    """
+    # Read several times, and long in the making where it is a pile-up.
+    wanted = cut_lineage(tracks.where(F.col(by).isin(*names)).select(*COORDS, "value", by))
+    found = highest_overlap(peaks.select(*COORDS), wanted, by)
+    wide = found.groupBy(*COORDS).agg(
+        *[F.max(F.when(F.col(by) == n, F.col("b_value"))).alias(f"max_{n}") for n in names]
     )
     out = peaks.join(wide, COORDS, "left").na.fill(0.0, [f"max_{n}" for n in names])
     total = sum((F.col(f"max_{n}") for n in names[1:]), F.col(f"max_{names[0]}"))
