@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.tails import normal_p
 from ..runtime import cut_lineage
@@ -374,29 +377,163 @@ def significant_rules(rules: DataFrame, by: Sequence[str] = ("zscore", "cosine")
     return kept.select(*rules.columns)
 
 
+#: Positions of a tile in which gaps are counted.
+GAP_TILE = 1 << 16
+#: Pairs of places that are set out at a time; more than ``GAP_DENSE`` for two models cost more than products of their counts.
+GAP_PAIRS = 1 << 21
+GAP_DENSE = 1 << 15
+
+
+def _products(first: np.ndarray, second: np.ndarray, reach: int) -> np.ndarray:
+    """For each gap up to ``reach`` the sum of ``first[p] * second[p + gap]``, exact; ``second`` is longer by more than ``reach``."""
+    tops = int(first.max(initial=0)), int(second.max(initial=0))
+    if min(tops) == 0:
+        return np.zeros(reach + 1, np.int64)
+    # Errors of the transforms stay far below one half for sums below 2**36; larger counts go in parts.
+    if tops[0] * tops[1] * len(first) >= 1 << 36:
+        if tops[0] >= tops[1]:
+            return (_products(first >> 4, second, reach) << 4) + _products(first & 15, second, reach)
+        return (_products(first, second >> 4, reach) << 4) + _products(first, second & 15, reach)
+    # What comes round again lies before the gaps.
+    size = 1 << (len(second) - 1).bit_length()
+    both = np.fft.rfft(first[::-1], size) * np.fft.rfft(second, size)
+    return np.rint(np.fft.irfft(both, size)[len(first) - 1:len(first) + reach]).astype(np.int64)
+
+
+def _gaps(ends: tuple[np.ndarray, ...], begins: tuple[np.ndarray, ...], reach: int) -> list[tuple[np.ndarray, ...]]:
+    """Rows ``(model, other, gap, n)`` of ends of a model and beginnings of another up to ``reach`` behind them.
+
+    Both sides are ``(model, place, copies)`` of one tile in order of place; places of ends are below ``GAP_TILE``, of beginnings
+    below that and ``reach``.  Few pairs are set out, many are counted by products of the models' counts by place.
+    """
+    (x, place, copies), (y, other, times) = ends, begins
+    low, high = np.searchsorted(other, place, "left"), np.searchsorted(other, place + reach, "right")
+    upto = np.append(0, np.cumsum(high - low))
+    left, right = np.unique(x), np.unique(y)
+    out = []
+    if upto[-1] <= GAP_DENSE * len(left) * len(right):
+        share = upto[1:] // GAP_PAIRS
+        cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(x)]
+        for a, b in zip(cuts, cuts[1:]):
+            n = (high - low)[a:b]
+            at = np.repeat(low[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            mine = np.repeat(np.arange(a, b), n)
+            differ = x[mine] != y[at]
+            at, mine = at[differ], mine[differ]
+            models = max(int(left.max(initial=0)), int(right.max(initial=0))) + 1
+            key, where = np.unique((x[mine] * models + y[at]) * (reach + 1) + other[at] - place[mine], return_inverse=True)
+            total = np.zeros(len(key), np.int64)
+            np.add.at(total, where, copies[mine] * times[at])
+            out.append((key // (reach + 1) // models, key // (reach + 1) % models, key % (reach + 1), total))
+        return out
+    laid = lambda side, width: {int(m): np.bincount(side[1][side[0] == m], side[2][side[0] == m], width).astype(np.int64) for m in np.unique(side[0])}
+    firsts, seconds = laid(ends, GAP_TILE), laid(begins, GAP_TILE + reach + 1)
+    for i, first in firsts.items():
+        for j, second in seconds.items():
+            if i != j:
+                total = _products(first, second, reach)
+                gap = np.flatnonzero(total)
+                out.append((np.full(len(gap), i), np.full(len(gap), j), gap, total[gap]))
+    return out
+
+
 def cooccurrence_distances(
     sites: DataFrame, lowest: int = 0, highest: int = 100, keys: Sequence[str] = ("seq_id",), model: str = "motif_id"
 ) -> DataFrame:
     """Sites of two models by the bases between them (negative where they overlap): ``tf1, tf2, distance, n``.
 
-    Sites have ``pos`` and ``stop``, half open.  Equal sites are counted before they meet, and sites meet by
-    position bins.
+    Sites have ``pos`` and ``stop``, half open.  Equal sites are counted before they meet.  Sites that do not overlap
+    have the distance from the end of one to the beginning of the other, so ends and beginnings are counted by
+    position, and gaps by products of these counts in tiles; sites are only paired where they overlap.
     """
     keys = list(keys)
-    stacked = sites.groupBy(*keys, model, "pos", "stop").agg(F.count(F.lit(1)).alias("copies"))
+    stacked = sites.dropna(subset=[*keys, model, "pos"]).groupBy(*keys, model, "pos", "stop").agg(F.count(F.lit(1)).alias("copies"))
+    # Written, as the sites are read again and curves too; what goes into Python are rows of numbers.
+    stacked = cut_lineage(stacked)
+    proper = F.coalesce(F.col("pos") < F.col("stop"), F.lit(False))
+    parts = []
+    if highest >= 0:
+        parts.append(_apart(stacked.where(proper), highest, keys, model).where(F.col("distance") >= lowest))
+    # Overlapping sites, and those without bases, which may end on both sides of another.
+    if lowest < 0 or highest < 0 or not stacked.where(~proper).isEmpty():
+        near = _paired(stacked, lowest, highest, keys, model)
+        parts.append(near.where("_odd OR distance < 0").drop("_odd"))
+    curve = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    kind = stacked.select((F.col("pos") - F.col("stop")).alias("d")).schema["d"].dataType
+    return cut_lineage(curve.groupBy("tf1", "tf2", F.col("distance").cast(kind).alias("distance")).agg(F.sum("n").alias("n")), slim=True)
+
+
+def _paired(stacked: DataFrame, lowest: int, highest: int, keys: Sequence[str], model: str) -> DataFrame:
+    """Rows of pairs by distance, met one by one in position bins; ``_odd`` tells where one has no bases."""
     width = F.max(F.col("stop") - F.col("pos"))
-    longest = F.broadcast(sites.agg((F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)) + F.lit(max(highest, 0))).alias("_w")))
+    longest = F.broadcast(stacked.agg((F.greatest(F.coalesce(width, F.lit(1)), F.lit(1)) + F.lit(max(highest, 0))).alias("_w")))
     side = lambda i: [F.col(a).alias(f"{b}{i}") for a, b in ((model, "tf"), ("pos", "pos"), ("stop", "stop"), ("copies", "copies"))]
     tagged = stacked.crossJoin(longest).withColumn("_bin", F.floor(F.col("pos") / F.col("_w")))
     left = tagged.select(*keys, "_bin", *side(1))
     right = tagged.select(*keys, F.explode(F.array(*[F.col("_bin") + d for d in (-1, 0, 1)])).alias("_bin"), *side(2))
     gap = F.greatest("pos1", "pos2") - F.least("stop1", "stop2")
     pairs = left.join(right.hint("merge"), [*keys, "_bin"]).where("tf1 < tf2").withColumn("distance", gap)
-    return pairs.where(F.col("distance").between(lowest, highest)).groupBy("tf1", "tf2", "distance").agg(
+    odd = ~F.coalesce((F.col("pos1") < F.col("stop1")) & (F.col("pos2") < F.col("stop2")), F.lit(False))
+    return pairs.where(F.col("distance").between(lowest, highest)).groupBy("tf1", "tf2", "distance", odd.alias("_odd")).agg(
         F.sum(F.col("copies1") * F.col("copies2")).alias("n")
     )
 
 
+def _apart(stacked: DataFrame, highest: int, keys: Sequence[str], model: str) -> DataFrame:
+    """Rows of ``tf1, tf2, distance, n`` of sites with bases that do not overlap, up to ``highest`` bases apart."""
+    kind = stacked.schema[model].dataType.simpleString()
+    tile = lambda place: F.floor(place / GAP_TILE)
+    # An end meets what begins in its tile and up to ``highest`` behind it.
+    homes = F.sequence(tile(F.col("pos") - highest), tile(F.col("pos")))
+    points = stacked.select(*keys, F.col(model).alias("_m"), "copies", F.explode(F.array(
+        F.struct(F.lit(False).alias("begins"), F.col("stop").cast("long").alias("at"), F.array(tile(F.col("stop"))).alias("tiles")),
+        F.struct(F.lit(True).alias("begins"), F.col("pos").cast("long").alias("at"), homes.alias("tiles")),
+    )).alias("e")).select(*keys, "_m", "copies", "e.begins", "e.at", F.explode("e.tiles").alias("_tile"))
+    counted = points.groupBy(*keys, "_tile", "_m", "begins", "at").agg(F.sum("copies").alias("copies"))
+    slim = counted.select(*keys, "_tile", "_m", "begins", (F.col("at") - F.col("_tile") * GAP_TILE).cast("long").alias("off"), "copies")
+    group = [*keys, "_tile"]
+    dealt = slim.repartition(*[F.col(c) for c in group]).sortWithinPartitions(*group)
+    form = to_arrow_type(stacked.schema[model].dataType)
+
+    def counts(tables: list[pa.Table]) -> list[pa.RecordBatch]:
+        table = pa.concat_tables(tables)
+        models = table.column("_m").combine_chunks().dictionary_encode()
+        code, off, copies = models.indices.to_numpy().astype(np.int64), table.column("off").to_numpy(), table.column("copies").to_numpy()
+        begins, order = table.column("begins").to_numpy(), np.argsort(off, kind="stable")
+        sides = [tuple(c[order[begins[order] == b]] for c in (code, off, copies)) for b in (False, True)]
+        names = models.dictionary.cast(form)
+        return [
+            pa.RecordBatch.from_arrays([names.take(pa.array(x)), names.take(pa.array(y)), pa.array(gap), pa.array(n)], ["tf1", "tf2", "distance", "n"])
+            for x, y, gap, n in _gaps(*sides, highest) if len(gap)
+        ]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.Table] = []
+        key = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.table(batch)
+            change = np.zeros(len(table) - 1, bool)
+            for c in group:
+                number = batch.column(c).dictionary_encode().indices.to_numpy()
+                change |= number[1:] != number[:-1]
+            edges = [0, *(np.flatnonzero(change) + 1).tolist(), len(table)]
+            for a, b in zip(edges, edges[1:]):
+                here = tuple(batch.column(c)[a].as_py() for c in group)
+                if here != key and kept:
+                    yield from counts(kept)
+                    kept = []
+                key = here
+                kept.append(table.slice(a, b - a))
+        if kept:
+            yield from counts(kept)
+
+    # The pair is in the order of the names, whichever comes first.
+    found = dealt.mapInArrow(meet, f"tf1 {kind}, tf2 {kind}, distance long, n long")
+    return found.select(F.least("tf1", "tf2").alias("tf1"), F.greatest("tf1", "tf2").alias("tf2"), "distance", "n")
+
+
 def preferred_spacing_flag(
     peaks: DataFrame, pairs: DataFrame, spacings: Sequence[tuple[str, int]], thresholds: Sequence[float], id_col: str = "seq_id"
 ) -> DataFrame:
