@@ -11,6 +11,7 @@ from ..operators import motifs as mt
 from ..operators import sampling as sp
 from ..operators import sequences as sq
 from ..operators.overlap import COORDS
+from ..runtime import cut_lineage
 from .base import query, r, rounded
 from .views import MOTIF, MOTIF_SHORT, PFM, PFM_SHORT, _log_scores, windows_sql
 
@@ -495,9 +496,18 @@ def _annotation(v):
              F.when((F.col("seq_id") + F.col("i")) % 4 == 0, "5UTR").otherwise(F.col("type")).alias("type"))
 
 
-def _library(v, simple=True):
+def _library(v, simple=True, probes=None, annotation=None):
     sizes = v.seqs.where(F.length("seq") > 0).select(F.col("seq_id").cast("string").alias("chrom"), F.length("seq").cast("long").alias("length"))
-    return sp.genome_bin_library(sizes, _annotation(v), v.contigs, 200, v.probes, simple)
+    return sp.genome_bin_library(sizes, annotation or _annotation(v), v.contigs, 200, probes or v.probes, simple)
+
+
+def _typed(v):
+    """Probes with GC and type, and the probes and annotation, written as all are read several times."""
+    from ..operators.reports import annotate_peaks
+
+    probes, annotation = cut_lineage(v.probes), cut_lineage(_annotation(v))
+    positives = cut_lineage(sq.with_gc(sq.extract_sequences(probes, v.contigs)).select("seq_id", *COORDS, "gc"))
+    return annotate_peaks(positives, annotation).drop("overlap"), probes, annotation
 
 
 ANNOT = """SELECT seq_id::VARCHAR AS chrom, length(seq) * i // 3 AS "start", length(seq) * (i + 1) // 3 AS "end", CASE WHEN (seq_id + i) % 4 = 0 THEN '5UTR' ELSE ['exon', 'intron', 'promoter'][i + 1] END AS type
@@ -527,17 +537,11 @@ def _(v):
 
 @query("matched_negatives")
 def _(v):
-    positives = sq.with_gc(sq.extract_sequences(v.probes, v.contigs)).select("seq_id", *COORDS, "gc")
-    from ..operators.reports import annotate_peaks
-
-    typed = annotate_peaks(positives, _annotation(v)).drop("overlap")
-    return sp.matched_negatives(typed, _library(v), 5, id_col="seq_id")
+    typed, probes, annotation = _typed(v)
+    return sp.matched_negatives(typed, _library(v, True, probes, annotation), 5, id_col="seq_id")
 
 
 @query("n_negative_sets")
 def _(v):
-    positives = sq.with_gc(sq.extract_sequences(v.probes, v.contigs)).select("seq_id", *COORDS, "gc")
-    from ..operators.reports import annotate_peaks
-
-    typed = annotate_peaks(positives, _annotation(v)).drop("overlap")
-    return sp.n_negative_sets(typed, _library(v), 2, 5, id_col="seq_id")
+    typed, probes, annotation = _typed(v)
+    return sp.n_negative_sets(typed, _library(v, True, probes, annotation), 2, 5, id_col="seq_id")

@@ -102,10 +102,11 @@ def genome_bin_library(
     A type counts when it covers a tenth of the bin; ``simple`` keeps the largest one,
     otherwise types are joined with ``;``.
     """
-    bins = make_bins(sizes, length).where(F.col("end") - F.col("start") == length)
+    # Sizes, bins and types are read several times and may be long in the making.
+    bins = make_bins(cut_lineage(sizes), length).where(F.col("end") - F.col("start") == length)
     if positives is not None:
         near = positives.select("chrom", F.greatest(F.col("start") - 1, F.lit(0)).alias("start"), (F.col("end") + 1).alias("end"))
-        bins = overlap_anti(bins, near)
+        bins = cut_lineage(overlap_anti(bins, near))
     if simple:
         typed = best_overlap(bins, annotation, ["type"], min_frac_a=0.10).select(
             "chrom", "start", "end", F.coalesce("b_type", F.lit("intergenic")).alias("type")
@@ -115,6 +116,7 @@ def genome_bin_library(
         typed = pairs.groupBy("chrom", "start", "end").agg(
             F.array_join(F.array_sort(F.collect_set(F.coalesce("b_type", F.lit("intergenic")))), ";").alias("type")
         )
+    typed = cut_lineage(typed)
     seqs = extract_sequences(typed, genome, chunk) if chunk else extract_sequences(typed, genome)
     return with_gc(seqs, 2).select("chrom", "start", "end", "type", "gc", F.lit(length).alias("length"))
 
