@@ -15,7 +15,12 @@ for _i, _b in enumerate("ACGT"):
 
 def slices(batch: pa.RecordBatch, bases: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(first column, start offsets, bytes of the second column) of runs of about ``bases`` letters."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    ids = batch.column(0)
+    if ids.null_count and pa.types.is_integer(ids.type):
+        # Masked, as numbers beside nulls would become floats.
+        ids = np.ma.masked_array(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False))
+    else:
+        ids = ids.to_numpy(zero_copy_only=False)
     text = batch.column(1).cast(pa.large_binary())
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
     data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
