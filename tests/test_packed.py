@@ -64,3 +64,24 @@ def test_methylation_table_counts_and_looks_up(spark):
     assert got.columns == ["seq_id", "chrom", "start", "end", "seq", "meth_sites", "cg_count", "site_score", "site_start", "site_end", "site_strand", "motif_seq", "meth_sites_in_motif", "base_probs"]
     rows = sorted(map(tuple, got.select("seq_id", "meth_sites", "cg_count", "site_start", "site_end", "meth_sites_in_motif", "base_probs").collect()), key=str)
     assert rows == [(1, 2, 4, 11, 13, 1, [0.9, 0.1]), (2, 0, 0, None, None, None, None), (2, 0, 0, None, None, None, None)]
+
+
+def test_the_table_of_correlations_is_made_once(spark):
+    from pyspark.sql import functions as F
+
+    from peakloom.operators.reports import methylation_correlations
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def ratio(n):
+        made.add(1)
+        return n / 7
+
+    rows = [(i, 0, 10, 5.0, i % 4, i % 3, "ACGT"[i % 4] + "CG", [0.1 * i, 0.2, 0.3 * (i % 5)], "+-"[i % 2]) for i in range(24)]
+    table = spark.createDataFrame(rows, "n long, start long, end long, site_score double, meth_sites long, meth_sites_in_motif long, motif_seq string, base_probs array<double>, site_strand string")
+    for symmetric in (False, True):
+        made.value = 0
+        found = methylation_correlations(table.withColumn("log_ratio", ratio("n")), symmetric=symmetric)
+        assert {"peak_density", "site_count"} < {r["what"] for r in found.collect()}
+        assert made.value == len(rows)
